@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import simhash, topk
+from ledgerline.llm import bpe, langid, packing, simhash, topk, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_topk": topk.op1_topk,
         "op2_simhash": simhash.op2_simhash,
+        "op4_toxicity": toxicity.op4_toxicity,
+        "op5_langid": langid.op5_langid,
+        "op6_packing": packing.op6_packing,
+        "op8_bpe": bpe.op8_bpe,
     }
 
 
