@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import bpe, langid, packing, simhash, topk, toxicity
+from ledgerline.llm import bpe, html, langid, minhash, packing, simhash, suffixes, topk, toxicity, warc
 
 
 def queries() -> dict:
     return {
         "op1_topk": topk.op1_topk,
         "op2_simhash": simhash.op2_simhash,
+        "op3_html": html.op3_html,
         "op4_toxicity": toxicity.op4_toxicity,
         "op5_langid": langid.op5_langid,
         "op6_packing": packing.op6_packing,
+        "op7_warc": warc.op7_warc,
         "op8_bpe": bpe.op8_bpe,
+        "op9_fingerprints": minhash.op9_fingerprints,
+        "op10_suffix_dedup": suffixes.op10_suffix_dedup,
     }
 
 

@@ -57,18 +57,19 @@ class Model:
         return 1 / (1 + np.exp(-z)) if z > -700 else 0.0
 
 
-def fit_nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
+def fit_nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, ridge: float = 3e-4) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the non-negative risk with the logistic loss, by Adam on the whole samples."""
     d = x_pos.shape[1]
-    w = np.zeros(d + 1)
+    x_pos, x_unl = x_pos.astype(np.float32), x_unl.astype(np.float32)
+    w = np.zeros(d + 1, np.float32)
     w[d] = np.log(prior / (1 - prior))
-    m, v = np.zeros(d + 1), np.zeros(d + 1)
+    m, v = np.zeros(d + 1, np.float32), np.zeros(d + 1, np.float32)
 
     def sigmoid(z):
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
     def grad(x, g):
-        return np.r_[x.T @ g, g.sum()] / max(len(x), 1)
+        return np.r_[g.astype(np.float32) @ x, g.sum()].astype(np.float32) / max(len(x), 1)
 
     for t in range(1, steps + 1):
         zp, zu = x_pos @ w[:d] + w[d], x_unl @ w[:d] + w[d]
@@ -81,10 +82,11 @@ def fit_nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float, steps: int = 40
     return w[:d], w[d]
 
 
-def train(docs: DataFrame, labels: DataFrame, most_positive: int = 4000, most_unlabelled: int = 12_000, most_features: int = 1024, least_support: int = 5) -> Model:
+def train(docs: DataFrame, labels: DataFrame, most_positive: int = 4000, most_unlabelled: int = 12_000, most_features: int = 512, least_support: int = 5, least_apart: float = 40.0) -> Model:
     """Fit on at most most_positive confirmed toxic and most_unlabelled drawn training documents (bounds of the samples
     that a classifier is fitted on; both are drawn by a hash of the id). The class prior is the share of toxic rows among
-    all labelled rows of the training fold. Without a confirmed toxic document the model scores everything 0."""
+    all labelled rows of the training fold. A feature needs least_support toxic documents and a chi-square of
+    least_apart between the samples. Without a confirmed toxic document the model scores everything 0."""
     spark = docs.sparkSession
     labelled = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna().filter(~held_out(F.col("doc_id")))
     toxic, all_ = labelled.agg(F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)), F.count(F.lit(1))).first()
@@ -118,7 +120,7 @@ def train(docs: DataFrame, labels: DataFrame, most_positive: int = 4000, most_un
     p, q = F.col("pos") / F.lit(n[1]), F.col("unl") / F.lit(max(n.get(0, 0), 1))
     both = (F.col("pos") + F.col("unl")) / F.lit(n[1] + n.get(0, 0))
     apart = (p - q) * (p - q) / (both * (1 - both) + F.lit(1e-6))
-    best = texts.mapInPandas(count, "gram string, pos long, unl long").groupBy("gram").agg(F.sum("pos").alias("pos"), F.sum("unl").alias("unl")).filter((F.col("pos") >= least_support) & (p > q)).orderBy(apart.desc(), "gram").limit(most_features)
+    best = texts.mapInPandas(count, "gram string, pos long, unl long").groupBy("gram").agg(F.sum("pos").alias("pos"), F.sum("unl").alias("unl")).filter((F.col("pos") >= least_support) & (p > q) & (apart * (n[1] * n.get(0, 0) / (n[1] + n.get(0, 0))) >= least_apart)).orderBy(apart.desc(), "gram").limit(most_features)
     features = [r["gram"] for r in best.collect()]
     look = Model(features, np.zeros(len(features)), 0.0)
 
