@@ -1,17 +1,18 @@
 """Removal of long repeated byte strings by bucket-pointer refinement of suffixes.
 
 A suffix array of everything is not needed to know which strings of `length` bytes repeat, only which suffixes share that
-many bytes. Initial buckets: each window of `length` bytes is put into the bucket of the q-gram (64 bytes) inside it that
-has the least hash, the leftmost of equals, so equal windows always meet in one bucket, and there are about two buckets
-to touch for every 137 bytes. Buckets met only once are dropped in Spark; for the rest each occurrence brings the bytes
-its windows span. Refinement, within tasks that hold whole buckets: suffixes get bucket identifiers by their first 8
-bytes and are refined by sorting on (own identifier, identifier of the suffix 8, 16, ... bytes later), each round reusing
-the identifiers of the last, until they tell apart the first `length` bytes; suffixes alone in a bucket leave at once.
+many bytes. Initial buckets: of the 24-grams inside a window of `length` bytes that with the least hash (the leftmost of
+equals) anchors it; the window goes to the bucket of the 112 bytes that begin at the anchor, or of those that end with it
+where less follows. Equal windows so always meet in one bucket, and a text of n bytes touches about n / 60 buckets. Buckets
+met only once are dropped in Spark; for the rest each occurrence brings the bytes its windows span. Refinement, within tasks
+that hold whole buckets: suffixes get bucket identifiers by their first 8 bytes and are refined by sorting on (own
+identifier, identifier of the suffix 8, 16, ... bytes later), each round reusing the identifiers of the last, until they
+tell apart the first `length` bytes; suffixes alone in a bucket leave at once.
 
 Hot buckets: what a task has already seen twice needs no counting, so only one row of it goes to the counting shuffle and
-the others are dealt out evenly; occurrences with the same bytes all around are settled together; exact copies of a
-text are settled by a digest, and only one of them brings bytes; a bucket beyond `bucket_rows` is refined by windows instead,
-counted in Spark by a 128-bit digest.
+the others are dealt out evenly; occurrences with the same bytes all around are settled in the task that finds them, which
+passes on one; exact copies of a text are settled by a digest, and only one of them brings bytes; a bucket of more than
+`bucket_rows` different occurrences is refined by whole windows instead, counted in Spark by a 128-bit digest.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import stored
 from ledgerline.llm.minhash import mix
 
-GRAM = 64
+GRAM = 24
+KEY = 112
 PLACE_BITS = 20
 PIECE = 1 << 19
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -43,11 +45,18 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][0][:n], _POWERS[0][1][:n]
 
 
-def gram_hashes(raw: np.ndarray, size: int = GRAM) -> np.ndarray:
-    """A hash of every run of `size` bytes."""
+def running_sums(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of a polynomial in the bytes, and the factors that move any run of bytes to the same place."""
     up, down = _powers(len(raw) + 1)
-    total = np.r_[np.uint64(0), np.cumsum(_BYTES[raw] * up[: len(raw)])]
-    return mix((total[size:] - total[:-size]) * down[: len(raw) - size + 1])
+    return np.r_[np.uint64(0), np.cumsum(_BYTES[raw] * up[: len(raw)])], down
+
+
+def run_hashes(sums: tuple[np.ndarray, np.ndarray], at: np.ndarray | slice, size: int) -> np.ndarray:
+    """Hashes of the runs of `size` bytes that begin at the given places."""
+    total, down = sums
+    if isinstance(at, slice):
+        return mix((total[size:] - total[:-size]) * down[: len(total) - size])
+    return mix((total[at + size] - total[at]) * down[at])
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -61,28 +70,31 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchors(raw: bytes, length: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(gram hash, its place, first and last window start it stands for), in arrays, for pieces of a long text."""
+def anchors(raw: bytes, length: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(bucket key, first and last window start it stands for), in arrays, for pieces of a long text."""
     out = []
-    width = length - GRAM + 1
+    width, reach = length - GRAM + 1, length - KEY
     data = np.frombuffer(raw, np.uint8)
     for at in range(0, max(len(data) - length + 1, 0), PIECE):
-        part = data[at : at + PIECE + length - 1]
-        hashes = gram_hashes(part)
+        sums = running_sums(data[at : at + PIECE + length - 1])
+        hashes = run_hashes(sums, slice(None), GRAM)
         key = (hashes >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS)) | np.arange(len(hashes), dtype=np.uint64)
         place = (_sliding_min(key, width) & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
         first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
         last = np.r_[first[1:], len(place)] - 1
         own = place[first]
-        out.append((hashes[own].astype(np.int64), own + at, first + at, last + at))
+        ahead = last >= own - reach  # windows in which KEY bytes follow the anchor's begin
+        out.append((run_hashes(sums, own[ahead], KEY).astype(np.int64), np.maximum(first, own - reach)[ahead] + at, last[ahead] + at))
+        behind = first < own - reach  # the others, in which KEY bytes end with the anchor
+        out.append((~run_hashes(sums, own[behind] + GRAM - KEY, KEY).astype(np.int64), first[behind] + at, np.minimum(last, own - reach - 1)[behind] + at))
     return out
 
 
-MARKS = "h long, h2 long, id long, th long, place long, lo long, hi long, seen int, salt long"
+MARKS = "h long, h2 long, id long, th int, lo long, n int, whole boolean, seen int, salt long"
 
 
 def _marks(batches, length: int):
-    """Rows of (id, text, th): one per initial bucket a text touches, and one for the text itself (place -1, digest h, h2).
+    """Rows of (id, text, th): one per initial bucket a text touches, and one for the text itself (whole, digest h, h2).
 
     seen: 0 for a row that must be counted, 2 for one whose equal was met in this batch and that stands for all of them in
     the count, 1 for the others, which need no counting and are spread by salt. For whole texts id is the least of the
@@ -95,25 +107,35 @@ def _marks(batches, length: int):
             if len(raw) < length:
                 continue
             digest = np.frombuffer(hashlib.sha256(raw).digest()[:16], np.int64)
-            found = [(digest[:1], digest[1:], np.array([doc]), np.array([th]), np.array([-1]), np.array([0]), np.array([len(raw) - length]))]
-            found += [(h, np.zeros(len(h), np.int64), np.full(len(h), doc), np.full(len(h), th), p, a, b) for h, p, a, b in anchors(raw, length)]
+            found = [(digest[:1], digest[1:], np.array([doc]), np.array([th]), np.array([0]), np.array([len(raw)]), np.array([True]))]
+            for h, a, b in anchors(raw, length):
+                found.append((h, np.zeros(len(h), np.int64), np.full(len(h), doc), np.full(len(h), th), a, b - a + 1, np.zeros(len(h), bool)))
             for f in found:
                 for c, v in zip(cols, f, strict=True):
                     c.append(v)
         if not cols[0]:
             continue
-        out = pd.DataFrame({n: np.concatenate(c).astype(np.int64) for n, c in zip(("h", "h2", "id", "th", "place", "lo", "hi"), cols, strict=True)})
-        out["whole"] = out["place"] == -1
-        out = out.sort_values(["whole", "h", "h2", "id", "place"], kind="stable")
-        key = out[["whole", "h", "h2"]].to_numpy()
-        new = np.r_[True, (key[1:] != key[:-1]).any(1)]
+        kinds = (np.int64, np.int64, np.int64, np.int32, np.int64, np.int32, bool)
+        out = pd.DataFrame({n: np.concatenate(c).astype(k) for n, c, k in zip(("h", "h2", "id", "th", "lo", "n", "whole"), cols, kinds, strict=True)})
+        out = out.sort_values(["whole", "h", "h2", "id", "lo"], kind="stable")
+        new = _changes(out)
         many = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] > 1
         out["seen"] = np.where(new, np.where(many, 2, 0), 1).astype(np.int32)
         out["salt"] = np.where(out["seen"] == 1, np.arange(len(out)) + 1, 0)
-        yield out[["h", "h2", "id", "th", "place", "lo", "hi", "seen", "salt"]]
+        yield out[["h", "h2", "id", "th", "lo", "n", "whole", "seen", "salt"]]
+
+
+def _changes(pdf: pd.DataFrame) -> np.ndarray:
+    """Where a sorted table's bucket differs from the row before."""
+    new = np.ones(len(pdf), bool)
+    new[1:] = False
+    for c in ("whole", "h", "h2"):
+        v = pdf[c].to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    return new
 
 
-KEPT = "id long, th long, h long, place long, lo long, hi long, copy int"
+KEPT = "id long, th int, h long, lo long, n int, copy int"
 
 
 def _repeated(batches):
@@ -124,11 +146,10 @@ def _repeated(batches):
     open_key, open_count = None, 0
 
     def finish(pdf: pd.DataFrame, keep: np.ndarray, rep: np.ndarray) -> pd.DataFrame:
-        copy = np.where(pdf["place"] == -1, np.where(rep, 1, 2), 0)
-        return pdf.assign(copy=copy)[keep][["id", "th", "h", "place", "lo", "hi", "copy"]]
+        copy = np.where(pdf["whole"], np.where(rep, 1, 2), 0).astype(np.int32)
+        return pdf.assign(copy=copy)[keep][["id", "th", "h", "lo", "n", "copy"]]
 
     for pdf in batches:
-        pdf = pdf.assign(whole=pdf["place"] == -1)
         direct = pdf["seen"] == 1
         if direct.any():
             yield finish(pdf[direct], np.ones(int(direct.sum()), bool), np.zeros(int(direct.sum()), bool))
@@ -137,9 +158,8 @@ def _repeated(batches):
             pdf = pd.concat([held, pdf], ignore_index=True)
         if not len(pdf):
             continue
-        key = pdf[name].to_numpy()
-        new = np.r_[True, (key[1:] != key[:-1]).any(1)]
-        goes_on = open_key is not None and tuple(key[0]) == open_key
+        new = _changes(pdf)
+        goes_on = open_key is not None and tuple(pdf[name].iloc[0]) == open_key
         group = np.cumsum(new) - 1
         size = np.bincount(group)
         twice = np.zeros(len(size), bool)
@@ -155,99 +175,147 @@ def _repeated(batches):
         yield finish(pdf[body], keep[group][body], rep[body])
         held = pdf.iloc[tail:]
         before = int((group == group[tail]).sum()) - 1 + (open_count if goes_on and group[tail] == 0 else 0)
-        open_key, open_count = tuple(key[tail]), before
+        open_key, open_count = tuple(pdf[name].iloc[tail]), before
     if held is not None:
         yield finish(held, np.array([open_count > 0 or int(held["seen"].iloc[0]) == 2]), np.array([open_count == 0]))
 
 
-CONTEXT = "h long, id long, th long, lo long, n int, ctx binary"
-SPANS = "id long, th long, begin long, end long"
+CONTEXT = "h long, id long, th int, lo long, n int, many boolean, salt long, ctx binary"
+SPANS = "id long, th int, begin long, end long, h long, n int, many boolean, ctx binary"
 
 
-def _contexts(batches, length: int):
-    """(id, th, text, marks) -> the bytes that each repeated bucket's windows span in this text."""
+def _contexts(batches, length: int, rows: int = 20_000):
+    """(id, th, text, marks) -> the bytes that each repeated bucket's windows span in this text. Occurrences whose bytes
+    are the same are settled here: one is passed on as `many`, the others go without bytes, spread by salt."""
+
+    def settle(out: list) -> pd.DataFrame:
+        met: dict[tuple, list] = {}
+        for r in out:
+            one = met.setdefault((r[0], r[4], r[7]), r)
+            if one is not r:
+                one[5], r[5], r[7] = True, True, None
+        for i, r in enumerate(out):
+            r[6] = i + 1 if r[7] is None else 0
+        return pd.DataFrame(out, columns=["h", "id", "th", "lo", "n", "many", "salt", "ctx"])
+
+    out: list[list] = []
     for pdf in batches:
-        out = []
         for doc, th, text, marks in zip(pdf["id"], pdf["th"], pdf["text"], pdf["marks"], strict=True):
             raw = text.encode("utf-8", "surrogatepass")
             if any(m["copy"] == 2 for m in marks):
                 continue
             for m in marks:
                 if m["copy"] == 0:
-                    out.append((m["h"], doc, th, m["lo"], m["hi"] - m["lo"] + 1, raw[m["lo"] : m["hi"] + length]))
-            if len(out) > 20_000:
-                yield pd.DataFrame(out, columns=["h", "id", "th", "lo", "n", "ctx"])
+                    out.append([m["h"], doc, th, m["lo"], m["n"], False, 0, raw[m["lo"] : m["lo"] + m["n"] - 1 + length]])
+            if len(out) >= rows:
+                yield settle(out)
                 out = []
-        yield pd.DataFrame(out, columns=["h", "id", "th", "lo", "n", "ctx"])
+    if out:
+        yield settle(out)
 
 
 def refine(data: np.ndarray, starts: np.ndarray, bucket: np.ndarray, length: int) -> np.ndarray:
     """Which of the suffixes `starts` share their first `length` bytes with another of the same bucket.
 
-    data: bytes, long enough behind every start. Bucket identifiers are kept for every position a later round points to;
-    identifiers of round r tell apart the first 8 * 2**r bytes.
+    data: bytes, long enough behind every start. Identifiers of round r tell apart the first 8 * 2**r bytes; they are kept
+    for the positions that later rounds point to, which shrink with the suffixes that still share a bucket.
     """
-    positions = np.zeros(len(data), bool)
-    depth = 8
-    steps = []
+    steps, depth = [], 8
     while depth * 2 <= length:
         steps.append(depth)
         depth *= 2
     if length > depth:
         steps.append(length - depth)
-    need = [starts]
-    for step in reversed(steps):
-        need.append(np.unique(np.concatenate([need[-1], need[-1] + step])))
-    need.reverse()
-    first = need[0]
-    words = np.lib.stride_tricks.sliding_window_view(data, 8)[first]
-    pointer = np.zeros(len(data), np.int64)
-    pointer[first] = np.unique(np.ascontiguousarray(words).view(">u8").ravel(), return_inverse=True)[1]
-    del positions
-    for step, own in zip(steps, need[1:], strict=True):
-        pair = pointer[own] * np.int64(len(data) + 1) + pointer[own + step]
-        pointer[own] = np.unique(pair, return_inverse=True)[1]
-    last = np.unique(np.stack([bucket, pointer[starts]]), axis=1, return_inverse=True)[1].ravel() if len(starts) else np.zeros(0, np.int64)
-    return np.bincount(last)[last] > 1 if len(starts) else np.zeros(0, bool)
+
+    def pointed(active: np.ndarray, rounds: list[int]) -> np.ndarray:
+        mask = np.zeros(len(data), bool)
+        mask[active] = True
+        for step in reversed(rounds):
+            at = np.flatnonzero(mask)
+            mask[at + step] = True
+        return np.flatnonzero(mask)
+
+    def shared(ids: np.ndarray, own: np.ndarray) -> np.ndarray:
+        got = np.unique(ids * np.int64(len(data) + 1) + own, return_inverse=True)[1]
+        return np.bincount(got)[got] > 1
+
+    alive = np.arange(len(starts))
+    pointer = np.zeros(len(data), np.int32)
+    at = pointed(starts, steps)
+    words = np.lib.stride_tricks.sliding_window_view(data, 8)[at]
+    pointer[at] = np.unique(np.ascontiguousarray(words).view(">u8").ravel(), return_inverse=True)[1]
+    for i, step in enumerate(steps):
+        alive = alive[shared(bucket[alive], pointer[starts[alive]].astype(np.int64))]
+        if not len(alive):
+            break
+        at = pointed(starts[alive], steps[i + 1 :])
+        pair = pointer[at].astype(np.int64) * np.int64(len(data) + 1) + pointer[at + step]
+        pointer[at] = np.unique(pair, return_inverse=True)[1]
+    hit = np.zeros(len(starts), bool)
+    if len(alive):
+        hit[alive[shared(bucket[alive], pointer[starts[alive]].astype(np.int64))]] = True
+    return hit
+
+
+def _table(rows: list, columns: list[str]) -> pd.DataFrame:
+    """Rows of SPANS: spans, or occurrences of a large bucket, with the other columns null."""
+    names = [c.split()[0] for c in SPANS.split(", ")]
+    return pd.DataFrame(rows, columns=columns).reindex(columns=names).astype({"begin": "Int64", "end": "Int64", "h": "Int64", "n": "Int32"})
 
 
 def _spans_of(pdf: pd.DataFrame, length: int) -> pd.DataFrame:
-    """Whole buckets of contexts -> spans of bytes under windows that repeat. Equal contexts are settled together."""
-    pdf = pdf.assign(ctx=[bytes(c) for c in pdf["ctx"]])
+    """Whole buckets of occurrences -> spans of bytes under windows that repeat. Equal bytes are settled together."""
     group = pdf.groupby(["h", "n", "ctx"], sort=False).ngroup().to_numpy()
-    size = np.bincount(group)
+    size = np.bincount(group, 1 + pdf["many"].to_numpy())
     first = np.full(len(size), -1)
     first[group[::-1]] = np.arange(len(pdf))[::-1]
     h = pdf["h"].to_numpy()[first]
-    kinds = pd.Series(h).groupby(h).transform("size").to_numpy()
+    kinds = np.bincount(np.unique(h, return_inverse=True)[1])[np.unique(h, return_inverse=True)[1]]
     ctx, n = pdf["ctx"].to_numpy()[first], pdf["n"].to_numpy()[first]
     runs_of = [[(0, int(n[i]) - 1)] if size[i] > 1 else [] for i in range(len(size))]
-    open_ = np.flatnonzero(kinds > 1)
-    if len(open_) and (size[open_] == 1).any():
-        joined = b"".join(ctx[open_])
-        begins = np.cumsum([0] + [len(c) for c in ctx[open_]])[:-1]
+    unsettled = np.unique(h[(kinds > 1) & (size == 1)])
+    open_ = np.flatnonzero(np.isin(h, unsettled))
+    if len(open_):
+        sizes = np.array([len(c) for c in ctx[open_]])
+        begins = np.cumsum(sizes) - sizes
         counts = n[open_].astype(np.int64)
+        at = np.cumsum(counts) - counts
         owner = np.repeat(np.arange(len(open_)), counts)
-        starts = begins[owner] + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        starts = begins[owner] + np.arange(counts.sum()) - at[owner]
         bucket = np.unique(h[open_], return_inverse=True)[1][owner]
-        hit = refine(np.frombuffer(joined + b"\0" * 8, np.uint8), starts, bucket, length)
-        at = np.cumsum(counts) - counts
+        hit = refine(np.frombuffer(b"".join(ctx[open_]) + b"\0" * 8, np.uint8), starts, bucket, length)
         for i, k in enumerate(open_):
             if size[k] == 1:
                 mine = np.r_[False, hit[at[i] : at[i] + counts[i]], False]
                 turn = np.flatnonzero(mine[1:] != mine[:-1])
                 runs_of[k] = list(zip(turn[::2].tolist(), (turn[1::2] - 1).tolist(), strict=True))
     out = [(doc, th, lo + a, lo + b + length) for doc, th, lo, g in zip(pdf["id"], pdf["th"], pdf["lo"], group, strict=True) for a, b in runs_of[g]]
-    return pd.DataFrame(out, columns=["id", "th", "begin", "end"])
+    return _table(out, ["id", "th", "begin", "end"])
 
 
-def _refined(batches, length: int, rows: int = 4000):
-    """Contexts sorted by bucket -> spans; whole buckets are gathered until there are `rows` rows."""
+def _refined(batches, length: int, bucket_rows: int, rows: int = 4000):
+    """Occurrences sorted by bucket -> spans; whole buckets are gathered until there are `rows` rows. A bucket that has more
+    than bucket_rows different occurrences is passed on as it is."""
     held: list[pd.DataFrame] = []
-    count = 0
+    count, large = 0, None
+    own = ["id", "th", "begin", "h", "n", "many", "ctx"]
     for pdf in batches:
+        pdf = pdf.assign(ctx=[None if c is None else bytes(c) for c in pdf["ctx"]])
+        done = pdf["ctx"].isna()
+        if done.any():
+            d = pdf[done]
+            yield _table(list(zip(d["id"], d["th"], d["lo"], d["lo"] + d["n"] - 1 + length, strict=True)), ["id", "th", "begin", "end"])
+            pdf = pdf[~done]
         for at in range(0, len(pdf), rows):
             piece = pdf.iloc[at : at + rows]
+            if large is not None:
+                same = (piece["h"] == large).to_numpy()
+                if same.any():
+                    yield _table(piece[same].rename(columns={"lo": "begin"})[own].to_dict("records"), own)
+                piece = piece[~same]
+                if not len(piece):
+                    continue
+                large = None
             held.append(piece)
             count += len(piece)
             if count < rows:
@@ -258,54 +326,63 @@ def _refined(batches, length: int, rows: int = 4000):
             cut = int(other[-1]) + 1 if len(other) else 0
             if cut:
                 yield _spans_of(all_.iloc[:cut].reset_index(drop=True), length)
-            held, count = [all_.iloc[cut:]], len(all_) - cut
+            rest = all_.iloc[cut:]
+            if len(rest) > bucket_rows:
+                large = rest["h"].iloc[0]
+                yield _table(rest.rename(columns={"lo": "begin"})[own].to_dict("records"), own)
+                rest = rest.iloc[:0]
+            held, count = [rest] if len(rest) else [], len(rest)
     if count:
         yield _spans_of(pd.concat(held, ignore_index=True), length)
 
 
 def _windows(batches, length: int):
-    """A very large bucket's windows by digest: (id, th, at, w1, w2)."""
+    """A very large bucket's windows by digest; n counts twice what is known to repeat."""
     for pdf in batches:
-        for doc, th, lo, n, ctx in zip(pdf["id"], pdf["th"], pdf["lo"], pdf["n"], pdf["ctx"], strict=True):
+        for doc, th, lo, n, many, ctx in zip(pdf["id"], pdf["th"], pdf["begin"], pdf["n"], pdf["many"], pdf["ctx"], strict=True):
             w = np.array([np.frombuffer(hashlib.blake2b(ctx[i : i + length], digest_size=16).digest(), np.int64) for i in range(n)])
-            yield pd.DataFrame({"id": doc, "th": th, "at": lo + np.arange(n), "w1": w[:, 0], "w2": w[:, 1]})
+            yield pd.DataFrame({"id": doc, "th": th, "at": lo + np.arange(n), "w1": w[:, 0], "w2": w[:, 1], "times": 1 + bool(many)})
+
+
+def merged(spans) -> list[tuple[int, int]]:
+    """Spans in order, overlapping and touching ones as one."""
+    out: list[list[int]] = []
+    for begin, end in sorted(spans):
+        if out and begin <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([begin, end])
+    return [(a, b) for a, b in out]
 
 
 def repeated_spans(docs: DataFrame, length: int = 200, bucket_rows: int = 20_000) -> DataFrame:
-    """docs (id long, th long, text string), one row per text with th a hash of it -> (id, th, begin, end): bytes under
+    """docs (id long, th int, text string), one row per text with th a hash of it -> (id, th, begin, end): bytes under
     strings of `length` bytes that start anywhere else too. Spans of one text may overlap. A text with an exact copy is
     one span."""
     marks = docs.mapInPandas(lambda it: _marks(it, length), MARKS)
-    dealt = marks.repartition("h", "h2", "salt").sortWithinPartitions(F.expr("place = -1"), "h", "h2", "id", "place")
+    dealt = marks.repartition("h", "h2", "salt").sortWithinPartitions("whole", "h", "h2", "id", "lo")
     kept = stored(dealt.mapInPandas(_repeated, KEPT))
-    by_doc = kept.groupBy("id", "th").agg(F.collect_list(F.struct("h", "lo", "hi", "copy")).alias("marks"))
+    by_doc = kept.groupBy("id", "th").agg(F.collect_list(F.struct("h", "lo", "n", "copy")).alias("marks"))
     contexts = docs.join(by_doc, ["id", "th"]).mapInPandas(lambda it: _contexts(it, length), CONTEXT)
-    large = kept.filter("copy = 0").groupBy("h").count().filter(F.col("count") > bucket_rows).select("h")
-    whole = kept.filter("copy > 0").select("id", "th", F.lit(0).cast("long").alias("begin"), (F.col("hi") + length).alias("end"))
+    whole = kept.filter("copy > 0").select("id", "th", F.lit(0).cast("long").alias("begin"), F.col("n").cast("long").alias("end"))
+    found = stored(contexts.repartition("h", "salt").sortWithinPartitions("h").mapInPandas(lambda it: _refined(it, length, bucket_rows), SPANS))
+    spans = found.filter("ctx is null").select("id", "th", "begin", "end").unionByName(whole)
+    large = found.filter("ctx is not null")
     if large.isEmpty():
-        return contexts.repartition("h").sortWithinPartitions("h").mapInPandas(lambda it: _refined(it, length), SPANS).unionByName(whole)
-    contexts = stored(contexts)
-    spans = contexts.join(large, "h", "left_anti").repartition("h").sortWithinPartitions("h").mapInPandas(lambda it: _refined(it, length), SPANS)
-    windows = contexts.join(large, "h", "left_semi").mapInPandas(lambda it: _windows(it, length), "id long, th long, at long, w1 long, w2 long")
-    twice = windows.groupBy("w1", "w2").count().filter("count > 1").select("w1", "w2")
-    more = windows.join(twice, ["w1", "w2"]).select("id", "th", F.col("at").alias("begin"), (F.col("at") + length).alias("end"))
-    return spans.unionByName(more).unionByName(whole)
+        return spans
+    windows = stored(large.mapInPandas(lambda it: _windows(it, length), "id long, th int, at long, w1 long, w2 long, times int"))
+    twice = windows.groupBy("w1", "w2").agg(F.sum("times").alias("n")).filter("n > 1").select("w1", "w2")
+    return spans.unionByName(windows.join(twice, ["w1", "w2"]).select("id", "th", F.col("at").alias("begin"), (F.col("at") + length).alias("end")))
 
 
 def cut_spans(raw: bytes, spans) -> tuple[bytes, int]:
     """The bytes outside the spans, and how many maximal runs were cut."""
-    out, at, runs, reach = [], 0, 0, -1
-    for begin, end in sorted(spans):
-        if begin > reach:
-            out.append(raw[at:begin])
-            runs += 1
-        reach = max(reach, end)
-        at = max(at, end)
-    out.append(raw[at:])
-    return b"".join(out), runs
+    runs = merged(spans)
+    edges = [0, *(x for span in runs for x in span), len(raw)]
+    return b"".join(raw[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2)), len(runs)
 
 
-def deduplicate(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = 20_000, most_broadcast: int = 200_000) -> DataFrame:
+def deduplicate(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = 20_000, most_broadcast: int = 500_000) -> DataFrame:
     """docs -> all its columns and `kept` binary (the bytes that stay), `n_bytes`, `n_removed`, `n_spans`.
 
     Each byte of a text (UTF-8; null counts as empty) under a string of `length` bytes that also starts elsewhere, in the
@@ -315,10 +392,16 @@ def deduplicate(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text
     """
     names = [c for c in docs.columns if c not in ("kept", "n_bytes", "n_removed", "n_spans", "_id", "_th", "_spans")]
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(*names, F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("_id"), F.xxhash64(text).alias("_th"))
+    keyed = docs.select(*names, F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("_id"), F.hash(text).alias("_th"))
     spans = repeated_spans(keyed.select(F.col("_id").alias("id"), F.col("_th").alias("th"), text.alias("text")), length, bucket_rows)
-    found = stored(spans.groupBy(F.col("id").alias("_id"), F.col("th").alias("_th")).agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("_spans")))
-    few = found.count() <= most_broadcast
+
+    @F.pandas_udf("array<struct<begin:long,end:long>>")
+    def one(spans: pd.Series) -> pd.Series:
+        return spans.map(lambda s: [{"begin": a, "end": b} for a, b in merged((x["begin"], x["end"]) for x in s)])
+
+    gathered = spans.groupBy(F.col("id").alias("_id"), F.col("th").alias("_th")).agg(F.collect_set(F.struct("begin", "end")).alias("s"))
+    found = stored(gathered.select("_id", "_th", one("s").alias("_spans")))
+    few = (found.agg(F.sum(F.size("_spans") + 1)).first()[0] or 0) <= most_broadcast
     joined = keyed.join(F.broadcast(found) if few else found, ["_id", "_th"], "left")
 
     @F.pandas_udf("kept binary, n_bytes long, n_spans long")
