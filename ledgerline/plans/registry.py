@@ -2,10 +2,373 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ledgerline.operators import facts, merge, series
+from ledgerline.plans import adapters as A
+from ledgerline.sources.tables import read_table
+
+QUERIES: dict = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def rounded(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in cols})
+
+
+@query(f"""WITH {A.TRADE}, {A.RATES}, s AS (SELECT flow, fy, country, sum(value) AS value FROM trade GROUP BY 1, 2, 3)
+SELECT flow, fy, country, round(value, 2) AS value, round(100 * value / sum(value) OVER (PARTITION BY flow, fy), 4) AS share_pct,
+  round(value / rate, 4) AS value_fx, row_number() OVER (PARTITION BY flow, fy ORDER BY value DESC, country) AS place
+FROM s LEFT JOIN rates USING (fy)""")
+def rank_partners(spark, d):
+    return rounded(facts.rank_partners(A.trade(spark, d), A.rates(spark, d)), "share_pct", "value_fx", digits=4).withColumn("value", F.round("value", 2))
+
+
+@query(f"""WITH {A.TRADE} SELECT code, fy, round(sum(value) FILTER (flow = 'A'), 2) AS A, round(sum(value) FILTER (flow = 'N'), 2) AS N,
+  round(sum(value) FILTER (flow = 'R'), 2) AS R FROM trade GROUP BY 1, 2""")
+def product_history(spark, d):
+    return rounded(facts.product_history(A.trade(spark, d), ["A", "N", "R"]), "A", "N", "R", digits=2)
+
+
+@query(f"""WITH {A.TRADE}, t AS (SELECT *, substring(code, 1, 4) AS heading FROM trade)
+SELECT flow, coalesce(code, heading) AS page, CASE WHEN code IS NULL THEN 'heading' ELSE 'code' END AS kind, round(sum(value), 2) AS value,
+  count(*) AS n_lines FROM t GROUP BY GROUPING SETS ((flow, code), (flow, heading))""")
+def page_index(spark, d):
+    return rounded(facts.page_index(A.trade(spark, d)), "value", digits=2)
+
+
+@query(f"""WITH {A.TRADE}, s AS (SELECT flow, country, code, sum(value) AS value FROM trade GROUP BY 1, 2, 3),
+r AS (SELECT *, row_number() OVER (PARTITION BY flow, country ORDER BY value DESC, code) AS place FROM s)
+SELECT flow, country, code, round(value, 2) AS value, place FROM r WHERE place <= 10""")
+def top_products(spark, d):
+    s = A.trade(spark, d).groupBy("flow", "country", "code").agg(F.sum("value").alias("value"))
+    return rounded(facts.top_n_per_group(s, ["flow", "country"], [F.desc("value"), F.col("code")], 10), "value", digits=2)
+
+
+def _series(name: str):
+    return f"SELECT series_id, dims_key, obs_date, round(value, 6) AS value, round({name}, 6) AS result FROM "
+
+
+@query(f"WITH {A.MONTHLY}, l AS (SELECT *, lag(value) OVER (PARTITION BY series_id, dims_key ORDER BY obs_date) AS p FROM monthly) " + _series("CASE WHEN p <> 0 THEN (value / p - 1) * 100 END") + "l")
+def pct_change(spark, d):
+    return rounded(series.pct_change(A.monthly(spark, d)), "value", "result")
+
+
+@query(f"""WITH {A.MONTHLY} SELECT a.series_id, a.dims_key, a.obs_date, round(a.value, 6) AS value,
+  round(CASE WHEN b.value <> 0 THEN (a.value / b.value - 1) * 100 END, 6) AS result
+FROM monthly a LEFT JOIN monthly b ON a.series_id = b.series_id AND a.dims_key = b.dims_key AND b.obs_date = last_day(a.obs_date - INTERVAL 12 MONTH)""")
+def yoy(spark, d):
+    return rounded(series.against_month(A.monthly(spark, d), 12), "value", "result")
+
+
+@query(f"""WITH {A.MONTHLY} SELECT a.series_id, a.dims_key, a.obs_date, round(a.value, 6) AS value,
+  round(CASE WHEN b.value <> 0 THEN (a.value / b.value - 1) * 100 END, 6) AS result
+FROM monthly a LEFT JOIN monthly b ON a.series_id = b.series_id AND a.dims_key = b.dims_key AND b.obs_date = last_day(date_trunc('month', a.obs_date) - INTERVAL 1 DAY)""")
+def mom(spark, d):
+    return rounded(series.against_month(A.monthly(spark, d), 1), "value", "result")
+
+
+_W3 = "OVER (PARTITION BY series_id, dims_key ORDER BY obs_date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"
+
+
+@query(f"WITH {A.DAILY}, l AS (SELECT *, avg(value) {_W3} AS m, count(value) {_W3} AS n FROM daily) " + _series("CASE WHEN n = 3 THEN m END") + "l")
+def ma3(spark, d):
+    return rounded(series.ma3(A.daily(spark, d)), "value", "result")
+
+
+@query(f"WITH {A.MONTHLY}, l AS (SELECT *, first_value(value IGNORE NULLS) OVER (PARTITION BY series_id, dims_key ORDER BY obs_date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS b FROM monthly) " + _series("CASE WHEN b <> 0 THEN value / b * 100 END") + "l")
+def index_100(spark, d):
+    return rounded(series.index_100(A.monthly(spark, d)), "value", "result")
+
+
+@query(f"WITH {A.MONTHLY}, l AS (SELECT *, row_number() OVER (PARTITION BY series_id, dims_key ORDER BY obs_date DESC) AS rn FROM monthly) SELECT series_id, dims_key, obs_date, round(value, 6) AS value FROM l WHERE rn = 1")
+def latest(spark, d):
+    return rounded(series.latest(A.monthly(spark, d)), "value")
+
+
+_ROLL = f"""WITH {A.MONTHLY}, m AS (SELECT *, year(obs_date) * 12 + month(obs_date) AS no FROM monthly),
+r AS (SELECT *, count(value) OVER w AS n, sum(value) OVER w AS s FROM m WINDOW w AS (PARTITION BY series_id, dims_key ORDER BY no RANGE BETWEEN %d PRECEDING AND CURRENT ROW)) """
+
+
+@query(_ROLL % 11 + _series("s") + "r WHERE n = 12")
+def rolling_sum_months(spark, d):
+    return rounded(series.rolling_sum_months(A.monthly(spark, d), 12), "value", "result")
+
+
+@query(_ROLL % 2 + _series("value / (s / 3)") + "r WHERE n = 3 AND s > 0")
+def ratio_to_trailing_mean(spark, d):
+    return rounded(series.ratio_to_trailing_mean(A.monthly(spark, d), 3), "value", "result")
+
+
+@query(f"WITH {A.DAILY} SELECT series_id, dims_key, last_day(obs_date) AS obs_date, round(avg(value), 6) AS result FROM daily GROUP BY 1, 2, 3 HAVING count(value) >= 20")
+def monthly_mean(spark, d):
+    return rounded(series.monthly_mean(A.daily(spark, d), 20), "result")
+
+
+_STEPS = "SELECT o_orderpriority AS k, CAST(o_orderdate AS DATE) AS obs_date, max(o_totalprice) AS value FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2"
+
+
+@query(f"""WITH c AS ({_STEPS}), t AS (SELECT DISTINCT o_orderpriority AS k, last_day(CAST(o_orderdate AS DATE)) AS obs_date FROM orders)
+SELECT t.k, t.obs_date, round(c.value, 6) AS in_force FROM t ASOF JOIN c ON t.k = c.k AND t.obs_date >= c.obs_date""")
+def step_asof(spark, d):
+    o = read_table(spark, d, "orders").withColumn("k", F.col("o_orderpriority"))
+    changes = o.filter("o_orderstatus = 'F'").groupBy("k", F.to_date("o_orderdate").alias("obs_date")).agg(F.max("o_totalprice").alias("value"))
+    dates = o.select("k", F.last_day(F.to_date("o_orderdate")).alias("obs_date")).distinct()
+    return rounded(series.step_asof(changes, dates, ["k"]), "in_force")
+
+
+@query(f"""WITH c AS ({_STEPS}), t AS (SELECT DISTINCT o_orderpriority AS k, last_day(CAST(o_orderdate AS DATE)) AS target FROM orders), j AS (
+SELECT t.k, target, c.value, target - c.obs_date AS days_back, row_number() OVER (PARTITION BY t.k, target ORDER BY c.obs_date DESC) AS rn
+FROM t JOIN c ON t.k = c.k AND c.obs_date BETWEEN target - 7 AND target)
+SELECT k, target, round(value, 6) AS value, CAST(days_back AS INTEGER) AS days_back FROM j WHERE rn = 1""")
+def nearest_prior(spark, d):
+    o = read_table(spark, d, "orders").withColumn("k", F.col("o_orderpriority"))
+    points = o.filter("o_orderstatus = 'F'").groupBy("k", F.to_date("o_orderdate").alias("obs_date")).agg(F.max("o_totalprice").alias("value"))
+    return rounded(facts.nearest_prior(points, o.select("k", F.last_day(F.to_date("o_orderdate")).alias("target")).distinct(), ["k"]), "value")
+
+
+@query("""WITH s AS (SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS obs_date, min(o_totalprice) AS value, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS p
+FROM orders GROUP BY 1, 2, 6), r AS (SELECT *, row_number() OVER (PARTITION BY k, obs_date ORDER BY p) AS rn FROM s)
+SELECT k, obs_date, round(value, 6) AS value, CAST(p AS INTEGER) AS source_no FROM r WHERE rn = 1""")
+def splice(spark, d):
+    o = read_table(spark, d, "orders").select(F.col("o_custkey").alias("k"), F.to_date("o_orderdate").alias("obs_date"), F.col("o_totalprice").alias("value"), "o_orderstatus")
+    sources = [o.filter(F.col("o_orderstatus") == s).groupBy("k", "obs_date").agg(F.min("value").alias("value")) for s in ("F", "O", "P")]
+    return rounded(series.splice(sources, ["k", "obs_date"]), "value")
+
+
+_FLAT = """flat AS (SELECT event_type AS series_id, '{}' AS dims_key, CAST(ts AS DATE) AS obs_date, CAST(count(*) // 40 AS DOUBLE) AS value FROM events GROUP BY 1, 2, 3)"""
+
+
+def _flat(spark, d):
+    e = read_table(spark, d, "events").groupBy(F.col("event_type").alias("series_id"), F.lit("{}").alias("dims_key"), F.to_date("ts").alias("obs_date")).agg(F.count(F.lit(1)).alias("n"))
+    return e.select("series_id", "dims_key", "obs_date", F.floor(F.col("n") / 40).cast("double").alias("value"))
+
+
+@query(f"""WITH {_FLAT}, c AS (SELECT *, CASE WHEN value IS NOT DISTINCT FROM lag(value) OVER (PARTITION BY series_id, dims_key ORDER BY obs_date) THEN 0 ELSE 1 END AS ch FROM flat),
+r AS (SELECT *, sum(ch) OVER (PARTITION BY series_id, dims_key ORDER BY obs_date) AS run FROM c)
+SELECT series_id, dims_key, value, min(obs_date) AS start_date, max(obs_date) AS end_date, count(*) AS length FROM r WHERE value <> 0 GROUP BY series_id, dims_key, run, value HAVING count(*) >= 2""")
+def flat_runs(spark, d):
+    return series.flat_runs(_flat(spark, d), 2)
+
+
+_NEAR = """near AS (SELECT *, lag(value) OVER w AS pv, lead(value) OVER w AS nv FROM monthly WINDOW w AS (PARTITION BY series_id, dims_key ORDER BY obs_date))"""
+_OUT = "SELECT series_id, dims_key, obs_date, round(value, 6) AS value, round(pv, 6) AS pv, round(nv, 6) AS nv"
+
+
+@query(f"""WITH {A.MONTHLY}, {_NEAR} {_OUT} FROM near WHERE value <> 0 AND pv <> 0 AND nv <> 0 AND sign(value) = sign(pv) AND sign(pv) = sign(nv)
+AND abs(pv / nv - 1) < 0.3 AND greatest(abs(value / pv), abs(pv / value)) > 3""")
+def spike_level(spark, d):
+    return rounded(series.spike_level(series.neighbours(A.monthly(spark, d))), "value", "pv", "nv")
+
+
+@query(f"""WITH {A.MONTHLY}, {_NEAR}, m AS (SELECT series_id, dims_key, median(abs(value - pv)) AS mad FROM near GROUP BY 1, 2)
+{_OUT}, round(mad, 6) AS mad FROM near JOIN m USING (series_id, dims_key) WHERE abs(pv - nv) <= greatest(2 * mad, 0.2) AND abs(value - (pv + nv) / 2) > greatest(8 * mad, 1.0)""")
+def spike_rate(spark, d):
+    return rounded(series.spike_rate(series.neighbours(A.monthly(spark, d))), "value", "pv", "nv", "mad")
+
+
+_SLIP = """slip AS (SELECT series_id, dims_key, obs_date, value * CASE WHEN (day(obs_date) + month(obs_date)) % 7 = 0 THEN 1000 ELSE 1 END AS value FROM monthly)"""
+
+
+@query(f"""WITH {A.MONTHLY}, {_SLIP}, near AS (SELECT *, lag(value) OVER w AS pv, lead(value) OVER w AS nv FROM slip WINDOW w AS (PARTITION BY series_id, dims_key ORDER BY obs_date)),
+f AS (SELECT *, pow(1000.0, round(log10(abs(value) / sqrt(abs(pv * nv))) / 3)) AS factor FROM near WHERE value <> 0 AND pv * value > 0 AND nv * value > 0 AND least(abs(pv), abs(nv)) >= 1 AND abs(pv / nv) BETWEEN 0.67 AND 1.5)
+{_OUT}, factor FROM f WHERE factor <> 1 AND abs(value / factor) BETWEEN 0.8 * least(abs(pv), abs(nv)) AND 1.25 * greatest(abs(pv), abs(nv))""")
+def scale_slips(spark, d):
+    m = A.monthly(spark, d).withColumn("value", F.col("value") * F.when((F.dayofmonth("obs_date") + F.month("obs_date")) % 7 == 0, 1000).otherwise(1))
+    return rounded(series.scale_slips(series.neighbours(m)), "value", "pv", "nv")
+
+
+_POINT = "o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS obs_date, CAST(o_custkey % 20 AS VARCHAR) AS dims_key"
+
+
+def _points(spark, d):
+    return read_table(spark, d, "orders").select(F.col("o_orderpriority").alias("series_id"), F.to_date("o_orderdate").alias("obs_date"), (F.col("o_custkey") % 20).cast("string").alias("dims_key"), F.col("o_totalprice").alias("value"), F.col("o_orderkey").alias("seq"))
+
+
+def _last(where: str = "") -> str:
+    return f"(SELECT series_id, obs_date, dims_key, value, seq FROM (SELECT *, row_number() OVER (PARTITION BY series_id, obs_date, dims_key ORDER BY seq DESC) AS rn FROM (SELECT {_POINT}, o_totalprice AS value, o_orderkey AS seq FROM orders {where})) WHERE rn = 1)"
+
+
+@query(f"SELECT * FROM {_last()}")
+def dedupe_last(spark, d):
+    return merge.dedupe_last(_points(spark, d), merge.POINT, "seq")
+
+
+@query(f"""WITH s AS {_last('WHERE o_orderkey % 3 <> 0')}, i AS {_last('WHERE o_orderkey % 3 <> 1')}
+SELECT coalesce(s.series_id, i.series_id) AS series_id, coalesce(s.obs_date, i.obs_date) AS obs_date, coalesce(s.dims_key, i.dims_key) AS dims_key,
+CASE WHEN i.seq IS NULL THEN s.value ELSE i.value END AS value,
+CASE WHEN s.seq IS NULL OR (i.seq IS NOT NULL AND s.value IS DISTINCT FROM i.value) THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2020-01-01' END AS revised_at,
+CASE WHEN s.seq IS NULL THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2020-01-01' END AS first_seen_at,
+CASE WHEN s.seq IS NULL THEN 'new' WHEN i.seq IS NULL THEN 'kept' WHEN s.value IS NOT DISTINCT FROM i.value THEN 'same' ELSE 'changed' END AS action,
+CASE WHEN s.seq IS NOT NULL AND i.seq IS NOT NULL AND s.value IS DISTINCT FROM i.value THEN s.value END AS prior_value
+FROM s FULL OUTER JOIN i ON s.series_id = i.series_id AND s.obs_date = i.obs_date AND s.dims_key = i.dims_key""")
+def merge_observations(spark, d):
+    p = _points(spark, d)
+    stored = merge.dedupe_last(p.filter("seq % 3 <> 0"), merge.POINT, "seq").select(*merge.POINT, "value", F.lit("2020-01-01").cast("timestamp").alias("revised_at"), F.lit("2020-01-01").cast("timestamp").alias("first_seen_at"))
+    return merge.merge_observations(stored, merge.dedupe_last(p.filter("seq % 3 <> 1"), merge.POINT, "seq"), F.lit("2024-01-01").cast("timestamp"))
+
+
+@query(f"""WITH r AS {_last()}, c AS (SELECT series_id, min(value) * 2 AS lo, max(value) * 0.9 AS hi, 100000.0 AS step FROM r WHERE series_id <> '5-LOW' GROUP BY 1),
+n AS (SELECT series_id, dims_key, max(obs_date) AS last_date, arg_max(value, obs_date) AS last_value FROM r WHERE obs_date < DATE '2000-01-01' GROUP BY 1, 2)
+SELECT r.series_id, r.obs_date, r.dims_key, r.value, r.seq, CASE WHEN r.obs_date > DATE '2001-06-01' THEN 'future date' WHEN c.series_id IS NULL THEN 'not in catalog'
+WHEN value < lo THEN 'below minimum' WHEN value > hi THEN 'above maximum' END AS reason,
+coalesce(r.obs_date > last_date AND abs(value - last_value) > step, false) AS flagged
+FROM r LEFT JOIN c USING (series_id) LEFT JOIN n USING (series_id, dims_key)""")
+def validate(spark, d):
+    r = merge.dedupe_last(_points(spark, d), merge.POINT, "seq")
+    catalog = r.filter("series_id <> '5-LOW'").groupBy("series_id").agg((F.min("value") * 2).alias("min_value"), (F.max("value") * 0.9).alias("max_value"), F.lit(100000.0).alias("max_step"))
+    newest = r.filter("obs_date < DATE '2000-01-01'").groupBy("series_id", "dims_key").agg(F.max("obs_date").alias("last_date"), F.max_by("value", "obs_date").alias("last_value"))
+    return merge.validate(r, catalog, newest, F.lit("2001-06-01").cast("date"))
+
+
+@query(f"""WITH s AS {_last('WHERE o_orderkey % 3 <> 0')}, i AS {_last('WHERE o_orderkey % 3 <> 1')}
+SELECT * FROM s UNION ALL SELECT * FROM i WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.series_id = i.series_id AND s.obs_date = i.obs_date AND s.dims_key = i.dims_key)""")
+def insert_only(spark, d):
+    p = _points(spark, d)
+    return merge.insert_only(merge.dedupe_last(p.filter("seq % 3 <> 0"), merge.POINT, "seq"), merge.dedupe_last(p.filter("seq % 3 <> 1"), merge.POINT, "seq"), merge.POINT)
+
+
+@query(f"""WITH s AS (SELECT {_POINT}, o_totalprice AS value, o_orderkey AS seq FROM orders), i AS (SELECT * FROM s WHERE month(obs_date) = 3), p AS (SELECT DISTINCT series_id, obs_date FROM i)
+SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.series_id = s.series_id AND p.obs_date = s.obs_date) UNION ALL SELECT series_id, obs_date, dims_key, value + 1, seq FROM i""")
+def replace_partition(spark, d):
+    p = _points(spark, d)
+    return merge.replace_partition(p, p.filter(F.month("obs_date") == 3).withColumn("value", F.col("value") + 1), ["series_id", "obs_date"])
+
+
+@query(f"""WITH r AS {_last()} SELECT series_id, -50 * max(abs(value)) AS min_value, 50 * max(abs(value)) AS max_value FROM r GROUP BY 1 HAVING count(value) >= 8""")
+def learn_bounds(spark, d):
+    return merge.learn_bounds(merge.dedupe_last(_points(spark, d), merge.POINT, "seq"))
+
+
+@query(f"""WITH a AS (SELECT {_POINT}, o_totalprice AS value, o_orderkey AS seq FROM orders),
+c AS (SELECT *, TIMESTAMP '1996-01-01' + to_days(CAST(seq % 3000 AS INTEGER)) AS revised_at FROM {_last()}),
+v AS (SELECT a.*, TIMESTAMP '1996-01-01' + to_days(CAST((a.seq * 7) % 3000 AS INTEGER)) AS superseded_at FROM a),
+r AS (SELECT series_id, obs_date, dims_key, min(superseded_at) AS first_cut, arg_min(value, superseded_at) FILTER (superseded_at >= TIMESTAMP '2000-01-02') AS was,
+  bool_or(superseded_at >= TIMESTAMP '2000-01-02') AS later FROM v GROUP BY 1, 2, 3)
+SELECT c.series_id, c.obs_date, c.dims_key, CASE WHEN later THEN was ELSE value END AS known_value FROM c LEFT JOIN r USING (series_id, obs_date, dims_key)
+WHERE least(revised_at, coalesce(first_cut, revised_at)) < TIMESTAMP '2000-01-02'""")
+def known_asof(spark, d):
+    p = _points(spark, d)
+    at = lambda n: F.date_add(F.lit("1996-01-01").cast("date"), (n % 3000).cast("int")).cast("timestamp")
+    obs = merge.dedupe_last(p, merge.POINT, "seq").withColumn("revised_at", at(F.col("seq"))).drop("seq")
+    return merge.known_asof(obs, p.withColumn("superseded_at", at(F.col("seq") * 7)), F.lit("2000-01-01").cast("date"))
+
+
+@query(f"""WITH a AS {_last('WHERE o_orderkey % 5 <> 0')}, b AS (SELECT * REPLACE (CASE WHEN seq % 7 = 0 THEN value * 1.01 ELSE value END AS value) FROM {_last('WHERE o_orderkey % 5 <> 1')})
+SELECT coalesce(a.series_id, b.series_id) AS series_id, coalesce(a.obs_date, b.obs_date) AS obs_date, coalesce(a.dims_key, b.dims_key) AS dims_key, round(a.value, 6) AS ours, round(b.value, 6) AS theirs,
+CASE WHEN a.seq IS NULL THEN 'missing_ours' WHEN b.seq IS NULL THEN 'missing_source' WHEN abs(a.value - b.value) <= 1e-6 * greatest(abs(a.value), abs(b.value)) THEN 'matched' ELSE 'value' END AS kind
+FROM a FULL OUTER JOIN b ON a.series_id = b.series_id AND a.obs_date = b.obs_date AND a.dims_key = b.dims_key""")
+def compare_points(spark, d):
+    p = _points(spark, d)
+    ours = merge.dedupe_last(p.filter("seq % 5 <> 0"), merge.POINT, "seq")
+    theirs = merge.dedupe_last(p.filter("seq % 5 <> 1"), merge.POINT, "seq").withColumn("value", F.when(F.col("seq") % 7 == 0, F.col("value") * 1.01).otherwise(F.col("value")))
+    return rounded(merge.compare_points(ours, theirs, merge.POINT), "ours", "theirs")
+
+
+@query(f"""WITH {A.PRICES}, b AS (SELECT city, item, value AS base FROM prices WHERE week = (SELECT min(week) FROM prices) AND value > 0)
+SELECT city, week, round(avg(value / base) * 100, 2) AS cost_index, count(*) AS n_items FROM prices JOIN b USING (city, item) GROUP BY 1, 2 HAVING count(*) >= 1""")
+def city_cost_index(spark, d):
+    return facts.city_cost_index(A.prices(spark, d), 1)
+
+
+_OFFS = ", ".join(f"({i}, {o})" for i, o in enumerate(facts.OFFSETS))
+
+
+@query(f"""WITH {A.PRICES}, o(rk, days) AS (VALUES {_OFFS}), p AS (SELECT item, city, week AS obs_date, value FROM prices WHERE value > 0),
+j AS (SELECT a.item, a.city, a.obs_date, a.value, arg_min(b.value, rk) AS past FROM p a, o, p b WHERE a.item = b.item AND a.city = b.city AND b.obs_date = a.obs_date - CAST(days AS INTEGER) GROUP BY 1, 2, 3, 6)
+SELECT city, obs_date, round((exp(avg(ln(value / past))) - 1) * 100, 6) AS yoy_pct, count(*) AS n_items FROM j GROUP BY 1, 2 HAVING count(*) >= 2""")
+def jevons_yoy(spark, d):
+    return rounded(facts.jevons_yoy(A.prices(spark, d).withColumnRenamed("week", "obs_date"), 2), "yoy_pct")
+
+
+@query(f"""WITH {A.PRICES}, m AS (SELECT item, week, median(value) AS mid, count(value) AS cities FROM prices GROUP BY 1, 2)
+SELECT item, week, round(avg(value), 6) AS value, count(value) AS n_cities FROM prices JOIN m USING (item, week) WHERE cities < 5 OR value BETWEEN 0.3 * mid AND 3 * mid GROUP BY 1, 2""")
+def national_mean(spark, d):
+    return rounded(facts.national_mean(A.prices(spark, d)), "value")
+
+
+@query(f"""WITH {A.NAVS}, w AS (SELECT *, obs_date + CAST((12 - isodow(obs_date)) % 7 AS INTEGER) AS week FROM navs),
+l AS (SELECT fund_id, week, arg_max(nav, obs_date) AS v, max(obs_date) AS od FROM w GROUP BY 1, 2)
+SELECT week, max(od) AS obs_date, round(median(v), 6) AS median_value, count(*) AS n FROM l GROUP BY 1 HAVING count(*) >= 5""")
+def weekly_median(spark, d):
+    v = A.navs(spark, d).select(F.col("fund_id").alias("entity"), "obs_date", F.col("nav").alias("value"), F.date_add("obs_date", F.pmod(F.lit(4) - F.weekday("obs_date"), F.lit(7)).cast("int")).alias("week"))
+    return rounded(facts.weekly_median(v), "median_value")
+
+
+HORIZONS = {"1m": 30, "3m": 91, "6m": 182, "1y": 365}
+
+
+@query(f"""WITH {A.NAVS}, l AS (SELECT fund_id, max(obs_date) AS last_date, arg_max(nav, obs_date) AS last_nav FROM navs GROUP BY 1)
+SELECT fund_id, last_date, """ + ", ".join(f"round((last_nav / (arg_max(nav, obs_date) FILTER (obs_date <= last_date - {n})) - 1) * 100, 2) AS ret_{k}" for k, n in HORIZONS.items()) + " FROM navs JOIN l USING (fund_id) GROUP BY fund_id, last_date, last_nav")
+def fund_returns(spark, d):
+    return facts.fund_returns(A.navs(spark, d), HORIZONS)
+
+
+@query(f"WITH {A.NAVS}, p AS (SELECT *, max(nav) OVER (PARTITION BY fund_id ORDER BY obs_date) AS peak FROM navs WHERE nav > 0) SELECT fund_id, round(min(nav / peak - 1) * 100, 4) AS max_drawdown_pct FROM p GROUP BY 1")
+def fund_drawdown(spark, d):
+    return facts.fund_drawdown(A.navs(spark, d))
+
+
+@query(f"""WITH {A.NAVS}, e AS (SELECT fund_id, last_day(obs_date) AS mon, arg_max(nav, obs_date) AS nav FROM navs GROUP BY 1, 2),
+r AS (SELECT fund_id, nav / lag(nav) OVER (PARTITION BY fund_id ORDER BY mon) - 1 AS r FROM e)
+SELECT fund_id, count(r) AS n, round(stddev_samp(r) * sqrt(12) * 100, 4) AS volatility_pct FROM r GROUP BY 1 HAVING count(r) >= 6""")
+def fund_volatility(spark, d):
+    return facts.fund_volatility(A.navs(spark, d))
+
+
+@query(f"""WITH {A.CALLS} SELECT port, day, coalesce(direction, 'all') AS direction, coalesce(commodity, 'total') AS commodity, round(sum(tonnes), 2) AS tonnes, count(DISTINCT vessel) AS ships
+FROM calls GROUP BY GROUPING SETS ((port, day), (port, day, direction), (port, day, commodity), (port, day, direction, commodity))""")
+def port_day_series(spark, d):
+    return rounded(facts.port_day_series(A.calls(spark, d)), "tonnes", digits=2)
+
+
+@query(f"""WITH {A.LOG} SELECT day, route, status // 100 AS status_class, count(*) AS n, round(quantile_cont(ms, 0.5), 6) AS p50, round(quantile_cont(ms, 0.95), 6) AS p95, count(DISTINCT user_id) AS visitors FROM log GROUP BY 1, 2, 3""")
+def usage_rollup(spark, d):
+    return rounded(facts.usage_rollup(A.request_log(spark, d)), "p50", "p95")
+
+
+@query(f"""WITH {A.LOG}, u AS (SELECT 'route' AS dim, route AS val FROM log UNION ALL SELECT 'user_id', user_id FROM log UNION ALL SELECT 'subject', subject FROM log),
+c AS (SELECT dim, val, count(*) AS n FROM u WHERE val IS NOT NULL GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY dim ORDER BY n DESC, val) AS place FROM c) SELECT * FROM r WHERE place <= 50""")
+def top_values(spark, d):
+    return facts.top_values(A.request_log(spark, d), ["route", "user_id", "subject"], 50)
+
+
+_CODES = """codes AS (SELECT 2024 AS fy, lpad(CAST(p_partkey * 37 % 100000000 AS VARCHAR), 8, '0') AS code FROM part),
+entries AS (SELECT CAST(s_suppkey AS BIGINT) AS entry, 2024 AS fy, substring(lpad(CAST(s_suppkey * 3700 % 100000000 AS VARCHAR), 8, '0'), 1, CAST(4 + 2 * (s_suppkey % 3) AS INTEGER)) AS printed FROM supplier)"""
+
+
+def _codes(spark, d):
+    codes = read_table(spark, d, "part").select(F.lit(2024).alias("fy"), F.lpad((F.col("p_partkey") * 37 % 100000000).cast("string"), 8, "0").alias("code"))
+    s = read_table(spark, d, "supplier")
+    text = F.lpad((F.col("s_suppkey") * 3700 % 100000000).cast("string"), 8, "0")
+    return s.select(F.col("s_suppkey").alias("entry"), F.lit(2024).alias("fy"), F.substring(text, F.lit(1), (4 + 2 * (F.col("s_suppkey") % 3)).cast("int")).alias("printed")), codes
+
+
+@query(f"WITH {_CODES} SELECT entry, e.fy, printed, code FROM entries e JOIN codes c ON e.fy = c.fy AND starts_with(c.code, e.printed)")
+def expand_printed_codes(spark, d):
+    return facts.expand_printed_codes(*_codes(spark, d))
+
+
+@query(f"""WITH {_CODES}, m AS (SELECT entry, e.fy, printed, code, row_number() OVER (PARTITION BY e.fy, code ORDER BY length(printed) DESC, entry) AS rn FROM entries e JOIN codes c ON e.fy = c.fy AND starts_with(c.code, e.printed))
+SELECT entry, fy, printed, code FROM m WHERE rn = 1""")
+def most_specific_prefix(spark, d):
+    return facts.most_specific_prefix(facts.expand_printed_codes(*_codes(spark, d)))
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)

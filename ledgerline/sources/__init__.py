@@ -1 +1 @@
-
+"""Readers of the library's inputs."""
