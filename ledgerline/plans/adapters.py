@@ -27,7 +27,7 @@ NAVS = """navs AS (
   SELECT o_custkey % 50 AS fund_id, CAST(o_orderdate AS DATE) AS obs_date, avg(o_totalprice) AS nav FROM orders GROUP BY 1, 2)"""
 PRICES = """prices AS (
   SELECT p_type AS item, n_name AS city,
-         CAST(l_shipdate AS DATE) + CAST((12 - isodow(l_shipdate)) % 7 AS INTEGER) AS week, avg(l_extendedprice) AS value
+         CAST(l_shipdate AS DATE) + CAST((12 - isodow(l_shipdate)) % 7 AS INTEGER) AS week, round(sum(l_extendedprice), 2) AS value
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
   GROUP BY 1, 2, 3)"""
 CALLS = """calls AS (
@@ -67,7 +67,7 @@ def prices(spark: SparkSession, d: str) -> DataFrame:
     line, part, supplier, nation = (read_table(spark, d, t) for t in ("lineitem", "part", "supplier", "nation"))
     j = line.join(part, F.col("l_partkey") == F.col("p_partkey")).join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     week = F.date_add(F.to_date("l_shipdate"), F.pmod(F.lit(4) - F.weekday("l_shipdate"), F.lit(7)).cast("int"))
-    return j.groupBy(F.col("p_type").alias("item"), F.col("n_name").alias("city"), week.alias("week")).agg(F.avg("l_extendedprice").alias("value"))
+    return j.groupBy(F.col("p_type").alias("item"), F.col("n_name").alias("city"), week.alias("week")).agg(F.round(F.sum("l_extendedprice"), 2).alias("value"))
 
 
 def calls(spark: SparkSession, d: str) -> DataFrame:

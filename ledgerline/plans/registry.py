@@ -139,7 +139,7 @@ def nearest_prior(spark, d):
 
 
 @query("""WITH s AS (SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS obs_date, min(o_totalprice) AS value, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS p
-FROM orders GROUP BY 1, 2, 6), r AS (SELECT *, row_number() OVER (PARTITION BY k, obs_date ORDER BY p) AS rn FROM s)
+FROM orders GROUP BY 1, 2, 4), r AS (SELECT *, row_number() OVER (PARTITION BY k, obs_date ORDER BY p) AS rn FROM s)
 SELECT k, obs_date, round(value, 6) AS value, CAST(p AS INTEGER) AS source_no FROM r WHERE rn = 1""")
 def splice(spark, d):
     o = read_table(spark, d, "orders").select(F.col("o_custkey").alias("k"), F.to_date("o_orderdate").alias("obs_date"), F.col("o_totalprice").alias("value"), "o_orderstatus")
@@ -286,7 +286,7 @@ _OFFS = ", ".join(f"({i}, {o})" for i, o in enumerate(facts.OFFSETS))
 
 
 @query(f"""WITH {A.PRICES}, o(rk, days) AS (VALUES {_OFFS}), p AS (SELECT item, city, week AS obs_date, value FROM prices WHERE value > 0),
-j AS (SELECT a.item, a.city, a.obs_date, a.value, arg_min(b.value, rk) AS past FROM p a, o, p b WHERE a.item = b.item AND a.city = b.city AND b.obs_date = a.obs_date - CAST(days AS INTEGER) GROUP BY 1, 2, 3, 6)
+j AS (SELECT a.item, a.city, a.obs_date, a.value, arg_min(b.value, rk) AS past FROM p a, o, p b WHERE a.item = b.item AND a.city = b.city AND b.obs_date = a.obs_date - CAST(days AS INTEGER) GROUP BY 1, 2, 3, 4)
 SELECT city, obs_date, round((exp(avg(ln(value / past))) - 1) * 100, 6) AS yoy_pct, count(*) AS n_items FROM j GROUP BY 1, 2 HAVING count(*) >= 2""")
 def jevons_yoy(spark, d):
     return rounded(facts.jevons_yoy(A.prices(spark, d).withColumnRenamed("week", "obs_date"), 2), "yoy_pct")
