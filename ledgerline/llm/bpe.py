@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import only_cache
+
 #: Fixed values of the vocabulary file's own pre-tokenizer: what is a word, and which white space is dropped.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 SPACE = regex.compile(r"\p{White_Space}+")
@@ -254,10 +256,15 @@ class WordEncoder:
                     yield b"".join(map(ids_of, pieces))
 
 
-@lru_cache(maxsize=4)
-def encoder(path: str) -> WordEncoder:
-    """One encoder for each worker process and vocabulary file."""
-    return WordEncoder(path)
+@lru_cache(maxsize=1)
+def _encoder(path: str, most_kept: int) -> WordEncoder:
+    return WordEncoder(path, most_kept)
+
+
+def encoder(path: str, most_kept: int = 600_000) -> WordEncoder:
+    """One encoder for each worker process."""
+    only_cache("bpe", _encoder.cache_clear)
+    return _encoder(path, most_kept)
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

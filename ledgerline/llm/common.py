@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,3 +45,20 @@ def join_sized(left: DataFrame, right: DataFrame, on: list[str], how: str, most_
 def held_out(doc_id: Column) -> Column:
     """The fold that no model may learn from: crc32 of the id as text, modulo 3, is 1 (a null id counts as empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
+
+
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def only_cache(name: str, clear: Callable[[], None]) -> None:
+    """A worker process outlives its tasks, and so do the look-up tables of the operators it ran. Called where a task
+    begins: the tables of other operators are emptied, so that at most one operator's bounded tables are held at a time."""
+    others = [k for k in _KEPT if k != name]
+    for k in others:
+        _KEPT.pop(k)()
+    if others:
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+    _KEPT[name] = clear

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import stored
+from ledgerline.llm.common import only_cache, stored
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 _WORDS: dict[str, int] = {}
@@ -136,6 +136,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         return pd.DataFrame(out, columns=[c.split()[0] for c in WITH_ENDS.split(", ")]).astype({"doc_id": "Int64", "n_chars": "Int64", "part": "Int32"})
 
     def run(batches):
+        only_cache("minhash", _WORDS.clear)
         part, first, past = TaskContext.get().partitionId(), None, None
         for pdf in batches:
             out = []

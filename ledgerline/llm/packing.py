@@ -105,18 +105,19 @@ def last_cuts(total: int, size: int) -> list[tuple[int, int]]:
     return out
 
 
-def pack(docs: DataFrame, path: str, size: int = 4096, open_windows: int = 64, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, path: str, size: int = 4096, open_windows: int = 64, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", most_kept: int = 600_000) -> DataFrame:
     """docs -> one row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document is its whole text's ids and then end_id; a null or empty text is end_id alone. Every id lies in exactly one
     piece, pieces of a sequence follow each other from offset 0 without a gap, and every sequence has `size` ids except
     the very last ones, whose lengths are powers of two. Repeated rows are packed as often as they are given; a null id
-    stays null; other columns are ignored; no rows give no rows. No window, document or leftover is dropped.
+    stays null; other columns are ignored; no rows give no rows. No window, document or leftover is dropped. most_kept
+    bounds the encoder's table of known words, which only saves work.
     """
     end = end_id.to_bytes(4, "little")
 
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(path, most_kept)
         windows = Windows(TaskContext.get().partitionId(), size, open_windows)
         for pdf in batches:
             ids = [None if pd.isna(i) else int(i) for i in pdf["doc_id"]]

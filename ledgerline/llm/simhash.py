@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import checkpoint
+from ledgerline.llm.common import checkpoint, only_cache
 from ledgerline.llm.components import components
 
 FAN = 8
@@ -47,6 +47,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, fp): fp is the fingerprint's bits as a signed long."""
 
     def run(batches):
+        only_cache("simhash", lambda: None)
         for pdf in batches:
             yield pd.DataFrame({"id": pdf["id"], "fp": np.array([fingerprint(t) for t in pdf["text"]], np.uint64).astype(np.int64)})
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import stored
+from ledgerline.llm.common import only_cache, stored
 from ledgerline.llm.minhash import mix
 
 GRAM = 24
@@ -100,6 +100,7 @@ def _marks(batches, length: int):
     the count, 1 for the others, which need no counting and are spread by salt. For whole texts id is the least of the
     batch in rows with 0 or 2.
     """
+    only_cache("suffixes", lambda: None)
     for pdf in batches:
         cols: list[list[np.ndarray]] = [[] for _ in range(7)]
         for doc, text, th in zip(pdf["id"], pdf["text"], pdf["th"], strict=True):

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import checkpoint, held_out
+from ledgerline.llm.common import checkpoint, held_out, only_cache
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -35,7 +35,7 @@ def words_of(text: str | None) -> set[str]:
 class Model:
     """Weights by feature; most_kept bounds the table of words already looked up."""
 
-    def __init__(self, features: list[str], weights: np.ndarray, bias: float, most_kept: int = 400_000):
+    def __init__(self, features: list[str], weights: np.ndarray, bias: float, most_kept: int = 150_000):
         self.index = {f: i for i, f in enumerate(features)}
         self.weights, self.bias, self.most_kept = weights.tolist(), float(bias), most_kept
         self.words: dict[str, tuple[int, ...]] = {}
@@ -101,11 +101,12 @@ def train(docs: DataFrame, labels: DataFrame, most_positive: int = 4000, most_un
     texts = checkpoint(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id").select("kind", "text"))
 
     def count(batches):
+        only_cache("toxicity", lambda: None)
         counts = (Counter(), Counter())
         for pdf in batches:
             for kind, text in zip(pdf["kind"], pdf["text"], strict=True):
                 counts[kind].update(set().union(*map(grams, words_of(text))))
-            if len(counts[0]) + len(counts[1]) > 500_000:
+            if len(counts[0]) + len(counts[1]) > 150_000:
                 yield table(counts)
                 counts = (Counter(), Counter())
         yield table(counts)
@@ -148,6 +149,7 @@ def score(docs: DataFrame, model: Model, cutoff: float = 0.7, id_col: str = "doc
 
     @F.pandas_udf("double")
     def scores(text: pd.Series) -> pd.Series:
+        only_cache("toxicity", shared.value.words.clear)
         return pd.Series([float(shared.value.score(t)) for t in text], dtype="float64")
 
     return docs.select(*names, scores(F.col(text_col)).alias("score")).withColumn("predicted", (F.col("score") >= cutoff).cast("int"))
