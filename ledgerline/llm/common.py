@@ -7,7 +7,9 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,18 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = 1000):
+    """Rows of whole texts go to Python so many at a time at most, in what runs inside; the session's setting comes back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows) if int(before) <= 0 else str(min(rows, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def join_sized(left: DataFrame, right: DataFrame, on: list[str], how: str, most_rows: int) -> DataFrame:
     """Join with a counted right side: broadcast up to most_rows rows, else shuffled (and split by AQE where skewed)."""
     return left.join(F.broadcast(right) if right.count() <= most_rows else right, on, how)
@@ -58,6 +72,7 @@ def only_cache(name: str, clear: Callable[[], None]) -> None:
         _KEPT.pop(k)()
     if others:
         gc.collect()
+        pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
         if trim is not None:
             trim(0)

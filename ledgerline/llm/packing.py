@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.bpe import encoder, vocabulary
-from ledgerline.llm.common import stored
+from ledgerline.llm.common import short_batches, stored
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 LEFT = f"{PIECES}, part int, at long, ids binary"
@@ -129,7 +129,8 @@ def pack(docs: DataFrame, path: str, size: int = 4096, open_windows: int = 64, e
         if windows.rows:
             yield windows.take()
 
-    rows = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInPandas(run, LEFT))
+    with short_batches(docs.sparkSession):
+        rows = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInPandas(run, LEFT))
     left = rows.filter(F.col("sequence_id").isNull())
     bases, total = {}, 0
     for part, n in sorted(left.groupBy("part").agg(F.sum("length")).collect()):
