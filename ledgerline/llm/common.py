@@ -64,6 +64,15 @@ def held_out(doc_id: Column) -> Column:
 _KEPT: dict[str, Callable[[], None]] = {}
 
 
+def give_back() -> None:
+    """Return what this worker has freed to the system; otherwise an idle worker keeps its largest task's memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def only_cache(name: str, clear: Callable[[], None]) -> None:
     """A worker process outlives its tasks, and so do the look-up tables of the operators it ran. Called where a task
     begins: the tables of other operators are emptied, so that at most one operator's bounded tables are held at a time."""
@@ -71,9 +80,5 @@ def only_cache(name: str, clear: Callable[[], None]) -> None:
     for k in others:
         _KEPT.pop(k)()
     if others:
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        give_back()
     _KEPT[name] = clear

@@ -23,8 +23,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ledgerline.llm.common import only_cache, stored
+from ledgerline.llm.common import give_back, only_cache, short_batches, stored
 from ledgerline.llm.minhash import mix
 
 GRAM = 24
@@ -356,17 +357,29 @@ def merged(spans) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def freeing(step):
+    """The step on a task's batches; what it freed goes back to the system where the task ends."""
+
+    def run(batches):
+        yield from step(batches)
+        give_back()
+
+    return run
+
+
 def repeated_spans(docs: DataFrame, length: int = 200, bucket_rows: int = 20_000) -> DataFrame:
     """docs (id long, th int, text string), one row per text with th a hash of it -> (id, th, begin, end): bytes under
     strings of `length` bytes that start anywhere else too. Spans of one text may overlap. A text with an exact copy is
     one span."""
-    marks = docs.mapInPandas(lambda it: _marks(it, length), MARKS)
+    marks = docs.mapInPandas(freeing(lambda it: _marks(it, length)), MARKS)
     dealt = marks.repartition("h", "h2", "salt").sortWithinPartitions("whole", "h", "h2", "id", "lo")
-    kept = stored(dealt.mapInPandas(_repeated, KEPT))
+    with short_batches(docs.sparkSession, 4000):
+        kept = stored(dealt.mapInPandas(freeing(_repeated), KEPT))
     by_doc = kept.groupBy("id", "th").agg(F.collect_list(F.struct("h", "lo", "n", "copy")).alias("marks"))
-    contexts = docs.join(by_doc, ["id", "th"]).mapInPandas(lambda it: _contexts(it, length), CONTEXT)
+    contexts = docs.join(by_doc, ["id", "th"]).mapInPandas(freeing(lambda it: _contexts(it, length)), CONTEXT)
     whole = kept.filter("copy > 0").select("id", "th", F.lit(0).cast("long").alias("begin"), F.col("n").cast("long").alias("end"))
-    found = stored(contexts.repartition("h", "salt").sortWithinPartitions("h").mapInPandas(lambda it: _refined(it, length, bucket_rows), SPANS))
+    with short_batches(docs.sparkSession):
+        found = stored(contexts.repartition("h", "salt").sortWithinPartitions("h").mapInPandas(freeing(lambda it: _refined(it, length, bucket_rows)), SPANS))
     spans = found.filter("ctx is null").select("id", "th", "begin", "end").unionByName(whole)
     large = found.filter("ctx is not null")
     if large.isEmpty():
@@ -376,6 +389,17 @@ def repeated_spans(docs: DataFrame, length: int = 200, bucket_rows: int = 20_000
     return spans.unionByName(windows.join(twice, ["w1", "w2"]).select("id", "th", F.col("at").alias("begin"), (F.col("at") + length).alias("end")))
 
 
+def joined_runs(spans: DataFrame) -> DataFrame:
+    """(id, th, begin, end) -> one row for each (id, th) with _spans, its spans in order, overlapping and touching ones as one."""
+    order = Window.partitionBy("id", "th").orderBy("begin")
+    past = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    longest = spans.groupBy("id", "th", "begin").agg(F.max("end").alias("end"))
+    fresh = longest.withColumn("fresh", F.when(F.col("begin") <= past, 0).otherwise(1))
+    runs = fresh.withColumn("run", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    wide = runs.groupBy("id", "th", "run").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
+    return wide.groupBy("id", "th").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("_spans"))
+
+
 def cut_spans(raw: bytes, spans) -> tuple[bytes, int]:
     """The bytes outside the spans, and how many maximal runs were cut."""
     runs = merged(spans)
@@ -383,39 +407,40 @@ def cut_spans(raw: bytes, spans) -> tuple[bytes, int]:
     return b"".join(raw[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2)), len(runs)
 
 
-def deduplicate(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = 20_000, most_broadcast: int = 500_000) -> DataFrame:
+def deduplicate(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = 20_000, most_broadcast: int = 500_000, with_text: bool = False) -> DataFrame:
     """docs -> all its columns and `kept` binary (the bytes that stay), `n_bytes`, `n_removed`, `n_spans`.
 
     Each byte of a text (UTF-8; null counts as empty) under a string of `length` bytes that also starts elsewhere, in the
     same or another row, goes; strings are judged on the input and never cross rows. Texts shorter than `length` stay.
     Repeated rows are copies of each other. Rows with a null id are told apart by their text. No rows: none. Columns with
-    these names, or named _id, _th or _spans, are replaced.
+    these names, or named _id, _th, _spans, _bytes, _all or _cut, are replaced. with_text adds `kept_text`, the kept bytes
+    as a string without what is left of a character that was cut in two.
     """
-    names = [c for c in docs.columns if c not in ("kept", "n_bytes", "n_removed", "n_spans", "_id", "_th", "_spans")]
+    names = [c for c in docs.columns if c not in ("kept", "kept_text", "n_bytes", "n_removed", "n_spans", "_id", "_th", "_spans", "_bytes", "_all", "_cut")]
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(*names, F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("_id"), F.hash(text).alias("_th"))
     spans = repeated_spans(keyed.select(F.col("_id").alias("id"), F.col("_th").alias("th"), text.alias("text")), length, bucket_rows)
 
-    @F.pandas_udf("array<struct<begin:long,end:long>>")
-    def one(spans: pd.Series) -> pd.Series:
-        return spans.map(lambda s: [{"begin": a, "end": b} for a, b in merged((x["begin"], x["end"]) for x in s)])
-
-    gathered = spans.groupBy(F.col("id").alias("_id"), F.col("th").alias("_th")).agg(F.collect_set(F.struct("begin", "end")).alias("s"))
-    found = stored(gathered.select("_id", "_th", one("s").alias("_spans")))
+    found = stored(joined_runs(spans).select(F.col("id").alias("_id"), F.col("th").alias("_th"), "_spans"))
     few = (found.agg(F.sum(F.size("_spans") + 1)).first()[0] or 0) <= most_broadcast
     joined = keyed.join(F.broadcast(found) if few else found, ["_id", "_th"], "left")
 
-    @F.pandas_udf("kept binary, n_bytes long, n_spans long")
+    @F.pandas_udf("kept binary, kept_text string, n_spans long")
     def cut(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
         out = []
         for t, s in zip(text, spans, strict=True):
-            raw = (t or "").encode("utf-8", "surrogatepass")
-            kept, runs = cut_spans(raw, [(x["begin"], x["end"]) for x in s]) if s is not None else (raw, 0)
-            out.append((kept, len(raw), runs))
-        return pd.DataFrame(out, columns=["kept", "n_bytes", "n_spans"])
-
-    done = joined.select(*names, cut(F.col(text_col), F.col("_spans")).alias("_cut"))
-    return done.select(*names, "_cut.kept", "_cut.n_bytes", (F.col("_cut.n_bytes") - F.octet_length("_cut.kept")).alias("n_removed"), "_cut.n_spans")
+            if s is None or not len(s):
+                out.append((None, None, 0))
+                continue
+            kept, runs = cut_spans((t or "").encode("utf-8", "surrogatepass"), [(x["begin"], x["end"]) for x in s])
+            out.append((kept, kept.decode("utf-8", "ignore") if with_text else None, runs))
+        return pd.DataFrame(out, columns=["kept", "kept_text", "n_spans"])
+
+    source = F.coalesce(F.col(text_col), F.lit(""))
+    done = joined.select(*names, F.octet_length(source).cast("long").alias("_bytes"), source.alias("_all"), cut(F.col(text_col), F.col("_spans")).alias("_cut"))
+    kept = F.coalesce("_cut.kept", F.col("_all").cast("binary"))
+    text_too = [F.coalesce("_cut.kept_text", "_all").alias("kept_text")] if with_text else []
+    return done.select(*names, kept.alias("kept"), *text_too, F.col("_bytes").alias("n_bytes"), (F.col("_bytes") - F.octet_length(kept)).alias("n_removed"), "_cut.n_spans")
 
 
 def op10_suffix_dedup(spark, sf_dir: str) -> DataFrame:

@@ -215,3 +215,20 @@ def test_suffix_dedup_is_exact(spark, bucket_rows, monkeypatch):
         want.append((i or -1, len(raw), int(gone.sum()), int((gone[:-1] & ~np.r_[False, gone[:-2]]).sum()) if raw else 0, kept))
     got = [(r.doc_id or -1, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffixes.deduplicate(docs(spark, rows), bucket_rows=bucket_rows).collect()]
     assert sorted(got) == sorted(want)
+
+
+def test_suffix_kept_text_drops_half_characters(spark):
+    same = "ж" * 150
+    rows = [(1, "é" + same + "ab"), (2, "ĩ" + same + "cd"), (3, None), (4, "")]  # é and ĩ end in one byte
+    got = {r.doc_id: r for r in suffixes.deduplicate(docs(spark, rows), with_text=True).collect()}
+    for i, text in rows:
+        raw = (text or "").encode()
+        assert bytes(got[i].kept).decode("utf-8", "ignore") == got[i].kept_text
+        assert got[i].n_bytes == len(raw) and got[i].n_removed == len(raw) - len(got[i].kept)
+    assert got[1].kept_text == "ab" and got[2].kept_text == "cd" and got[3].kept_text == got[4].kept_text == ""
+
+
+def test_joined_runs_keeps_gaps(spark):
+    rows = [(1, 0, 5, 9), (1, 0, 5, 7), (1, 0, 9, 12), (1, 0, 14, 20), (1, 0, 2, 4), (2, 0, 0, 3)]
+    got = {r.id: [tuple(x) for x in r._spans] for r in suffixes.joined_runs(spark.createDataFrame(rows, "id long, th int, begin long, end long")).collect()}
+    assert got == {1: [(2, 4), (5, 12), (14, 20)], 2: [(0, 3)]}
