@@ -178,14 +178,14 @@ def spike_rate(spark, d):
     return rounded(series.spike_rate(series.neighbours(A.monthly(spark, d))), "value", "pv", "nv", "mad")
 
 
-_SLIP = """slip AS (SELECT series_id, dims_key, obs_date, value * CASE WHEN (day(obs_date) + month(obs_date)) % 7 = 0 THEN 1000 ELSE 1 END AS value FROM monthly)"""
+_SLIP = """slip AS (SELECT series_id, dims_key, obs_date, value * CASE WHEN (year(obs_date) + month(obs_date)) % 7 = 0 THEN 1000 ELSE 1 END AS value FROM monthly)"""
 
 
 @query(f"""WITH {A.MONTHLY}, {_SLIP}, near AS (SELECT *, lag(value) OVER w AS pv, lead(value) OVER w AS nv FROM slip WINDOW w AS (PARTITION BY series_id, dims_key ORDER BY obs_date)),
 f AS (SELECT *, pow(1000.0, round(log10(abs(value) / sqrt(abs(pv * nv))) / 3)) AS factor FROM near WHERE value <> 0 AND pv * value > 0 AND nv * value > 0 AND least(abs(pv), abs(nv)) >= 1 AND abs(pv / nv) BETWEEN 0.67 AND 1.5)
 {_OUT}, factor FROM f WHERE factor <> 1 AND abs(value / factor) BETWEEN 0.8 * least(abs(pv), abs(nv)) AND 1.25 * greatest(abs(pv), abs(nv))""")
 def scale_slips(spark, d):
-    m = A.monthly(spark, d).withColumn("value", F.col("value") * F.when((F.dayofmonth("obs_date") + F.month("obs_date")) % 7 == 0, 1000).otherwise(1))
+    m = A.monthly(spark, d).withColumn("value", F.col("value") * F.when((F.year("obs_date") + F.month("obs_date")) % 7 == 0, 1000).otherwise(1))
     return rounded(series.scale_slips(series.neighbours(m)), "value", "pv", "nv")
 
 
