@@ -152,7 +152,8 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         if past is not None:
             yield table([(past[0], None, None, None, None, None, None, part, first, past[1])])
 
-    done = stored(dealt.mapInPandas(run, WITH_ENDS))
+    packed = ["edited_sha256", "fingerprint", "edited_fingerprint"]  # as bytes, half of their digits, while on disk
+    done = stored(dealt.mapInPandas(run, WITH_ENDS).withColumns({c: F.unhex(c) for c in packed})).withColumns({c: F.lower(F.hex(c)) for c in packed})
     names = [c.split()[0] for c in OUT.split(", ")]
     ends = done.filter(F.col("part").isNotNull()).select("doc_id", "part", "head", "tail")
     order = sorted(r["part"] for r in ends.select("part").collect())  # one number for each range
