@@ -202,10 +202,16 @@ def _contexts(batches, length: int, rows: int = 20_000):
 
     out: list[list] = []
     for pdf in batches:
+        stood: set[tuple] = set()
         for doc, th, text, marks in zip(pdf["id"], pdf["th"], pdf["text"], pdf["marks"], strict=True):
-            raw = text.encode("utf-8", "surrogatepass")
-            if any(m["copy"] == 2 for m in marks):
+            copies = {m["copy"] for m in marks}
+            if 2 in copies and 1 not in copies:
                 continue
+            if 1 in copies:  # repeated rows share their marks; one of a batch brings the bytes
+                if (doc, th, text) in stood:
+                    continue
+                stood.add((doc, th, text))
+            raw = text.encode("utf-8", "surrogatepass")
             for m in marks:
                 if m["copy"] == 0:
                     out.append([m["h"], doc, th, m["lo"], m["n"], False, 0, raw[m["lo"] : m["lo"] + m["n"] - 1 + length]])
@@ -375,7 +381,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, bucket_rows: int = 20_000
     dealt = marks.repartition("h", "h2", "salt").sortWithinPartitions("whole", "h", "h2", "id", "lo")
     with short_batches(docs.sparkSession, 4000):
         kept = stored(dealt.mapInPandas(freeing(_repeated), KEPT))
-    by_doc = kept.groupBy("id", "th").agg(F.collect_list(F.struct("h", "lo", "n", "copy")).alias("marks"))
+    by_doc = kept.groupBy("id", "th").agg(F.collect_set(F.struct("h", "lo", "n", "copy")).alias("marks"))
     contexts = docs.join(by_doc, ["id", "th"]).mapInPandas(freeing(lambda it: _contexts(it, length)), CONTEXT)
     whole = kept.filter("copy > 0").select("id", "th", F.lit(0).cast("long").alias("begin"), F.col("n").cast("long").alias("end"))
     with short_batches(docs.sparkSession):

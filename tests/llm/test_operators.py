@@ -217,6 +217,16 @@ def test_suffix_dedup_is_exact(spark, bucket_rows, monkeypatch):
     assert sorted(got) == sorted(want)
 
 
+@pytest.mark.parametrize("again", [[(1, 1)], [(None, None)], [(1, 1), (2, 2)], [(1, 1, 1), (2,)]])
+def test_suffix_repeated_rows_still_meet_other_texts(spark, again):
+    shared = words(60, 80)
+    whole = words(61, 20) + shared + words(62, 20)
+    rows = [(i, whole) for group in again for i in group] + [(9, words(63, 20) + shared + words(64, 20)), (10, words(65, 90))]
+    got = {r.doc_id: r for r in suffixes.deduplicate(docs(spark, rows)).collect()}
+    assert got[9].n_spans == 1 and got[9].n_removed >= len(shared)
+    assert all(got[i].n_removed == len(whole) for group in again for i in group) and got[10].n_removed == 0
+
+
 def test_suffix_kept_text_drops_half_characters(spark):
     same = "ж" * 150
     rows = [(1, "é" + same + "ab"), (2, "ĩ" + same + "cd"), (3, None), (4, "")]  # é and ĩ end in one byte
