@@ -148,6 +148,17 @@ class LanguageModel:
             self.histories[order] = (h, np.stack([np.log(m.left_over(order, h)) for m in models], 1).astype(np.float32) if models else None)
         self.limits = np.full(len(self.langs), np.inf)
 
+    def set_limits(self, sums: dict[str, tuple[int, float, float]], least_rows: int = 20) -> None:
+        """sums: rows, sum and sum of squares of the entropies by language. A language with fewer than least_rows rows takes
+        mean and deviation of all languages together; no rows at all: no limits."""
+        all_ = tuple(sum(x) for x in zip(*sums.values(), strict=True)) if sums else (0, 0.0, 0.0)
+        for i, lang in enumerate(self.langs):
+            own = sums.get(lang, (0, 0.0, 0.0))
+            n, s, q = own if own[0] >= least_rows else all_
+            if n:
+                mean = s / n
+                self.limits[i] = max(mean + 6 * max(q / n - mean * mean, 0.0) ** 0.5, (mean + np.log(self.alphabet)) / 2)
+
     def log_probabilities(self, keys: np.ndarray, order: int = ORDER) -> np.ndarray:
         """One row per key, one column per language."""
         if order == 0:
@@ -193,13 +204,14 @@ class LanguageModel:
         return pd.DataFrame({"lang_pred": np.where(worded, np.array(self.langs, object)[best], "und"), "score": np.where(worded, 1 / odds.sum(1), 0.0), "entropy": np.where(worded, lowest, np.nan), "accepted": accepted})
 
 
-def train(docs: DataFrame, most_grams: int = 200_000, most_languages: int = 64, calibration_rows: int = 4000) -> LanguageModel:
+def train(docs: DataFrame, most_grams: int = 200_000, most_languages: int = 64) -> LanguageModel:
     """Count over all training documents (fold and non-null text and lang); keep for each of the most_languages most
     frequent languages its most_grams most frequent 4-grams, which bounds the model that workers get.
 
     A text of at least 40 characters is rejected if its lowest cross-entropy is above its language's limit: the larger of
-    mean + 6 standard deviations over at most calibration_rows training documents, drawn by hash, and the middle between
-    that mean and the entropy of characters drawn evenly from the alphabet.
+    mean + 6 standard deviations over all training documents of 60 characters or more that the model gives that language
+    (over all languages' where these are fewer than 20), and the middle between that mean and the entropy of characters
+    drawn evenly from the alphabet.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
@@ -214,14 +226,10 @@ def train(docs: DataFrame, most_grams: int = 200_000, most_languages: int = 64,
         order = np.argsort(keys)
         model[lang] = (keys[order], own["n"].to_numpy(np.int64)[order])
     model = LanguageModel(model)
-    drawn = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit("langid")), "doc_id").limit(calibration_rows).collect()
-    if drawn and model.langs:
-        ids = spark.createDataFrame(drawn, "doc_id long")  # bounded by calibration_rows
-        seen = identify(rows.join(F.broadcast(ids), "doc_id").select("doc_id", "text"), model).filter(F.length("text") >= 60).select("lang_pred", "entropy").toPandas()
-        for i, lang in enumerate(model.langs):
-            own = seen.loc[seen["lang_pred"] == lang, "entropy"].dropna().to_numpy()
-            if len(own) >= 20:
-                model.limits[i] = max(own.mean() + 6 * own.std(), (own.mean() + np.log(model.alphabet)) / 2)
+    if model.langs:
+        long_ = identify(rows.select("text"), model).filter((F.length("text") >= 60) & F.col("entropy").isNotNull())
+        sums = long_.groupBy("lang_pred").agg(F.count(F.lit(1)).alias("n"), F.sum("entropy").alias("s"), F.sum(F.col("entropy") * F.col("entropy")).alias("q")).collect()  # one row a language
+        model.set_limits({r["lang_pred"]: (r["n"], r["s"], r["q"]) for r in sums})
     return model
 
 

@@ -127,6 +127,19 @@ def test_langid_held_out(spark):
     assert langid.identify(df, langid.train(df.limit(0))).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_langid_rare_language_has_a_limit(spark):
+    r = random.Random(8)
+
+    def text(letters):
+        return " ".join("".join(r.choice(letters) for _ in range(r.randint(2, 8))) for _ in range(30))
+
+    rows = [(i, text("abcdefgh"), "xx") for i in range(5000)] + [(9000 + i, text("рстуфх"), "zz") for i in range(36)] + [(9900 + i, text("klmn"), "yy") for i in range(6)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.langs == ["xx", "yy", "zz"] and np.isfinite(model.limits).all()
+    own = model.entropies([t for _, t, lang in rows if lang == "zz"])[0][:, 2]
+    assert own.max() < model.limits[2] < np.log(model.alphabet)
+
+
 def test_packing_is_whole_and_tight(spark):
     from tokenizers import Tokenizer
 
