@@ -13,9 +13,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ledgerline.llm.common import held_out, only_cache
+from ledgerline.llm.common import held_out, only_cache, stored
 
 ORDER = 4
 CHUNK = 400_000
@@ -204,9 +203,10 @@ class LanguageModel:
         return pd.DataFrame({"lang_pred": np.where(worded, np.array(self.langs, object)[best], "und"), "score": np.where(worded, 1 / odds.sum(1), 0.0), "entropy": np.where(worded, lowest, np.nan), "accepted": accepted})
 
 
-def train(docs: DataFrame, most_grams: int = 200_000, most_languages: int = 64) -> LanguageModel:
-    """Count over all training documents (fold and non-null text and lang); keep for each of the most_languages most
-    frequent languages its most_grams most frequent 4-grams, which bounds the model that workers get.
+def train(docs: DataFrame) -> LanguageModel:
+    """Count over all training documents (fold and non-null text and lang). Every language and every 4-gram is in the model,
+    so counts of counts, totals and followers are those of all text. Its size is the number of different 4-grams times
+    that of languages; it does not grow with repeated text, but nothing bounds it either.
 
     A text of at least 40 characters is rejected if its lowest cross-entropy is above its language's limit: the larger of
     mean + 6 standard deviations over all training documents of 60 characters or more that the model gives that language
@@ -216,20 +216,18 @@ def train(docs: DataFrame, most_grams: int = 200_000, most_languages: int = 64)
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     counts = rows.select("lang", "text").mapInPandas(_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    w = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    top = counts.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= most_grams).select("lang", "gram", "n").toPandas()
-    sums = top.groupby("lang")["n"].sum().sort_values(ascending=False)
+    counts = stored(counts)
     model = {}
-    for lang in sorted(sums.index[:most_languages]):
-        own = top[top["lang"] == lang]
+    for lang in sorted(r["lang"] for r in counts.select("lang").distinct().collect()):
+        own = counts.filter(F.col("lang") == lang).select("gram", "n").toPandas()
         keys = own["gram"].to_numpy(np.int64).astype(np.uint64)
         order = np.argsort(keys)
         model[lang] = (keys[order], own["n"].to_numpy(np.int64)[order])
     model = LanguageModel(model)
     if model.langs:
-        long_ = identify(rows.select("text"), model).filter((F.length("text") >= 60) & F.col("entropy").isNotNull())
-        sums = long_.groupBy("lang_pred").agg(F.count(F.lit(1)).alias("n"), F.sum("entropy").alias("s"), F.sum(F.col("entropy") * F.col("entropy")).alias("q")).collect()  # one row a language
-        model.set_limits({r["lang_pred"]: (r["n"], r["s"], r["q"]) for r in sums})
+        long_ = identify(rows.filter(F.length("text") >= 60).select("text"), model)
+        sums = long_.groupBy("lang_pred").agg(F.count("entropy").alias("n"), F.sum("entropy").alias("s"), F.sum(F.col("entropy") * F.col("entropy")).alias("q")).collect()  # one row a language
+        model.set_limits({r["lang_pred"]: (r["n"], r["s"], r["q"]) for r in sums if r["n"]})
     return model
 
 
@@ -240,7 +238,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     carry no evidence. Ties go to the first language by name. Repeated rows get equal results; no training rows: all
     `und`; an empty table stays empty; columns of the four names are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by most_languages * most_grams
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # different grams times languages, whatever the rows
 
     @F.pandas_udf("lang_pred string, score double, entropy double, accepted boolean")
     def guess(text: pd.Series) -> pd.DataFrame:

@@ -140,6 +140,16 @@ def test_langid_rare_language_has_a_limit(spark):
     assert own.max() < model.limits[2] < np.log(model.alphabet)
 
 
+def test_langid_keeps_all_languages_and_grams(spark):
+    r = random.Random(9)
+    rows = [(3 * i + k, "".join(chr(0x4E00 + 20 * i + r.randrange(20)) for _ in range(60)), f"l{i:02d}") for i in range(72) for k in range(3)]
+    rows += [(1000 + i, "".join(chr(0x5800 + r.randrange(9000)) for _ in range(6000)), "wide") for i in range(60)]
+    learned = [(t, lang) for i, t, lang in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.langs == sorted({lang for _, lang in learned}) and len(model.langs) > 64
+    assert len(model.grams[4][0]) == len(np.unique(langid.keys_of([t for t, _ in learned])[0])) > 200_000
+
+
 def test_packing_is_whole_and_tight(spark):
     from tokenizers import Tokenizer
 
