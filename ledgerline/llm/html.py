@@ -31,6 +31,9 @@ NOISE_WORDS = set(
     "sidebar sidebars aside rail widget widgets related recommended recommendations trending popular notice notices notification alert cookie cookies consent gdpr disclaimer popup modal overlay "
     "newsletter subscribe subscription signup login form search searchbox share sharing social follow comment comments commentlist disqus respond reply replies discussion complementary contentinfo search".split()
 )
+#: Words that a noise name may have beside its noise words, and noise names that stay noise however much they hold.
+PLACE_WORDS = set("site main left right top bottom global primary secondary box block bar container wrapper wrap area section list item items inner link links icon icons post posts entry body".split())
+TALK_WORDS = set("comment comments commentlist disqus respond reply replies discussion".split())
 TAG = re.compile(r"<(?:!--.*?(?:-->|$)|!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|$)|[!?][^>]*(?:>|$)|(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|$))", re.S)
 ATTR = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 PART = re.compile(r"[A-Za-z]+")
@@ -41,10 +44,11 @@ PAGE = "page"
 
 
 class Node:
-    __slots__ = ("tag", "path", "noise", "parent", "text", "linked", "paragraphs", "commas", "sure")
+    __slots__ = ("tag", "path", "noise", "parent", "text", "linked", "paragraphs", "commas", "sure", "named", "plain", "full", "chain", "direct", "listed")
 
-    def __init__(self, tag: str, path: str, noise: bool, parent: Node | None, sure: bool):
-        self.tag, self.path, self.noise, self.parent, self.sure = tag, path, noise, parent, sure
+    def __init__(self, tag: str, path: str, noise: bool, parent: Node | None, sure: bool, named: int = 0):
+        self.tag, self.path, self.noise, self.parent, self.sure, self.named = tag, path, noise, parent, sure, named
+        self.plain = self.full = self.chain = self.direct = self.listed = 0
         self.text = self.linked = self.paragraphs = self.commas = 0
 
 
@@ -57,12 +61,19 @@ def _noisy(tag: str, attrs: dict[str, str]) -> bool:
         return True
     if tag in ("html", "body", "article", "main") or not attrs:
         return "hidden" in attrs
-    named = " ".join(attrs.get(k, "") for k in ("class", "id", "role"))
-    if named and not NOISE_WORDS.isdisjoint(w.lower() for w in PART.findall(CAMEL.sub(" ", named))):
-        return True
     return attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower()
 
 
+def _named(attrs: dict[str, str]) -> int:
+    """1 if a whole name in class, id or role is made of noise words, 2 if of words for comments, else 0."""
+    found = 0
+    for name in " ".join(attrs.get(k, "") for k in ("class", "id", "role")).split() if attrs else ():
+        words = {w.lower() for w in PART.findall(CAMEL.sub(" ", name))}
+        if not NOISE_WORDS.isdisjoint(words) and words <= NOISE_WORDS | PLACE_WORDS:
+            found = max(found, 1 if TALK_WORDS.isdisjoint(words) else 2)
+    return found
+
+
 def _general(tag: str, attrs: dict[str, str]) -> str:
     """One step of a path: the tag and its classes (or id), sorted, with digits taken out."""
     names = sorted({DIGITS.sub("#", c.lower()) for c in (attrs.get("class") or attrs.get("id") or "").split()})
@@ -122,7 +133,7 @@ def read(html: str):
                 yield "close", node, None
             del stack[until:]
         parent = stack[-1]
-        node = Node(name, f"{parent.path}/{_general(name, attrs)}" if name in CONTAINER or name == "html" else parent.path, parent.noise or _noisy(name, attrs), parent, name in ("article", "main") or attrs.get("role") == "main" or attrs.get("itemprop") == "articleBody")
+        node = Node(name, f"{parent.path}/{_general(name, attrs)}" if name in CONTAINER or name == "html" else parent.path, parent.noise or _noisy(name, attrs), parent, name in ("article", "main") or attrs.get("role") == "main" or attrs.get("itemprop") == "articleBody", 0 if name in ("html", "body") else _named(attrs))
         if name in VOID or m["attrs"].rstrip().endswith("/") and name not in BLOCK:
             if name == "hr":
                 yield "break", parent, None
@@ -140,17 +151,69 @@ def read(html: str):
         yield "close", node, None
 
 
+def settled(html: str | None) -> list:
+    """Events of a page, with noise decided. A noise name does not count on what holds the page's largest article or main,
+    on that itself, or, but for comments, on what holds more than half of the text outside links."""
+    events, links, total, largest = list(read(html or "")), 0, 0, None
+    for kind, node, text in events:
+        if kind == "open":
+            links += node.tag == "a"
+        elif kind == "close":
+            links -= node.tag == "a"
+            if node.parent is not None:
+                node.parent.plain += node.plain
+            if node.sure and not node.noise and node.named < 2 and (largest is None or node.plain > largest.plain):
+                largest = node
+        elif kind == "text" and not links and not node.noise:
+            n = len(text) - text.count(" ") if text.strip() else 0
+            node.plain += n
+            total += n
+    holds = set()
+    while largest is not None:
+        holds.add(id(largest))
+        largest = largest.parent
+    for kind, node, _ in events:
+        if kind == "open" and node.parent is not None and not node.noise:
+            by_name = node.named and node.tag not in ("article", "main") and id(node) not in holds and (node.named == 2 or 2 * node.plain <= total)
+            node.noise = node.parent.noise or bool(by_name)
+    return events
+
+
+def _climbed(node: Node) -> Node:
+    """The outermost container reached while the next one adds text outside noise, most of it outside links; body and page
+    add only what is in no other container."""
+    while not node.sure:
+        up = node.parent
+        while up is not None and up.tag not in CONTAINER and up.tag != PAGE:
+            up = up.parent
+        if up is None:
+            break
+        whole = up.tag not in ("body", PAGE)
+        added, linked = (up.full - node.full, up.chain - node.chain) if whole else (up.direct, up.listed)
+        if added <= 2 * linked:
+            break
+        node = up
+    return node
+
+
 def best_container(html: str | None) -> tuple[str, float] | None:
-    """The path and score of the container that holds most of the page's own text."""
+    """The path of the container that holds most of the page's own text, with the blocks beside it, and its score."""
     best, links = None, 0
-    for kind, node, text in read(html or ""):
+    for kind, node, text in settled(html):
         if kind == "text":
             if not node.noise:
                 n = len(text) - text.count(" ") if text.strip() else 0
                 node.text += n
                 node.commas += text.count(",") + text.count(".")
+                node.full += n
+                home = node
+                while home.parent is not None and home.tag not in CONTAINER:
+                    home = home.parent
+                home.direct += n
                 if links:
                     node.linked += n
+                    node.chain += n
+                    home.listed += n
         elif kind == "open":
             links += node.tag == "a"
         elif kind == "close":
@@ -160,17 +223,19 @@ def best_container(html: str | None) -> tuple[str, float] | None:
             if node.tag in CONTAINER and not node.noise and node.text:
                 own = (node.text - 1.5 * node.linked + 10 * node.paragraphs + 3 * node.commas) * (4.0 if node.sure else 1.0) * (0.5 if node.tag == "body" else 1.0)
                 if own > 0 and (best is None or own > best[1]):
-                    best = (node.path, own)
+                    best = (node, own)
                 # an outer container must hold clearly more than an inner one to be chosen instead
                 keep = 0.9
             else:
                 keep = 1.0
             if node.parent is not None:
+                node.parent.full += node.full
+                node.parent.chain += node.chain
                 node.parent.text += int(node.text * keep)
                 node.parent.linked += node.linked
                 node.parent.paragraphs += int(node.paragraphs * keep)
                 node.parent.commas += int(node.commas * keep)
-    return best
+    return (_climbed(best[0]).path, best[1]) if best else None
 
 
 def text_at(html: str | None, path: str | None) -> str | None:
@@ -184,7 +249,7 @@ def text_at(html: str | None, path: str | None) -> str | None:
                 blocks.append(" ".join(words))
             held.clear()
 
-    for kind, node, text in read(html or ""):
+    for kind, node, text in settled(html):
         if kind == "open":
             if node.path == path and (node.tag in CONTAINER or node.tag == PAGE) and not node.noise and not inside:
                 inside, found = id(node), True

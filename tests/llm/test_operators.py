@@ -94,6 +94,23 @@ def test_html_text_and_votes(spark):
     assert got[4] == got[5] == "" and got[6] == "plain & text" and got[7] == "ab"
 
 
+LONG = "".join(f"<p>{words(i, 30)}.</p>" for i in range(8))
+
+
+@pytest.mark.parametrize("name", ["layout has-sidebar", "with-toc", "no-ads", "page-search", "sidebar"])
+def test_html_layout_names_are_no_noise(name):
+    for page in (f'<body><div class="{name}"><article><h1>Head</h1>{LONG}</article></div>', f'<body><div class="{name}"><div class="x"><h1>Head</h1>{LONG}</div></div>'):
+        got = html.text_at(page, html.best_container(page)[0])
+        assert got.startswith("Head\n") and words(7, 30) in got
+
+
+def test_html_headline_and_lead_stay():
+    page = f'<body><div class="menu"><a href="/">Home</a></div><div class="post"><h1>Head</h1><p class="lead">Lead text.</p><div class="post-body">{LONG}</div><div class="more"><ul><li><a href="/a">Other one</a></ul></div></div><div class="site-footer">Foot</div>'
+    path = html.best_container(page)[0]
+    got = html.text_at(page, path)
+    assert path.endswith("div.post") and got.startswith("Head\nLead text.\n") and "Foot" not in got and "Home" not in got
+
+
 def test_toxicity_held_out(spark):
     r = random.Random(5)
     rows, labels = [], []
