@@ -37,7 +37,30 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(extra)) for b in range(256)]
 
 
-class WordEncoder:
+class Cutter:
+    """What the vocabulary file says of texts: special tokens, normalisation, and where white space cuts pieces."""
+
+    def __init__(self, spec: dict):
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.special_at = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+
+    def cut(self, text: str) -> list[str | int]:
+        """White-space-delimited pieces, normalised, and the ids of special tokens that the text spells out."""
+        if self.special_at is not None and any(s in text for s in self.special):
+            out: list[str | int] = []
+            for part in self.special_at.split(text):
+                out += [self.special[part]] if part in self.special else self.cut_plain(part)
+            return out
+        return self.cut_plain(text)
+
+    def cut_plain(self, text: str) -> list[str]:
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # each character alone in lower case
+        text = text.lower()
+        return SPACE.split(text) if ODD_SPACE.search(text) else text.split()
+
+
+class WordEncoder(Cutter):
     """Encodes words by the trie walk. most_kept bounds each of the two tables."""
 
     def __init__(self, path: str, most_kept: int = 600_000):
@@ -68,9 +91,8 @@ class WordEncoder:
             whole = vocab[self.text[left] + self.text[right]]
             self.merges[left, right] = (rank, whole)
             self.halves[whole] = (left, right, rank)
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        super().__init__(spec)
         self.text |= {i: t for t, i in self.special.items()}
-        self.special_at = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.valid: dict[int, bool] = {}
         self.borders: dict[tuple[int, bool], list[tuple[int, float]]] = {}
         self.fits: dict[tuple[int, int], bool] = {}
@@ -208,21 +230,6 @@ class WordEncoder:
             ids.reverse()
             known[word] = tuple(ids)
 
-    def cut(self, text: str) -> list[str | int]:
-        """White-space-delimited pieces, normalised, and the ids of special tokens that the text spells out."""
-        if self.special_at is not None and any(s in text for s in self.special):
-            out: list[str | int] = []
-            for part in self.special_at.split(text):
-                out += [self.special[part]] if part in self.special else self.cut_plain(part)
-            return out
-        return self.cut_plain(text)
-
-    def cut_plain(self, text: str) -> list[str]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # each character alone in lower case
-        text = text.lower()
-        return SPACE.split(text) if ODD_SPACE.search(text) else text.split()
-
     def learn(self, new: set[str | int], decode: bool) -> None:
         """Make these pieces known."""
         cut = {p: [str(p)] if isinstance(p, int) else WORD.findall(p) for p in new}

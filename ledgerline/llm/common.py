@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -15,11 +16,14 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or the checkpoint folder that was set on the context. Where both
+    are unset, a temporary one on a local master, where there is one machine only; on a cluster that is an error."""
     sc = spark.sparkContext
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where is None:
         known = sc._jsc.sc().getCheckpointDir()
+        if not known.isDefined() and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         where = known.get() if known.isDefined() else tempfile.mkdtemp(prefix="ledgerline-")
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(where)
@@ -52,7 +56,9 @@ def short_batches(spark: SparkSession, rows: int = 1000):
 
 
 def join_sized(left: DataFrame, right: DataFrame, on: list[str], how: str, most_rows: int) -> DataFrame:
-    """Join with a counted right side: broadcast up to most_rows rows, else shuffled (and split by AQE where skewed)."""
+    """Join with a counted right side: broadcast up to most_rows rows, else shuffled (and split by AQE where skewed). The right
+    side is checkpointed first, so that counting and joining do not compute it twice."""
+    right = checkpoint(right)
     return left.join(F.broadcast(right) if right.count() <= most_rows else right, on, how)
 
 

@@ -9,16 +9,21 @@ cut again at whole windows; the very last ones are cut at powers of two, where n
 
 from __future__ import annotations
 
+import json
 import zlib
+from array import array
 from bisect import bisect_left, insort
+from functools import lru_cache
+from itertools import filterfalse
 
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from ledgerline.llm.bpe import encoder, vocabulary
-from ledgerline.llm.common import short_batches, stored
+from ledgerline.llm.bpe import WORD, Cutter, byte_symbols, vocabulary
+from ledgerline.llm.common import only_cache, short_batches, stored
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 LEFT = f"{PIECES}, part int, at long, ids binary"
@@ -26,6 +31,71 @@ LEFT = f"{PIECES}, part int, at long, ids binary"
 MERGED_FROM = 1 << 62
 
 
+class LibraryEncoder(Cutter):
+    """Ids of whole texts by the tokenizers library's own model, asked once for each word while the word is known.
+
+    Known pieces and words stand in two tables each, the present one and the one before it: what is still met moves to the
+    present one, and when that has most_kept entries it becomes the one before. Frequent words so stay known, rare ones go.
+    """
+
+    def __init__(self, path: str, most_kept: int):
+        with open(path, encoding="utf-8") as f:
+            super().__init__(json.load(f))
+        self.model = Tokenizer.from_file(path).model
+        self.bytes_as = dict(enumerate(byte_symbols()))
+        self.most_kept = most_kept
+        self.pieces: tuple[dict, dict] = {}, {}
+        self.words: tuple[dict, dict] = {}, {}
+
+    def word(self, word: str) -> bytes:
+        plain = word if word.isascii() else word.encode("utf-8", "replace").decode("latin-1").translate(self.bytes_as)
+        return array("I", [t.id for t in self.model.tokenize(plain)]).tobytes()
+
+    def ids_of(self, piece: str | int) -> bytes:
+        """Ids of a piece that no table of pieces holds."""
+        if isinstance(piece, int):
+            return piece.to_bytes(4, "little")
+        now, before = self.words
+        out = b""
+        for w in WORD.findall(piece):
+            own = now.get(w)
+            if own is None:
+                own = before.get(w)
+                now[w] = own = self.word(w) if own is None else own
+            out += own
+        return out
+
+    def encode(self, texts: list[str], docs: int = 256):
+        """For each text its ids as little-endian 32-bit bytes."""
+        for at in range(0, len(texts), docs):
+            batch = [self.cut(t or "") for t in texts[at : at + docs]]
+            if len(self.pieces[0]) > self.most_kept:
+                self.pieces = {}, self.pieces[0]
+            if len(self.words[0]) > self.most_kept:
+                self.words = {}, self.words[0]
+            now, before = self.pieces
+            new: set[str | int] = set()
+            for pieces in batch:
+                new.update(filterfalse(now.__contains__, pieces))
+            for p in new:
+                own = before.get(p)
+                now[p] = self.ids_of(p) if own is None else own
+            known = now.__getitem__
+            for pieces in batch:
+                yield b"".join(map(known, pieces))
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str, most_kept: int) -> LibraryEncoder:
+    return LibraryEncoder(path, most_kept)
+
+
+def encoder(path: str, most_kept: int) -> LibraryEncoder:
+    """One encoder for each worker process."""
+    only_cache("packing", _encoder.cache_clear)
+    return _encoder(path, most_kept)
+
+
 class Windows:
     """The open windows of one partition; emits rows of full windows. A piece: (doc_id, start, ids as bytes, doc_tokens)."""
 
@@ -105,14 +175,14 @@ def last_cuts(total: int, size: int) -> list[tuple[int, int]]:
     return out
 
 
-def pack(docs: DataFrame, path: str, size: int = 4096, open_windows: int = 64, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", most_kept: int = 600_000) -> DataFrame:
+def pack(docs: DataFrame, path: str, size: int = 4096, open_windows: int = 64, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", most_kept: int = 250_000) -> DataFrame:
     """docs -> one row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document is its whole text's ids and then end_id; a null or empty text is end_id alone. Every id lies in exactly one
     piece, pieces of a sequence follow each other from offset 0 without a gap, and every sequence has `size` ids except
     the very last ones, whose lengths are powers of two. Repeated rows are packed as often as they are given; a null id
     stays null; other columns are ignored; no rows give no rows. No window, document or leftover is dropped. most_kept
-    bounds the encoder's table of known words, which only saves work.
+    bounds each of the encoder's tables of known words, which only save work.
     """
     end = end_id.to_bytes(4, "little")
 
