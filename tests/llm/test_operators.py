@@ -28,20 +28,31 @@ AWKWARD = [(1, None), (2, ""), (3, "One"), (3, "One"), (None, "no id"), (4, "a b
 
 def test_topk_matches_brute_force(spark):
     r = np.random.default_rng(1)
-    rows = [(i, [int(x) for x in r.integers(-9, 9, 6)]) for i in range(300)] + [(900, [5] * 6), (901, [5] * 6), (902, None), (5, [0, 0, 0, 0, 0, 1]), (None, [1] * 6), (903, [3, 1])]
-    df = spark.createDataFrame(rows, "id long, vec array<bigint>")
-    got = topk.exact_topk(df.filter("id % 20 = 0"), df, k=7, block_rows=64, query_rows=5).collect()
-    best = {}
-    for i, v in rows:
-        if i is not None and v is not None:
-            best[i] = min(best.get(i, v), v)
-    wide = {i: v + [0] * (6 - len(v)) for i, v in best.items()}
-    want = []
-    for q in (i for i in wide if i % 20 == 0):
-        s = sorted(((-sum(a * b for a, b in zip(wide[q], v)), i) for i, v in wide.items() if i != q))[:7]
-        want += [(q, k + 1, i, -n) for k, (n, i) in enumerate(s)]
-    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == sorted(want)
-    assert topk.exact_topk(df.limit(0), df.limit(0)).count() == 0
+    rows = [(i, [int(x) for x in r.integers(-9, 9, 6)]) for i in range(300)] + [(900, [5] * 6), (901, [5] * 6), (902, None), (5, [0, 0, 0, 0, 0, 1]), (5, [0, 0, 0, 0, 0, 1]), (None, [1] * 6), (903, [3, 1]), (904, []), (905, [10**9] * 6)]
+    df = spark.createDataFrame([(i, v, i, "x") for i, v in rows], "id long, vec array<bigint>, query_id long, rank string").repartition(3)
+    known = [(i, v) for i, v in rows if i is not None and v is not None]
+    wide = [(i, v + [0] * (6 - len(v))) for i, v in known]
+    for k, extra in ((7, {"block_rows": 64, "slice_rows": 5, "group_rows": 100}), (400, {})):
+        got = topk.exact_topk(df.filter("id % 20 = 0"), df, k=k, **extra).collect()
+        want = []
+        for q, x in ((i, v) for i, v in wide if i % 20 == 0):
+            s = sorted((-sum(a * b for a, b in zip(x, v)), i) for i, v in wide if i != q)[:k]
+            want += [(q, n + 1, i, -t) for n, (t, i) in enumerate(s)]
+        assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == sorted(want)
+    assert topk.exact_topk(df.limit(0), df.limit(0)).count() == topk.exact_topk(df, df.limit(0)).count() == 0
+
+
+def test_topk_stops_early_where_the_bound_allows():
+    r = np.random.default_rng(2)
+    rows = np.round(1000 * r.pareto(1.5, (4000, 3))).astype(np.int64)
+    queries = r.integers(1, 9, (10, 3))
+    block = topk.build_block(np.arange(4000), rows)
+    s, i = np.full((10, 5), topk.LEAST), np.full((10, 5), 10**9)
+    scored = topk.threshold_search(block, np.full(10, -1), queries, s, i, 5)
+    want = np.sort(queries @ rows.T, axis=1)[:, -5:]
+    assert (np.sort(s, axis=1) == want).all() and scored < 0.2 * 10 * 4000
+    smaller = topk.build_block(np.arange(4000, 8000), rows // 50)
+    assert topk.threshold_search(smaller, np.full(10, -1), queries, s, i, 5) == 0
 
 
 def test_scaled_leaves_out_bad_vectors(spark):
