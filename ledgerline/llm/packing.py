@@ -14,7 +14,6 @@ import zlib
 from array import array
 from bisect import bisect_left, insort
 from functools import lru_cache
-from itertools import filterfalse
 
 import pandas as pd
 from pyspark import TaskContext
@@ -31,58 +30,53 @@ LEFT = f"{PIECES}, part int, at long, ids binary"
 MERGED_FROM = 1 << 62
 
 
-class LibraryEncoder(Cutter):
-    """Ids of whole texts by the tokenizers library's own model, asked once for each word while the word is known.
+class Recent(dict):
+    """What was made for each key, as long as the key is met: when there are `most` entries, renew() lets go of those that were
+    not met since the last time. A key that is not there is made on the spot."""
 
-    Known pieces and words stand in two tables each, the present one and the one before it: what is still met moves to the
-    present one, and when that has most_kept entries it becomes the one before. Frequent words so stay known, rare ones go.
-    """
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most, self.before = make, most, {}
+
+    def __missing__(self, key):
+        own = self.before.get(key)
+        self[key] = own = self.make(key) if own is None else own
+        return own
+
+    def renew(self) -> None:
+        if len(self) > self.most:
+            self.before = dict(self)
+            self.clear()
+
+
+class LibraryEncoder(Cutter):
+    """Ids of whole texts by the tokenizers library's own model, asked once for each word while the word is known."""
 
     def __init__(self, path: str, most_kept: int):
         with open(path, encoding="utf-8") as f:
             super().__init__(json.load(f))
         self.model = Tokenizer.from_file(path).model
         self.bytes_as = dict(enumerate(byte_symbols()))
-        self.most_kept = most_kept
-        self.pieces: tuple[dict, dict] = {}, {}
-        self.words: tuple[dict, dict] = {}, {}
+        self.words = Recent(self.ids_of_word, most_kept)
+        self.pieces = Recent(self.ids_of, most_kept)
 
-    def word(self, word: str) -> bytes:
+    def ids_of_word(self, word: str) -> bytes:
         plain = word if word.isascii() else word.encode("utf-8", "replace").decode("latin-1").translate(self.bytes_as)
         return array("I", [t.id for t in self.model.tokenize(plain)]).tobytes()
 
     def ids_of(self, piece: str | int) -> bytes:
-        """Ids of a piece that no table of pieces holds."""
         if isinstance(piece, int):
             return piece.to_bytes(4, "little")
-        now, before = self.words
-        out = b""
-        for w in WORD.findall(piece):
-            own = now.get(w)
-            if own is None:
-                own = before.get(w)
-                now[w] = own = self.word(w) if own is None else own
-            out += own
-        return out
-
-    def encode(self, texts: list[str], docs: int = 256):
+        words = WORD.findall(piece)
+        return self.words[words[0]] if len(words) == 1 else b"".join(map(self.words.__getitem__, words))
+
+    def encode(self, texts: list[str]):
         """For each text its ids as little-endian 32-bit bytes."""
-        for at in range(0, len(texts), docs):
-            batch = [self.cut(t or "") for t in texts[at : at + docs]]
-            if len(self.pieces[0]) > self.most_kept:
-                self.pieces = {}, self.pieces[0]
-            if len(self.words[0]) > self.most_kept:
-                self.words = {}, self.words[0]
-            now, before = self.pieces
-            new: set[str | int] = set()
-            for pieces in batch:
-                new.update(filterfalse(now.__contains__, pieces))
-            for p in new:
-                own = before.get(p)
-                now[p] = self.ids_of(p) if own is None else own
-            known = now.__getitem__
-            for pieces in batch:
-                yield b"".join(map(known, pieces))
+        known = self.pieces.__getitem__
+        for text in texts:
+            yield b"".join(map(known, self.cut(text or "")))
+            self.pieces.renew()
+            self.words.renew()
 
 
 @lru_cache(maxsize=1)
