@@ -84,7 +84,8 @@ def fit_nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float, steps: int = 40
 
 def train(docs: DataFrame, labels: DataFrame, most_positive: int = 4000, most_unlabelled: int = 12_000, most_features: int = 512, least_support: int = 5, least_apart: float = 40.0) -> Model:
     """Fit on at most most_positive confirmed toxic and most_unlabelled drawn training documents (bounds of the samples
-    that a classifier is fitted on; both are drawn by a hash of the id). The class prior is the share of toxic rows among
+    that a classifier is fitted on; both are drawn by a hash of the id, and of rows that share an id the least text counts,
+    so that the bounds hold for rows too). The class prior is the share of toxic rows among
     all labelled rows of the training fold. A feature needs least_support toxic documents and a chi-square of
     least_apart between the samples. Without a confirmed toxic document the model scores everything 0."""
     spark = docs.sparkSession
@@ -98,7 +99,7 @@ def train(docs: DataFrame, labels: DataFrame, most_positive: int = 4000, most_un
     fold = docs.select(F.col("doc_id").cast("long").alias("doc_id")).dropna().filter(~held_out(F.col("doc_id")))
     drawn = fold.distinct().orderBy(mixed, "doc_id").limit(most_unlabelled).withColumn("kind", F.lit(0))
     picked = spark.createDataFrame(positive.unionByName(drawn).collect(), "doc_id long, kind int")  # bounded by the two parameters
-    texts = checkpoint(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id").select("kind", "text"))
+    texts = checkpoint(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id").groupBy("kind", "doc_id").agg(F.min("text").alias("text")).select("kind", "text"))
 
     def count(batches):
         only_cache("toxicity", lambda: None)
