@@ -23,12 +23,21 @@ _LETTER: list[np.ndarray] = []
 
 
 def letter_table() -> np.ndarray:
-    """Which 16-bit code units are letters (surrogates are not)."""
+    """Which 16-bit code units are letters; both halves of a character outside the 16-bit plane are (see units_of)."""
     if not _LETTER:
-        _LETTER.append(np.array([chr(i).isalpha() if not 0xD800 <= i < 0xE000 else False for i in range(65536)]))
+        _LETTER.append(np.array([chr(i).isalpha() or 0xD800 <= i < 0xE000 for i in range(65536)]))
     return _LETTER[0]
 
 
+def units_of(text: str) -> np.ndarray:
+    """16-bit code units of the lower-cased text; what is outside the 16-bit plane and no letter becomes a space."""
+    units = np.frombuffer(text.lower().encode("utf-16-le", "surrogatepass"), "<u2")
+    if ((units & 0xF800) == 0xD800).any():
+        plain = "".join([c if c < "\ud800" or "\udfff" < c <= "\uffff" or c.isalpha() else " " for c in text.lower()])
+        units = np.frombuffer(plain.encode("utf-16-le"), "<u2")
+    return units
+
+
 def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
@@ -48,7 +57,7 @@ def chunks(texts: list[str]):
 def keys_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """4-gram keys of the texts' characters in order, and how many each text has. A text begins after spaces."""
     joined = "\x00" + "\x00".join([t.replace("\x00", " ") if "\x00" in t else t for t in texts])
-    units = np.frombuffer(joined.lower().encode("utf-16-le", "surrogatepass"), "<u2")
+    units = units_of(joined)
     begins = units == 0
     codes = np.where(letter_table()[units], units, SPACE).astype(np.uint16)
     blank = codes == SPACE
@@ -194,7 +203,7 @@ class LanguageModel:
         plain = [t or "" for t in texts]
         worded = np.array([has_letter(t) for t in texts], bool)
         if not self.langs:
-            return pd.DataFrame({"lang_pred": "und", "score": 0.0, "entropy": np.nan, "accepted": False}, index=range(len(texts)))
+            return pd.DataFrame({"lang_pred": "und", "score": 0.0, "entropy": np.nan, "accepted": worded})
         entropy, n = self.entropies(plain)
         best = entropy.argmin(1)
         lowest = entropy[np.arange(len(best)), best]
@@ -234,9 +243,8 @@ def train(docs: DataFrame) -> LanguageModel:
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
     """docs -> all its columns and lang_pred, score (0 to 1), entropy, accepted, from the whole text and nothing else.
 
-    A null text or one without a letter: `und`, score 0, not accepted. Letters outside the 16-bit plane count as letters but
-    carry no evidence. Ties go to the first language by name. Repeated rows get equal results; no training rows: all
-    `und`; an empty table stays empty; columns of the four names are replaced.
+    A null text or one without a letter: `und`, score 0, not accepted. A letter outside the 16-bit plane counts as two. Ties go to the first language by name. Repeated rows get equal results; no training rows: all
+    `und`, and accepted if they have a letter; an empty table stays empty; columns of the four names are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # different grams times languages, whatever the rows
 
