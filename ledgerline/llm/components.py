@@ -25,7 +25,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """edges (a long, b long) -> (node, root): every node of an edge with the least node of its component.
 
     Each round is checkpointed in the shared folder and compared with the last by count and hash sums, computed in
-    Spark; links and components never come to the driver. No edges: no rows. Loops and repeated edges do no harm.
+    Spark; links and components never come to the driver. No edges: no rows. Loops and repeated edges do no harm. The number
+    of rounds grows with the logarithm of the longest chain; a chain that is not done after most_rounds raises an error, no
+    result is left unfinished.
     """
     now = checkpoint(edges.select("a", "b").filter("a <> b").distinct())
     told = None

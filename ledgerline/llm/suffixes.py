@@ -418,13 +418,13 @@ def deduplicate(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text
 
     Each byte of a text (UTF-8; null counts as empty) under a string of `length` bytes that also starts elsewhere, in the
     same or another row, goes; strings are judged on the input and never cross rows. Texts shorter than `length` stay.
-    Repeated rows are copies of each other. Rows with a null id are told apart by their text. No rows: none. Columns with
+    Repeated rows are copies of each other. Rows are told apart by id and text, those with a null id or one id by their text. No rows: none. Columns with
     these names, or named _id, _th, _spans, _bytes, _all or _cut, are replaced. with_text adds `kept_text`, the kept bytes
     as a string without what is left of a character that was cut in two.
     """
     names = [c for c in docs.columns if c not in ("kept", "kept_text", "n_bytes", "n_removed", "n_spans", "_id", "_th", "_spans", "_bytes", "_all", "_cut")]
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(*names, F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("_id"), F.hash(text).alias("_th"))
+    keyed = docs.select(*names, F.xxhash64(F.col(id_col), text).alias("_id"), F.hash(text).alias("_th"))  # 96 bits tell rows apart
     spans = repeated_spans(keyed.select(F.col("_id").alias("id"), F.col("_th").alias("th"), text.alias("text")), length, bucket_rows)
 
     found = stored(joined_runs(spans).select(F.col("id").alias("_id"), F.col("th").alias("_th"), "_spans"))
