@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Days back at which a year-old partner is looked for, best first.
 OFFSETS = [364, 363, 365, 362, 366, 361, 367]
 
 
@@ -24,22 +25,43 @@ def product_history(trade: DataFrame, flows: list[str]) -> DataFrame:
     return trade.groupBy("code", "fy").pivot("flow", flows).agg(F.sum("value"))
 
 
-def page_index(trade: DataFrame) -> DataFrame:
-    """Totals of every code and every heading by flow, in one pass over grouping sets."""
-    t = trade.withColumn("heading", F.substring("code", 1, 4))
-    out = t.groupingSets([["flow", "code"], ["flow", "heading"]], "flow", "code", "heading").agg(F.sum("value").alias("value"), F.count(F.lit(1)).alias("n_lines"))
-    return out.select("flow", F.coalesce("code", "heading").alias("page"), F.when(F.col("code").isNull(), "heading").otherwise("code").alias("kind"), "value", "n_lines")
+def page_index(trade: DataFrame, rates: DataFrame, recent: int = 3, total: str = "All countries") -> DataFrame:
+    """Yearly average in foreign money over the last `recent` fiscal years, exports and imports side by side, of every
+    8-digit code and every heading, in one pass over grouping sets. Lines of all countries together count if there are any,
+    the sum of partners otherwise; grand totals never do."""
+    latest = trade.agg(F.max("fy").alias("latest"))
+    t = trade.filter((F.col("code") != "TOTAL") & (F.length("code") == 8) & (F.col("country") != total)).join(F.broadcast(latest), F.col("fy") > F.col("latest") - recent)
+    t = t.join(rates, "fy").withColumn("fx", F.col("value") / F.col("rate") / recent).withColumn("heading", F.substring("code", 1, 4))
+    side = [F.coalesce(F.sum(F.when(F.col("flow") == f, F.col("fx"))), F.lit(0.0)).alias(f) for f in ("export", "import")]
+    out = t.filter(F.col("flow").isin("export", "import")).groupingSets([["code", "heading"], ["heading"]], "code", "heading").agg(*side)
+    return out.select(F.coalesce("code", "heading").alias("page"), F.when(F.col("code").isNull(), "heading").otherwise("code").alias("kind"), "heading", "export", "import")
+
+
+#: Least recent trade of an indexable heading, code and partner, and a code's largest share of its heading.
+HEADING_LEAST, CODE_LEAST, PARTNER_LEAST, CODE_MOST_SHARE = 1_000, 10_000, 10_000, 0.9
+
+
+def indexable(pages: DataFrame, heading_least: float = HEADING_LEAST, code_least: float = CODE_LEAST, most_share: float = CODE_MOST_SHARE) -> DataFrame:
+    """Pages of page_index with trade enough to say something; a code must also be less than `most_share` of its heading."""
+    headings = pages.filter("kind = 'heading'").select("heading", (F.col("export") + F.col("import")).alias("whole"))
+    p = pages.join(headings, "heading").withColumn("own", F.col("export") + F.col("import"))
+    code = (F.col("kind") == "code") & (F.col("own") >= code_least) & (F.col("own") < most_share * F.col("whole"))
+    return p.withColumn("indexable", code | ((F.col("kind") == "heading") & (F.col("own") >= heading_least))).drop("own", "whole")
 
 
 def top_n_per_group(df: DataFrame, keys: list[str], by: list[Column], n: int) -> DataFrame:
     return df.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(*by))).filter(F.col("place") <= n)
 
 
-def city_cost_index(prices: DataFrame, least: int = 8) -> DataFrame:
-    """Mean of price relatives to the earliest week of all cities, over the items priced then (price above 0)."""
-    first = prices.agg(F.min("week").alias("week"))
+def city_cost_index(prices: DataFrame, least: int = 8, base_week: str | None = None) -> DataFrame:
+    """Mean of price relatives to the base week, over the items a city priced then (price above 0). The base is base_week if
+    any price is of that week, else the earliest week. A city needs `least` items in its basket; every week it has is kept."""
+    wanted = F.lit(base_week).cast("date")
+    first = prices.filter("value is not null").agg(F.coalesce(F.max(F.when(F.col("week") == wanted, F.col("week"))), F.min("week")).alias("week"))
     base = prices.join(F.broadcast(first), "week", "left_semi").filter("value > 0").select("city", "item", F.col("value").alias("base"))
-    return prices.join(base, ["city", "item"]).groupBy("city", "week").agg(F.round(F.avg(F.col("value") / F.col("base")) * 100, 2).alias("cost_index"), F.count(F.lit(1)).alias("n_items")).filter(F.col("n_items") >= least)
+    fit = base.groupBy("city").agg(F.count(F.lit(1)).alias("basket_n")).filter(F.col("basket_n") >= least)
+    j = prices.join(base.join(fit, "city"), ["city", "item"])
+    return j.groupBy("city", "week", "basket_n").agg(F.round(F.avg(F.col("value") / F.col("base") * 100), 2).alias("cost_index"), F.count("value").alias("n_items"))
 
 
 def jevons_yoy(prices: DataFrame, least: int = 15, offsets: list[int] | None = None) -> DataFrame:
@@ -66,13 +88,30 @@ def weekly_median(values: DataFrame, least: int = 5) -> DataFrame:
     return last.groupBy("week").agg(F.max("obs_date").alias("obs_date"), F.median("value").alias("median_value"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
 
 
-def fund_returns(navs: DataFrame, horizons: dict[str, int]) -> DataFrame:
-    """Trailing returns in percent from the last price on or before each horizon, in one aggregate per fund."""
-    last = navs.filter("nav > 0").groupBy("fund_id").agg(F.max("obs_date").alias("last_date"), F.max_by("nav", "obs_date").alias("last_nav"))
-    j = navs.filter("nav > 0").join(last, "fund_id")
-    cols = [F.max_by("nav", F.when(F.col("obs_date") <= F.date_sub("last_date", d), F.col("obs_date"))).alias(f"nav_{n}") for n, d in horizons.items()]
-    out = j.groupBy("fund_id", "last_date", "last_nav").agg(*cols)
-    return out.select("fund_id", "last_date", *[F.round((F.col("last_nav") / F.col(f"nav_{n}") - 1) * 100, 2).alias(f"ret_{n}") for n in horizons])
+#: Days of each trailing return, and which of them are also given per year.
+HORIZONS, YEARLY, YEAR_DAYS = {"1m": 30, "3m": 91, "6m": 182, "1y": 365, "3y": 1095, "5y": 1825}, ["3y", "5y"], 365.25
+
+
+def fund_returns(navs: DataFrame, horizons: dict[str, int] | None = None, yearly: list[str] | None = None) -> DataFrame:
+    """Trailing returns in percent from the last price on or before each horizon, since the start of the year and since
+    inception; the long ones also per year, and the yearly growth since inception for funds older than half a year. Two
+    aggregates by fund over one shuffle, no join: prices are first brought together as the fund's sorted history."""
+    horizons, yearly = horizons or HORIZONS, YEARLY if yearly is None else yearly
+    w = Window.partitionBy("fund_id")
+    n = navs.filter("nav > 0").select("fund_id", "obs_date", "nav", F.max("obs_date").over(w).alias("last_date"))
+    upto = lambda day: F.max_by("nav", F.when(F.col("obs_date") <= day, F.col("obs_date")))
+    past = [upto(F.date_sub("last_date", days)).alias(f"nav_{k}") for k, days in horizons.items()] + [upto(F.trunc("last_date", "year")).alias("nav_ytd")]
+    g = n.groupBy("fund_id", "last_date").agg(F.max_by("nav", "obs_date").alias("last"), F.min_by("nav", "obs_date").alias("first"), F.min("obs_date").alias("first_date"), F.count(F.lit(1)).alias("n"), *past).filter("n >= 2")
+    grown = lambda base: F.round((F.col("last") / base - 1) * 100, 2)
+    per_year = lambda base, years: F.round((F.pow(F.col("last") / base, 1 / years) - 1) * 100, 2)
+    age = F.datediff("last_date", "first_date") / YEAR_DAYS
+    return g.select(
+        "fund_id", "first_date", "last_date",
+        *[grown(F.col(f"nav_{k}")).alias(f"ret_{k}") for k in [*horizons, "ytd"]],
+        grown(F.col("first")).alias("ret_inception"),
+        *[per_year(F.col(f"nav_{k}"), F.lit(horizons[k] / YEAR_DAYS)).alias(f"yearly_{k}") for k in yearly],
+        F.when(age > 0.5, per_year(F.col("first"), age)).alias("cagr"),
+    )
 
 
 def fund_drawdown(navs: DataFrame) -> DataFrame:
@@ -95,15 +134,26 @@ def port_day_series(calls: DataFrame) -> DataFrame:
     return out.select("port", "day", F.coalesce("direction", F.lit("all")).alias("direction"), F.coalesce("commodity", F.lit("total")).alias("commodity"), "tonnes", "ships")
 
 
-def usage_rollup(log: DataFrame) -> DataFrame:
-    """Requests by day, route and status class: count, median and 95th percentile of the time, bytes."""
-    g = log.groupBy("day", "route", (F.col("status") / 100).cast("int").alias("status_class"))
-    return g.agg(F.count(F.lit(1)).alias("n"), F.expr("percentile(ms, 0.5)").alias("p50"), F.expr("percentile(ms, 0.95)").alias("p95"), F.countDistinct("user_id").alias("visitors"))
+def usage_rollup(log: DataFrame, exact_upto: int = 1_000_000) -> DataFrame:
+    """Requests by day, user, kind of access, route and status class: count, median and 95th percentile of the time, bytes,
+    cache hits. An exact percentile holds a group's different times in memory, so where a group has more than exact_upto rows
+    (counted first) all groups get approximate ones, off by at most a hundred-thousandth of the ranks."""
+    keys = ["day", "user_id", "auth", "route", (F.col("status") / 100).cast("int").alias("status_class")]
+    largest = log.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    times = [F.expr(f"percentile(ms, {p})") if largest <= exact_upto else F.percentile_approx("ms", p, 100_000) for p in (0.5, 0.95)]
+    return log.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), times[0].alias("p50"), times[1].alias("p95"), F.sum("bytes").alias("bytes"), F.count_if(F.col("cache") == "hit").alias("cache_hits"))
+
+
+def unique_visitors(log: DataFrame, error: float | None = None) -> DataFrame:
+    """Different addresses by day; with `error`, an approximate count of that relative deviation."""
+    return log.groupBy("day").agg((F.countDistinct("address") if error is None else F.approx_count_distinct("address", error)).alias("visitors"))
 
 
-def top_values(log: DataFrame, dims: list[str], n: int = 500) -> DataFrame:
-    """The n most frequent values of each dimension, from one unpivot and one count."""
-    long = log.unpivot([], dims, "dim", "val").filter("val is not null").groupBy("dim", "val").agg(F.count(F.lit(1)).alias("n"))
+def top_values(log: DataFrame, dims: dict[str, Column], n: int = 500) -> DataFrame:
+    """The n most frequent values of each dimension, from one pass and one count. dims: name -> the value as a string, null
+    where the row does not count for that dimension."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("dim"), v.cast("string").alias("val")) for k, v in dims.items()]))
+    long = log.select(pairs.alias("p")).select("p.dim", "p.val").filter("val is not null").groupBy("dim", "val").agg(F.count(F.lit(1)).alias("n"))
     return top_n_per_group(long, ["dim"], [F.desc("n"), F.col("val")], n)
 
 

@@ -22,16 +22,23 @@ def sign_flip(near: DataFrame) -> DataFrame:
     return near.filter(agree & (v * pv < 0) & (F.abs(F.abs(v / pv) - 1) < 0.2))
 
 
-def price_spikes(near: DataFrame, value: str, agree: float, low: float, high: float) -> DataFrame:
-    """Beyond low to high times the previous value while both neighbours agree; all three are positive."""
+def price_spikes(near: DataFrame, value: str, agree: float, low: float, high: float, nonpositive: bool = False) -> DataFrame:
+    """Beyond low to high times the previous value while both neighbours agree; all three are positive. With nonpositive also
+    every value of zero or less, whatever stands beside it."""
     v, pv, nv = F.col(value), F.col("pv"), F.col("nv")
-    return near.filter((v > 0) & (pv > 0) & (nv > 0) & (F.abs(pv / nv - 1) < agree) & ((v / pv > high) | (v / pv < low)))
+    jump = (v > 0) & (pv > 0) & (nv > 0) & (F.abs(pv / nv - 1) < agree) & ((v / pv > high) | (v / pv < low))
+    return near.filter(F.coalesce(jump, F.lit(False)) | (v <= 0) if nonpositive else jump)
+
+
+#: Units whose values cannot be negative.
+NEVER_NEGATIVE = ["index", "count", "gwh", "metric ton", "tbps"]
 
 
 def out_of_range(obs: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Values that their unit rules out: percent beyond -100 to 1000, negative indices and counts, prices of zero or less."""
+    """Values that their unit rules out: percent beyond -100 to 1000, negative indices, counts, energy, tonnage and traffic,
+    prices of zero or less."""
     u, v = F.col("unit"), F.col("value")
-    bad = ((u == "percent") & ((v > 1000) | (v < -100))) | (u.isin("index", "count") & (v < 0)) | (u.startswith("pkr_per_") & (v <= 0))
+    bad = ((u == "percent") & ((v > 1000) | (v < -100))) | (u.isin(*NEVER_NEGATIVE) & (v < 0)) | (u.startswith("pkr_per_") & (v <= 0))
     return obs.join(catalog.select("series_id", "unit"), "series_id").filter(bad)
 
 

@@ -51,10 +51,10 @@ def rolling_sum_months(points: DataFrame, months: int = 12) -> DataFrame:
     return numbered.withColumn("n", F.count("value").over(w)).withColumn("result", F.sum("value").over(w)).filter(F.col("n") == months).drop("n", "month_no")
 
 
-def ratio_to_trailing_mean(points: DataFrame, months: int = 3) -> DataFrame:
-    """Value over the mean of the last consecutive months, where their sum is positive."""
-    total = rolling_sum_months(points, months)
-    return total.filter("result > 0").withColumn("result", F.col("value") / (F.col("result") / months))
+def ratio_to_trailing_mean(num: DataFrame, den: DataFrame, months: int = 3) -> DataFrame:
+    """Each value of `num` over the mean of the last consecutive months of `den` up to that month, where their sum is positive."""
+    total = rolling_sum_months(den, months).filter("result > 0").select(*KEY, "obs_date", (F.col("result") / months).alias("mean"))
+    return num.join(total, [*KEY, "obs_date"]).withColumn("result", F.col("value") / F.col("mean")).drop("mean")
 
 
 def monthly_mean(points: DataFrame, least: int) -> DataFrame:
@@ -94,22 +94,39 @@ def neighbours(obs: DataFrame) -> DataFrame:
     return obs.withColumn("pv", F.lag("value").over(w)).withColumn("nv", F.lead("value").over(w))
 
 
-def spike_level(near: DataFrame) -> DataFrame:
-    """More than three times off both neighbours, which agree within 30 % and have its sign."""
+def of_unit(near: DataFrame, catalog: DataFrame, only: list[str] = (), but: list[str] = ()) -> DataFrame:
+    """Points of active series whose unit is one of `only`, or none of `but` (no unit is none of them)."""
+    unit = F.coalesce("unit", F.lit(""))
+    kept = catalog.filter("is_active").filter(unit.isin(*only) if only else ~unit.isin(*but))
+    return near.join(kept.select("series_id"), "series_id", "left_semi")
+
+
+def spike_level(near: DataFrame, catalog: DataFrame) -> DataFrame:
+    """More than three times off both neighbours, which agree within 30 % and have its sign; not for series in percent."""
     v, pv, nv = F.col("value"), F.col("pv"), F.col("nv")
     ok = (v != 0) & (pv != 0) & (nv != 0) & (F.signum(v) == F.signum(pv)) & (F.signum(pv) == F.signum(nv))
-    return near.filter(ok).filter((F.abs(pv / nv - 1) < 0.3) & (F.greatest(F.abs(v / pv), F.abs(pv / v)) > 3))
+    return of_unit(near, catalog, but=["percent"]).filter(ok).filter((F.abs(pv / nv - 1) < 0.3) & (F.greatest(F.abs(v / pv), F.abs(pv / v)) > 3))
 
 
-def spike_rate(near: DataFrame) -> DataFrame:
-    """Far from both neighbours, measured by the series' median absolute move."""
-    mad = near.groupBy(*KEY).agg(F.median(F.abs(F.col("value") - F.col("pv"))).alias("mad"))
+def spike_rate(near: DataFrame, catalog: DataFrame, largest_exact: int | None = None) -> DataFrame:
+    """Far from both neighbours, measured by the series' median absolute move; series in percent only. The median is exact
+    unless largest_exact says how many points a series may have at most: above that it is the approximate one."""
+    rates, move = of_unit(near, catalog, only=["percent"]), F.abs(F.col("value") - F.col("pv"))
+    mad = rates.groupBy(*KEY).agg((F.median(move) if largest_exact is None else F.percentile_approx(move, 0.5, 10 * largest_exact)).alias("mad"))
     v, pv, nv, m = F.col("value"), F.col("pv"), F.col("nv"), F.col("mad")
-    return near.join(mad, KEY).filter((F.abs(pv - nv) <= F.greatest(2 * m, F.lit(0.2))) & (F.abs(v - (pv + nv) / 2) > F.greatest(8 * m, F.lit(1.0))))
+    return rates.join(mad, KEY).filter((F.abs(pv - nv) <= F.greatest(2 * m, F.lit(0.2))) & (F.abs(v - (pv + nv) / 2) > F.greatest(8 * m, F.lit(1.0))))
+
+
+#: Units and words in names of series that have no scale to slip.
+SCALELESS_UNITS, SCALELESS_NAMES = ["percent", "index", "ratio"], ["percent", "growth"]
 
 
-def scale_slips(near: DataFrame) -> DataFrame:
-    """A value off by a power of 1000 from neighbours that agree; `factor` is that power."""
+def scale_slips(near: DataFrame, catalog: DataFrame) -> DataFrame:
+    """A value off by a power of 1000 from neighbours that agree; `factor` is that power. Series that have no scale by their
+    unit or name are left out."""
+    for word in SCALELESS_NAMES:
+        catalog = catalog.filter(~F.col("name").ilike(f"%{word}%"))
+    near = of_unit(near, catalog, but=SCALELESS_UNITS)
     v, pv, nv = F.col("value"), F.col("pv"), F.col("nv")
     ok = (v != 0) & (pv * v > 0) & (nv * v > 0) & (F.least(F.abs(pv), F.abs(nv)) >= 1) & F.abs(pv / nv).between(0.67, 1.5)
     power = F.round(F.log10(F.abs(v) / F.sqrt(F.abs(pv * nv))) / 3)

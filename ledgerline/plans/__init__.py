@@ -1,3 +1,3 @@
 """Queries over the given tables; importing the package registers them all."""
 
-from ledgerline.plans import quality  # noqa: F401
+from ledgerline.plans import quality, reading  # noqa: F401
