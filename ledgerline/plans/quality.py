@@ -6,51 +6,55 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import editions, facts, merge, quality, series, summaries
 from ledgerline.plans import adapters as A
-from ledgerline.plans.registry import _NEAR, _OUT, _POINT, _last, _points, query, rounded
+from ledgerline.plans.registry import _OUT, _POINT, _last, _points, query, rounded
 from ledgerline.sources.tables import read_table
 
 _FLIP = "flip AS (SELECT series_id, dims_key, obs_date, value * CASE WHEN (year(obs_date) + month(obs_date)) % 7 = 0 THEN -1 ELSE 1 END AS value FROM monthly)"
 
 
-@query(f"""WITH {A.MONTHLY}, {_FLIP}, {_NEAR.replace('FROM monthly', 'FROM flip')} {_OUT} FROM near
-WHERE pv * nv > 0 AND abs(pv / nv - 1) < 0.2 AND value * pv < 0 AND abs(abs(value / pv) - 1) < 0.2""")
+@query(f"""WITH {A.MONTHLY}, {_FLIP}, {A.around("flip", series.KEY)} {_OUT} FROM around
+WHERE pv / nv > 0.8 AND pv / nv < 1.2 AND value / pv > -1.2 AND value / pv < -0.8""")
 def sign_flip(spark, d):
     m = A.monthly(spark, d).withColumn("value", F.col("value") * F.when((F.year("obs_date") + F.month("obs_date")) % 7 == 0, -1).otherwise(1))
     return rounded(quality.sign_flip(series.neighbours(m)), "value", "pv", "nv")
 
 
-_NAV_NEAR = "near AS (SELECT *, lag(nav) OVER w AS pv, lead(nav) OVER w AS nv FROM navs WINDOW w AS (PARTITION BY fund_id ORDER BY obs_date))"
-_NAV_BAD = "nav > 0 AND pv > 0 AND nv > 0 AND abs(pv / nv - 1) < 0.1 AND (nav / pv > 1.4 OR nav / pv < 0.6)"
+_NAV_ZERO = "dented AS (SELECT fund_id, obs_date, CASE WHEN day(obs_date) = 7 AND fund_id % 7 = 0 THEN 0 ELSE nav END AS nav FROM navs)"
+_NAV_NEAR = f"{_NAV_ZERO}, {A.around('dented', ['fund_id'], value='nav')}"
+_NAV_BAD = "(nav <= 0 OR (least(nav, pv, nv) > 0 AND pv IS NOT NULL AND nv IS NOT NULL AND pv / nv > 0.9 AND pv / nv < 1.1 AND NOT nav / pv BETWEEN 0.6 AND 1.4))"
+
+
+def _dented(spark, d):
+    """Prices with a few zeros among them."""
+    return A.navs(spark, d).withColumn("nav", F.when((F.dayofmonth("obs_date") == 7) & (F.col("fund_id") % 7 == 0), 0.0).otherwise(F.col("nav")))
 
 
 def _nav_spikes(spark, d):
-    return quality.price_spikes(quality.beside(A.navs(spark, d), ["fund_id"], "obs_date", "nav"), "nav", 0.1, 0.6, 1.4)
+    return quality.price_spikes(quality.beside(_dented(spark, d), ["fund_id"], "obs_date", "nav"), "nav", 0.1, 0.6, 1.4, nonpositive=True)
 
 
-@query(f"WITH {A.NAVS}, {_NAV_NEAR} SELECT fund_id, obs_date, round(nav, 6) AS nav, round(pv, 6) AS pv, round(nv, 6) AS nv FROM near WHERE {_NAV_BAD}")
+@query(f"WITH {A.NAVS}, {_NAV_NEAR} SELECT fund_id, obs_date, round(nav, 6) AS nav, round(pv, 6) AS pv, round(nv, 6) AS nv FROM around WHERE {_NAV_BAD}")
 def nav_spikes(spark, d):
     return rounded(_nav_spikes(spark, d), "nav", "pv", "nv")
 
 
-@query(f"WITH {A.NAVS}, {_NAV_NEAR} SELECT fund_id, obs_date, round(nav, 6) AS nav, CASE WHEN {_NAV_BAD} THEN 'spike' END AS reason FROM near")
+@query(f"WITH {A.NAVS}, {_NAV_NEAR} SELECT fund_id, obs_date, round(nav, 6) AS nav, CASE WHEN {_NAV_BAD} THEN 'spike' END AS reason FROM around")
 def quarantine(spark, d):
-    return rounded(quality.quarantine(A.navs(spark, d), _nav_spikes(spark, d), ["fund_id", "obs_date"], "spike"), "nav")
+    return rounded(quality.quarantine(_dented(spark, d), _nav_spikes(spark, d), ["fund_id", "obs_date"], "spike"), "nav")
 
 
-@query(f"""WITH {A.PRICES}, near AS (SELECT *, lag(value) OVER w AS pv, lead(value) OVER w AS nv FROM prices WINDOW w AS (PARTITION BY item, city ORDER BY week))
-SELECT item, city, week, value, pv, nv FROM near WHERE value > 0 AND pv > 0 AND nv > 0 AND abs(pv / nv - 1) < 0.3 AND (value / pv > 4 OR value / pv < 0.25)""")
+@query(f"""WITH {A.PRICES}, late AS (SELECT * FROM prices WHERE week > DATE '1996-01-01'), {A.around("late", ["item", "city"], "week")}
+SELECT item, city, week, value, pv, nv FROM around WHERE least(value, pv, nv) > 0 AND pv IS NOT NULL AND nv IS NOT NULL AND pv / nv > 0.7 AND pv / nv < 1.3 AND NOT value / pv BETWEEN 0.25 AND 4""")
 def agri_spikes(spark, d):
-    return quality.price_spikes(quality.beside(A.prices(spark, d), ["item", "city"], "week", "value"), "value", 0.3, 0.25, 4)
+    recent = A.prices(spark, d).filter("week > DATE '1996-01-01'")
+    return quality.price_spikes(quality.beside(recent, ["item", "city"], "week", "value"), "value", 0.3, 0.25, 4)
 
 
-@query(f"""WITH {A.MONTHLY}, {_FLIP}, c AS (SELECT DISTINCT p_brand AS series_id, CASE WHEN p_brand LIKE '%1' THEN 'percent' WHEN p_brand LIKE '%2' THEN 'index' ELSE 'pkr_per_kg' END AS unit FROM part)
-SELECT series_id, dims_key, obs_date, round(value, 6) AS value, unit FROM flip JOIN c USING (series_id)
-WHERE (unit = 'percent' AND (value > 1000 OR value < -100)) OR (unit = 'index' AND value < 0) OR (unit = 'pkr_per_kg' AND value <= 0)""")
+@query(f"""WITH {A.MONTHLY}, {_FLIP}, {A.CATALOG} SELECT series_id, dims_key, obs_date, round(value, 6) AS value, unit FROM flip JOIN catalog USING (series_id)
+WHERE CASE unit WHEN 'percent' THEN value NOT BETWEEN -100 AND 1000 WHEN 'pkr_per_kg' THEN value <= 0 ELSE value < 0 END""")
 def out_of_range(spark, d):
     m = A.monthly(spark, d).withColumn("value", F.col("value") * F.when((F.year("obs_date") + F.month("obs_date")) % 7 == 0, -1).otherwise(1))
-    b = F.col("p_brand")
-    unit = F.when(b.endswith("1"), "percent").when(b.endswith("2"), "index").otherwise("pkr_per_kg")
-    return rounded(quality.out_of_range(m, read_table(spark, d, "part").select(b.alias("series_id"), unit.alias("unit")).distinct()), "value")
+    return rounded(quality.out_of_range(m, A.catalog(spark, d)), "value")
 
 
 @query(f"""WITH {A.MONTHLY}, y AS (SELECT a.series_id, a.dims_key, a.obs_date, (a.value / b.value - 1) * 100 AS own FROM monthly a JOIN monthly b ON a.series_id = b.series_id
@@ -116,7 +120,7 @@ def reconcile_checks(spark, d):
     return quality.reconcile_checks(merge.compare_points(ours, theirs, merge.POINT), ["series_id"])
 
 
-@query(f"""WITH {A.NAVS}, {_NAV_NEAR}, s AS (SELECT *, year(obs_date) AS y FROM near WHERE {_NAV_BAD}), c AS (SELECT fund_id, y, count(*) AS n_findings FROM s GROUP BY 1, 2 HAVING count(*) < 3)
+@query(f"""WITH {A.NAVS}, {_NAV_NEAR}, s AS (SELECT *, year(obs_date) AS y FROM around WHERE {_NAV_BAD}), c AS (SELECT fund_id, y, count(*) AS n_findings FROM s GROUP BY 1, 2 HAVING count(*) < 3)
 SELECT fund_id, y, obs_date, round(nav, 6) AS nav, n_findings FROM s JOIN c USING (fund_id, y)""")
 def notable(spark, d):
     return rounded(quality.notable(_nav_spikes(spark, d).withColumn("y", F.year("obs_date")), ["fund_id", "y"]).select("fund_id", "y", "obs_date", "nav", "n_findings"), "nav")

@@ -41,11 +41,27 @@ def product_history(spark, d):
     return rounded(facts.product_history(A.trade(spark, d), ["A", "N", "R"]), "A", "N", "R", digits=2)
 
 
-@query(f"""WITH {A.TRADE}, t AS (SELECT *, substring(code, 1, 4) AS heading FROM trade)
-SELECT flow, coalesce(code, heading) AS page, CASE WHEN code IS NULL THEN 'heading' ELSE 'code' END AS kind, round(sum(value), 2) AS value,
-  count(*) AS n_lines FROM t GROUP BY GROUPING SETS ((flow, code), (flow, heading))""")
+_FLOWS = "two AS (SELECT CASE flow WHEN 'A' THEN 'export' WHEN 'R' THEN 'import' ELSE 'other' END AS flow, fy, code, country, value FROM trade)"
+_PAGES = f"""{A.TRADE}, {A.RATES}, {_FLOWS}, newest AS (SELECT max(fy) AS fy FROM two),
+fx AS (SELECT code, flow, value / rate / 3 AS v FROM two JOIN rates USING (fy) WHERE fy > (SELECT fy FROM newest) - 3 AND length(code) = 8),
+by_code AS (SELECT code, coalesce(sum(v) FILTER (flow = 'export'), 0) AS ex, coalesce(sum(v) FILTER (flow = 'import'), 0) AS im FROM fx WHERE flow <> 'other' GROUP BY 1),
+pages AS (SELECT code AS page, 'code' AS kind, left(code, 4) AS heading, ex, im FROM by_code UNION ALL SELECT left(code, 4), 'heading', left(code, 4), sum(ex), sum(im) FROM by_code GROUP BY 1)"""
+
+
+def _pages(spark, d):
+    flow = F.when(F.col("flow") == "A", "export").when(F.col("flow") == "R", "import").otherwise("other")
+    return facts.page_index(A.trade(spark, d).withColumn("flow", flow), A.rates(spark, d))
+
+
+@query(f"WITH {_PAGES} SELECT page, kind, heading, round(ex, 4) AS export, round(im, 4) AS import FROM pages")
 def page_index(spark, d):
-    return rounded(facts.page_index(A.trade(spark, d)), "value", digits=2)
+    return rounded(_pages(spark, d), "export", "import", digits=4)
+
+
+@query(f"""WITH {_PAGES} SELECT p.page, p.kind, CASE WHEN p.kind = 'heading' THEN p.ex + p.im >= 1000 ELSE p.ex + p.im >= 500 AND p.ex + p.im < 0.9 * (h.ex + h.im) END AS indexable
+FROM pages p JOIN pages h ON h.kind = 'heading' AND h.page = p.heading""")
+def indexable(spark, d):
+    return facts.indexable(_pages(spark, d), code_least=500).select("page", "kind", "indexable")
 
 
 @query(f"""WITH {A.TRADE}, s AS (SELECT flow, country, code, sum(value) AS value FROM trade GROUP BY 1, 2, 3),
@@ -106,9 +122,12 @@ def rolling_sum_months(spark, d):
     return rounded(series.rolling_sum_months(A.monthly(spark, d), 12), "value", "result")
 
 
-@query(_ROLL % 2 + _series("value / (s / 3)") + "r WHERE n = 3 AND s > 0")
+@query(f"""WITH {A.MONTHLY}, den AS (SELECT series_id, dims_key, obs_date, value + 1000 * month(obs_date) AS v FROM monthly),
+t AS (SELECT a.series_id, a.dims_key, a.obs_date, sum(b.v) AS s FROM den a JOIN den b ON a.series_id = b.series_id AND a.dims_key = b.dims_key AND datediff('month', b.obs_date, a.obs_date) BETWEEN 0 AND 2 GROUP BY 1, 2, 3 HAVING count(b.v) = 3)
+SELECT series_id, dims_key, obs_date, round(value, 6) AS value, round(3 * value / s, 6) AS result FROM monthly JOIN t USING (series_id, dims_key, obs_date) WHERE s > 0""")
 def ratio_to_trailing_mean(spark, d):
-    return rounded(series.ratio_to_trailing_mean(A.monthly(spark, d), 3), "value", "result")
+    m = A.monthly(spark, d)
+    return rounded(series.ratio_to_trailing_mean(m, m.withColumn("value", F.col("value") + 1000 * F.month("obs_date")), 3), "value", "result")
 
 
 @query(f"WITH {A.DAILY} SELECT series_id, dims_key, last_day(obs_date) AS obs_date, round(avg(value), 6) AS result FROM daily GROUP BY 1, 2, 3 HAVING count(value) >= 20")
@@ -162,31 +181,40 @@ def flat_runs(spark, d):
     return series.flat_runs(_flat(spark, d), 2)
 
 
-_NEAR = """near AS (SELECT *, lag(value) OVER w AS pv, lead(value) OVER w AS nv FROM monthly WINDOW w AS (PARTITION BY series_id, dims_key ORDER BY obs_date))"""
 _OUT = "SELECT series_id, dims_key, obs_date, round(value, 6) AS value, round(pv, 6) AS pv, round(nv, 6) AS nv"
+_UNITS = f"{A.CATALOG}, units AS (SELECT series_id, unit FROM catalog WHERE is_active)"
+_NUMBERED = A.around("monthly", series.KEY)
 
 
-@query(f"""WITH {A.MONTHLY}, {_NEAR} {_OUT} FROM near WHERE value <> 0 AND pv <> 0 AND nv <> 0 AND sign(value) = sign(pv) AND sign(pv) = sign(nv)
-AND abs(pv / nv - 1) < 0.3 AND greatest(abs(value / pv), abs(pv / value)) > 3""")
+@query(f"""WITH {A.MONTHLY}, {_UNITS}, {_NUMBERED} {_OUT} FROM around JOIN units USING (series_id)
+WHERE unit <> 'percent' AND value * pv > 0 AND value * nv > 0 AND pv / nv > 0.7 AND pv / nv < 1.3 AND NOT value / pv BETWEEN 1.0 / 3 AND 3""")
 def spike_level(spark, d):
-    return rounded(series.spike_level(series.neighbours(A.monthly(spark, d))), "value", "pv", "nv")
+    return rounded(series.spike_level(series.neighbours(A.monthly(spark, d)), A.catalog(spark, d)), "value", "pv", "nv")
 
 
-@query(f"""WITH {A.MONTHLY}, {_NEAR}, m AS (SELECT series_id, dims_key, median(abs(value - pv)) AS mad FROM near GROUP BY 1, 2)
-{_OUT}, round(mad, 6) AS mad FROM near JOIN m USING (series_id, dims_key) WHERE abs(pv - nv) <= greatest(2 * mad, 0.2) AND abs(value - (pv + nv) / 2) > greatest(8 * mad, 1.0)""")
+@query(f"""WITH {A.MONTHLY}, {_UNITS}, {_NUMBERED}, rates AS (SELECT * FROM around JOIN units USING (series_id) WHERE unit = 'percent'),
+usual AS (SELECT series_id, dims_key, quantile_cont(CASE WHEN value > pv THEN value - pv ELSE pv - value END, 0.5) AS move FROM rates GROUP BY 1, 2)
+{_OUT}, round(move, 6) AS mad FROM rates JOIN usual USING (series_id, dims_key)
+WHERE pv - nv BETWEEN -greatest(0.2, 2 * move) AND greatest(0.2, 2 * move) AND NOT 2 * value - pv - nv BETWEEN -greatest(2.0, 16 * move) AND greatest(2.0, 16 * move)""")
 def spike_rate(spark, d):
-    return rounded(series.spike_rate(series.neighbours(A.monthly(spark, d))), "value", "pv", "nv", "mad")
+    return rounded(series.spike_rate(series.neighbours(A.monthly(spark, d)), A.catalog(spark, d)), "value", "pv", "nv", "mad")
 
 
 _SLIP = """slip AS (SELECT series_id, dims_key, obs_date, value * CASE WHEN (year(obs_date) + month(obs_date)) % 7 = 0 THEN 1000 ELSE 1 END AS value FROM monthly)"""
+_MID = "exp((ln(abs(pv)) + ln(abs(nv))) / 2)"
+_SLIPS = f"""{A.MONTHLY}, {_UNITS}, {_SLIP}, {A.around("slip", series.KEY)}, agreed AS (SELECT *, least(abs(pv), abs(nv)) AS lo, greatest(abs(pv), abs(nv)) AS hi FROM around JOIN units USING (series_id)
+WHERE unit NOT IN ('percent', 'index', 'ratio') AND value * pv > 0 AND value * nv > 0 AND pv / nv BETWEEN 0.67 AND 1.5),
+found AS (SELECT *, pow(1000.0, round(ln(abs(value) / {_MID}) / ln(1000.0))) AS factor FROM agreed WHERE lo >= 1)"""
 
 
-@query(f"""WITH {A.MONTHLY}, {_SLIP}, near AS (SELECT *, lag(value) OVER w AS pv, lead(value) OVER w AS nv FROM slip WINDOW w AS (PARTITION BY series_id, dims_key ORDER BY obs_date)),
-f AS (SELECT *, pow(1000.0, round(log10(abs(value) / sqrt(abs(pv * nv))) / 3)) AS factor FROM near WHERE value <> 0 AND pv * value > 0 AND nv * value > 0 AND least(abs(pv), abs(nv)) >= 1 AND abs(pv / nv) BETWEEN 0.67 AND 1.5)
-{_OUT}, factor FROM f WHERE factor <> 1 AND abs(value / factor) BETWEEN 0.8 * least(abs(pv), abs(nv)) AND 1.25 * greatest(abs(pv), abs(nv))""")
-def scale_slips(spark, d):
+def _slips(spark, d):
     m = A.monthly(spark, d).withColumn("value", F.col("value") * F.when((F.year("obs_date") + F.month("obs_date")) % 7 == 0, 1000).otherwise(1))
-    return rounded(series.scale_slips(series.neighbours(m)), "value", "pv", "nv")
+    return m, series.scale_slips(series.neighbours(m), A.catalog(spark, d))
+
+
+@query(f"WITH {_SLIPS} {_OUT}, factor FROM found WHERE factor <> 1 AND abs(value) / factor >= lo * 4 / 5 AND abs(value) / factor <= hi * 5 / 4")
+def scale_slips(spark, d):
+    return rounded(_slips(spark, d)[1], "value", "pv", "nv")
 
 
 _POINT = "o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS obs_date, CAST(o_custkey % 20 AS VARCHAR) AS dims_key"
@@ -276,10 +304,11 @@ def compare_points(spark, d):
     return rounded(merge.compare_points(ours, theirs, merge.POINT), "ours", "theirs")
 
 
-@query(f"""WITH {A.PRICES}, b AS (SELECT city, item, value AS base FROM prices WHERE week = (SELECT min(week) FROM prices) AND value > 0)
-SELECT city, week, round(avg(value / base) * 100, 2) AS cost_index, count(*) AS n_items FROM prices JOIN b USING (city, item) GROUP BY 1, 2 HAVING count(*) >= 1""")
+@query(f"""WITH {A.PRICES}, b AS (SELECT city, item, value AS base FROM prices WHERE week = DATE '1998-03-06' AND value > 0),
+c AS (SELECT city, count(*) AS basket_n FROM b GROUP BY 1 HAVING count(*) >= 3)
+SELECT city, week, basket_n, round(100 * sum(value / base) / count(*), 2) AS cost_index, count(*) AS n_items FROM prices JOIN b USING (city, item) JOIN c USING (city) GROUP BY 1, 2, 3""")
 def city_cost_index(spark, d):
-    return facts.city_cost_index(A.prices(spark, d), 1)
+    return facts.city_cost_index(A.prices(spark, d), 3, "1998-03-06")
 
 
 _OFFS = ", ".join(f"({i}, {o})" for i, o in enumerate(facts.OFFSETS))
@@ -306,13 +335,17 @@ def weekly_median(spark, d):
     return rounded(facts.weekly_median(v), "median_value")
 
 
-HORIZONS = {"1m": 30, "3m": 91, "6m": 182, "1y": 365}
+_LAST = "l AS (SELECT fund_id, min(obs_date) AS first_date, max(obs_date) AS last_date, arg_min(nav, obs_date) AS first, arg_max(nav, obs_date) AS last FROM navs GROUP BY 1 HAVING count(*) >= 2)"
+_BASES = [*[(k, f"last_date - {n}") for k, n in facts.HORIZONS.items()], ("ytd", "date_trunc('year', last_date)")]
 
 
-@query(f"""WITH {A.NAVS}, l AS (SELECT fund_id, max(obs_date) AS last_date, arg_max(nav, obs_date) AS last_nav FROM navs GROUP BY 1)
-SELECT fund_id, last_date, """ + ", ".join(f"round((last_nav / (arg_max(nav, obs_date) FILTER (obs_date <= last_date - {n})) - 1) * 100, 2) AS ret_{k}" for k, n in HORIZONS.items()) + " FROM navs JOIN l USING (fund_id) GROUP BY fund_id, last_date, last_nav")
+@query(f"""WITH {A.NAVS}, {_LAST}, t AS (SELECT fund_id, """ + ", ".join(f"{day} AS day_{k}" for k, day in _BASES) + """ FROM l)
+SELECT fund_id, first_date, last_date, """ + ", ".join(f"round(100 * last / n_{k}.nav - 100, 2) AS ret_{k}" for k, _ in _BASES) + """, round(100 * last / first - 100, 2) AS ret_inception, """
+    + ", ".join(f"round(100 * exp(ln(last / n_{k}.nav) * 365.25 / {facts.HORIZONS[k]}) - 100, 2) AS yearly_{k}" for k in facts.YEARLY) + """,
+CASE WHEN last_date - first_date > 365.25 / 2 THEN round(100 * exp(ln(last / first) * 365.25 / (last_date - first_date)) - 100, 2) END AS cagr
+FROM l JOIN t USING (fund_id) """ + " ".join(f"ASOF LEFT JOIN navs n_{k} ON n_{k}.fund_id = t.fund_id AND t.day_{k} >= n_{k}.obs_date" for k, _ in _BASES))
 def fund_returns(spark, d):
-    return facts.fund_returns(A.navs(spark, d), HORIZONS)
+    return facts.fund_returns(A.navs(spark, d))
 
 
 @query(f"WITH {A.NAVS}, p AS (SELECT *, max(nav) OVER (PARTITION BY fund_id ORDER BY obs_date) AS peak FROM navs WHERE nav > 0) SELECT fund_id, round(min(nav / peak - 1) * 100, 4) AS max_drawdown_pct FROM p GROUP BY 1")
@@ -333,15 +366,22 @@ def port_day_series(spark, d):
     return rounded(facts.port_day_series(A.calls(spark, d)), "tonnes", digits=2)
 
 
-@query(f"""WITH {A.LOG} SELECT day, route, status // 100 AS status_class, count(*) AS n, round(quantile_cont(ms, 0.5), 6) AS p50, round(quantile_cont(ms, 0.95), 6) AS p95, count(DISTINCT user_id) AS visitors FROM log GROUP BY 1, 2, 3""")
+@query(f"""WITH {A.LOG} SELECT day, user_id, auth, route, status // 100 AS status_class, count(*) AS n, round(quantile_cont(ms, 0.5), 6) AS p50, round(quantile_cont(ms, 0.95), 6) AS p95,
+CAST(sum(bytes) AS BIGINT) AS bytes, count(*) FILTER (cache = 'hit') AS cache_hits FROM log GROUP BY 1, 2, 3, 4, 5""")
 def usage_rollup(spark, d):
     return rounded(facts.usage_rollup(A.request_log(spark, d)), "p50", "p95")
 
 
-@query(f"""WITH {A.LOG}, u AS (SELECT 'route' AS dim, route AS val FROM log UNION ALL SELECT 'user_id', user_id FROM log UNION ALL SELECT 'subject', subject FROM log),
-c AS (SELECT dim, val, count(*) AS n FROM u WHERE val IS NOT NULL GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY dim ORDER BY n DESC, val) AS place FROM c) SELECT * FROM r WHERE place <= 50""")
+@query(f"WITH {A.LOG} SELECT day, count(DISTINCT address) AS visitors FROM log GROUP BY 1")
+def unique_visitors(spark, d):
+    return facts.unique_visitors(A.request_log(spark, d))
+
+
+@query(f"""WITH {A.LOG}, u AS (SELECT 'route_public' AS dim, route AS val FROM log WHERE auth = 'public' UNION ALL SELECT 'user_id', user_id FROM log UNION ALL SELECT 'subject', route || ' ' || subject FROM log WHERE subject <> '' UNION ALL SELECT 'status', CAST(status AS VARCHAR) FROM log),
+c AS (SELECT dim, val, count(*) AS n FROM u GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY dim ORDER BY n DESC, val) AS place FROM c) SELECT * FROM r WHERE place <= 50""")
 def top_values(spark, d):
-    return facts.top_values(A.request_log(spark, d), ["route", "user_id", "subject"], 50)
+    dims = {"route_public": F.when(F.col("auth") == "public", F.col("route")), "user_id": F.col("user_id"), "subject": F.when(F.col("subject") != "", F.concat_ws(" ", "route", "subject")), "status": F.col("status")}
+    return facts.top_values(A.request_log(spark, d), dims, 50)
 
 
 _CODES = """codes AS (SELECT 2024 AS fy, lpad(CAST(p_partkey * 37 % 100000000 AS VARCHAR), 8, '0') AS code FROM part),
