@@ -1,3 +1,3 @@
 """Queries over the given tables; importing the package registers them all."""
 
-from ledgerline.plans import loading, quality, reading, status, tariffs  # noqa: F401
+from ledgerline.plans import indicators, loading, quality, reading, status, tariffs  # noqa: F401
