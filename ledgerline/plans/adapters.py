@@ -52,7 +52,7 @@ CATALOG = """catalog AS (
          CASE no % 4 WHEN 1 THEN 'percent' WHEN 2 THEN 'index' WHEN 3 THEN 'count' ELSE 'pkr_per_kg' END AS unit,
          CASE WHEN no % 3 = 0 THEN 'daily' WHEN no % 3 = 1 THEN 'monthly' ELSE 'annual' END AS frequency,
          'module_' || CAST(no % 4 AS VARCHAR) AS module, 'source_' || CAST(no % 3 AS VARCHAR) AS source, no % 5 <> 0 AS is_active,
-         CASE WHEN no % 6 = 0 THEN 'Brand#' || CAST(no - 1 AS VARCHAR) END AS canonical_id
+         CASE WHEN no % 6 = 0 AND no >= 12 THEN 'Brand#' || CAST(no - 12 AS VARCHAR) END AS canonical_id
   FROM (SELECT DISTINCT p_brand AS series_id, CAST(substring(p_brand, 7) AS INTEGER) AS no FROM part))"""
 RUNS = """runs AS (
   SELECT event_id AS run_id, event_type || '_' || CAST(user_id % 3 AS VARCHAR) AS job_name, ts AS started_at,
@@ -71,6 +71,13 @@ duties AS (
          CASE WHEN (hashed + c.k) % 7 = 0 THEN 'Rs.' || CAST(hashed % 100 AS VARCHAR) || '/kg' END AS rate_text
   FROM (SELECT *, CAST(code AS BIGINT) AS hashed FROM tariff), (VALUES ('cd', 0), ('rd', 1), ('acd', 2)) c(component, k) WHERE c.k = 0 OR hashed % (c.k + 1) = 0)"""
 
+PRINTS = """current AS (SELECT series_id, obs_date, value FROM monthly WHERE dims_key = '{"flag":"A"}'),
+cells AS (
+  SELECT 'bulletin' AS source, last_day(obs_date + to_months(CAST(k AS INTEGER))) AS published, series_id AS row_id,
+         'Item ' || CASE WHEN k = 5 THEN lower(series_id) ELSE series_id END || ', Rs (base 2010-11=100)' AS label, obs_date,
+         round(value * CASE WHEN k = 0 AND month(obs_date) % 3 = 0 THEN 1.02 WHEN k = 2 AND month(obs_date) = 5 THEN 3 ELSE 1 END / 1000, 1) AS pub, CAST(1 AS INTEGER) AS dp
+  FROM current, range(6) r(k))"""
+
 
 def monthly(spark: SparkSession, d: str) -> DataFrame:
     j = read_table(spark, d, "lineitem").join(read_table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -130,7 +137,7 @@ def catalog(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("module_"), (no % 4).cast("string")).alias("module"),
         F.concat(F.lit("source_"), (no % 3).cast("string")).alias("source"),
         (no % 5 != 0).alias("is_active"),
-        F.when(no % 6 == 0, F.concat(F.lit("Brand#"), (no - 1).cast("string"))).alias("canonical_id"),
+        F.when((no % 6 == 0) & (no >= 12), F.concat(F.lit("Brand#"), (no - 12).cast("string"))).alias("canonical_id"),
     )
 
 
@@ -159,3 +166,20 @@ def duties(spark: SparkSession, d: str) -> DataFrame:
     t = t.filter((F.col("k") == 0) | (F.col("h") % (F.col("k") + 1) == 0))
     specific, n = (F.col("h") + F.col("k")) % 7 == 0, F.col("h") + F.col("k")
     return t.select("code", "fy", "component", F.when(~specific, (n % 5 * 5).cast("double")).alias("rate_pct"), F.when(specific, F.concat(F.lit("Rs."), (F.col("h") % 100).cast("string"), F.lit("/kg"))).alias("rate_text"))
+
+
+def current(spark: SparkSession, d: str) -> DataFrame:
+    """Today's values of one flag's series."""
+    return monthly(spark, d).filter(F.col("dims_key") == '{"flag":"A"}').select("series_id", "obs_date", "value")
+
+
+def cells(spark: SparkSession, d: str) -> DataFrame:
+    """What six issues of a bulletin printed for each of today's values, in thousands: some first prints were other, some are misprints."""
+    month, k = F.month("obs_date"), F.col("k")
+    c = current(spark, d).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(5))))
+    off = F.when((k == 0) & (month % 3 == 0), 1.02).when((k == 2) & (month == 5), 3).otherwise(1)
+    return c.select(
+        F.lit("bulletin").alias("source"), F.last_day(F.add_months("obs_date", k)).alias("published"), F.col("series_id").alias("row_id"),
+        F.concat(F.lit("Item "), F.when(k == 5, F.lower("series_id")).otherwise(F.col("series_id")), F.lit(", Rs (base 2010-11=100)")).alias("label"),
+        "obs_date", F.round(F.col("value") * off / 1000, 1).alias("pub"), F.lit(1).alias("dp"),
+    )
