@@ -74,7 +74,7 @@ duties AS (
 PRINTS = """current AS (SELECT series_id, obs_date, value FROM monthly WHERE dims_key = '{"flag":"A"}'),
 cells AS (
   SELECT 'bulletin' AS source, last_day(obs_date + to_months(CAST(k AS INTEGER))) AS published, series_id AS row_id,
-         'Item ' || CASE WHEN k = 5 THEN lower(series_id) ELSE series_id END || ', Rs (base 2010-11=100)' AS label, obs_date,
+         CASE WHEN k = 5 THEN 'BRAND' ELSE 'Brand' END || ' x' || translate(substring(series_id, 7), '0123456789', 'abcdefghij') || 'z, Rs (base 2010-11=100)' AS label, obs_date,
          round(value * CASE WHEN k = 0 AND month(obs_date) % 3 = 0 THEN 1.02 WHEN k = 2 AND month(obs_date) = 5 THEN 3 ELSE 1 END / 1000, 1) AS pub, CAST(1 AS INTEGER) AS dp
   FROM current, range(6) r(k))"""
 
@@ -180,6 +180,6 @@ def cells(spark: SparkSession, d: str) -> DataFrame:
     off = F.when((k == 0) & (month % 3 == 0), 1.02).when((k == 2) & (month == 5), 3).otherwise(1)
     return c.select(
         F.lit("bulletin").alias("source"), F.last_day(F.add_months("obs_date", k)).alias("published"), F.col("series_id").alias("row_id"),
-        F.concat(F.lit("Item "), F.when(k == 5, F.lower("series_id")).otherwise(F.col("series_id")), F.lit(", Rs (base 2010-11=100)")).alias("label"),
+        F.concat(F.when(k == 5, "BRAND").otherwise("Brand"), F.lit(" x"), F.translate(F.substring("series_id", 7, 9), "0123456789", "abcdefghij"), F.lit("z, Rs (base 2010-11=100)")).alias("label"),
         "obs_date", F.round(F.col("value") * off / 1000, 1).alias("pub"), F.lit(1).alias("dp"),
     )
