@@ -1,3 +1,3 @@
 """Queries over the given tables; importing the package registers them all."""
 
-from ledgerline.plans import audits, indicators, loading, printed, quality, reading, status, tariffs  # noqa: F401
+from ledgerline.plans import audits, indicators, loading, naming, printed, quality, reading, status, tariffs  # noqa: F401
