@@ -95,8 +95,8 @@ def cluster_spellings(reads: DataFrame, least: float = 0.85, least_reads: int =
             if whole >= least_reads:
                 often = own[own["n"] >= max(2, 0.1 * whole)] if (own["n"] >= max(2, 0.1 * whole)).any() else own
                 best[head] = max(zip(often["name"].str.count(" "), often["n"], often["name"]))[2]
-        pdf = pdf[pdf["head"].isin(best)]
-        return pdf.assign(canonical=pdf["head"].map(best))[["name", "n", "canonical"]]
+        kept = [r for r in zip(pdf["name"], pdf["n"], pdf["head"]) if r[2] in best]
+        return pd.DataFrame([(name, n, best[head]) for name, n, head in kept], columns=["name", "n", "canonical"]).astype({"name": object, "canonical": object})
 
     return distinct.groupBy("sign", F.substring("k", 1, 1).alias("first")).applyInPandas(lambda pdf: block(pdf), "name string, n long, canonical string")
 

@@ -1,11 +1,18 @@
-"""Streams of requests and readings: day partitions, window counts and alerts, on Structured Streaming."""
+"""Streams of requests, readings and observations on Structured Streaming: day partitions, window counts, alerts, merges."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.window import Window
+
+from ledgerline.operators import merge
+from ledgerline.operators.derived import webhook_matches
 
 
 def with_day(requests: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -13,12 +20,37 @@ def with_day(requests: DataFrame, delay: str = "1 day") -> DataFrame:
     return requests.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["event_id"]).withColumn("day", F.to_date("ts"))
 
 
+def write_days(requests: DataFrame, path: str, checkpoint: str, delay: str = "1 day") -> StreamingQuery:
+    """Drain a stream into day partitions, and end. Each micro-batch has a folder of its own that a repeated batch overwrites:
+    at least once from the source, once in the files."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={number}")
+
+    return with_day(requests, delay).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def move_late_rows(spark: SparkSession, path: str, all_rows: DataFrame, run: str) -> DataFrame:
+    """Rows that the stream left out as too late are moved into their day: what is in the raw log and in no partition yet, each
+    event once, as the batch `run`, which must be new."""
+    have = spark.read.parquet(path).select("event_id")
+    missed = all_rows.dropDuplicates(["event_id"]).join(have, "event_id", "left_anti").withColumn("day", F.to_date("ts"))
+    missed.write.partitionBy("day").parquet(f"{path}/batch={run}")
+    return spark.read.parquet(path)
+
+
 def minute_counters(requests: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Sliding 60-second counts by user, every 10 seconds."""
     w = F.window("ts", "60 seconds", "10 seconds")
     return requests.withWatermark("ts", delay).groupBy(w, "user_id").agg(F.count(F.lit(1)).alias("n")).select(F.col("window.start").alias("start"), "user_id", "n")
 
 
+def day_counters(requests: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Counts by user and UTC day."""
+    w = F.window("ts", "1 day")
+    return requests.withWatermark("ts", delay).groupBy(w, "user_id").agg(F.count(F.lit(1)).alias("n")).select(F.to_date("window.start").alias("day"), "user_id", "n")
+
+
 def probe_tallies(probes: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Hourly count, failures, total and longest time by target."""
     w = F.window("ts", "1 hour")
@@ -26,20 +58,99 @@ def probe_tallies(probes: DataFrame, delay: str = "1 hour") -> DataFrame:
     return out.select(F.col("window.start").alias("hour"), "target", "n", "failures", "ms_total", "ms_max")
 
 
+def day_summary(tallies: DataFrame) -> DataFrame:
+    """The last 24 hourly tallies of each target as one row: checks, failures, mean and longest time."""
+    newest = F.max("hour").over(Window.partitionBy("target"))
+    j = tallies.withColumn("newest", newest).filter(F.col("hour") > F.col("newest") - F.expr("interval 24 hours"))
+    return j.groupBy("target").agg(F.sum("n").alias("n"), F.sum("failures").alias("failures"), (F.sum("ms_total") / F.sum("n")).alias("ms_mean"), F.max("ms_max").alias("ms_max"))
+
+
 def consecutive_failures(probes: DataFrame, after: int = 2, quiet_s: int = 6 * 3600) -> DataFrame:
-    """An alert at the second failure in a row, once in six hours for a target; a success resets the row of failures."""
+    """An alert at the second failure in a row and not again for six hours while it lasts; a success resets both the row of
+    failures and the quiet time, so that a new outage alerts at once. Rows of one batch are taken in order of their time."""
 
     def step(key, batches, state: GroupState):
         row, alerted = state.get if state.exists else (0, None)
         out = []
-        for pdf in batches:
-            for r in pdf.sort_values("ts").itertuples():
-                row = 0 if r.ok else row + 1
-                now = r.ts.timestamp()
-                if row >= after and (alerted is None or now - alerted >= quiet_s):
-                    alerted = now
-                    out.append((key[0], r.ts, row))
+        for r in pd.concat(list(batches)).sort_values("ts").itertuples():
+            if r.ok:
+                row, alerted = 0, None
+                continue
+            row += 1
+            now = r.ts.timestamp()
+            if row >= after and (alerted is None or now - alerted >= quiet_s):
+                alerted = now
+                out.append((key[0], r.ts, row))
         state.update((row, alerted))
         yield pd.DataFrame(out, columns=["target", "ts", "failures"])
 
     return probes.groupBy("target").applyInPandasWithState(step, "target string, ts timestamp, failures long", "row long, alerted double", "append", GroupStateTimeout.NoTimeout)
+
+
+def alert_throttle(states: DataFrame, ttl_s: int = 24 * 3600) -> DataFrame:
+    """states (key, ts, stale) -> alerts: the first stale reading of a key, and again only after the time to live; a fresh
+    reading clears the key, so that its next lapse alerts at once. Keys without news are forgotten after the same time."""
+
+    def step(key, batches, state: GroupState):
+        alerted = state.get[0] if state.exists else None
+        out = []
+        for r in pd.concat(list(batches)).sort_values("ts").itertuples():
+            if not r.stale:
+                alerted = None
+            elif alerted is None or r.ts.timestamp() - alerted >= ttl_s:
+                alerted = r.ts.timestamp()
+                out.append((key[0], r.ts))
+        state.update((alerted,))
+        yield pd.DataFrame(out, columns=["key", "ts"])
+
+    return states.groupBy("key").applyInPandasWithState(step, "key string, ts timestamp", "alerted double", "append", GroupStateTimeout.NoTimeout)
+
+
+def change_points(readings: DataFrame, tolerance: float = 1e-9) -> DataFrame:
+    """readings (key, ts, value) -> only those whose value differs from the key's last one."""
+
+    def step(key, batches, state: GroupState):
+        last = state.get[0] if state.exists else None
+        out = []
+        for r in pd.concat(list(batches)).sort_values("ts").itertuples():
+            if last is None or abs(r.value - last) > tolerance:
+                out.append((key[0], r.ts, r.value))
+                last = r.value
+        state.update((last,))
+        yield pd.DataFrame(out, columns=["key", "ts", "value"])
+
+    return readings.groupBy("key").applyInPandasWithState(step, "key string, ts timestamp, value double", "last double", "append", GroupStateTimeout.NoTimeout)
+
+
+def stream_merge(incoming: DataFrame, catalog: DataFrame, load: Callable[[], DataFrame], store: Callable[[DataFrame, DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    """Each micro-batch of (point, value, seq) through duplicates, gates and the merge with revisions. load() gives what is
+    stored; store(state, revisions, batch) must replace and append by batch number, so that a repeated batch does no harm."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        rows = merge.dedupe_last(batch, merge.POINT, "seq")
+        stored = load()
+        newest = stored.groupBy("series_id", "dims_key").agg(F.max("obs_date").alias("last_date"), F.max_by("value", "obs_date").alias("last_value"))
+        judged = merge.validate(rows, catalog, newest, F.current_date()).filter("reason is null")
+        merged = merge.merge_observations(stored, judged, F.current_timestamp())
+        state = merged.select(*merge.POINT, "value", "revised_at", "first_seen_at")
+        revisions = merged.filter("action = 'changed'").select(*merge.POINT, F.col("prior_value").alias("value"), F.col("revised_at").alias("superseded_at"))
+        store(state, revisions, number)
+
+    return incoming.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def notify_updates(updates: DataFrame, hooks: DataFrame, catalog: DataFrame, latest: Callable[[], DataFrame], deliver: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    """Payload rows for the subscribers of updated series and modules, each subscriber and series once a batch."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        deliver(webhook_matches(batch, hooks, catalog, latest()), number)
+
+    return updates.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def rollup_stream(requests: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """Usage by day, route and status class as it comes in: count, approximate percentiles of the time and different users."""
+    w = F.window("ts", "1 day")
+    g = requests.withWatermark("ts", delay).groupBy(w, "route", (F.col("status") / 100).cast("int").alias("status_class"))
+    out = g.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("ms", [0.5, 0.95]).alias("p"), F.approx_count_distinct("user_id").alias("users"))
+    return out.select(F.to_date("window.start").alias("day"), "route", "status_class", "n", F.col("p")[0].alias("p50"), F.col("p")[1].alias("p95"), "users")
