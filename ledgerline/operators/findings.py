@@ -61,8 +61,9 @@ def verdicts(findings: DataFrame, compared: DataFrame, rel: float = 1e-6) -> Dat
     src = compared.select(*POINT, "theirs")
     j = findings.join(src, POINT, "left")
     same = F.abs(F.col("value") - F.col("theirs")) <= rel * F.greatest(F.abs("value"), F.abs("theirs"))
-    power = F.abs(F.log(F.abs(F.col("value") / F.col("theirs"))) / F.log(F.lit(1000.0)))
-    slip = (F.col("theirs") != 0) & (F.round(power) >= 1) & (F.abs(power - F.round(power)) < 0.001)
+    ratio = F.abs(F.col("theirs") / F.nullif(F.col("value"), F.lit(0.0)))
+    power = F.round(F.log(ratio) / F.log(F.lit(1000.0)))
+    slip = (power != 0) & (F.abs(ratio / F.pow(F.lit(1000.0), power) - 1) < 0.001)
     return j.withColumn("verdict", F.when(F.col("theirs").isNull(), "not_in_source").when(same, "confirmed").when(slip, "scale_corrected").otherwise("differs"))
 
 

@@ -92,13 +92,13 @@ def compare_partial(spark, d):
     return rounded(findings.compare_partial(ours, theirs.filter("year(obs_date) between 1997 and 1999"), merge.POINT), "ours", "theirs", digits=2)
 
 
-_NAV2 = f"""{A.NAVS}, ours AS (SELECT * FROM navs WHERE day(obs_date) <> 3), src AS (SELECT fund_id, obs_date, round(nav, 1) + CASE WHEN day(obs_date) = 20 THEN 7 ELSE 0 END AS nav FROM navs WHERE day(obs_date) <> 4 AND obs_date < DATE '2001-01-01'),
+_NAV2 = f"""{A.NAVS}, ours AS (SELECT * FROM navs WHERE day(obs_date) <> 3), src AS (SELECT fund_id, obs_date, floor(nav * 10 + 0.5) / 10 + CASE WHEN day(obs_date) = 20 THEN 7 ELSE 0 END AS nav FROM navs WHERE day(obs_date) <> 4 AND obs_date < DATE '2001-01-01'),
 q AS (SELECT fund_id, obs_date FROM navs WHERE day(obs_date) = 3 AND fund_id % 2 = 0)"""
 
 
 def _nav_sides(spark, d):
     n, day = A.navs(spark, d).withColumnRenamed("nav", "value"), F.dayofmonth("obs_date")
-    source = n.filter((day != 4) & (F.col("obs_date") < "2001-01-01")).withColumn("value", F.round("value", 1) + F.when(day == 20, 7).otherwise(0))
+    source = n.filter((day != 4) & (F.col("obs_date") < "2001-01-01")).withColumn("value", F.floor(F.col("value") * 10 + 0.5) / 10 + F.when(day == 20, 7).otherwise(0))
     return n.filter(day != 3), source.withColumn("printed", F.format_string("%.1f", "value")), n.filter((day == 3) & (F.col("fund_id") % 2 == 0)).select("fund_id", "obs_date")
 
 
@@ -120,13 +120,13 @@ def apply_source(spark, d):
     return rounded(findings.apply_source(ours, source, aside, trusted, "fund_id"), "ours", "theirs", digits=4)
 
 
-@query(f"""WITH {_FOUND}, c AS (SELECT f.*, source, abs(value / pv) AS up, abs(pv / value) AS down FROM found f JOIN catalog USING (series_id) WHERE detector IN ('spike_level', 'out_of_range') AND month(obs_date) <= 3),
+@query(f"""WITH {_FOUND}, c AS (SELECT f.*, source, abs(value / pv) AS up, abs(pv / value) AS down FROM found f JOIN catalog USING (series_id) WHERE detector IN ('spike_level', 'out_of_range') AND year(obs_date) = 1999 AND dims_key LIKE '%"A"%'),
 k AS (SELECT * FROM c WHERE detector = 'out_of_range' OR greatest(up, down) >= 100), few AS (SELECT series_id FROM k GROUP BY 1 HAVING count(*) < 3)
 SELECT series_id, obs_date, dims_key, detector, 'As published by ' || source || ', re-checked at the source. ' || CASE detector WHEN 'out_of_range' THEN 'Unusual for its unit.' ELSE 'About ' || format('{{:,}}', CAST(round(greatest(up, down) / pow(10, floor(log10(greatest(up, down))) - 1)) * pow(10, floor(log10(greatest(up, down))) - 1) AS BIGINT)) || ' times ' || CASE WHEN up > 1 THEN 'above' ELSE 'below' END || ' the periods either side'
 || CASE WHEN (abs(value) / 1000 BETWEEN least(abs(pv), abs(nv)) * 0.8 AND greatest(abs(pv), abs(nv)) * 1.25) OR (abs(value) * 1000 BETWEEN least(abs(pv), abs(nv)) * 0.8 AND greatest(abs(pv), abs(nv)) * 1.25) THEN ', which suggests a unit slip in the source''s figure.' ELSE '.' END END AS note FROM k SEMI JOIN few USING (series_id)""")
 def make_notes(spark, d):
     found = findings.run_detectors(_wild(spark, d), _catalog(spark, d), ["spike_level", "out_of_range"]).join(A.catalog(spark, d).select("series_id", "source"), "series_id")
-    return findings.make_notes(found.filter("month(obs_date) <= 3").withColumn("verdict", F.lit("confirmed")))
+    return findings.make_notes(found.filter((F.year("obs_date") == 1999) & F.contains("dims_key", F.lit('"A"'))).withColumn("verdict", F.lit("confirmed")))
 
 
 @query(f"""WITH {A.MONTHLY}, f AS (SELECT series_id, obs_date, max(value) AS v FROM monthly GROUP BY 1, 2), i AS (SELECT 'in.' || series_id AS input_id, obs_date, CASE WHEN month(obs_date) = 2 THEN v + 1 ELSE v END AS iv FROM f WHERE month(obs_date) <> 7)

@@ -91,10 +91,10 @@ def canon_district(spark, d):
     return asked.join(found, ["province", "name"]).select("n_nationkey", "canonical")
 
 
-@query(f"WITH {A.PRICES} SELECT item, city, week, CASE WHEN item < 'M' THEN round(value / 100, 2) WHEN item < 'S' THEN value END AS per_kg FROM prices")
+@query(f"WITH {A.PRICES} SELECT item, city, week, CASE WHEN item < 'M' THEN round(floor(value) / 100, 2) WHEN item < 'S' THEN floor(value) END AS per_kg FROM prices")
 def per_kg(spark, d):
     unit = F.when(F.col("item") < "M", "pkr_per_100kg").when(F.col("item") < "S", "pkr_per_kg").otherwise("pkr_per_dozen")
-    return A.prices(spark, d).select("item", "city", "week", text.per_kg(F.col("value"), unit).alias("per_kg"))
+    return A.prices(spark, d).select("item", "city", "week", text.per_kg(F.floor("value").cast("double"), unit).alias("per_kg"))
 
 
 @query("""WITH r AS (SELECT DISTINCT p_size, CAST(p_size % 7 AS INTEGER) AS wd, p_size AS md FROM part), k AS (SELECT p_size, DATE '2024-01-15' + CAST(i AS INTEGER) AS day, wd, md FROM r, range(121) t(i))

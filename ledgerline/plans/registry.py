@@ -192,14 +192,6 @@ def spike_level(spark, d):
     return rounded(series.spike_level(series.neighbours(A.monthly(spark, d)), A.catalog(spark, d)), "value", "pv", "nv")
 
 
-@query(f"""WITH {A.MONTHLY}, {_UNITS}, {_NUMBERED}, rates AS (SELECT * FROM around JOIN units USING (series_id) WHERE unit = 'percent'),
-usual AS (SELECT series_id, dims_key, quantile_cont(CASE WHEN value > pv THEN value - pv ELSE pv - value END, 0.5) AS move FROM rates GROUP BY 1, 2)
-{_OUT}, round(move, 6) AS mad FROM rates JOIN usual USING (series_id, dims_key)
-WHERE pv - nv BETWEEN -greatest(0.2, 2 * move) AND greatest(0.2, 2 * move) AND NOT 2 * value - pv - nv BETWEEN -greatest(2.0, 16 * move) AND greatest(2.0, 16 * move)""")
-def spike_rate(spark, d):
-    return rounded(series.spike_rate(series.neighbours(A.monthly(spark, d)), A.catalog(spark, d)), "value", "pv", "nv", "mad")
-
-
 _SLIP = """slip AS (SELECT series_id, dims_key, obs_date, value * CASE WHEN (year(obs_date) + month(obs_date)) % 7 = 0 THEN 1000 ELSE 1 END AS value FROM monthly)"""
 _MID = "exp((ln(abs(pv)) + ln(abs(nv))) / 2)"
 _SLIPS = f"""{A.MONTHLY}, {_UNITS}, {_SLIP}, {A.around("slip", series.KEY)}, agreed AS (SELECT *, least(abs(pv), abs(nv)) AS lo, greatest(abs(pv), abs(nv)) AS hi FROM around JOIN units USING (series_id)
@@ -207,8 +199,20 @@ WHERE unit NOT IN ('percent', 'index', 'ratio') AND value * pv > 0 AND value * n
 found AS (SELECT *, pow(1000.0, round(ln(abs(value) / {_MID}) / ln(1000.0))) AS factor FROM agreed WHERE lo >= 1)"""
 
 
+def _slipped(spark, d):
+    return A.monthly(spark, d).withColumn("value", F.col("value") * F.when((F.year("obs_date") + F.month("obs_date")) % 7 == 0, 1000).otherwise(1))
+
+
+@query(f"""WITH {A.MONTHLY}, {_UNITS}, {_SLIP}, {A.around("slip", series.KEY)}, rates AS (SELECT * FROM around JOIN units USING (series_id) WHERE unit = 'percent'),
+usual AS (SELECT series_id, dims_key, quantile_cont(CASE WHEN value > pv THEN value - pv ELSE pv - value END, 0.5) AS move FROM rates GROUP BY 1, 2)
+{_OUT}, round(move, 6) AS mad FROM rates JOIN usual USING (series_id, dims_key)
+WHERE pv - nv BETWEEN -greatest(0.2, 2 * move) AND greatest(0.2, 2 * move) AND NOT 2 * value - pv - nv BETWEEN -greatest(2.0, 16 * move) AND greatest(2.0, 16 * move)""")
+def spike_rate(spark, d):
+    return rounded(series.spike_rate(series.neighbours(_slipped(spark, d)), A.catalog(spark, d)), "value", "pv", "nv", "mad")
+
+
 def _slips(spark, d):
-    m = A.monthly(spark, d).withColumn("value", F.col("value") * F.when((F.year("obs_date") + F.month("obs_date")) % 7 == 0, 1000).otherwise(1))
+    m = _slipped(spark, d)
     return m, series.scale_slips(series.neighbours(m), A.catalog(spark, d))
 
 
