@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import bpe, html, langid, minhash, packing, simhash, suffixes, topk, toxicity, warc
+from ledgerline.llm import audit, bpe, fim, html, langid, minhash, packing, simhash, suffixes, tokencount, topk, toxicity, warc
 
 
 def queries() -> dict:
@@ -17,10 +17,15 @@ def queries() -> dict:
         "op8_bpe": bpe.op8_bpe,
         "op9_fingerprints": minhash.op9_fingerprints,
         "op10_suffix_dedup": suffixes.op10_suffix_dedup,
+        "op11_fim": fim.op11_fim,
+        "op12_token_counts": tokencount.op12_token_counts,
+        "op13_filter_audit": audit.op13_filter_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_topk": topk.OP1_SQL,
+        "op11_fim": fim.OP11_SQL,
+        "op13_filter_audit": audit.OP13_SQL,
     }
