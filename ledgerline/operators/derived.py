@@ -145,20 +145,41 @@ def default_group(obs: DataFrame, dims: list[str]) -> DataFrame:
     return long.groupBy("series_id", "dim").agg(F.min_by("val", F.struct(place, "val")).alias("val"))
 
 
+#: How far the neighbours of a spike may be apart, and how many times a spike is off.
+NOTICE_AGREE, NOTICE_SPIKE = 0.25, 3
+
+
+def misdated(notices: DataFrame, key: list[str], order: str) -> DataFrame:
+    """notices (key, order, obs_date, value) in the order of their archive, the newest first, with `misdated`: dated outside of
+    the span from the older neighbour to the newer one that was kept, where these two are in order. One fold over a key's
+    dates, as what is kept decides on what follows."""
+    g = notices.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(order, "obs_date", "value"))).alias("n"))
+    g = g.withColumn("n", F.transform("n", lambda x, i: F.struct(x[order].alias(order), x["obs_date"].alias("obs_date"), x["value"].alias("value"), F.try_element_at("n", i + 2)["obs_date"].alias("older"))))
+
+    def step(acc: Column, x: Column) -> Column:
+        newer = acc["newer"]
+        bad = F.coalesce((newer >= x["older"]) & ~x["obs_date"].between(x["older"], newer), F.lit(False))
+        return F.struct(F.when(bad, newer).otherwise(x["obs_date"]).alias("newer"), F.concat(acc["bad"], F.array(bad)).alias("bad"))
+
+    start = F.struct(F.lit(None).cast("date").alias("newer"), F.lit([]).cast("array<boolean>").alias("bad"))
+    flags = g.withColumn("bad", F.aggregate("n", start, step)["bad"])
+    return flags.select(*key, F.explode(F.arrays_zip("n", "bad")).alias("z")).select(*key, f"z.n.{order}", "z.n.obs_date", "z.n.value", F.col("z.bad").alias("misdated"))
+
+
 def price_notices(notices: DataFrame, key: list[str], order: str) -> DataFrame:
-    """Dated price notices in the order of their archive, cleaned: a notice dated before an earlier one of the archive is out
-    of order, one off by three times from both neighbours that agree is a misprint, as is one at either end off by three
-    times from its only neighbour; of notices with one date the first listed counts."""
+    """Dated price notices in the order of their archive, the newest first, cleaned: misdated ones go; then a price over three
+    times the larger or under a third of the smaller of two neighbours that agree within 25 %, and one at either end off by
+    more than three times from its only neighbour; of notices with one date the first listed of what is left counts. Prices
+    of null are no neighbours and are left out, nor is a price of zero a neighbour to judge by."""
+    kept = misdated(notices.filter("value is not null"), key, order).filter(~F.col("misdated")).drop("misdated")
     w = Window.partitionBy(*key).orderBy(order)
-    out = notices.withColumn("newest", F.max("obs_date").over(w.rowsBetween(Window.unboundedPreceding, -1))).filter("newest is null or obs_date >= newest").drop("newest")
-    out = top_n_per_group(out, [*key, "obs_date"], [F.col(order)], 1).drop("place")
-    pv, nv, v = F.lag("value").over(w), F.lead("value").over(w), F.col("value")
-    far = lambda x: (v / x > 3) | (x / v > 3)
-    near = out.withColumn("pv", pv).withColumn("nv", nv)
-    pv, nv = F.col("pv"), F.col("nv")
-    inner = pv.isNotNull() & nv.isNotNull() & far(pv) & far(nv) & ~((pv / nv > 3) | (nv / pv > 3))
-    edge = (pv.isNull() & nv.isNotNull() & far(nv)) | (nv.isNull() & pv.isNotNull() & far(pv))
-    return near.filter(~F.coalesce(inner | edge, F.lit(False))).drop("pv", "nv")
+    near = kept.withColumn("nv", F.lag("value").over(w)).withColumn("pv", F.lead("value").over(w))
+    pv, nv, v = F.col("pv"), F.col("nv"), F.col("value")
+    spike = (F.abs(pv / nv - 1) < NOTICE_AGREE) & ((v > NOTICE_SPIKE * F.greatest(pv, nv)) | (v < F.least(pv, nv) / NOTICE_SPIKE))
+    only = F.when(nv.isNull(), pv).when(pv.isNull(), nv)
+    edge = (only != 0) & ~v.between(only / NOTICE_SPIKE, only * NOTICE_SPIKE)
+    left = near.filter(~F.coalesce((pv != 0) & (nv != 0) & spike, F.lit(False)) & ~F.coalesce(edge, F.lit(False))).drop("pv", "nv")
+    return top_n_per_group(left, [*key, "obs_date"], [F.col(order)], 1).drop("place")
 
 
 def daily_peaks(hours: DataFrame, key: list[str], least: int = 20) -> DataFrame:

@@ -62,13 +62,18 @@ def drop_blips(prints: DataFrame, key: list[str], order: str) -> DataFrame:
 
 def link_supersessions(rulings: DataFrame) -> DataFrame:
     """Which ruling supersedes which: each number named by a ruling means its latest earlier listing, and a ruling is
-    superseded by the earliest that names it. rulings: (ruling_id, number, listed_on, supersedes array<string>).
+    superseded by the earliest that names it. Earlier is the same day too, but never the ruling itself; of one day's listings
+    the largest id counts. rulings: (ruling_id, number, listed_on, supersedes array<string>).
 
-    The latest earlier listing is found by a union and one sort per number, so no range join is needed."""
+    The latest earlier listing is found by a union and one sort per number, so no range join is needed; each listing brings
+    the one before it, in case the latest is the asking ruling's own."""
     listed = rulings.select("number", F.col("listed_on").alias("on"), F.col("ruling_id").alias("id"), F.lit(0).alias("asks"))
     asked = rulings.select(F.explode("supersedes").alias("number"), F.col("listed_on").alias("on"), F.col("ruling_id").alias("id"), F.lit(1).alias("asks"))
-    w = Window.partitionBy("number").orderBy("on", "id", F.desc("asks")).rowsBetween(Window.unboundedPreceding, -1)
-    found = listed.unionByName(asked).withColumn("old_id", F.last(F.when(F.col("asks") == 0, F.col("id")), ignorenulls=True).over(w))
+    listed = listed.withColumn("before", F.lag("id").over(Window.partitionBy("number").orderBy("on", "id")))
+    w = Window.partitionBy("number").orderBy("on", "asks", "id").rowsBetween(Window.unboundedPreceding, -1)
+    both = listed.unionByName(asked.withColumn("before", F.lit(None).cast(listed.schema["id"].dataType)))
+    found = both.withColumn("last", F.last(F.when(F.col("asks") == 0, F.struct("id", "before")), ignorenulls=True).over(w))
+    found = found.withColumn("old_id", F.when(F.col("last.id") != F.col("id"), F.col("last.id")).otherwise(F.col("last.before")))
     links = found.filter("asks = 1 and old_id is not null").groupBy("old_id").agg(F.min(F.struct("on", "id")).alias("by"))
     return links.select(F.col("old_id").alias("ruling_id"), F.col("by.id").alias("superseded_by"), F.col("by.on").alias("superseded_on"))
 

@@ -90,16 +90,27 @@ def cap_expense(df: DataFrame, column: str, cap: float, others: list[str]) -> Da
 
 
 def merge_catalog(existing: DataFrame, found: DataFrame) -> DataFrame:
-    """Catalog rows (source_key, series_id): what exists wins by source key; ids of new rows that are taken get _2, _3 ...
-    behind them, in the order of their source keys."""
-    new = found.join(existing.select("source_key"), "source_key", "left_anti").dropDuplicates(["source_key"])
-    base = F.regexp_replace("series_id", r"_\d+$", "")
-    suffix = F.coalesce(F.regexp_extract("series_id", r"_(\d+)$", 1).try_cast("int"), F.lit(1))
-    taken = existing.groupBy(base.alias("base")).agg(F.max(suffix).alias("taken"))
+    """Catalog rows (source_key, series_id): what exists wins by source key. Of new rows with one id the first by source key
+    keeps it if it is free; the others get the first free of _2, _3 ... behind it, in the order of their source keys. Ids
+    are unique: a number is free if neither an existing row nor a new one that keeps its id has it.
+
+    The r-th free number of an id is r + 1 plus how many taken numbers stand below it: taken numbers and rows that ask are
+    sorted together once, by how many free numbers come before them."""
+    kept = existing.select("source_key", "series_id")
+    new = found.select("source_key", "series_id").join(kept.select("source_key"), "source_key", "left_anti").groupBy("source_key").agg(F.min("series_id").alias("series_id"))
     w = Window.partitionBy("series_id").orderBy("source_key")
-    n = new.join(taken, F.col("series_id") == F.col("base"), "left").withColumn("n", F.coalesce("taken", F.lit(0)) + F.row_number().over(w))
-    named = n.select("source_key", F.when(F.col("n") == 1, F.col("series_id")).otherwise(F.concat("series_id", F.lit("_"), F.col("n").cast("string"))).alias("series_id"))
-    return existing.select("source_key", "series_id").unionByName(named)
+    placed = new.withColumn("place", F.row_number().over(w)).join(kept.select("series_id", F.lit(1).alias("used")).distinct(), "series_id", "left")
+    ask = F.col("place") - F.when(F.col("used").isNull(), 1).otherwise(0)  # 0: the id itself
+    placed = placed.withColumn("ask", ask.cast("long"))
+    own = placed.filter("ask = 0").select("source_key", "series_id")
+    number = F.regexp_extract("series_id", r"_([1-9]\d*)$", 1).try_cast("long")
+    taken = kept.unionByName(own).select(F.regexp_replace("series_id", r"_\d+$", "").alias("series_id"), number.alias("number")).filter("number >= 2").distinct()
+    before = F.col("number") - 1 - F.row_number().over(Window.partitionBy("series_id").orderBy("number"))
+    both = taken.withColumn("at", before).select("series_id", "at", F.lit(1).alias("is_taken"), F.lit(None).cast("string").alias("source_key"))
+    both = both.unionByName(placed.filter("ask > 0").select("series_id", F.col("ask").alias("at"), F.lit(0).alias("is_taken"), "source_key"))
+    below = F.coalesce(F.sum("is_taken").over(Window.partitionBy("series_id").orderBy("at", "is_taken").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    named = both.withColumn("n", F.col("at") + 1 + below).filter("is_taken = 0").select("source_key", F.concat_ws("_", "series_id", F.col("n").cast("string")).alias("series_id"))
+    return kept.unionByName(own).unionByName(named)
 
 
 def select_backfill(catalog: DataFrame, obs: DataFrame, grace: dict[str, int], today: Column, limit: int) -> DataFrame:

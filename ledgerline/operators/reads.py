@@ -14,8 +14,12 @@ from ledgerline.operators.facts import nearest_prior
 #: The frequencies that a yearly and a monthly change make sense for.
 YOY_FREQUENCIES = ["daily", "weekly", "monthly", "quarterly"]
 MOM_FREQUENCIES = ["monthly"]
-#: Months before the window's start that a transform needs to look at.
-LOOKBACK_MONTHS = {"yoy": 13, "mom": 2, "pct_change": 12, "3ma": 12, "index": 0}
+#: Days before the window's start that a transform looks at, and days of one period by frequency (a change
+#: against the point before takes one, a mean of three takes three).
+LOOKBACK_DAYS = {"yoy": 400, "mom": 40, "index": 0}
+LOOKBACK_PERIODS = {"pct_change": 1, "3ma": 3}
+PERIOD_DAYS = {"daily": 10, "weekly": 21, "fortnightly": 21, "monthly": 45, "quarterly": 120, "half-yearly": 200, "semiannual": 200, "annual": 400}
+LONGEST_PERIOD = 400
 
 
 def dim(dims_key: str | Column, name: str) -> Column:
@@ -157,7 +161,7 @@ def resolve_entity(entities: DataFrame, asked: DataFrame, renamed: DataFrame | N
 
 def check_transform(kind: str, frequency: str) -> None:
     """Raise for a transform that does not fit the series' frequency."""
-    if kind not in LOOKBACK_MONTHS:
+    if kind not in LOOKBACK_DAYS and kind not in LOOKBACK_PERIODS:
         raise ValueError(f"unknown transform {kind}")
     fits = {"yoy": YOY_FREQUENCIES, "mom": MOM_FREQUENCIES}.get(kind)
     if fits and frequency.lower() not in fits:
@@ -176,12 +180,19 @@ def yoy_daily(obs: DataFrame, tolerance: int = 7) -> DataFrame:
     return out.select(*series.KEY, "obs_date", "value", F.when(F.col("base") != 0, (F.col("value") / F.col("base") - 1) * 100).alias("result"))
 
 
+def look_back(kind: str, frequency: str) -> int:
+    """Days before a window that a transform reads."""
+    if kind in LOOKBACK_DAYS:
+        return LOOKBACK_DAYS[kind]
+    return LOOKBACK_PERIODS[kind] * PERIOD_DAYS.get(frequency.lower(), LONGEST_PERIOD)
+
+
 def transform(obs: DataFrame, kind: str, frequency: str, start: str | None = None) -> DataFrame:
     """Apply a transform from `start` on: what it needs before that date is read, used and cut away again, so that the first
     points are not null for want of a past. An index is rebased to the first value of the window itself."""
     check_transform(kind, frequency)
     first = F.lit(start).cast("date") if start else None
-    read = obs.filter(F.col("obs_date") >= F.add_months(first, -LOOKBACK_MONTHS[kind])) if start else obs
+    read = obs.filter(F.col("obs_date") >= F.date_sub(first, look_back(kind, frequency))) if start else obs
     if kind == "yoy" and frequency.lower() == "daily":
         done = yoy_daily(read)
     else:

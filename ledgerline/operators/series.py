@@ -22,9 +22,11 @@ def pct_change(obs: DataFrame) -> DataFrame:
 
 
 def against_month(obs: DataFrame, months: int) -> DataFrame:
-    """Percent against the exact calendar partner `months` earlier (12: yoy, 1: mom); a missing partner is null."""
-    past = obs.select(*KEY, F.last_day(F.add_months("obs_date", months)).alias("obs_date"), F.col("value").alias("past"))
-    return obs.join(past, [*KEY, "obs_date"], "left").withColumn("result", F.when(F.col("past") != 0, (F.col("value") / F.col("past") - 1) * 100)).drop("past")
+    """Percent against the same date `months` earlier (12: yoy, 1: mom), or that month's last day where it is too short. Nothing
+    stands in for a partner that is missing: a point at the end of February has none in a leap year's end of February."""
+    past = obs.select(*KEY, F.col("obs_date").alias("partner"), F.col("value").alias("past"))
+    asked = obs.withColumn("partner", F.add_months("obs_date", -months))
+    return asked.join(past, [*KEY, "partner"], "left").withColumn("result", F.when(F.col("past") != 0, (F.col("value") / F.col("past") - 1) * 100)).drop("past", "partner")
 
 
 def ma3(obs: DataFrame) -> DataFrame:

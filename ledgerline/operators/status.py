@@ -109,9 +109,10 @@ def catalog_admin(catalog: DataFrame) -> DataFrame:
 
 
 def overview(users: DataFrame, prices: dict[str, float], today: Column) -> DataFrame:
-    """Per plan: users, sign-ups today, in 7 and in 30 days, those active in 30 days, and revenue at the plan's price."""
-    since = lambda c, days: F.count_if(F.col(c) > F.date_sub(today, days))
-    g = users.groupBy("plan").agg(F.count(F.lit(1)).alias("users"), since("signed_up", 1).alias("today"), since("signed_up", 7).alias("week"), since("signed_up", 30).alias("month"), since("last_seen", 30).alias("active"))
+    """Per plan: users, sign-ups of today, since 7 and since 30 days ago, those seen since 30 days ago, and revenue at the
+    plan's price. The day so many days ago counts, as do later days than today but for `today`."""
+    since = lambda c, days: F.count_if(F.col(c) >= F.date_sub(today, days))
+    g = users.groupBy("plan").agg(F.count(F.lit(1)).alias("users"), F.count_if(F.col("signed_up") == today).alias("today"), since("signed_up", 7).alias("week"), since("signed_up", 30).alias("month"), since("last_seen", 30).alias("active"))
     return g.withColumn("revenue", F.col("users") * by_value(F.col("plan"), prices, 0.0))
 
 

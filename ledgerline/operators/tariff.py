@@ -17,24 +17,36 @@ def parse_rate(text: Column) -> Column:
     return F.when(t.rlike(r"^\d+(\.\d+)?\s*%?$"), F.regexp_extract(t, r"^(\d+(?:\.\d+)?)", 1).try_cast("double"))
 
 
+#: Shapes of printed codes, by kind; eight and four digits may stand without a dot.
+SHAPES = {"code": r"^\d{4}\.?\d{4}$", "subheading": r"^\d{4}\.\d{2}$", "heading": r"^\d{2}\.?\d{2}$"}
+DOTTED, JOINERS = r"^\d{4}\.\d{4}$", ["to", "-", "–"]
+
+
 def printed_codes(text: Column) -> Column:
-    """array<struct<kind, lo, hi>> of the codes in free text, by kind: a range of 8-digit codes, a code (dddd.dddd), a
-    subheading (dddd.dd), a heading (dd.dd). Codes within a range or a longer code are not counted again."""
-    plain = lambda c: F.replace(c, F.lit("."), F.lit(""))
-    entry = lambda kind, lo, hi: F.struct(F.lit(kind).alias("kind"), lo.alias("lo"), hi.alias("hi"))
-    of_kind = lambda kind: lambda c: entry(kind, plain(c), plain(c))
-    spans = r"(\d{4}\.\d{4})\s*(?:-|to)\s*(\d{4}\.\d{4})"
-    ranges = F.transform(F.regexp_extract_all(text, F.lit(spans), F.lit(0)), lambda m: entry("range", plain(F.regexp_extract(m, spans, 1)), plain(F.regexp_extract(m, spans, 2))))
-    out, rest = [ranges], F.regexp_replace(text, spans, " ")
-    for kind, pattern in (("code", r"(?<![\d.])(\d{4}\.\d{4})(?![\d.]*\d)"), ("subheading", r"(?<![\d.])(\d{4}\.\d{2})(?![\d.]*\d)"), ("heading", r"(?<![\d.])(\d{2}\.\d{2})(?![\d.]*\d)")):
-        out.append(F.transform(F.regexp_extract_all(rest, F.lit(pattern), F.lit(1)), of_kind(kind)))
+    """array<struct<kind, lo, hi>> of the codes in free text: ranges of dotted 8-digit codes (joined by `to` or a dash), then
+    codes (dddd.dddd or eight digits), subheadings (dddd.dd) and headings (dd.dd or four digits).
+
+    The text is cut into runs of digits and dots, dashes and words; a run counts as a whole, so that no code is read out of a
+    longer number. A space behind the dot of a code is let go first."""
+    joined = F.regexp_replace(text, r"(?<=\b\d{4}\.)\s(?=\d{4}\b)", "")
+    toks = F.regexp_extract_all(joined, F.lit(r"(?<![\d.])\d+(?:\.\d+)*|[-–]|[^\s\d–-]+"), F.lit(0))
+    tok = lambda i: F.get(toks, i)
+    spans = lambda i: F.coalesce((i >= 0) & tok(i).rlike(DOTTED) & tok(i + 1).isin(*JOINERS) & tok(i + 2).rlike(DOTTED), F.lit(False))
+    opens = lambda i: spans(i) & ~spans(i - 2)
+    bare = lambda c: F.replace(c, F.lit("."), F.lit(""))
+    entry = lambda kind, lo, hi: F.struct(F.lit(kind).alias("kind"), bare(lo).alias("lo"), bare(hi).alias("hi"))
+    at = F.filter(F.sequence(F.lit(-1), F.size(toks) - 1), lambda i: i >= 0)
+    out = [F.transform(F.filter(at, opens), lambda i: entry("range", tok(i), tok(i + 2)))]
+    for kind, shape in SHAPES.items():
+        own = F.filter(at, lambda i: tok(i).rlike(shape) & ~opens(i) & ~opens(i - 2))  # noqa: B023
+        out.append(F.transform(own, lambda i: entry(kind, tok(i), tok(i))))  # noqa: B023
     return F.concat(*out)
 
 
 def excepted_codes(text: Column) -> Column:
-    """Codes after `except` or `excluding`, as digit prefixes."""
-    tail = F.regexp_extract(F.lower(text), r"(?:except|excluding)(.*)$", 1)
-    return F.transform(F.regexp_extract_all(tail, F.lit(r"(\d{2,4}\.\d{2,4})"), F.lit(1)), lambda c: F.replace(c, F.lit("."), F.lit("")))
+    """Codes named anywhere behind the word `except` or `excluding`, on later lines too, as digit prefixes."""
+    behind = F.regexp_extract(F.lower(text), r"(?s)\b(?:except|excluding)\b(.*)", 1)
+    return F.transform(F.regexp_extract_all(behind, F.lit(r"\b(?:\d{2}\.\d{2}|\d{4}\.\d{2}(?:\d{2})?)\b"), F.lit(0)), lambda c: F.replace(c, F.lit("."), F.lit("")))
 
 
 def tariff_with_duties(tariff: DataFrame, duties: DataFrame) -> DataFrame:
@@ -175,15 +187,16 @@ def merge_edition(prints: DataFrame) -> DataFrame:
 
 def sync_components(stored: DataFrame, incoming: DataFrame, owned: list[str]) -> DataFrame:
     """The duties after a job's run: components it owns become what it printed (others of that edition go), components of
-    other jobs and editions it did not print stay. `action`: new, changed, same, deleted or kept."""
+    other jobs and editions it did not print stay. A duty is its rate and its text. `action`: new, changed, same, deleted or kept."""
     key = ["code", "fy", "component"]
     fresh = incoming.filter(F.col("component").isin(*owned))
     years = fresh.select("fy").distinct().withColumn("printed_year", F.lit(True))
-    s = stored.select(*key, F.col("rate_pct").alias("old"), F.lit(True).alias("in_store"))
-    j = s.join(fresh.select(*key, F.col("rate_pct").alias("new"), F.lit(True).alias("in_batch")), key, "full_outer").join(years, "fy", "left")
+    duty = F.struct("rate_pct", "rate_text")
+    s = stored.select(*key, duty.alias("old"), F.lit(True).alias("in_store"))
+    j = s.join(fresh.select(*key, duty.alias("new"), F.lit(True).alias("in_batch")), key, "full_outer").join(years, "fy", "left")
     mine = F.col("component").isin(*owned) & F.coalesce("printed_year", F.lit(False))
     action = F.when(F.col("in_store").isNull(), "new").when(F.col("in_batch").isNull() & mine, "deleted").when(F.col("in_batch").isNull(), "kept").when(F.col("old").eqNullSafe(F.col("new")), "same").otherwise("changed")
-    return j.withColumn("action", action).select(*key, F.when(F.col("in_batch").isNull(), F.col("old")).otherwise(F.col("new")).alias("rate_pct"), "action")
+    return j.withColumn("action", action).select(*key, F.when(F.col("in_batch").isNull(), F.col("old")).otherwise(F.col("new")).alias("duty"), "action").select(*key, "duty.rate_pct", "duty.rate_text", "action")
 
 
 def too_few_rows(df: DataFrame, key: str, least: int) -> DataFrame:

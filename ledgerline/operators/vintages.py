@@ -39,7 +39,9 @@ def figure3(x: Column) -> Column:
 
 
 def prints_as(value: Column, pub: Column, dp: Column, scale: Column) -> Column:
-    """Whether our value, in the print's unit and precision, is the printed figure."""
+    """Whether our value, in the print's unit and precision, is the printed figure. The value is divided by the unit of the last
+    digit, so that the binary double is rounded: 41.05 is a little less than it reads and prints as 41.0. Exact halves go
+    away from zero."""
     unit = F.pow(F.lit(10.0), -dp)
     return F.abs(F.round(value / scale / unit) * unit - pub) <= 0.6 * unit
 

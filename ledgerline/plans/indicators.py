@@ -100,16 +100,24 @@ def default_group(spark, d):
     return derived.default_group(obs, ["city", "side"])
 
 
-_NOTICES = "raw AS (SELECT o_custkey AS fuel, o_orderkey AS pos, CAST(o_orderdate AS DATE) AS obs_date, o_totalprice AS value FROM orders)"
-
-
-@query(f"""WITH {_NOTICES}, k AS (SELECT *, max(obs_date) OVER (PARTITION BY fuel ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM raw), f AS (SELECT fuel, pos, obs_date, value, row_number() OVER (PARTITION BY fuel, obs_date ORDER BY pos) AS rn FROM k WHERE top IS NULL OR obs_date >= top),
-c AS (SELECT fuel, pos, obs_date, value, row_number() OVER (PARTITION BY fuel ORDER BY pos) AS n FROM f WHERE rn = 1), g AS (SELECT c.*, greatest(c.value / l.value, l.value / c.value) AS pl, greatest(c.value / r.value, r.value / c.value) AS pr, greatest(l.value / r.value, r.value / l.value) AS lr
-FROM c LEFT JOIN c l ON l.fuel = c.fuel AND l.n = c.n - 1 LEFT JOIN c r ON r.fuel = c.fuel AND r.n = c.n + 1)
-SELECT fuel, pos, obs_date, value FROM g WHERE NOT CASE WHEN pl IS NULL AND pr IS NULL THEN false WHEN pl IS NULL THEN pr > 3 WHEN pr IS NULL THEN pl > 3 ELSE pl > 3 AND pr > 3 AND lr <= 3 END""")
+_NOTICES = """raw AS (SELECT o_custkey % 40 AS fuel, row_number() OVER (PARTITION BY o_custkey % 40 ORDER BY o_orderdate DESC, o_orderkey) AS pos,
+CAST(CASE WHEN o_orderkey % 23 = 0 THEN o_orderdate + INTERVAL 5 YEAR WHEN o_orderkey % 29 = 0 THEN o_orderdate - INTERVAL 2 YEAR ELSE o_orderdate END AS DATE) AS obs_date,
+CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE (100 + o_orderkey % 20) * CASE WHEN o_orderkey % 17 = 0 THEN 10 WHEN o_orderkey % 19 = 0 THEN 0.1 ELSE 1 END END AS value FROM orders)"""
+
+
+@query(f"""WITH RECURSIVE {_NOTICES}, s AS (SELECT *, row_number() OVER (PARTITION BY fuel ORDER BY pos) AS n, lead(obs_date) OVER (PARTITION BY fuel ORDER BY pos) AS older FROM raw WHERE value IS NOT NULL),
+walk AS (SELECT fuel, n, obs_date AS newer, true AS kept FROM s WHERE n = 1 UNION ALL SELECT s.fuel, s.n, CASE WHEN x.bad THEN w.newer ELSE s.obs_date END, NOT x.bad FROM walk w JOIN s ON s.fuel = w.fuel AND s.n = w.n + 1,
+LATERAL (SELECT coalesce(w.newer >= s.older AND (s.obs_date > w.newer OR s.obs_date < s.older), false) AS bad) x),
+c AS (SELECT s.fuel, s.pos, s.obs_date, s.value, row_number() OVER (PARTITION BY s.fuel ORDER BY s.pos) AS m FROM s JOIN walk USING (fuel, n) WHERE kept),
+j AS (SELECT c.*, o.value AS pv, y.value AS nv FROM c LEFT JOIN c o ON o.fuel = c.fuel AND o.m = c.m + 1 LEFT JOIN c y ON y.fuel = c.fuel AND y.m = c.m - 1),
+g AS (SELECT fuel, pos, obs_date, value, row_number() OVER (PARTITION BY fuel, obs_date ORDER BY pos) AS rn FROM j WHERE NOT CASE WHEN pv IS NOT NULL AND nv IS NOT NULL THEN abs(pv / nv - 1) < 0.25 AND (value > 3 * pv AND value > 3 * nv OR 3 * value < pv AND 3 * value < nv)
+WHEN pv IS NULL AND nv IS NULL THEN false ELSE value > 3 * coalesce(pv, nv) OR 3 * value < coalesce(pv, nv) END) SELECT fuel, pos, obs_date, CAST(value AS DOUBLE) AS value FROM g WHERE rn = 1""")
 def price_notice_clean(spark, d):
-    raw = read_table(spark, d, "orders").select(F.col("o_custkey").alias("fuel"), F.col("o_orderkey").alias("pos"), F.to_date("o_orderdate").alias("obs_date"), F.col("o_totalprice").alias("value"))
-    return derived.price_notices(raw, ["fuel"], "pos")
+    k, day = F.col("o_orderkey"), F.to_date("o_orderdate")
+    pos = F.row_number().over(Window.partitionBy(F.col("o_custkey") % 40).orderBy(F.desc("o_orderdate"), "o_orderkey")).cast("long")
+    date = F.when(k % 23 == 0, F.add_months(day, 60)).when(k % 29 == 0, F.add_months(day, -24)).otherwise(day)
+    value = F.when(k % 31 != 0, (100 + k % 20) * F.when(k % 17 == 0, 10.0).when(k % 19 == 0, 0.1).otherwise(1.0))
+    return derived.price_notices(read_table(spark, d, "orders").select((F.col("o_custkey") % 40).alias("fuel"), pos.alias("pos"), date.alias("obs_date"), value.alias("value")), ["fuel"], "pos")
 
 
 _HOURS = "hours AS (SELECT event_type AS series_id, date_trunc('hour', ts) AS hour, sum(value) AS value FROM events GROUP BY 1, 2)"

@@ -94,14 +94,18 @@ def cap_expense(spark, d):
     return loads.cap_expense(read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_tax").alias("ter"), F.col("l_discount").alias("fee")), "ter", 0.05, ["fee"])
 
 
-@query("""WITH e AS (SELECT 's' || CAST(s_suppkey AS VARCHAR) AS source_key, CASE WHEN s_suppkey = 0 THEN 'id.PROMO' WHEN s_suppkey = 1 THEN 'id.PROMO_4' ELSE 'other.' || CAST(s_suppkey AS VARCHAR) END AS series_id FROM supplier),
-f AS (SELECT DISTINCT 'p' || CAST(p_size AS VARCHAR) || p_type AS source_key, 'id.' || p_type AS series_id FROM part), t AS (SELECT split_part(series_id, '_', 1) AS base, max(CASE WHEN contains(series_id, '_') THEN CAST(split_part(series_id, '_', 2) AS INTEGER) ELSE 1 END) AS taken FROM e GROUP BY 1),
-n AS (SELECT source_key, series_id, coalesce(taken, 0) + row_number() OVER (PARTITION BY series_id ORDER BY source_key) AS n FROM f LEFT JOIN t ON base = series_id)
-SELECT * FROM e UNION ALL SELECT source_key, CASE WHEN n = 1 THEN series_id ELSE series_id || '_' || CAST(n AS VARCHAR) END FROM n""")
+@query("""WITH e AS (SELECT 's' || CAST(s_suppkey AS VARCHAR) AS source_key, CASE s_suppkey WHEN 0 THEN 'id.PROMO' WHEN 1 THEN 'id.PROMO_4' WHEN 2 THEN 'id.PROMO_2' WHEN 3 THEN 'id.ECONOMY_2010' WHEN 4 THEN 'id.LARGE_7' ELSE 'other.' || CAST(s_suppkey AS VARCHAR) END AS series_id FROM supplier),
+f AS (SELECT DISTINCT 'p' || CAST(p_size AS VARCHAR) || p_type AS source_key, 'id.' || split_part(p_type, ' ', 1) || CASE WHEN p_size % 9 = 0 THEN '_3' ELSE '' END AS series_id FROM part),
+r AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY source_key) - CASE WHEN series_id IN (SELECT series_id FROM e) THEN 0 ELSE 1 END AS ask FROM f),
+o AS (SELECT series_id FROM e UNION SELECT series_id FROM r WHERE ask = 0),
+free AS (SELECT b.series_id, k, row_number() OVER (PARTITION BY b.series_id ORDER BY k) AS nth FROM (SELECT series_id, max(ask) AS most FROM r GROUP BY 1) b, range(2, 3000) g(k) WHERE k <= most + 100 AND b.series_id || '_' || CAST(k AS VARCHAR) NOT IN (SELECT series_id FROM o))
+SELECT source_key, series_id FROM e UNION ALL SELECT source_key, series_id FROM r WHERE ask = 0 UNION ALL SELECT r.source_key, r.series_id || '_' || CAST(k AS VARCHAR) FROM r JOIN free ON free.series_id = r.series_id AND nth = ask WHERE ask > 0""")
 def merge_catalog(spark, d):
-    k = F.col("s_suppkey").cast("string")
-    existing = read_table(spark, d, "supplier").select(F.concat(F.lit("s"), k).alias("source_key"), F.when(k == "0", "id.PROMO").when(k == "1", "id.PROMO_4").otherwise(F.concat(F.lit("other."), k)).alias("series_id"))
-    found = read_table(spark, d, "part").select(F.concat(F.lit("p"), F.col("p_size").cast("string"), "p_type").alias("source_key"), F.concat(F.lit("id."), "p_type").alias("series_id"))
+    k, size = F.col("s_suppkey"), F.col("p_size")
+    taken = F.when(k == 0, "id.PROMO").when(k == 1, "id.PROMO_4").when(k == 2, "id.PROMO_2").when(k == 3, "id.ECONOMY_2010").when(k == 4, "id.LARGE_7")
+    existing = read_table(spark, d, "supplier").select(F.concat(F.lit("s"), k.cast("string")).alias("source_key"), F.coalesce(taken, F.concat(F.lit("other."), k.cast("string"))).alias("series_id"))
+    found_id = F.concat(F.lit("id."), F.split_part("p_type", F.lit(" "), F.lit(1)), F.when(size % 9 == 0, "_3").otherwise(""))
+    found = read_table(spark, d, "part").select(F.concat(F.lit("p"), size.cast("string"), "p_type").alias("source_key"), found_id.alias("series_id"))
     return loads.merge_catalog(existing, found)
 
 

@@ -12,7 +12,7 @@ from ledgerline.sources.tables import read_table
 _BASE = f"{A.MONTHLY}, {A.PRINTS}"
 _PROBE = " OR ".join(f"printf('%.2e', o.value) = printf('%.2e', pub * scale * {p})" for p in vintages.PROBES)
 _MATCH = f"""{_BASE}, scales(scale) AS (VALUES {', '.join(f'(CAST({s} AS DOUBLE))' for s in vintages.SCALES)}), n AS (SELECT published, row_id, count(*) AS n FROM cells GROUP BY 1, 2),
-hit AS (SELECT DISTINCT c.published, c.row_id, c.obs_date, o.series_id, scale FROM cells c CROSS JOIN scales JOIN current o ON o.obs_date = c.obs_date WHERE ({_PROBE}) AND abs(round(o.value / scale * 10) / 10 - pub) <= 0.06),
+hit AS (SELECT DISTINCT c.published, c.row_id, c.obs_date, o.series_id, scale FROM cells c CROSS JOIN scales JOIN current o ON o.obs_date = c.obs_date WHERE ({_PROBE}) AND abs(round(o.value / scale / pow(10.0, -dp)) * pow(10.0, -dp) - pub) <= 0.6 * pow(10.0, -dp)),
 matches AS (SELECT 'bulletin' AS source, published, row_id, series_id, scale, count(*) AS votes FROM hit JOIN n USING (published, row_id) GROUP BY published, row_id, series_id, scale, n HAVING count(*) >= greatest(4, ceil(round(0.6 * n, 9))))"""
 _FAMILY = "array_to_string(list_sort(list_distinct(list_concat(list_filter(regexp_extract_all(replace(lower({0}), '-', ' '), '([a-z][a-z]+)', 1), lambda w: w NOT IN ('rs', 'billion', 'million', 'us', 'dollars', 'dollar', 'percent', 'base', 'unit')), regexp_extract_all({0}, '((?:19|20)\\d\\d)', 1)))), ' ')"
 _FAMS = f"fam AS (SELECT published, row_id, {_FAMILY.format('min(label)')} AS family FROM cells GROUP BY 1, 2)"
@@ -55,8 +55,8 @@ def confirmed_prints(spark, d):
     return vintages.drop_unconfirmed_outliers(vintages.drop_blips(prints)).select("series_id", "obs_date", "published", "pub", "scale")
 
 
-_CHAIN = f"""{_CLEAN}, h AS (SELECT *, lag(pub) OVER (PARTITION BY series_id, obs_date ORDER BY published) AS was FROM fine), links AS (SELECT series_id, obs_date, value, published, printed, lead(published) OVER (PARTITION BY series_id, obs_date ORDER BY published) AS until FROM h WHERE was IS NULL OR round(was * 10) <> round(pub * 10)),
-tail AS (SELECT *, abs(round(value / 1000 * 10) / 10 - printed / 1000) > 0.06 AS stale, abs(printed - value) > 0.15 * abs(value) AS far FROM links WHERE until IS NULL), ok AS (SELECT series_id FROM tail GROUP BY 1 HAVING avg(CAST(stale AND far AS INTEGER)) <= 0.05)"""
+_CHAIN = f"""{_CLEAN}, h AS (SELECT *, lag(pub) OVER (PARTITION BY series_id, obs_date ORDER BY published) AS was FROM fine), links AS (SELECT series_id, obs_date, value, published, printed, scale, dp, lead(published) OVER (PARTITION BY series_id, obs_date ORDER BY published) AS until FROM h WHERE was IS NULL OR round(was * 10) <> round(pub * 10)),
+tail AS (SELECT *, abs(round(value / scale / pow(10.0, -dp)) * pow(10.0, -dp) - printed / scale) > 0.6 * pow(10.0, -dp) AS stale, abs(printed - value) > 0.15 * abs(value) AS far FROM links WHERE until IS NULL), ok AS (SELECT series_id FROM tail GROUP BY 1 HAVING avg(CAST(stale AND far AS INTEGER)) <= 0.05)"""
 
 
 @query(f"""WITH {_CHAIN} SELECT series_id, obs_date, round(printed, 4) AS value, until AS superseded_at, 'bulletin' AS source FROM links SEMI JOIN ok USING (series_id) WHERE until IS NOT NULL

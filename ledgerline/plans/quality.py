@@ -191,15 +191,15 @@ def drop_blips(spark, d):
     return editions.drop_blips(o.select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("issue"), (F.col("o_orderkey") % 3).alias("value")), ["k"], "issue")
 
 
-@query("""WITH r AS (SELECT o_orderkey AS id, o_custkey AS number, CAST(o_orderdate AS DATE) AS listed FROM orders), a AS (SELECT id, number, listed FROM r UNION ALL SELECT id, number + 1, listed FROM r),
+@query("""WITH r AS (SELECT o_orderkey AS id, o_custkey % 40 AS number, CAST(o_orderdate AS DATE) AS listed FROM orders), a AS (SELECT id, number, listed FROM r UNION ALL SELECT id, number + 1, listed FROM r),
 m AS (SELECT a.id AS new_id, a.listed AS new_on, r.id AS old_id, row_number() OVER (PARTITION BY a.id, a.number ORDER BY r.listed DESC, r.id DESC) AS rn
-FROM a JOIN r ON a.number = r.number AND (r.listed < a.listed OR (r.listed = a.listed AND r.id < a.id))),
+FROM a JOIN r ON a.number = r.number AND r.listed <= a.listed AND r.id <> a.id),
 o AS (SELECT *, row_number() OVER (PARTITION BY old_id ORDER BY new_on, new_id) AS place FROM m WHERE rn = 1)
 SELECT old_id AS ruling_id, new_id AS superseded_by, new_on AS superseded_on FROM o WHERE place = 1""")
 def link_supersessions(spark, d):
     o = read_table(spark, d, "orders")
-    names = F.array(F.col("o_custkey").cast("string"), (F.col("o_custkey") + 1).cast("string"))
-    return editions.link_supersessions(o.select(F.col("o_orderkey").alias("ruling_id"), F.col("o_custkey").cast("string").alias("number"), F.to_date("o_orderdate").alias("listed_on"), names.alias("supersedes")))
+    names = F.array((F.col("o_custkey") % 40).cast("string"), (F.col("o_custkey") % 40 + 1).cast("string"))
+    return editions.link_supersessions(o.select(F.col("o_orderkey").alias("ruling_id"), (F.col("o_custkey") % 40).cast("string").alias("number"), F.to_date("o_orderdate").alias("listed_on"), names.alias("supersedes")))
 
 
 @query("""SELECT 'orders' AS name, count(*) AS records, count(DISTINCT o_custkey) AS entities, min(CAST(o_orderdate AS DATE)) AS first_date, max(CAST(o_orderdate AS DATE)) AS last_date FROM orders

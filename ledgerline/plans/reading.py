@@ -128,7 +128,7 @@ def transform_yoy_daily(spark, d):
 
 
 @query(f"""WITH {A.MONTHLY} SELECT a.series_id, a.dims_key, a.obs_date, round(a.value, 6) AS value, round(CASE WHEN b.value <> 0 THEN 100 * a.value / b.value - 100 END, 6) AS result, 'percent' AS unit
-FROM monthly a LEFT JOIN monthly b ON a.series_id = b.series_id AND a.dims_key = b.dims_key AND b.obs_date = last_day(a.obs_date - INTERVAL 12 MONTH) WHERE a.obs_date >= DATE '1999-01-01'""")
+FROM monthly a LEFT JOIN monthly b ON a.series_id = b.series_id AND a.dims_key = b.dims_key AND b.obs_date = a.obs_date - INTERVAL 12 MONTH WHERE a.obs_date >= DATE '1999-01-01'""")
 def transform(spark, d):
     return rounded(reads.transform(A.monthly(spark, d), "yoy", "monthly", "1999-01-01"), "value", "result").withColumn("unit", reads.transformed_unit("yoy", F.lit("pkr")))
 

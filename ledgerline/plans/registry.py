@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators import facts, merge, series
+from ledgerline.operators import facts, merge, reads, series
 from ledgerline.plans import adapters as A
 from ledgerline.sources.tables import read_table
 
@@ -83,18 +85,51 @@ def pct_change(spark, d):
 
 @query(f"""WITH {A.MONTHLY} SELECT a.series_id, a.dims_key, a.obs_date, round(a.value, 6) AS value,
   round(CASE WHEN b.value <> 0 THEN (a.value / b.value - 1) * 100 END, 6) AS result
-FROM monthly a LEFT JOIN monthly b ON a.series_id = b.series_id AND a.dims_key = b.dims_key AND b.obs_date = last_day(a.obs_date - INTERVAL 12 MONTH)""")
+FROM monthly a LEFT JOIN monthly b ON a.series_id = b.series_id AND a.dims_key = b.dims_key AND b.obs_date = a.obs_date - INTERVAL 12 MONTH""")
 def yoy(spark, d):
     return rounded(series.against_month(A.monthly(spark, d), 12), "value", "result")
 
 
 @query(f"""WITH {A.MONTHLY} SELECT a.series_id, a.dims_key, a.obs_date, round(a.value, 6) AS value,
   round(CASE WHEN b.value <> 0 THEN (a.value / b.value - 1) * 100 END, 6) AS result
-FROM monthly a LEFT JOIN monthly b ON a.series_id = b.series_id AND a.dims_key = b.dims_key AND b.obs_date = last_day(date_trunc('month', a.obs_date) - INTERVAL 1 DAY)""")
+FROM monthly a LEFT JOIN monthly b ON a.series_id = b.series_id AND a.dims_key = b.dims_key AND b.obs_date = a.obs_date - INTERVAL 1 MONTH""")
 def mom(spark, d):
     return rounded(series.against_month(A.monthly(spark, d), 1), "value", "result")
 
 
+_SLOW = """slow AS (SELECT p_brand AS series_id, kind AS dims_key, CASE kind WHEN 'weekly' THEN CAST(date_trunc('week', l_shipdate) AS DATE) + 4 WHEN 'monthly' THEN CAST(date_trunc('month', l_shipdate) AS DATE) + 14
+  WHEN 'quarterly' THEN CAST(date_trunc('quarter', l_shipdate) AS DATE) ELSE CAST(date_trunc('year', l_shipdate) AS DATE) END AS obs_date, sum(l_extendedprice) AS value
+  FROM lineitem JOIN part ON l_partkey = p_partkey, (VALUES ('weekly'), ('monthly'), ('quarterly'), ('annual')) k(kind) GROUP BY 1, 2, 3)"""
+
+
+def _slow(spark, d):
+    """Points by frequency: weeks dated on Fridays, months in their middle, quarters and years on their first day."""
+    j = read_table(spark, d, "lineitem").join(read_table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    start = lambda unit, days: F.date_add(F.to_date(F.date_trunc(unit, "l_shipdate")), days)
+    kinds = {"weekly": start("week", 4), "monthly": start("month", 14), "quarterly": start("quarter", 0), "annual": start("year", 0)}
+    e = F.explode(F.array(*[F.struct(F.lit(k).alias("dims_key"), c.alias("obs_date")) for k, c in kinds.items()]))
+    return j.select(F.col("p_brand").alias("series_id"), e.alias("e"), "l_extendedprice").groupBy("series_id", "e.dims_key", "e.obs_date").agg(F.sum("l_extendedprice").alias("value"))
+
+
+@query(f"""WITH {_SLOW} SELECT a.series_id, a.dims_key, a.obs_date, round(a.value, 2) AS value, round(CASE WHEN b.value <> 0 THEN (a.value / b.value - 1) * 100 END, 6) AS result
+FROM slow a LEFT JOIN slow b ON a.series_id = b.series_id AND a.dims_key = b.dims_key AND b.obs_date = a.obs_date - INTERVAL 12 MONTH""")
+def yoy_frequencies(spark, d):
+    return rounded(rounded(series.against_month(_slow(spark, d), 12), "value", digits=2), "result")
+
+
+_LOOK = {"weekly": 63, "monthly": 135, "quarterly": 360, "annual": 1200}
+
+
+@query(f"""WITH {_SLOW}, w AS (SELECT * FROM slow WHERE obs_date >= DATE '1996-02-10' - CASE dims_key {' '.join(f"WHEN '{k}' THEN {v}" for k, v in _LOOK.items())} END),
+n AS (SELECT *, row_number() OVER (PARTITION BY series_id, dims_key ORDER BY obs_date) AS rn FROM w)
+SELECT a.series_id, a.dims_key, a.obs_date, round(a.value, 2) AS value, round((a.value + b.value + c.value) / 3, 4) AS result FROM n a
+LEFT JOIN n b ON b.series_id = a.series_id AND b.dims_key = a.dims_key AND b.rn = a.rn - 1 LEFT JOIN n c ON c.series_id = a.series_id AND c.dims_key = a.dims_key AND c.rn = a.rn - 2 WHERE a.obs_date >= DATE '1996-02-10'""")
+def transform_ma3(spark, d):
+    slow = _slow(spark, d)
+    parts = [reads.transform(slow.filter(F.col("dims_key") == k), "3ma", k, "1996-02-10") for k in _LOOK]
+    return rounded(rounded(reduce(DataFrame.unionByName, parts), "value", digits=2), "result", digits=4)
+
+
 _W3 = "OVER (PARTITION BY series_id, dims_key ORDER BY obs_date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)"
 
 
@@ -283,18 +318,34 @@ def learn_bounds(spark, d):
     return merge.learn_bounds(merge.dedupe_last(_points(spark, d), merge.POINT, "seq"))
 
 
-@query(f"""WITH a AS (SELECT {_POINT}, o_totalprice AS value, o_orderkey AS seq FROM orders),
-c AS (SELECT *, TIMESTAMP '1996-01-01' + to_days(CAST(seq % 3000 AS INTEGER)) AS revised_at FROM {_last()}),
+_KNOWN = f"""WITH a AS (SELECT {_POINT}, o_totalprice AS value, o_orderkey AS seq FROM orders),
+c AS (SELECT *, TIMESTAMP '1996-01-01' + to_days(CAST(seq % 3000 AS INTEGER)) AS revised_at, CASE WHEN seq % 3 = 0 THEN TIMESTAMP '1996-01-01' + to_days(CAST(seq % 2500 AS INTEGER)) END AS first_seen_at FROM {_last()}),
 v AS (SELECT a.*, TIMESTAMP '1996-01-01' + to_days(CAST((a.seq * 7) % 3000 AS INTEGER)) AS superseded_at FROM a),
 r AS (SELECT series_id, obs_date, dims_key, min(superseded_at) AS first_cut, arg_min(value, superseded_at) FILTER (superseded_at >= TIMESTAMP '2000-01-02') AS was,
   bool_or(superseded_at >= TIMESTAMP '2000-01-02') AS later FROM v GROUP BY 1, 2, 3)
-SELECT c.series_id, c.obs_date, c.dims_key, CASE WHEN later THEN was ELSE value END AS known_value FROM c LEFT JOIN r USING (series_id, obs_date, dims_key)
-WHERE least(revised_at, coalesce(first_cut, revised_at)) < TIMESTAMP '2000-01-02'""")
-def known_asof(spark, d):
+"""
+
+
+def _known(spark, d):
     p = _points(spark, d)
     at = lambda n: F.date_add(F.lit("1996-01-01").cast("date"), (n % 3000).cast("int")).cast("timestamp")
-    obs = merge.dedupe_last(p, merge.POINT, "seq").withColumn("revised_at", at(F.col("seq"))).drop("seq")
-    return merge.known_asof(obs, p.withColumn("superseded_at", at(F.col("seq") * 7)), F.lit("2000-01-01").cast("date"))
+    n = F.col("seq")
+    first = F.when(n % 3 == 0, F.date_add(F.lit("1996-01-01").cast("date"), (n % 2500).cast("int")).cast("timestamp"))
+    obs = merge.dedupe_last(p, merge.POINT, "seq").withColumn("revised_at", at(n)).withColumn("first_seen_at", first).drop("seq")
+    return obs, p.withColumn("superseded_at", at(n * 7))
+
+
+@query(_KNOWN + """SELECT c.series_id, c.obs_date, c.dims_key, CASE WHEN later THEN was ELSE value END AS known_value FROM c LEFT JOIN r USING (series_id, obs_date, dims_key)
+WHERE coalesce(first_seen_at, CASE WHEN obs_date < DATE '1998-06-01' THEN least(revised_at, coalesce(first_cut, revised_at), TIMESTAMP '1998-06-01') ELSE least(revised_at, coalesce(first_cut, revised_at)) END) < TIMESTAMP '2000-01-02'""")
+def known_asof(spark, d):
+    return merge.known_asof(*_known(spark, d), F.lit("2000-01-01").cast("date"), F.lit("1998-06-01").cast("date"))
+
+
+@query(_KNOWN + """SELECT c.series_id, c.obs_date, c.dims_key, CASE WHEN later THEN was ELSE value END AS known_value FROM c LEFT JOIN r USING (series_id, obs_date, dims_key), LATERAL (SELECT coalesce(first_seen_at,
+CASE WHEN obs_date < DATE '2001-01-01' THEN least(revised_at, coalesce(first_cut, revised_at), TIMESTAMP '2001-01-01') ELSE least(revised_at, coalesce(first_cut, revised_at)) END) AS since)
+WHERE since < TIMESTAMP '2000-01-02' OR (obs_date < DATE '2000-01-01' AND since >= TIMESTAMP '2001-01-01')""")
+def known_before_tracking(spark, d):
+    return merge.known_asof(*_known(spark, d), F.lit("2000-01-01").cast("date"), F.lit("2001-01-01").cast("date"))
 
 
 @query(f"""WITH a AS {_last('WHERE o_orderkey % 5 <> 0')}, b AS (SELECT * REPLACE (CASE WHEN seq % 7 = 0 THEN value * 1.01 ELSE value END AS value) FROM {_last('WHERE o_orderkey % 5 <> 1')})

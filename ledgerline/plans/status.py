@@ -107,8 +107,8 @@ def catalog_admin(spark, d):
 
 
 @query("""WITH u AS (SELECT o_custkey, min(CAST(o_orderdate AS DATE)) AS signed_up, max(CAST(o_orderdate AS DATE)) AS last_seen FROM orders GROUP BY 1), p AS (SELECT c_mktsegment AS plan, signed_up, last_seen FROM u JOIN customer ON c_custkey = o_custkey)
-SELECT plan, count(*) AS users, count(*) FILTER (signed_up >= DATE '1996-03-01') AS today, count(*) FILTER (signed_up >= DATE '1996-02-24') AS week, count(*) FILTER (signed_up >= DATE '1996-02-01') AS month,
-count(*) FILTER (last_seen >= DATE '1996-02-01') AS active, count(*) * CASE plan WHEN 'BUILDING' THEN 9.5 WHEN 'MACHINERY' THEN 30.0 ELSE 0.0 END AS revenue FROM p GROUP BY 1""")
+SELECT plan, count(*) AS users, count(*) FILTER (signed_up = DATE '1996-03-02') AS today, count(*) FILTER (signed_up >= DATE '1996-02-24') AS week, count(*) FILTER (signed_up >= DATE '1996-02-01') AS month,
+count(*) FILTER (last_seen >= DATE '1996-02-01') AS active, CAST(count(*) * CASE plan WHEN 'BUILDING' THEN 9.5 WHEN 'MACHINERY' THEN 30.0 ELSE 0.0 END AS DOUBLE) AS revenue FROM p GROUP BY 1""")
 def overview(spark, d):
     day = F.to_date("o_orderdate")
     seen = read_table(spark, d, "orders").groupBy("o_custkey").agg(F.min(day).alias("signed_up"), F.max(day).alias("last_seen"))

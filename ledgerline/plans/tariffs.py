@@ -154,14 +154,16 @@ def merge_edition(spark, d):
     return tariff.merge_edition(prints).drop("rate_text")
 
 
-@query(f"""WITH {A.TARIFF}, s AS (SELECT code, fy, component, rate_pct FROM duties), i AS (SELECT code, fy, component, rate_pct + CASE WHEN right(code, 1) = '4' THEN 1 ELSE 0 END AS rate_pct FROM duties WHERE component <> 'acd' AND right(code, 1) <> '5' AND fy > 2024),
-o AS (SELECT * FROM i WHERE component = 'rd') SELECT coalesce(s.code, o.code) AS code, coalesce(s.fy, o.fy) AS fy, coalesce(s.component, o.component) AS component, CASE WHEN o.code IS NULL THEN s.rate_pct ELSE o.rate_pct END AS rate_pct,
-CASE WHEN s.code IS NULL THEN 'new' WHEN o.code IS NULL AND s.component = 'rd' AND s.fy IN (SELECT fy FROM o) THEN 'deleted' WHEN o.code IS NULL THEN 'kept' WHEN s.rate_pct IS NOT DISTINCT FROM o.rate_pct THEN 'same' ELSE 'changed' END AS action
-FROM s FULL JOIN o ON s.code = o.code AND s.fy = o.fy AND s.component = o.component""")
+@query(f"""WITH {A.TARIFF}, i AS (SELECT code, fy, component, rate_pct + CASE WHEN right(code, 1) = '4' THEN 1 ELSE 0 END AS rate_pct, CASE WHEN right(code, 1) = '6' THEN replace(rate_text, '/kg', '/ton') ELSE rate_text END AS rate_text
+FROM duties WHERE component = 'rd' AND right(code, 1) <> '5' AND fy > 2024), a AS (SELECT *, 's' AS side FROM duties UNION ALL SELECT *, 'i' FROM i),
+k AS (SELECT code, fy, component, bool_or(side = 's') AS had, bool_or(side = 'i') AS got FROM a GROUP BY 1, 2, 3)
+SELECT k.code, k.fy, k.component, CASE WHEN got THEN i.rate_pct ELSE s.rate_pct END AS rate_pct, CASE WHEN got THEN i.rate_text ELSE s.rate_text END AS rate_text,
+CASE WHEN NOT had THEN 'new' WHEN NOT got AND k.component = 'rd' AND k.fy IN (SELECT fy FROM i) THEN 'deleted' WHEN NOT got THEN 'kept' WHEN s.rate_pct IS DISTINCT FROM i.rate_pct OR s.rate_text IS DISTINCT FROM i.rate_text THEN 'changed' ELSE 'same' END AS action
+FROM k LEFT JOIN duties s ON s.code = k.code AND s.fy = k.fy AND s.component = k.component LEFT JOIN i ON i.code = k.code AND i.fy = k.fy AND i.component = k.component""")
 def sync_components(spark, d):
-    s = A.duties(spark, d)
-    i = s.filter("component <> 'acd' and not endswith(code, '5') and fy > 2024").withColumn("rate_pct", F.col("rate_pct") + F.when(F.col("code").endswith("4"), 1).otherwise(0))
-    return tariff.sync_components(s, i, ["rd"])
+    s, ends = A.duties(spark, d), F.col("code").endswith
+    i = s.filter("component <> 'acd' and not endswith(code, '5') and fy > 2024").withColumn("rate_pct", F.col("rate_pct") + F.when(ends("4"), 1).otherwise(0))
+    return tariff.sync_components(s, i.withColumn("rate_text", F.when(ends("6"), F.replace("rate_text", F.lit("/kg"), F.lit("/ton"))).otherwise(F.col("rate_text"))), ["rd"])
 
 
 @query(f"WITH {A.TARIFF} SELECT left(code, 7) AS edition, count(*) AS n FROM tariff GROUP BY 1 HAVING count(*) < 2")
