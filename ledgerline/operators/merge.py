@@ -14,11 +14,44 @@ def dedupe_last(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
     return df.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(seq)))).filter("rn = 1").drop("rn")
 
 
+def _pairs(dims_key: Column) -> Column:
+    """The pairs of a canonical JSON key, each as one text."""
+    return F.transform(F.map_entries(F.from_json(dims_key, "map<string,string>")), lambda e: F.to_json(F.struct(e["key"].alias("k"), e["value"].alias("v"))))
+
+
+def latest_value(records: DataFrame, obs: DataFrame) -> DataFrame:
+    """(series_id, dims_key, last_date, last_value) for each key of the records that has one: the newest stored value whose
+    dimensions hold all of the record's. Of one date's the key that is equal counts, else the smallest. Where the newest is
+    null there is none.
+
+    Keys that are stored as such, the common case, are met by equality. For the others the stored keys' pairs are an
+    inverted index: a stored key holds an asked one if as many pairs meet as the asked one has. Only different keys are
+    indexed, and of an asked key only its rarest pair by series is looked up, which the rest then verifies. A key without
+    pairs is held by every key of its series."""
+    key = ["series_id", "dims_key"]
+    last = obs.groupBy(*key).agg(F.max(F.struct("obs_date", "value")).alias("p"))
+    asked = records.select(*key).distinct()
+    wanted = asked.withColumn("pairs", F.coalesce(_pairs(F.col("dims_key")), F.array().cast("array<string>")))
+    stored = last.select("series_id", F.col("dims_key").alias("stored_key"), "p", F.coalesce(_pairs(F.col("dims_key")), F.array().cast("array<string>")).alias("held"))
+    index = stored.select("series_id", "stored_key", "p", "held", F.explode("held").alias("pair"))
+    often = index.groupBy("series_id", "pair").agg(F.count(F.lit(1)).alias("n"))
+    each = wanted.filter(F.size("pairs") > 0).select(*key, "pairs", F.explode("pairs").alias("pair")).join(often, ["series_id", "pair"], "left")
+    rarest = each.groupBy(*key, "pairs").agg(F.min_by("pair", F.struct(F.coalesce("n", F.lit(0)), "pair")).alias("pair"))
+    met = rarest.join(index, ["series_id", "pair"]).filter(F.size(F.array_except("pairs", "held")) == 0).select(*key, "stored_key", "p")
+    # without pairs: the newest of the whole series
+    whole = stored.groupBy("series_id").agg(F.min_by(F.struct("stored_key", "p"), F.struct(F.negative(F.unix_date("p.obs_date")), F.col("stored_key") != "{}", "stored_key")).alias("w"))
+    free = wanted.filter(F.size("pairs") == 0).join(whole, "series_id").select(*key, F.col("w.p.obs_date").alias("last_date"), F.col("w.p.value").alias("last_value"))
+    order = F.struct(F.negative(F.unix_date("p.obs_date")), F.col("stored_key") != F.col("dims_key"), "stored_key")
+    found = met.groupBy(*key).agg(F.min_by("p", order).alias("p")).select(*key, F.col("p.obs_date").alias("last_date"), F.col("p.value").alias("last_value"))
+    return found.unionByName(free).filter("last_value is not null")
+
+
 def validate(records: DataFrame, catalog: DataFrame, newest: DataFrame, today: Column) -> DataFrame:
     """records with `reason` (null if accepted) and `flagged`: future date, not in the catalog, below or above its gates;
     a step beyond max_step is flagged for dates after the stored latest one.
 
-    catalog: (series_id, min_value, max_value, max_step); newest: (series_id, dims_key, last_date, last_value)."""
+    catalog: (series_id, min_value, max_value, max_step); newest: (series_id, dims_key, last_date, last_value), as
+    latest_value() gives it."""
     known = catalog.withColumn("known", F.lit(True))
     j = records.join(known, "series_id", "left").join(newest, ["series_id", "dims_key"], "left")
     reason = (
@@ -32,17 +65,20 @@ def validate(records: DataFrame, catalog: DataFrame, newest: DataFrame, today: C
 
 
 def merge_observations(stored: DataFrame, incoming: DataFrame, now: Column) -> DataFrame:
-    """Full outer merge of (point, value, revised_at, first_seen_at) with (point, value). `action`: new, changed, same or
-    kept; a changed row carries the value it replaces in `prior_value`, which is its revision as of now."""
-    s = stored.select(*POINT, F.col("value").alias("old"), "revised_at", "first_seen_at", F.lit(True).alias("in_store"))
-    i = incoming.select(*POINT, F.col("value").alias("new"), F.lit(True).alias("in_batch"))
+    """Full outer merge of (point, value, flagged, revised_at, first_seen_at) with (point, value, flagged). `action`: new,
+    changed, flagged (the flag alone differs: it is written, but is no revision), same or kept; a changed row carries the
+    value it replaces in `prior_value`, which is its revision as of now."""
+    s = stored.select(*POINT, F.col("value").alias("old"), F.col("flagged").alias("old_flag"), "revised_at", "first_seen_at", F.lit(True).alias("in_store"))
+    i = incoming.select(*POINT, F.col("value").alias("new"), F.col("flagged").alias("new_flag"), F.lit(True).alias("in_batch"))
     j = s.join(i, POINT, "full_outer")
-    action = F.when(F.col("in_store").isNull(), "new").when(F.col("in_batch").isNull(), "kept").when(F.col("old").eqNullSafe(F.col("new")), "same").otherwise("changed")
+    equal = F.col("old").eqNullSafe(F.col("new"))
+    action = F.when(F.col("in_store").isNull(), "new").when(F.col("in_batch").isNull(), "kept").when(~equal, "changed").when(F.col("old_flag").eqNullSafe(F.col("new_flag")), "same").otherwise("flagged")
     j = j.withColumn("action", action)
-    moved = F.col("action").isin("new", "changed")
+    moved, kept = F.col("action").isin("new", "changed"), F.col("action") == "kept"
     return j.select(
         *POINT,
-        F.when(F.col("action") == "kept", F.col("old")).otherwise(F.col("new")).alias("value"),
+        F.when(kept, F.col("old")).otherwise(F.col("new")).alias("value"),
+        F.when(kept, F.col("old_flag")).otherwise(F.col("new_flag")).alias("flagged"),
         F.when(moved, now).otherwise(F.col("revised_at")).alias("revised_at"),
         F.coalesce("first_seen_at", now).alias("first_seen_at"),
         "action",

@@ -272,18 +272,41 @@ def dedupe_last(spark, d):
     return merge.dedupe_last(_points(spark, d), merge.POINT, "seq")
 
 
-@query(f"""WITH s AS {_last('WHERE o_orderkey % 3 <> 0')}, i AS {_last('WHERE o_orderkey % 3 <> 1')}
-SELECT coalesce(s.series_id, i.series_id) AS series_id, coalesce(s.obs_date, i.obs_date) AS obs_date, coalesce(s.dims_key, i.dims_key) AS dims_key,
-CASE WHEN i.seq IS NULL THEN s.value ELSE i.value END AS value,
-CASE WHEN s.seq IS NULL OR (i.seq IS NOT NULL AND s.value IS DISTINCT FROM i.value) THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2020-01-01' END AS revised_at,
-CASE WHEN s.seq IS NULL THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2020-01-01' END AS first_seen_at,
-CASE WHEN s.seq IS NULL THEN 'new' WHEN i.seq IS NULL THEN 'kept' WHEN s.value IS NOT DISTINCT FROM i.value THEN 'same' ELSE 'changed' END AS action,
-CASE WHEN s.seq IS NOT NULL AND i.seq IS NOT NULL AND s.value IS DISTINCT FROM i.value THEN s.value END AS prior_value
-FROM s FULL OUTER JOIN i ON s.series_id = i.series_id AND s.obs_date = i.obs_date AND s.dims_key = i.dims_key""")
+@query(f"""WITH s AS {_last('WHERE o_orderkey % 3 <> 0')}, i AS {_last('WHERE o_orderkey % 3 <> 1')}, o AS (SELECT *, seq % 5 = 0 AS flagged FROM s), n AS (SELECT *, seq % 10 = 0 AS flagged FROM i),
+j AS (SELECT *, CASE WHEN o.seq IS NULL THEN 'new' WHEN n.seq IS NULL THEN 'kept' WHEN o.value IS DISTINCT FROM n.value THEN 'changed' WHEN o.flagged IS DISTINCT FROM n.flagged THEN 'flagged' ELSE 'same' END AS act FROM o FULL OUTER JOIN n ON o.series_id = n.series_id AND o.obs_date = n.obs_date AND o.dims_key = n.dims_key)
+SELECT coalesce(j.series_id, j.series_id_1) AS series_id, coalesce(j.obs_date, j.obs_date_1) AS obs_date, coalesce(j.dims_key, j.dims_key_1) AS dims_key, CASE act WHEN 'kept' THEN value ELSE value_1 END AS value, CASE act WHEN 'kept' THEN flagged ELSE flagged_1 END AS flagged,
+CASE WHEN act IN ('new', 'changed') THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2020-01-01' END AS revised_at, CASE act WHEN 'new' THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2020-01-01' END AS first_seen_at,
+act AS action, CASE act WHEN 'changed' THEN value END AS prior_value FROM j""")
 def merge_observations(spark, d):
-    p = _points(spark, d)
-    stored = merge.dedupe_last(p.filter("seq % 3 <> 0"), merge.POINT, "seq").select(*merge.POINT, "value", F.lit("2020-01-01").cast("timestamp").alias("revised_at"), F.lit("2020-01-01").cast("timestamp").alias("first_seen_at"))
-    return merge.merge_observations(stored, merge.dedupe_last(p.filter("seq % 3 <> 1"), merge.POINT, "seq"), F.lit("2024-01-01").cast("timestamp"))
+    p, old = _points(spark, d), F.lit("2020-01-01").cast("timestamp")
+    stored = merge.dedupe_last(p.filter("seq % 3 <> 0"), merge.POINT, "seq").select(*merge.POINT, "value", (F.col("seq") % 5 == 0).alias("flagged"), old.alias("revised_at"), old.alias("first_seen_at"))
+    batch = merge.dedupe_last(p.filter("seq % 3 <> 1"), merge.POINT, "seq").withColumn("flagged", F.col("seq") % 10 == 0)
+    return merge.merge_observations(stored, batch, F.lit("2024-01-01").cast("timestamp"))
+
+
+_WIDE = """obs AS (SELECT p_brand AS series_id, CASE l_linenumber % 3 WHEN 0 THEN '{"flag":"' || l_returnflag || '"}' WHEN 1 THEN '{"flag":"' || l_returnflag || '","mode":"' || CAST(l_suppkey % 4 AS VARCHAR) || '"}' ELSE '{"mode":"' || CAST(l_suppkey % 4 AS VARCHAR) || '","year":"' || CAST(year(l_shipdate) AS VARCHAR) || '"}' END AS dims_key,
+last_day(CAST(l_shipdate AS DATE)) AS obs_date, max(l_extendedprice) AS value FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3)"""
+
+
+def _wide(spark, d):
+    j = read_table(spark, d, "lineitem").join(read_table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    mode = (F.col("l_suppkey") % 4).cast("string")
+    kinds = [F.to_json(F.struct(F.col("l_returnflag").alias("flag"))), F.to_json(F.struct(F.col("l_returnflag").alias("flag"), mode.alias("mode"))), F.to_json(F.struct(mode.alias("mode"), F.year("l_shipdate").cast("string").alias("year")))]
+    n = F.col("l_linenumber") % 3
+    key = F.when(n == 0, kinds[0]).when(n == 1, kinds[1]).otherwise(kinds[2])
+    return j.groupBy(F.col("p_brand").alias("series_id"), key.alias("dims_key"), F.last_day(F.to_date("l_shipdate")).alias("obs_date")).agg(F.max("l_extendedprice").alias("value"))
+
+
+_ASKED = ['{"flag":"A"}', '{"mode":"2"}', '{"flag":"R","mode":"1"}', '{"mode":"3","year":"1999"}', '{"year":"1998"}', "{}", '{"flag":"none"}']
+
+
+@query(f"""WITH {_WIDE}, asked AS (SELECT DISTINCT series_id, k AS dims_key FROM obs, (VALUES {', '.join(f"('{k}')" for k in _ASKED)}) v(k)),
+hit AS (SELECT a.series_id, a.dims_key, o.obs_date, o.value, row_number() OVER (PARTITION BY a.series_id, a.dims_key ORDER BY o.obs_date DESC, o.dims_key <> a.dims_key, o.dims_key) AS rn FROM asked a JOIN obs o ON o.series_id = a.series_id AND json_contains(CAST(o.dims_key AS JSON), CAST(a.dims_key AS JSON)))
+SELECT series_id, dims_key, obs_date AS last_date, value AS last_value FROM hit WHERE rn = 1""")
+def latest_value(spark, d):
+    obs = _wide(spark, d)
+    asked = obs.select("series_id").distinct().withColumn("dims_key", F.explode(F.array(*map(F.lit, _ASKED))))
+    return merge.latest_value(asked, obs)
 
 
 @query(f"""WITH r AS {_last()}, c AS (SELECT series_id, min(value) * 2 AS lo, max(value) * 0.9 AS hi, 100000.0 AS step FROM r WHERE series_id <> '5-LOW' GROUP BY 1),

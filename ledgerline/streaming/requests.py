@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from pyspark.sql.window import Window
 
 from ledgerline.operators import merge
 from ledgerline.operators.derived import webhook_matches
+from ledgerline.sources.jobs import with_revisions
+from ledgerline.sources.store import BucketStore
 
 
 def with_day(requests: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -65,76 +66,128 @@ def day_summary(tallies: DataFrame) -> DataFrame:
     return j.groupBy("target").agg(F.sum("n").alias("n"), F.sum("failures").alias("failures"), (F.sum("ms_total") / F.sum("n")).alias("ms_mean"), F.max("ms_max").alias("ms_max"))
 
 
-def consecutive_failures(probes: DataFrame, after: int = 2, quiet_s: int = 6 * 3600) -> DataFrame:
-    """An alert at the second failure in a row and not again for six hours while it lasts; a success resets both the row of
-    failures and the quiet time, so that a new outage alerts at once. Rows of one batch are taken in order of their time."""
+#: How long a key without news is remembered.
+KEEP_S = 30 * 24 * 3600
 
-    def step(key, batches, state: GroupState):
-        row, alerted = state.get if state.exists else (0, None)
-        out = []
-        for r in pd.concat(list(batches)).sort_values("ts").itertuples():
-            if r.ok:
-                row, alerted = 0, None
-                continue
-            row += 1
-            now = r.ts.timestamp()
-            if row >= after and (alerted is None or now - alerted >= quiet_s):
-                alerted = now
-                out.append((key[0], r.ts, row))
-        state.update((row, alerted))
-        yield pd.DataFrame(out, columns=["target", "ts", "failures"])
 
-    return probes.groupBy("target").applyInPandasWithState(step, "target string, ts timestamp, failures long", "row long, alerted double", "append", GroupStateTimeout.NoTimeout)
+class _Keyed(StatefulProcessor):
+    """Takes each key's rows in the order of their time. advance(key, row, state) -> (new state, output row or None), where
+    state is None for a key that is new or forgotten. A row from before the last one taken is left out, as what came after it
+    is decided; a key without rows for keep_s, by the watermark, is forgotten."""
 
+    def __init__(self, advance, fields: str, out: list[str], keep_s: int):
+        self.advance, self.fields, self.out, self.keep_ms = advance, fields, out, 1000 * keep_s
 
-def alert_throttle(states: DataFrame, ttl_s: int = 24 * 3600) -> DataFrame:
-    """states (key, ts, stale) -> alerts: the first stale reading of a key, and again only after the time to live; a fresh
-    reading clears the key, so that its next lapse alerts at once. Keys without news are forgotten after the same time."""
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("state", f"last_ms long, {self.fields}")
 
-    def step(key, batches, state: GroupState):
-        alerted = state.get[0] if state.exists else None
+    def handleInputRows(self, key, rows, timerValues):
+        last, state = None, None
+        if self.state.exists():
+            last, *state = self.state.get()
+            self.handle.deleteTimer(last + self.keep_ms)
         out = []
-        for r in pd.concat(list(batches)).sort_values("ts").itertuples():
-            if not r.stale:
-                alerted = None
-            elif alerted is None or r.ts.timestamp() - alerted >= ttl_s:
-                alerted = r.ts.timestamp()
-                out.append((key[0], r.ts))
-        state.update((alerted,))
-        yield pd.DataFrame(out, columns=["key", "ts"])
+        for row in pd.concat(list(rows)).sort_values("ts", kind="stable").itertuples(index=False):
+            ms = row.ts.value // 1_000_000
+            if last is not None and ms < last:
+                continue
+            last = ms
+            state, said = self.advance(key[0], row, state)
+            if said is not None:
+                out.append(said)
+        if last is not None:
+            self.state.update((last, *(state or [None] * self.fields.count(" "))))
+            self.handle.registerTimer(last + self.keep_ms)
+        yield pd.DataFrame(out, columns=self.out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.state.exists() and self.state.get()[0] + self.keep_ms <= expiredTimerInfo.getExpiryTimeInMs():
+            self.state.clear()
+        yield pd.DataFrame([], columns=self.out)
+
+    def close(self) -> None:
+        pass
+
+
+def _by_key(df: DataFrame, key: str, advance, fields: str, out: str, keep_s: int, delay: str) -> DataFrame:
+    """Stateful rows by key with timers, which need the RocksDB state store: set here where the session has the default one."""
+    conf, name = df.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    if conf.get(name).endswith("HDFSBackedStateStoreProvider"):
+        conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    columns = [c.split()[0] for c in out.split(", ")]
+    processor = _Keyed(advance, fields, columns, keep_s)
+    return df.withWatermark("ts", delay).groupBy(key).transformWithStateInPandas(processor, out, "append", "eventTime")
+
+
+def consecutive_failures(probes: DataFrame, after: int = 2, quiet_s: int = 6 * 3600, keep_s: int = KEEP_S, delay: str = "1 hour") -> DataFrame:
+    """probes (target, ts, ok) -> an alert at the second failure in a row and not again for six hours while it lasts; a success
+    resets both the row of failures and the quiet time, so that a new outage alerts at once. A probe without a result is
+    none. Rows are taken as in _Keyed."""
+
+    def advance(key, r, state):
+        row, alerted = state or (0, None)
+        if r.ok is None or pd.isna(r.ok):
+            return state, None
+        if r.ok:
+            return (0, None), None
+        now = r.ts.timestamp()
+        if row + 1 >= after and (alerted is None or now - alerted >= quiet_s):
+            return (row + 1, now), (key, r.ts, row + 1)
+        return (row + 1, alerted), None
+
+    return _by_key(probes, "target", advance, "row long, alerted double", "target string, ts timestamp, failures long", keep_s, delay)
+
+
+def alert_throttle(states: DataFrame, ttl_s: int = 24 * 3600, delay: str = "1 hour") -> DataFrame:
+    """states (key, ts, stale) -> alerts: the first stale reading of a key, and again only after the time to live; a fresh
+    reading clears the key, so that its next lapse alerts at once. A key without readings for the time to live is forgotten,
+    which changes no alert. Null says nothing. Rows are taken as in _Keyed."""
 
-    return states.groupBy("key").applyInPandasWithState(step, "key string, ts timestamp", "alerted double", "append", GroupStateTimeout.NoTimeout)
+    def advance(key, r, state):
+        (alerted,) = state or (None,)
+        if r.stale is None or pd.isna(r.stale):
+            return state, None
+        if not r.stale:
+            return (None,), None
+        now = r.ts.timestamp()
+        if alerted is None or now - alerted >= ttl_s:
+            return (now,), (key, r.ts)
+        return (alerted,), None
 
+    return _by_key(states, "key", advance, "alerted double", "key string, ts timestamp", ttl_s, delay)
 
-def change_points(readings: DataFrame, tolerance: float = 1e-9) -> DataFrame:
-    """readings (key, ts, value) -> only those whose value differs from the key's last one."""
 
-    def step(key, batches, state: GroupState):
-        last = state.get[0] if state.exists else None
-        out = []
-        for r in pd.concat(list(batches)).sort_values("ts").itertuples():
-            if last is None or abs(r.value - last) > tolerance:
-                out.append((key[0], r.ts, r.value))
-                last = r.value
-        state.update((last,))
-        yield pd.DataFrame(out, columns=["key", "ts", "value"])
+def change_points(readings: DataFrame, tolerance: float = 1e-9, keep_s: int = KEEP_S, delay: str = "1 hour") -> DataFrame:
+    """readings (key, ts, value) -> only those whose value differs from the key's last one. A null is no reading: it passes
+    nothing and changes nothing. After keep_s without a reading the next one passes as a first one. Rows as in _Keyed."""
+
+    def advance(key, r, state):
+        (last,) = state or (None,)
+        if pd.isna(r.value):
+            return state, None
+        if last is None or abs(r.value - last) > tolerance:
+            return (r.value,), (key, r.ts, r.value)
+        return (last,), None
 
-    return readings.groupBy("key").applyInPandasWithState(step, "key string, ts timestamp, value double", "last double", "append", GroupStateTimeout.NoTimeout)
+    return _by_key(readings, "key", advance, "last double", "key string, ts timestamp, value double", keep_s, delay)
 
 
-def stream_merge(incoming: DataFrame, catalog: DataFrame, load: Callable[[], DataFrame], store: Callable[[DataFrame, DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    """Each micro-batch of (point, value, seq) through duplicates, gates and the merge with revisions. load() gives what is
-    stored; store(state, revisions, batch) must replace and append by batch number, so that a repeated batch does no harm."""
+def stream_merge(incoming: DataFrame, catalog: DataFrame, store: BucketStore, checkpoint: str, today: Column | None = None) -> StreamingQuery:
+    """Each micro-batch of (point, value, seq) through duplicates, gates and the merge with revisions into a store of
+    observations (jobs.observation_store). Only the buckets of the batch's series are read and written again, and a batch
+    that comes again changes nothing."""
 
     def each(batch: DataFrame, number: int) -> None:
-        rows = merge.dedupe_last(batch, merge.POINT, "seq")
-        stored = load()
-        newest = stored.groupBy("series_id", "dims_key").agg(F.max("obs_date").alias("last_date"), F.max_by("value", "obs_date").alias("last_value"))
-        judged = merge.validate(rows, catalog, newest, F.current_date()).filter("reason is null")
-        merged = merge.merge_observations(stored, judged, F.current_timestamp())
-        state = merged.select(*merge.POINT, "value", "revised_at", "first_seen_at")
-        revisions = merged.filter("action = 'changed'").select(*merge.POINT, F.col("prior_value").alias("value"), F.col("revised_at").alias("superseded_at"))
-        store(state, revisions, number)
+        batch = batch.persist()
+
+        def apply(stored: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+            last = merge.dedupe_last(rows, merge.POINT, "seq")
+            judged = merge.validate(last, catalog, merge.latest_value(last, stored), F.current_date() if today is None else today)
+            return with_revisions(stored, judged.filter("reason is null"), F.current_timestamp())
+
+        store.merge(batch, number, apply)
+        batch.unpersist()
 
     return incoming.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -61,14 +61,15 @@ def test_ma3_null_resets(spark):
 
 
 def test_merge_is_idempotent(spark):
-    point = "series_id string, obs_date date, dims_key string, value double"
+    point = "series_id string, obs_date date, dims_key string, value double, flagged boolean"
     day, old, now = dt.date(2024, 1, 1), dt.datetime(2024, 2, 1), dt.datetime(2024, 3, 1)
-    stored = spark.createDataFrame([("a", day, "{}", 1.0, old, old), ("b", day, "{}", 2.0, old, old)], point + ", revised_at timestamp, first_seen_at timestamp")
-    batch = spark.createDataFrame([("a", day, "{}", 1.5), ("b", day, "{}", 2.0), ("c", day, "{}", None)], point)
+    stored = spark.createDataFrame([("a", day, "{}", 1.0, False, old, old), ("b", day, "{}", 2.0, False, old, old), ("d", day, "{}", 4.0, False, old, old)], point + ", revised_at timestamp, first_seen_at timestamp")
+    batch = spark.createDataFrame([("a", day, "{}", 1.5, False), ("b", day, "{}", 2.0, False), ("c", day, "{}", None, False), ("d", day, "{}", 4.0, True)], point)
     from pyspark.sql import functions as F
 
     once = merge.merge_observations(stored, batch, F.lit(now))
-    assert {r.series_id: (r.action, r.prior_value, r.first_seen_at == old) for r in once.collect()} == {"a": ("changed", 1.0, True), "b": ("same", None, True), "c": ("new", None, False)}
+    assert {r.series_id: (r.action, r.prior_value, r.first_seen_at == old) for r in once.collect()} == {"a": ("changed", 1.0, True), "b": ("same", None, True), "c": ("new", None, False), "d": ("flagged", None, True)}
+    assert {r.revised_at for r in once.filter("series_id = 'd'").collect()} == {old}
     again = merge.merge_observations(once.select(*stored.columns), batch, F.lit(now))
     assert {r.action for r in again.collect()} == {"same"}
 

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline.sources import jobs
 from ledgerline.streaming import requests as R
 
 START = dt.datetime(2024, 1, 1)
@@ -86,25 +87,63 @@ def test_only_changes_pass(spark, tmp_path):
     assert sorted((r.key, r.ts, r.value) for r in got.collect()) == [("j", at(1), 1.0), ("k", at(0), 1.0), ("k", at(3), 2.0), ("k", at(5), 1.0)]
 
 
+def test_keys_without_news_are_forgotten(spark, tmp_path):
+    day = 1440
+    batches = [[("k", at(0), 1.0), ("other", at(0), 1.0)], [("other", at(40 * day), 2.0)], [("other", at(41 * day), 2.0)], [("k", at(42 * day), 1.0)], [("k", at(43 * day), 1.0)]]
+    got = drained(R.change_points(stream(spark, str(tmp_path / "in"), batches, "key string, ts timestamp, value double")), tmp_path, "forgotten")
+    assert sorted((r.key, r.ts) for r in got.collect()) == [("k", at(0)), ("k", at(42 * day)), ("other", at(0)), ("other", at(40 * day))]
+
+
+def test_null_readings_and_late_rows_change_nothing(spark, tmp_path):
+    batches = [[("k", at(0), 1.0), ("k", at(1), None)], [("k", at(20), 2.0), ("j", at(0), None)], [("k", at(10), 7.0), ("k", at(25), 2.0)], [("k", at(30), 1.0), ("j", at(30), 4.0)]]
+    got = drained(R.change_points(stream(spark, str(tmp_path / "in"), batches, "key string, ts timestamp, value double")), tmp_path, "nulls")
+    assert sorted((r.key, r.ts, r.value) for r in got.collect()) == [("j", at(30), 4.0), ("k", at(0), 1.0), ("k", at(20), 2.0), ("k", at(30), 1.0)]
+    batches = [[("t", at(0), False, 1.0), ("t", at(5), None, 1.0)], [("t", at(10), False, 1.0)], [("t", at(7), True, 1.0), ("t", at(12), False, 1.0)]]
+    got = drained(R.consecutive_failures(stream(spark, str(tmp_path / "in2"), batches, PROBES)), tmp_path, "late")
+    assert [(r.ts, r.failures) for r in got.collect()] == [(at(10), 2)]
+
+
+CATALOG = "series_id string, min_value double, max_value double, max_step double"
+
+
 def test_merge_keeps_revisions_over_batches(spark, tmp_path):
-    day = dt.date(2020, 1, 31)
+    day, next_day = dt.date(2020, 1, 31), dt.date(2020, 2, 29)
     schema = "series_id string, obs_date date, dims_key string, value double, seq long"
-    batches = [[("a", day, "{}", 1.0, 1), ("a", day, "{}", 2.0, 2), ("no", day, "{}", 1.0, 3)], [("a", day, "{}", 3.0, 4), ("b", day, "{}", 99.0, 5)], [("a", day, "{}", 3.0, 6)]]
-    state, log = str(tmp_path / "state"), []
-    empty = "series_id string, obs_date date, dims_key string, value double, revised_at timestamp, first_seen_at timestamp"
-    now = {"path": None}
-
-    def load():
-        return spark.read.parquet(now["path"]) if now["path"] else spark.createDataFrame([], empty)
-
-    def store(table, revisions, number):
-        table.write.parquet(f"{state}/{number}")
-        log.extend((r.series_id, r.value) for r in revisions.collect())
-        now["path"] = f"{state}/{number}"
-
-    catalog = spark.createDataFrame([("a", 0.0, 10.0, 5.0), ("b", 0.0, 10.0, 5.0)], "series_id string, min_value double, max_value double, max_step double")
-    R.stream_merge(stream(spark, str(tmp_path / "in"), batches, schema), catalog, load, store, str(tmp_path / "cp")).awaitTermination()
-    assert [(r.series_id, r.value) for r in load().collect()] == [("a", 3.0)] and log == [("a", 2.0)]
+    batches = [
+        [("a", day, "{}", 1.0, 1), ("a", day, "{}", 2.0, 2), ("no", day, "{}", 1.0, 3), ("c", day, '{"x":"1","y":"2"}', 1.0, 9)],
+        [("a", day, "{}", 3.0, 4), ("b", day, "{}", 99.0, 5)],
+        [("a", day, "{}", 3.0, 6), ("c", next_day, '{"x":"1"}', 8.0, 7), ("c", next_day, '{"y":"3"}', 8.0, 8)],
+    ]
+    catalog = spark.createDataFrame([(s, 0.0, 10.0, 5.0) for s in "abc"], CATALOG)
+    store = jobs.observation_store(spark, str(tmp_path / "store"), 8)
+    source = stream(spark, str(tmp_path / "in"), batches, schema)
+    R.stream_merge(source, catalog, store, str(tmp_path / "cp")).awaitTermination()
+    assert store.batches() == [0, 1, 2]
+    assert sorted((r.series_id, r.dims_key, r.value, r.flagged) for r in store.read().collect()) == [("a", "{}", 3.0, False), ("c", '{"x":"1","y":"2"}', 1.0, False), ("c", '{"x":"1"}', 8.0, True), ("c", '{"y":"3"}', 8.0, False)]
+    assert [(r.series_id, r.value) for r in store.log().collect()] == [("a", 2.0)]
+
+
+def test_a_batch_rewrites_its_buckets_once(spark, tmp_path):
+    schema = "series_id string, obs_date date, dims_key string, value double, flagged boolean"
+    day = dt.date(2020, 1, 31)
+    rows = lambda *pairs: spark.createDataFrame([(s, day, "{}", v, f) for s, v, f in pairs], schema)
+    store = jobs.observation_store(spark, str(tmp_path / "store"), 16)
+    add = lambda df, n: store.merge(df, n, lambda old, new: jobs.with_revisions(old, new, F.current_timestamp()))
+    assert add(rows(*[(f"s{i}", 1.0, False) for i in range(40)]), 0)
+    before = store.current()
+    files = lambda: {p: p.stat().st_mtime_ns for p in (tmp_path / "store").rglob("*.parquet")}
+    kept = files()
+    assert add(rows(("s1", 2.0, False), ("s2", 1.0, True)), 1)
+    after = store.current()
+    assert {b for b in after if after[b] != before[b]} == {b for b in after if after[b] == 1} and 1 <= sum(n == 1 for n in after.values()) <= 2
+    assert kept.items() <= files().items()
+    stamps = {r.series_id: (r.value, r.flagged, r.revised_at) for r in store.read().collect()}
+    old = {r.series_id: r.revised_at for r in spark.read.parquet(str(tmp_path / "store/rows/batch=0")).collect()}
+    assert len(stamps) == 40 and stamps["s2"] == (1.0, True, old["s2"]) and stamps["s1"][2] > old["s1"]
+    seen = files()
+    assert not add(rows(("s1", 9.0, False)), 1) and files() == seen and [r.value for r in store.log().collect()] == [1.0]
+    (tmp_path / "store/rows/batch=2/bucket=0").mkdir(parents=True)  # what a broken run left behind
+    assert add(rows(("s1", 3.0, False)), 2) and {r.value for r in store.read().filter("series_id = 's1'").collect()} == {3.0}
 
 
 def test_updates_reach_subscribers_once(spark, tmp_path):
