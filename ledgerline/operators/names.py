@@ -27,6 +27,38 @@ def canonical(df: DataFrame, column: str, registry: DataFrame, to: str = "canoni
     return j.withColumn(to, F.coalesce("found", "found2", title_case(F.col(column)))).drop("k", "k2", "found", "found2")
 
 
+def vocabulary_key(raw: Column) -> Column:
+    """A printed word's letters and digits in capitals, with single spaces for all else."""
+    return F.trim(F.regexp_replace(F.upper(F.coalesce(raw, F.lit(""))), "[^A-Z0-9]+", " "))
+
+
+#: What stands before a cargo's name as the work done with it, and behind a terminal's name as the berth's number.
+WORK = r"^(?:DIS|DISC|DISCH|DISCHARGE|LOAD|LOADING)\s+(?:LOAD\s+)?"
+BERTH = r"\s+(?:[IVX]+|\d+)$"
+
+
+def canon_vocabulary(df: DataFrame, column: str, vocabulary: DataFrame, to: str, strip: str, nothing: list[str] = ()) -> DataFrame:
+    """(alias, name) -> the name of each printed word in `to`: by its key, else by its key without `strip`, else the word itself,
+    tidied. Words of `nothing`, numbers alone, blanks and nulls name nothing. Two equality joins with the vocabulary."""
+    known = vocabulary.select(vocabulary_key(F.col("alias")).alias("_k"), F.col("name").alias("_n")).groupBy("_k").agg(F.min("_n").alias("_n"))
+    key = vocabulary_key(F.col(column))
+    j = df.withColumn("_key", key).withColumn("_short", F.regexp_replace(key, strip, ""))
+    j = j.join(known.select(F.col("_k").alias("_key"), F.col("_n").alias("_whole")), "_key", "left").join(known.select(F.col("_k").alias("_short"), F.col("_n").alias("_part")), "_short", "left")
+    none = (F.col("_key") == "") | F.col("_key").rlike(r"^[\d ]+$") | F.col("_key").isin(*nothing)
+    return j.withColumn(to, F.when(~none, F.coalesce("_whole", "_part", title_case(F.col(column))))).drop("_key", "_short", "_whole", "_part")
+
+
+def canon_cargo(df: DataFrame, vocabulary: DataFrame, units: DataFrame, fixed: dict[str, str], nothing: list[str] = (), default: str = "metric ton") -> DataFrame:
+    """(cargo, unit) as printed, with `commodity` and `measure`: the work before a cargo's name goes; a commodity that is always
+    counted in one unit has that, else what is printed by the units' vocabulary, else the default. What names no commodity
+    keeps its printed unit, if that is known."""
+    named = canon_vocabulary(df, "cargo", vocabulary, "commodity", WORK, nothing)
+    known = units.select(vocabulary_key(F.col("alias")).alias("_u"), F.col("name").alias("_unit")).groupBy("_u").agg(F.min("_unit").alias("_unit"))
+    j = named.withColumn("_u", vocabulary_key(F.col("unit"))).join(known, "_u", "left")
+    own = F.coalesce(*[F.when(F.col("commodity") == k, v) for k, v in fixed.items()], F.lit(None).cast("string"))
+    return j.withColumn("measure", F.when(F.col("commodity").isNotNull(), F.coalesce(own, "_unit", F.lit(default))).otherwise(F.col("_unit"))).drop("_u", "_unit")
+
+
 def split_details(raw: Column) -> Column:
     """struct<name, tranche, config, unit> of a plant's label: `(up to 200 MWh)`, `(CC)`, `Unit II`, `Block 3` behind the name."""
     s = F.trim(F.regexp_replace(raw, r"\s+", " "))

@@ -45,17 +45,23 @@ STANDARD_COLUMNS = ["Dataset Name", "Series Key", "Series Name", "Observation Da
 
 
 def read_series_json_lenient(spark: SparkSession, path: str) -> DataFrame:
-    """Series payloads that are no valid JSON (unescaped quotes in comments) -> (file, key, obs_date, value), row by row: the
-    first five fields of a row never carry quotes. Files that parse, and files of other columns, give no rows."""
+    """Series payloads that JSON cannot read, for want of escapes in their last columns -> (file, key, obs_date, value).
+
+    What follows `"rows"` is cut where one row ends and the next begins, and each piece's plain fields (a quoted text without
+    quotes, a number, null) are counted from the left: the second is the key, the fourth the date, the fifth the value.
+    Pieces with fewer fields or without a date there are no rows. Files that JSON reads, and files of other columns, give
+    none."""
     raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
     broken = raw.filter(F.from_json("value", "struct<columns:array<string>,rows:array<array<string>>>")["columns"].isNull())
     for name in STANDARD_COLUMNS:
         broken = broken.filter(F.contains(F.substring("value", 1, 400), F.lit(f'"{name}"')))
-    row = r'\[\s*"[^"]*"\s*,\s*"([^"]*)"\s*,\s*"[^"]*"\s*,\s*"(\d{4}-\d{2}-\d{2})[^"]*"\s*,\s*(?:"([^"]*)"|(-?[\d.eE+-]+|null))'
-    rows = broken.select("file", F.explode(F.regexp_extract_all("value", F.lit(row), F.lit(0))).alias("r"))
-    part = lambda n: F.regexp_extract("r", row, n)
-    text = F.when(part(3) != "", part(3)).otherwise(part(4))
-    return rows.select("file", F.trim(part(1)).alias("key"), F.to_date(part(2)).alias("obs_date"), to_number(text).alias("value"))
+    body = F.substring_index("value", '"rows"', -1)
+    pieces = broken.select("file", F.explode(F.split(body, r"\]\s*,\s*\[")).alias("piece"))
+    field = F.lit('"[^"]*"|[-+.0-9eE]+|null')
+    rows = pieces.select("file", F.slice(F.regexp_extract_all("piece", field, F.lit(0)), 1, 5).alias("f")).filter(F.size("f") == 5)
+    bare = lambda n: F.trim(F.replace(F.col("f")[n], F.lit('"'), F.lit("")))
+    out = rows.select("file", bare(1).alias("key"), F.try_to_date(F.substring(bare(3), 1, 10)).alias("obs_date"), to_number(bare(4)).alias("value"))
+    return out.filter("obs_date is not null")
 
 
 def read_dataset_meta(spark: SparkSession, path: str) -> DataFrame:
