@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from ledgerline.operators import series
 from ledgerline.operators.facts import OFFSETS, top_n_per_group
+from ledgerline.session import scratch_dir
 
 
 def difference(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
@@ -84,7 +85,9 @@ def collect_mapped(catalog: DataFrame, obs: DataFrame, pattern: str, low: float
 
 @dataclass
 class Spec:
-    """A derived indicator: how it is made from named inputs, and the bounds its values must keep."""
+    """A derived indicator: how it is made from named inputs, and the bounds its values must keep. An input is addressed as
+    `series`, `series|dim=value`, `spi:<city>` (prices of a city's items), `funds:<category>:<column>` (a column of a
+    category's funds) or `=<id>` (the result of another indicator)."""
 
     id: str
     inputs: dict[str, str]
@@ -95,23 +98,91 @@ class Spec:
     method: str = field(default="")
 
 
-def address(obs: DataFrame, text: str) -> DataFrame:
-    """An input by its address: `series` (no dimensions asked) or `series|dim=value`."""
-    series_id, _, pair = text.partition("|")
-    out = obs.filter(F.col("series_id") == series_id)
-    if pair:
-        name, _, value = pair.partition("=")
-        out = out.filter(F.get_json_object("dims_key", f"$.{name}") == value)
-    return out
+def by_dependency(specs: list[Spec]) -> list[Spec]:
+    """Specs in an order in which each comes after those whose results it reads."""
+    known, done, out = {s.id: s for s in specs}, set(), []
 
+    def visit(s: Spec, path: tuple[str, ...]) -> None:
+        if s.id in path:
+            raise ValueError(f"indicators read each other: {' -> '.join([*path, s.id])}")
+        if s.id in done:
+            return
+        for address in s.inputs.values():
+            if address.startswith("="):
+                if address[1:] not in known:
+                    raise ValueError(f"{s.id} reads {address[1:]}, which no indicator makes")
+                visit(known[address[1:]], (*path, s.id))
+        done.add(s.id)
+        out.append(s)
 
-def run_specs(obs: DataFrame, specs: list[Spec], digits: int = 6) -> DataFrame:
-    """All indicators in one plan: (series_id, obs_date, value, version), values within each one's bounds, rounded once."""
-    parts = []
     for s in specs:
-        points = s.compute({name: address(obs, text).select("obs_date", "value") for name, text in s.inputs.items()})
-        parts.append(points.filter(F.col("value").between(s.low, s.high)).select(F.lit(s.id).alias("series_id"), "obs_date", F.round("value", digits).alias("value"), F.lit(s.version).alias("version")))
-    return reduce(DataFrame.unionByName, parts)
+        visit(s, ())
+    return out
+
+
+INPUT = "item string, obs_date date, value double, input int"
+
+
+def spec_inputs(addresses: list[str], obs: DataFrame, prices: DataFrame | None, funds: DataFrame | None) -> DataFrame:
+    """(item, obs_date, value, input): the rows of every address, `input` being its place in the list. Each table is read once:
+    a row is tagged with all addresses that ask for it, by a join with the list of them (as many rows as addresses) on what
+    they name. prices: (city, item, obs_date, value); funds: (category, fund_id, obs_date, columns...)."""
+    spark = obs.sparkSession
+    named: list[tuple] = []
+    cities: list[tuple] = []
+    columns: list[tuple] = []
+    for i, address in enumerate(addresses):
+        kind, _, rest = address.partition(":")
+        if kind == "spi" and rest:
+            cities.append((i, rest))
+        elif kind == "funds" and rest:
+            columns.append((i, *rest.split(":")))
+        else:
+            series_id, _, pair = address.partition("|")
+            name, _, value = pair.partition("=")
+            named.append((i, series_id, f"$.{name}" if pair else None, value if pair else None))
+    out = []
+    if named:
+        asked = F.broadcast(spark.createDataFrame(named, "input int, series_id string, path string, wanted string"))
+        has = reduce(lambda c, p: F.when(F.col("path") == p, F.get_json_object("dims_key", p)).otherwise(c), sorted({n[2] for n in named if n[2]}), F.lit(None).cast("string"))
+        out.append(obs.join(asked, "series_id").filter(F.col("path").isNull() | (has == F.col("wanted"))).select(F.lit(None).cast("string").alias("item"), "obs_date", "value", "input"))
+    if cities:
+        asked = F.broadcast(spark.createDataFrame(cities, "input int, city string"))
+        out.append(prices.join(asked, "city").select("item", "obs_date", "value", "input"))
+    if columns:
+        asked = F.broadcast(spark.createDataFrame(columns, "input int, category string, measure string"))
+        long = funds.unpivot(["category", F.col("fund_id").cast("string").alias("item"), "obs_date"], sorted({c[2] for c in columns}), "measure", "value")
+        out.append(long.join(asked, ["category", "measure"]).select("item", "obs_date", F.col("value").cast("double").alias("value"), "input"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def run_specs(obs: DataFrame, specs: list[Spec], digits: int = 6, prices: DataFrame | None = None, funds: DataFrame | None = None) -> DataFrame:
+    """All indicators: (series_id, obs_date, value, version), values within each one's bounds (both included), rounded once.
+    compute gets (item, obs_date, value) of each input; item is null but for prices and funds.
+
+    The inputs of all indicators are written once, by input, so that the observations are scanned once however many
+    indicators there are, and each then reads its own files. Results that others read are written too."""
+    spark, folder = obs.sparkSession, scratch_dir(obs.sparkSession)
+    ordered = by_dependency(specs)
+    addresses = sorted({a for s in ordered for a in s.inputs.values() if not a.startswith("=")})
+    if addresses:
+        spec_inputs(addresses, obs, prices, funds).write.partitionBy("input").parquet(f"{folder}/inputs")
+    read = {a[1:] for s in ordered for a in s.inputs.values() if a.startswith("=")}
+    results: dict[str, DataFrame] = {}
+
+    def given(address: str) -> DataFrame:
+        if address.startswith("="):
+            return results[address[1:]].select(F.lit(None).cast("string").alias("item"), "obs_date", "value")
+        return spark.read.schema(INPUT).parquet(f"{folder}/inputs").filter(F.col("input") == addresses.index(address)).drop("input")
+
+    for n, s in enumerate(ordered):
+        points = s.compute({name: given(address) for name, address in s.inputs.items()})
+        out = points.filter(F.col("value").between(s.low, s.high)).select(F.lit(s.id).alias("series_id"), "obs_date", F.round("value", digits).alias("value"), F.lit(s.version).alias("version"))
+        if s.id in read:
+            out.write.parquet(f"{folder}/result-{n}")
+            out = spark.read.schema(out.schema).parquet(f"{folder}/result-{n}")
+        results[s.id] = out
+    return reduce(DataFrame.unionByName, [results[s.id] for s in specs])
 
 
 def chart_points(obs: DataFrame, daily: Column, monthly: Column, budget: int = 500, years: int = 5, least_room: int = 40) -> DataFrame:

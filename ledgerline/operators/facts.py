@@ -134,14 +134,46 @@ def port_day_series(calls: DataFrame) -> DataFrame:
     return out.select("port", "day", F.coalesce("direction", F.lit("all")).alias("direction"), F.coalesce("commodity", F.lit("total")).alias("commodity"), "tonnes", "ships")
 
 
-def usage_rollup(log: DataFrame, exact_upto: int = 1_000_000) -> DataFrame:
-    """Requests by day, user, kind of access, route and status class: count, median and 95th percentile of the time, bytes,
-    cache hits. An exact percentile holds a group's different times in memory, so where a group has more than exact_upto rows
-    (counted first) all groups get approximate ones, off by at most a hundred-thousandth of the ranks."""
-    keys = ["day", "user_id", "auth", "route", (F.col("status") / 100).cast("int").alias("status_class")]
-    largest = log.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    times = [F.expr(f"percentile(ms, {p})") if largest <= exact_upto else F.percentile_approx("ms", p, 100_000) for p in (0.5, 0.95)]
-    return log.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), times[0].alias("p50"), times[1].alias("p95"), F.sum("bytes").alias("bytes"), F.count_if(F.col("cache") == "hit").alias("cache_hits"))
+ROLLUP_KEYS = ["day", "user_id", "auth", "route", "status_class"]
+
+
+def usage_rollup(log: DataFrame) -> DataFrame:
+    """Requests by day, user, kind of access, route and status class: count, exact median and 95th percentile of the time (between
+    two ranks in proportion), bytes, cache hits.
+
+    The same at every size: each group's times are counted by value first, which brings equal ones together on the map side,
+    and ranked by running counts in a sort that spills, so that no group's times are held in memory."""
+    rows = log.withColumn("status_class", (F.col("status") / 100).cast("int"))
+    sums = rows.groupBy(*ROLLUP_KEYS).agg(F.count(F.lit(1)).alias("n"), F.count("ms").alias("timed"), F.sum("bytes").alias("bytes"), F.count_if(F.col("cache") == "hit").alias("cache_hits"))
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in ROLLUP_KEYS]
+    values = rows.filter("ms is not null").groupBy(*ROLLUP_KEYS, "ms").agg(F.count(F.lit(1)).alias("times"))
+    upto = F.sum("times").over(Window.partitionBy(*ROLLUP_KEYS).orderBy("ms").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = values.withColumn("upto", upto).alias("a").join(sums.select(*ROLLUP_KEYS, "timed").alias("b"), same).select("a.*", "b.timed")
+    picks, shares = [], {"p50": 0.5, "p95": 0.95}
+    for name, share in shares.items():
+        rank = share * (F.col("timed") - 1)  # from 0; the values at the ranks on both sides are mixed
+        for side, at in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
+            picks.append(F.min(F.when(F.col("upto") > at, F.col("ms"))).alias(f"{name}_{side}"))
+    found = ranked.groupBy(*ROLLUP_KEYS).agg(*picks)
+    j = sums.alias("a").join(found.alias("b"), same, "left")
+    mixed = lambda p, share: F.col(f"b.{p}_lo") + (share * (F.col("a.timed") - 1) - F.floor(share * (F.col("a.timed") - 1))) * (F.col(f"b.{p}_hi") - F.col(f"b.{p}_lo"))
+    return j.select(*[f"a.{k}" for k in ROLLUP_KEYS], "a.n", *[mixed(p, s).alias(p) for p, s in shares.items()], "a.bytes", "a.cache_hits")
+
+
+def usage_sketches(log: DataFrame, keys: list[str], k: int = 400, lg_k: int = 14) -> DataFrame:
+    """What is stored of each day: count, bytes, a sketch of the times and one of the different addresses, by `day` and keys.
+    Sketches of days are merged by merged_usage(). k and lg_k set their size: with k = 400 a quantile's rank is off by
+    about 0.7 %, with lg_k = 14 a count of addresses by about 0.8 % (one standard deviation); both are exact for few values."""
+    cells = F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")
+    return log.groupBy("day", *keys).agg(*cells, F.kll_sketch_agg_double("ms", F.lit(k)).alias("times"), F.hll_sketch_agg("address", F.lit(lg_k)).alias("addresses"))
+
+
+def merged_usage(days: DataFrame, keys: list[str], shares: tuple[float, ...] = (0.5, 0.95)) -> DataFrame:
+    """usage_sketches of several days -> count, bytes, quantiles of the time and different addresses by keys. A merge of merges is
+    the same as one merge, so days may be merged to weeks and these to months."""
+    g = days.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.kll_merge_agg_double("times").alias("times"), F.hll_union_agg("addresses").alias("addresses"))
+    quantiles = [F.expr(f"kll_sketch_get_quantile_double(times, {s})").alias(f"p{round(100 * s)}") for s in shares]
+    return g.select(*keys, "n", "bytes", *quantiles, F.hll_sketch_estimate("addresses").alias("addresses"))
 
 
 def unique_visitors(log: DataFrame, error: float | None = None) -> DataFrame:

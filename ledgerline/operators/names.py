@@ -9,8 +9,10 @@ import hmac
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerline.functions.text import name_key, title_case
+from ledgerline.session import scratch_dir
 
 #: Legal forms at the end of a name, and roman numbers of units.
 LEGAL = r"(privatelimited|pvtlimited|pvtltd|private|limited|pvt|ltd|company|co)+$"
@@ -73,23 +75,77 @@ def split_details(raw: Column) -> Column:
     return F.struct(bare.alias("name"), level.alias("tranche"), some(config).alias("config"), some(F.coalesce(F.try_element_at(numbers, unit), unit)).alias("unit"))
 
 
-def close_names(names: DataFrame, registry: DataFrame, cutoff: float = 0.86, least_shared: int = 2) -> DataFrame:
+#: Texts this long or longer are met by pieces of three letters, shorter ones by pieces of two.
+LONG = 12
+LEAST_LIKENESS = 0.85
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """Twice the matching characters over all characters, by blocks of them in the same order."""
+
+    @F.pandas_udf("double")
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+
+    return ratio(a, b)
+
+
+def _least_matching(a: Column, b: Column, least: float) -> Column:
+    """Matching characters that two texts of these lengths need."""
+    return F.ceil(least * (a + b) / 2 - 1e-9)
+
+
+def _prefixes(texts: DataFrame, group: list[str], least: float) -> DataFrame:
+    """(group, text) -> (group, text, q, piece): of each text so many of its rarest pieces that two texts alike share one.
+
+    With M matching characters in B blocks at least M - (q - 1) B pieces of q characters are kept, and there are at most
+    1 + (characters without a match) blocks. If two texts share at least T pieces, so do all but their T - 1 most frequent
+    ones. T is taken for the least favourable length that the other text may have. Repeated pieces are numbered."""
+    size = F.length("text")
+    lo, hi = F.ceil(size * least / (2 - least) - 1e-9), F.floor(size * (2 - least) / least + 1e-9)
+    t = texts.select(*group, "text").distinct().filter(F.length("text") > 2).withColumns({"lo": lo, "hi": hi})
+    parts = []
+    for q, wanted in ((2, (size < LONG) | (F.col("lo") < LONG)), (3, size >= LONG)):
+        pieces = F.transform(F.sequence(F.lit(1), size - q + 1), lambda i: F.substring(F.col("text"), i, F.lit(q)))  # noqa: B023
+        numbered = F.transform("p", lambda x, i: F.concat(x, F.size(F.filter(F.slice("p", 1, i), lambda y: y == x)).cast("string")))
+        shared = F.array_min(F.transform(F.sequence("lo", "hi"), lambda n: (2 * q - 1) * _least_matching(size, n, least) - (q - 1) * (1 + size + n)))  # noqa: B023
+        rows = t.filter(wanted).withColumn("p", pieces).withColumn("p", numbered).withColumn("keep", F.size("p") - F.greatest(shared, F.lit(1)) + 1)
+        parts.append(rows.select(*group, "text", F.lit(q).alias("q"), "keep", F.explode("p").alias("piece")))
+    every = parts[0].unionByName(parts[1])
+    often = every.groupBy("q", "piece").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(*group, "text", "q").orderBy("n", "piece")
+    return every.join(often, ["q", "piece"]).withColumn("place", F.row_number().over(w)).filter("place <= keep").select(*group, "text", "q", "piece")
+
+
+def alike(left: DataFrame, right: DataFrame, group: list[str], least: float = LEAST_LIKENESS, before: Column | None = None) -> DataFrame:
+    """(group, a, b, r): the different texts of left and right, (group, text), of one group whose likeness r is at least `least`
+    (0.85 or more). Exact: candidates share one of their rarest pieces, fit by length and by edit distance, and are then
+    compared. before: a test on pairs (a, b), applied to candidates."""
+    if least < LEAST_LIKENESS:
+        raise ValueError(f"pieces find pairs with a likeness of {LEAST_LIKENESS} or more")
+    both = _prefixes(left.select(*group, "text").unionByName(right.select(*group, "text")), group, least)
+    a = both.join(left.select(*group, "text").distinct(), [*group, "text"], "left_semi").withColumnRenamed("text", "a")
+    b = both.join(right.select(*group, "text").distinct(), [*group, "text"], "left_semi").withColumnRenamed("text", "b")
+    la, lb = F.length("a"), F.length("b")
+    met = a.join(b, [*group, "q", "piece"]).filter((F.col("a") != F.col("b")) & ((F.col("q") == 3) | (F.least(la, lb) < LONG)))
+    met = met.filter(before) if before is not None else met
+    apart = (la + lb - 2 * _least_matching(la, lb, least)).cast("int")
+    near = met.filter(2 * F.least(la, lb) >= least * (la + lb) - 1e-9).select(*group, "a", "b").distinct().filter(F.levenshtein("a", "b") <= apart)
+    return near.withColumn("r", likeness(F.col("a"), F.col("b"))).filter(F.col("r") >= least)
+
+
+def close_names(names: DataFrame, registry: DataFrame, cutoff: float = 0.86) -> DataFrame:
     """names (province, name) -> the registered name of the same province: by key where it is the same, else the closest by
-    the ratio of matching characters, if that is at least the cutoff. Only the distinct names without a key are compared, and
-    only with registered names that share two-letter pieces with them (an inverted index by province)."""
+    likeness, if that is at least the cutoff; of equally close ones the last by name. Only the distinct names without a key
+    are compared."""
     known = registry.select("province", name_key(F.col("name")).alias("k"), F.col("name").alias("canonical")).dropDuplicates(["province", "k"])
     asked = names.select("province", "name").distinct().withColumn("k", name_key(F.col("name")))
     exact = asked.join(known, ["province", "k"]).select("province", "name", "canonical")
     rest = asked.join(known, ["province", "k"], "left_anti")
-    pieces = lambda c: F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(2)))))
-    met = rest.select("province", "name", F.col("k").alias("a"), pieces(F.col("k")).alias("p")).join(known.select("province", F.col("k").alias("b"), "canonical", pieces(F.col("k")).alias("p")), ["province", "p"])
-    pairs = met.groupBy("province", "name", "a", "b", "canonical").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_shared)
-
-    @F.pandas_udf("double")
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([difflib.SequenceMatcher(None, y, x).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
-
-    best = pairs.withColumn("r", ratio("a", "b")).filter(F.col("r") >= cutoff).groupBy("province", "name").agg(F.max_by("canonical", F.struct("r", "canonical")).alias("canonical"))
+    text = lambda df: df.select("province", F.col("k").alias("text"))
+    pairs = alike(text(known), text(rest), ["province"], cutoff).withColumnsRenamed({"a": "k", "b": "asked"})
+    named = pairs.join(known, ["province", "k"]).groupBy("province", "asked").agg(F.max_by("canonical", F.struct("r", "canonical")).alias("canonical"))
+    best = rest.join(named.withColumnRenamed("asked", "k"), ["province", "k"]).select("province", "name", "canonical")
     return exact.unionByName(best)
 
 
@@ -103,34 +159,59 @@ def hash_address(address: Column, salt: bytes, length: int = 16) -> Column:
     return keyed(address)
 
 
-def cluster_spellings(reads: DataFrame, least: float = 0.85, least_reads: int = 3) -> DataFrame:
-    """reads (name) -> (name, n, canonical): spellings of one thing by the likeness of their keys, in order of frequency,
-    among those that have the same details (unit numbers, configuration) and the same first letter of the key or length.
-    The best-spaced of a cluster's frequent spellings stands for it; clusters read fewer than least_reads times are left
-    out. Blocks hold distinct names only."""
+def leaders(pairs: DataFrame, nodes: DataFrame, most_rounds: int = 200) -> DataFrame:
+    """nodes (node) and pairs (node, above) -> (node, leader): a node is a leader if no node above it, of those it is paired
+    with, is one; else its leader is the one of these with the smallest `place`. pairs: (node, above, place of above).
+
+    In rounds: a node with a leader above it is none, a node above which all are decided and none leads is one. Every round
+    decides the topmost open nodes at least, and writes what is decided."""
+    spark = nodes.sparkSession
+    folder = scratch_dir(spark)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    pairs = kept(pairs.select("node", "above", "place"), "pairs")
+    state = kept(nodes.select("node").join(pairs.select("node").distinct().withColumn("below", F.lit(True)), "node", "left").select("node", F.when(F.col("below").isNull(), True).alias("leads")), "0")
+    for n in range(1, most_rounds + 1):
+        if state.filter("leads is null").isEmpty():
+            break
+        above = pairs.join(state.select(F.col("node").alias("above"), "leads"), "above")
+        seen = above.groupBy("node").agg(F.max(F.coalesce("leads", F.lit(False))).alias("led"), F.max(F.col("leads").isNull()).alias("open"))
+        verdict = F.coalesce("leads", F.when(F.col("led"), False).when(~F.col("open"), True))
+        state = kept(state.join(seen, "node", "left").select("node", verdict.alias("leads")), str(n))
+    else:
+        raise RuntimeError(f"undecided after {most_rounds} rounds")
+    led = pairs.join(state.filter("leads").select(F.col("node").alias("above")), "above", "left_semi").groupBy("node").agg(F.min_by("above", "place").alias("leader"))
+    return state.join(led, "node", "left").select("node", F.when(F.col("leads"), F.col("node")).otherwise(F.col("leader")).alias("leader"))
+
+
+def cluster_spellings(reads: DataFrame, least: float = LEAST_LIKENESS, least_reads: int = 3) -> DataFrame:
+    """reads (name) -> (name, n, canonical): spellings of one thing. Names with the same details (unit numbers, configuration)
+    are compared by their keys, in which often misread characters are one: a key follows the most frequent leading key that
+    it is like, or leads itself; equally frequent keys go by the alphabet. Of a cluster's spellings with at least a tenth of
+    its reads, and two, the one with most spaces stands for it, then the most frequent; of none such, any. Clusters read
+    fewer than least_reads times are left out. Null names are none."""
     tag = F.array_join(F.array_sort(F.regexp_extract_all(F.lower("name"), F.lit(r"(\(cc\)|\(oc\)|\(hsd\)|unit\s*-?\s*\d+|upto|above)"), F.lit(1))), "|")
-    distinct = reads.groupBy("name").agg(F.count(F.lit(1)).alias("n")).withColumn("sign", F.regexp_replace(tag, r"[\s-]", ""))
-    distinct = distinct.withColumn("k", F.translate(name_key(F.col("name")), "l10", "iio"))
-
-    def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = pdf.groupby("k")["n"].sum().sort_index().sort_values(ascending=False, kind="stable")
-        heads: list[str] = []
-        of = {}
-        for k in total.index:
-            of[k] = next((h for h in heads if difflib.SequenceMatcher(None, k, h).ratio() >= least), k)
-            if of[k] == k:
-                heads.append(k)
-        pdf = pdf.assign(head=pdf["k"].map(of))
-        best = {}
-        for head, own in pdf.groupby("head"):
-            whole = own["n"].sum()
-            if whole >= least_reads:
-                often = own[own["n"] >= max(2, 0.1 * whole)] if (own["n"] >= max(2, 0.1 * whole)).any() else own
-                best[head] = max(zip(often["name"].str.count(" "), often["n"], often["name"]))[2]
-        kept = [r for r in zip(pdf["name"], pdf["n"], pdf["head"]) if r[2] in best]
-        return pd.DataFrame([(name, n, best[head]) for name, n, head in kept], columns=["name", "n", "canonical"]).astype({"name": object, "canonical": object})
-
-    return distinct.groupBy("sign", F.substring("k", 1, 1).alias("first")).applyInPandas(lambda pdf: block(pdf), "name string, n long, canonical string")
+    names = reads.filter("name is not null").groupBy("name").agg(F.count(F.lit(1)).alias("n")).withColumn("sign", F.regexp_replace(tag, r"[\s-]", ""))
+    names = names.withColumn("k", F.translate(name_key(F.col("name")), "l10", "iio"))
+    keys = names.groupBy("sign", "k").agg(F.sum("n").alias("reads"))
+    node, text = F.struct("sign", "k"), keys.select("sign", F.col("k").alias("text"))
+    place = F.struct(F.negative("reads").alias("less"), "k")
+    pairs = alike(text, text, ["sign"], least)
+    below = keys.select("sign", F.col("k").alias("a"), place.alias("own"))
+    over = keys.select("sign", F.col("k").alias("b"), place.alias("place"))
+    ranked = pairs.join(below, ["sign", "a"]).join(over, ["sign", "b"]).filter(F.col("place") < F.col("own"))
+    ranked = ranked.select(F.struct("sign", F.col("a").alias("k")).alias("node"), F.struct("sign", F.col("b").alias("k")).alias("above"), "place")
+    lead = leaders(ranked, keys.select(node.alias("node"))).select("node.sign", "node.k", F.col("leader.k").alias("head"))
+    own = names.join(lead, ["sign", "k"])
+    whole = own.groupBy("sign", "head").agg(F.sum("n").alias("whole")).filter(F.col("whole") >= least_reads)
+    kept = own.join(whole, ["sign", "head"])
+    often = F.col("n") >= F.greatest(F.lit(2), 0.1 * F.col("whole"))
+    spaces = F.length("name") - F.length(F.replace("name", F.lit(" "), F.lit("")))
+    best = kept.groupBy("sign", "head").agg(F.max_by("name", F.struct(often, spaces, "n", "name")).alias("canonical"))
+    return kept.join(best, ["sign", "head"]).select("name", "n", "canonical")
 
 
 def scheduled_releases(rules: DataFrame, today: Column, days: int = 120) -> DataFrame:

@@ -70,13 +70,26 @@ def collect_mapped(spark, d):
     return rounded(derived.collect_mapped(A.catalog(spark, d), A.monthly(spark, d), r"#(\d)(\d)$", 10000, 60000), "value")
 
 
-@query(f"""WITH {A.MONTHLY}, x AS (SELECT obs_date, value FROM monthly WHERE series_id = 'Brand#12' AND dims_key LIKE '%"A"%'), y AS (SELECT obs_date, value FROM monthly WHERE series_id = 'Brand#13' AND dims_key LIKE '%"A"%')
-SELECT 'spread' AS series_id, obs_date, round(x.value - y.value, 6) AS value, CAST(1 AS INTEGER) AS version FROM x JOIN y USING (obs_date) WHERE x.value - y.value BETWEEN -20000 AND 20000
-UNION ALL SELECT 'ratio', obs_date, round(100 * x.value / y.value, 6), 2 FROM x JOIN y USING (obs_date) WHERE 100 * x.value / y.value <= 120""")
+@query(f"""WITH {A.MONTHLY}, {A.PRICES}, x AS (SELECT obs_date, value FROM monthly WHERE series_id = 'Brand#12' AND dims_key LIKE '%"A"%'), y AS (SELECT obs_date, value FROM monthly WHERE series_id = 'Brand#13' AND dims_key LIKE '%"A"%'),
+s AS (SELECT obs_date, round(x.value - y.value, 6) AS value FROM x JOIN y USING (obs_date) WHERE x.value - y.value BETWEEN -20000 AND 20000), f AS (SELECT last_day(CAST(o_orderdate AS DATE)) AS obs_date, median(o_totalprice / 2) AS value FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
+SELECT 'spread' AS series_id, obs_date, value, CAST(1 AS INTEGER) AS version FROM s UNION ALL SELECT 'ratio', obs_date, round(100 * x.value / y.value, 6), 2 FROM x JOIN y USING (obs_date) WHERE 100 * x.value / y.value <= 120
+UNION ALL SELECT 'spread_pct', obs_date, round(100 * s.value / x.value, 6), 1 FROM s JOIN x USING (obs_date) UNION ALL SELECT 'basket', week, round(sum(value), 6), 1 FROM prices WHERE city = (SELECT min(city) FROM prices) GROUP BY 2 HAVING sum(value) >= 1000
+UNION ALL SELECT 'funds', obs_date, round(value, 6), 1 FROM f""")
 def run_specs(spark, d):
+    """Five indicators, of which one reads another's result; a city's prices and a category's funds are inputs too."""
+    prices = A.prices(spark, d).withColumnRenamed("week", "obs_date")
+    city = prices.agg(F.min("city")).first()[0]
+    funds = read_table(spark, d, "orders").select(F.col("o_orderstatus").alias("category"), (F.col("o_custkey") % 50).alias("fund_id"), F.last_day(F.to_date("o_orderdate")).alias("obs_date"), F.col("o_totalprice").alias("d30"), (F.col("o_totalprice") / 2).alias("d365"))
     inputs = {"x": "Brand#12|flag=A", "y": "Brand#13|flag=A"}
-    specs = [derived.Spec("spread", inputs, lambda i: derived.difference(i["x"], i["y"], []), -20000, 20000), derived.Spec("ratio", inputs, lambda i: derived.share_pct(i["x"], i["y"], []), high=120, version=2)]
-    return derived.run_specs(A.monthly(spark, d), specs)
+    one = lambda agg: lambda i: i["p"].groupBy("obs_date").agg(agg("value").alias("value"))
+    specs = [
+        derived.Spec("spread_pct", {"s": "=spread", "x": "Brand#12|flag=A"}, lambda i: derived.share_pct(i["s"], i["x"], [])),
+        derived.Spec("spread", inputs, lambda i: derived.difference(i["x"], i["y"], []), -20000, 20000),
+        derived.Spec("ratio", inputs, lambda i: derived.share_pct(i["x"], i["y"], []), high=120, version=2),
+        derived.Spec("basket", {"p": f"spi:{city}"}, one(F.sum), low=1000),
+        derived.Spec("funds", {"p": "funds:F:d365"}, one(F.median)),
+    ]
+    return derived.run_specs(A.monthly(spark, d), specs, prices=prices, funds=funds)
 
 
 _KEYS = "series_id, dims_key"

@@ -450,6 +450,17 @@ def usage_rollup(spark, d):
     return rounded(facts.usage_rollup(A.request_log(spark, d)), "p50", "p95")
 
 
+@query(f"""WITH {A.LOG} SELECT route, CAST(date_trunc('week', day) AS DATE) AS week, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS bytes, count(DISTINCT address) AS addresses, true AS p50_fits, true AS p95_fits FROM log GROUP BY 1, 2""")
+def merged_usage(spark, d):
+    """Stored sketches of days merged to weeks; whether each quantile's rank in the log is within 3 % of what was asked."""
+    log = A.request_log(spark, d)
+    week = lambda df: df.withColumn("week", F.date_trunc("week", "day").cast("date"))
+    merged = facts.merged_usage(week(facts.usage_sketches(log, ["route"])), ["route", "week"])
+    near = lambda p, share: F.abs(F.avg((F.col("ms") <= F.col(p)).cast("int")) - share) <= 0.03 + 1 / F.count("ms")
+    ranks = week(log).join(merged.select("route", "week", "p50", "p95"), ["route", "week"]).groupBy("route", "week").agg(near("p50", 0.5).alias("p50_fits"), near("p95", 0.95).alias("p95_fits"))
+    return merged.drop("p50", "p95").join(ranks, ["route", "week"])
+
+
 @query(f"WITH {A.LOG} SELECT day, count(DISTINCT address) AS visitors FROM log GROUP BY 1")
 def unique_visitors(spark, d):
     return facts.unique_visitors(A.request_log(spark, d))
