@@ -17,13 +17,18 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import join_sized
 
-#: Elements that never hold article text, that end a block, that have no end tag, and that hold raw text.
-NOISE = {"nav", "header", "footer", "aside", "form", "script", "style", "noscript", "template", "iframe", "object", "embed", "svg", "canvas", "button", "select", "option", "textarea", "input", "label", "fieldset", "dialog", "menu", "head", "title", "audio", "video", "map"}
+#: Elements that never hold article text, that may hold it by where they stand, that end a block, that have no end
+#: tag, and that hold raw text.
+NOISE = {"nav", "aside", "script", "style", "noscript", "template", "iframe", "object", "embed", "svg", "canvas", "button", "select", "option", "textarea", "input", "dialog", "menu", "head", "title", "audio", "video", "map"}
+BY_PLACE = {"header", "footer", "form", "label", "fieldset"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "caption"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "template", "svg"}
 CONTAINER = {"article", "main", "section", "div", "body", "td", "center"}
 CLOSES_P = BLOCK
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Characters of a paragraph (blanks not counted) that make an article's own footer part of it.
+CLOSING = 80
 #: Words in class, id or role that mark menus, headers, footers, sidebars, notices, adverts, forms, comments.
 NOISE_WORDS = set(
     "ad ads advert adverts advertisement advertisements advertising adsense adsbygoogle banner banners sponsor sponsored promo promos promotion promoted "
@@ -44,12 +49,13 @@ PAGE = "page"
 
 
 class Node:
-    __slots__ = ("tag", "path", "noise", "parent", "text", "linked", "paragraphs", "commas", "sure", "named", "plain", "full", "chain", "direct", "listed")
+    __slots__ = ("tag", "path", "noise", "parent", "text", "linked", "paragraphs", "commas", "sure", "named", "plain", "full", "chain", "direct", "listed", "heading", "longest")
 
     def __init__(self, tag: str, path: str, noise: bool, parent: Node | None, sure: bool, named: int = 0):
         self.tag, self.path, self.noise, self.parent, self.sure, self.named = tag, path, noise, parent, sure, named
         self.plain = self.full = self.chain = self.direct = self.listed = 0
-        self.text = self.linked = self.paragraphs = self.commas = 0
+        self.text = self.linked = self.paragraphs = self.commas = self.longest = 0
+        self.heading = tag in HEADINGS
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -117,7 +123,7 @@ def read(html: str):
             attrs["hidden"] = ""
         until = 0
         if name in CLOSES_P:
-            until = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p" or stack[i].tag in CONTAINER or stack[i].tag in NOISE), 0)
+            until = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p" or stack[i].tag in CONTAINER or stack[i].tag in NOISE or stack[i].tag in BY_PLACE), 0)
             until = until if until and stack[until].tag == "p" else 0
         if name in ("li", "dt", "dd", "td", "th", "tr", "option"):
             same = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",)}.get(name, (name,))
@@ -151,30 +157,56 @@ def read(html: str):
         yield "close", node, None
 
 
+def _own_part(node: Node, holds: set, total: int) -> bool:
+    """Whether a header, footer or form is part of the article: what holds the largest article or main; an article's own header
+    with a heading, or its own footer with a long paragraph; a form (or fieldset, label) with a heading or a paragraph that
+    holds more than half of the page's text outside links."""
+    if id(node) in holds:
+        return True
+    if node.tag not in ("header", "footer"):
+        return (node.heading or node.longest > 0) and 2 * node.plain > total
+    up = node.parent
+    while up is not None and up.tag not in ("article", "main"):
+        up = up.parent
+    return up is not None and not node.named and (node.heading if node.tag == "header" else node.longest >= CLOSING)
+
+
 def settled(html: str | None) -> list:
     """Events of a page, with noise decided. A noise name does not count on what holds the page's largest article or main,
-    on that itself, or, but for comments, on what holds more than half of the text outside links."""
-    events, links, total, largest = list(read(html or "")), 0, 0, None
+    on that itself, or, but for comments, on what holds more than half of the text outside links. Headers, footers and forms
+    are noise unless they are part of the article."""
+    events, links, largest = list(read(html or "")), 0, None
     for kind, node, text in events:
         if kind == "open":
             links += node.tag == "a"
         elif kind == "close":
             links -= node.tag == "a"
+            if node.tag == "p":
+                node.longest = max(node.longest, node.plain)
             if node.parent is not None:
                 node.parent.plain += node.plain
+                node.parent.heading |= node.heading
+                node.parent.longest = max(node.parent.longest, node.longest)
             if node.sure and not node.noise and node.named < 2 and (largest is None or node.plain > largest.plain):
                 largest = node
         elif kind == "text" and not links and not node.noise:
-            n = len(text) - text.count(" ") if text.strip() else 0
-            node.plain += n
-            total += n
-    holds = set()
+            node.plain += len(text) - text.count(" ") if text.strip() else 0
+    root, holds = events[0][1], set()
     while largest is not None:
         holds.add(id(largest))
         largest = largest.parent
+    whole = root.plain
+    for kind, node, _ in events:
+        if kind == "open" and node.parent is not None and not node.noise:
+            node.noise = node.parent.noise
+            if not node.noise and node.tag in BY_PLACE and not _own_part(node, holds, whole):
+                node.noise, up = True, node.parent
+                while up is not None:
+                    up.plain -= node.plain
+                    up = up.parent
     for kind, node, _ in events:
         if kind == "open" and node.parent is not None and not node.noise:
-            by_name = node.named and node.tag not in ("article", "main") and id(node) not in holds and (node.named == 2 or 2 * node.plain <= total)
+            by_name = node.named and node.tag not in ("article", "main") and id(node) not in holds and (node.named == 2 or 2 * node.plain <= root.plain)
             node.noise = node.parent.noise or bool(by_name)
     return events
 

@@ -60,6 +60,22 @@ def test_html_of_empty_repeated_and_clashing_tables(spark):
     assert html.extract(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_html_forms_headers_and_footers_go_by_their_place(spark):
+    para = lambda i: f"<p>{words(i, 30)}.</p>"
+    body = "".join(map(para, range(8)))
+    want = [f"{words(i, 30)}." for i in range(8)]
+    pages = {
+        1: f'<body><form id="aspnetForm"><div class="content"><h1>Title</h1>{body}</div></form></body>',
+        2: f"<body><header><h1>Site</h1><a href=x>Home</a></header><article><header><h1>HEADLINE</h1></header>{body}</article><footer>Copyright {words(9, 40)}</footer></body>",
+        3: f"<body><article><h1>Title</h1>{body}<footer>{para(20)}</footer></article></body>",
+        4: f"<body><article><h1>Title</h1>{body}<footer><p>Share this</p><a href=x>more</a></footer></article><form><label>Your name</label><input></form></body>",
+        5: f"<body><header><h1>Name of the site</h1></header><div><p>Short.</p></div><footer>{words(30, 60)}</footer></body>",
+        6: f"<body><form><fieldset><label>Search {words(31, 9)}</label></fieldset></form><div>{body}</div></body>",
+    }
+    got = {r.page_id: r.text.split("\n") for r in html.extract(spark.createDataFrame([(i, f"http://h{i}/x", h) for i, h in pages.items()], "page_id long, url string, html string")).collect()}
+    assert got == {1: ["Title", *want], 2: ["HEADLINE", *want], 3: ["Title", *want, f"{words(20, 30)}."], 4: ["Title", *want], 5: ["Short."], 6: want}
+
+
 def test_suffix_dedup_of_empty_and_clashing_tables(spark):
     schema = "doc_id long, text string, kept string, _id long, _th int, _spans string"
     assert suffixes.deduplicate(spark.createDataFrame([], schema)).count() == 0
