@@ -185,23 +185,37 @@ def run_specs(obs: DataFrame, specs: list[Spec], digits: int = 6, prices: DataFr
     return reduce(DataFrame.unionByName, [results[s.id] for s in specs])
 
 
-def chart_points(obs: DataFrame, daily: Column, monthly: Column, budget: int = 500, years: int = 5, least_room: int = 40) -> DataFrame:
-    """What a full-history chart shows of each series: the last years as published (a daily series one point, the last, for
-    each ISO week), older points as averages by month for a daily series, by year where these would be more than the budget
-    leaves and for a monthly one; other series are shown whole. daily, monthly: tests of a row's frequency."""
-    key = series.KEY
-    o = obs.filter("value is not null")
+#: Frequencies finer than a week, and of a week or two.
+SUB_WEEKLY, WEEKLY = ["daily", "business_daily", "business daily"], ["weekly", "fortnightly"]
+
+
+def six_digits(x: Column) -> Column:
+    """A number to six significant digits; exact halves of the last one go away from zero."""
+    unit = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))) - 5)
+    return F.when(x == 0, x).otherwise(F.round(x / unit) * unit)
+
+
+def chart_points(obs: DataFrame, budget: int = 500, years: int = 5, least_room: int = 40) -> DataFrame:
+    """What a full-history chart shows of each series, (series_id, dims_key, obs_date, value, frequency): the last years as
+    published, of a daily series the last point of each ISO week; older points as averages to six digits, dated on their
+    period's first day: by month for daily and weekly series, or by year if there are more months than room; by year for
+    monthly ones; for quarterly ones by year if there are more points than room; of all other series as published. Room is
+    what the budget leaves beside the last years, and least_room at least. Null values are no points."""
+    key, freq = series.KEY, F.lower(F.coalesce("frequency", F.lit("")))
+    o = obs.filter("value is not null").withColumn("freq", freq)
     last = o.groupBy(*key).agg(F.add_months(F.max("obs_date"), -12 * years).alias("cutoff"))
-    j = o.join(last, key).withColumn("recent", F.col("obs_date") >= F.col("cutoff")).withColumn("daily", daily).withColumn("monthly", monthly)
-    week = F.when(F.col("recent") & F.col("daily"), F.date_trunc("week", "obs_date").cast("date")).otherwise(F.col("obs_date"))
-    shown = j.filter(F.col("recent") | ~(F.col("daily") | F.col("monthly"))).groupBy(*key, week.alias("slot")).agg(F.max("obs_date").alias("obs_date"), F.max_by("value", "obs_date").alias("value")).drop("slot").withColumn("avg", F.lit(None).cast("string"))
-    n_recent = shown.join(last, key).filter("obs_date >= cutoff").groupBy(*key).agg(F.count(F.lit(1)).alias("n_recent"))
-    old = j.filter(~F.col("recent") & (F.col("daily") | F.col("monthly")))
-    n_old = old.groupBy(*key).agg(F.countDistinct(F.trunc("obs_date", "month")).alias("n_old"))
-    by = old.join(n_recent, key, "left").join(n_old, key).withColumn("yearly", F.col("monthly") | (F.col("n_old") > F.greatest(F.lit(budget) - F.coalesce("n_recent", F.lit(0)), F.lit(least_room))))
-    slot = F.when(F.col("yearly"), F.trunc("obs_date", "year")).otherwise(F.trunc("obs_date", "month"))
-    means = by.groupBy(*key, slot.alias("obs_date"), F.when(F.col("yearly"), "year").otherwise("month").alias("avg")).agg(F.avg("value").alias("value"))
-    return shown.unionByName(means.select(*shown.columns))
+    j = o.join(last, key).withColumn("recent", F.col("obs_date") >= F.col("cutoff"))
+    week = F.when(F.col("freq").isin(*SUB_WEEKLY), F.date_trunc("week", "obs_date").cast("date")).otherwise(F.col("obs_date"))
+    shown = j.filter("recent").groupBy(*key, week.alias("slot")).agg(F.max("obs_date").alias("obs_date"), F.max_by("value", "obs_date").alias("value")).drop("slot")
+    n_recent = shown.groupBy(*key).agg(F.count(F.lit(1)).alias("n_recent"))
+    n_old = j.filter("not recent").groupBy(*key).agg(F.count(F.lit(1)).alias("points"), F.countDistinct(F.trunc("obs_date", "month")).alias("months"))
+    room = F.greatest(F.lit(budget) - F.coalesce("n_recent", F.lit(0)), F.lit(least_room))
+    by = F.when(F.col("freq").isin(*SUB_WEEKLY, *WEEKLY), F.when(F.col("months") > room, "year").otherwise("month")).when((F.col("freq") == "monthly") | ((F.col("freq") == "quarterly") & (F.col("points") > room)), "year")
+    old = j.filter("not recent").join(n_old, key).join(n_recent, key, "left").withColumn("avg", by)
+    slot = F.when(F.col("avg") == "year", F.trunc("obs_date", "year")).when(F.col("avg") == "month", F.trunc("obs_date", "month")).otherwise(F.col("obs_date"))
+    older = old.groupBy(*key, slot.alias("obs_date"), "avg").agg(F.avg("value").alias("value"))
+    older = older.withColumn("value", F.when(F.col("avg").isNull(), F.col("value")).otherwise(six_digits(F.col("value"))))
+    return shown.withColumn("avg", F.lit(None).cast("string")).unionByName(older.select(*key, "obs_date", "value", "avg"))
 
 
 #: Dimension values that a chart shows by default, best first.

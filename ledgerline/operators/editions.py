@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerline.session import scratch_dir
+
 
 def merge_files(rows: DataFrame, keys: list[str], cols: list[str], order: Column) -> DataFrame:
     """Equal keys of one file add up (a null adds nothing); across files the later publication wins."""
@@ -16,9 +18,18 @@ def merge_files(rows: DataFrame, keys: list[str], cols: list[str], order: Column
 
 
 def code_span(rows: DataFrame) -> DataFrame:
-    """Per code the newest wording that is not empty, and the first and last fiscal year."""
-    said = F.when(F.length(F.trim("description")) > 0, F.struct("fy", "description"))
-    return rows.groupBy("code").agg(F.max(said)["description"].alias("description"), F.min("fy").alias("first_fy"), F.max("fy").alias("last_fy"))
+    """Per code the newest wording and the newest unit that are not empty, each for itself, and the first and last fiscal year."""
+    newest = lambda c: F.max(F.when(F.length(F.trim(c)) > 0, F.struct("fy", c)))[c].alias(c)
+    return rows.groupBy("code").agg(newest("description"), newest("unit"), F.min("fy").alias("first_fy"), F.max("fy").alias("last_fy"))
+
+
+def split_rows(df: DataFrame, test: Column) -> tuple[DataFrame, DataFrame]:
+    """(rows that pass, all others; null does not pass) of a table that is computed and written once, by side, so that each
+    side then reads its own files."""
+    folder = scratch_dir(df.sparkSession)
+    df.withColumn("_side", F.coalesce(test, F.lit(False)).cast("int")).write.partitionBy("_side").parquet(folder)
+    both = df.sparkSession.read.schema(f"{df._jdf.schema().toDDL()}, _side INT").parquet(folder)
+    return both.filter("_side = 1").drop("_side"), both.filter("_side = 0").drop("_side")
 
 
 def number_repeats(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.facts import PARTNER_LEAST
 
-def partner_index(trade: DataFrame, rates: DataFrame, recent_from: int) -> DataFrame:
-    """Per partner first and last year, and its converted value over all years and since `recent_from`. Rows are summed by
-    year before the rates are joined."""
+
+#: Fixed value: stand-ins for partners, which have no page of their own.
+NO_PAGE = r"\(not specified\)|^Pakistan$|^Other \(origin"
+
+
+def partner_index(trade: DataFrame, rates: DataFrame, recent_from: int, least: float = PARTNER_LEAST, no_page: str = NO_PAGE) -> DataFrame:
+    """Per partner first and last year, its converted value over all years and since `recent_from`, and whether its page is
+    indexable: a value of `least` or more over all years, and a name that is no stand-in. Rows are summed by year before the
+    rates are joined."""
     yearly = trade.groupBy("country", "fy").agg(F.sum("value").alias("value")).join(rates, "fy", "left").withColumn("fx", F.col("value") / F.col("rate"))
-    return yearly.groupBy("country").agg(F.min("fy").alias("first_fy"), F.max("fy").alias("last_fy"), F.sum("fx").alias("all_fx"), F.sum(F.when(F.col("fy") >= recent_from, F.col("fx"))).alias("recent_fx"))
+    out = yearly.groupBy("country").agg(F.min("fy").alias("first_fy"), F.max("fy").alias("last_fy"), F.sum("fx").alias("all_fx"), F.sum(F.when(F.col("fy") >= recent_from, F.col("fx"))).alias("recent_fx"))
+    return out.withColumn("indexable", (F.coalesce("all_fx", F.lit(0.0)) >= least) & ~F.col("country").rlike(no_page))
 
 
 def hourly_to_daily(hours: DataFrame, key: list[str], least: int = 20) -> DataFrame:

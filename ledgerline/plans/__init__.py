@@ -1,3 +1,3 @@
 """Queries over the given tables; importing the package registers them all."""
 
-from ledgerline.plans import audits, files, indicators, loading, naming, printed, products, quality, reading, status, tariffs  # noqa: F401
+from ledgerline.plans import audits, files, indicators, loading, naming, printed, products, published, quality, reading, status, streams, tariffs  # noqa: F401

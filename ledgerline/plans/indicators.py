@@ -95,15 +95,16 @@ def run_specs(spark, d):
 _KEYS = "series_id, dims_key"
 
 
-@query(f"""WITH {A.MONTHLY}, {A.CATALOG}, o AS (SELECT m.*, frequency FROM monthly m JOIN catalog USING (series_id)), c AS (SELECT {_KEYS}, CAST(max(obs_date) - INTERVAL 60 MONTH AS DATE) AS cutoff FROM o GROUP BY 1, 2), j AS (SELECT * FROM o JOIN c USING ({_KEYS})),
-s AS (SELECT *, CASE WHEN frequency = 'daily' AND obs_date >= cutoff THEN date_trunc('week', obs_date) ELSE obs_date END AS slot FROM j WHERE obs_date >= cutoff OR frequency = 'annual'),
-shown AS (SELECT {_KEYS}, slot, max(obs_date) AS obs_date, arg_max(value, obs_date) AS value, any_value(cutoff) AS cutoff FROM s GROUP BY 1, 2, 3),
-n AS (SELECT {_KEYS}, count(*) FILTER (obs_date >= cutoff) AS n_recent FROM shown GROUP BY 1, 2), old AS (SELECT * FROM j WHERE obs_date < cutoff AND frequency <> 'annual'), m AS (SELECT {_KEYS}, count(DISTINCT date_trunc('month', obs_date)) AS n_old FROM old GROUP BY 1, 2),
-b AS (SELECT old.*, CASE WHEN frequency = 'monthly' OR n_old > greatest(50 - coalesce(n_recent, 0), 8) THEN 'year' ELSE 'month' END AS unit FROM old JOIN m USING ({_KEYS}) LEFT JOIN n USING ({_KEYS}))
-SELECT {_KEYS}, obs_date, round(value, 6) AS value, NULL AS avg FROM shown UNION ALL SELECT {_KEYS}, CAST(date_trunc(unit, obs_date) AS DATE), round(avg(value), 6), unit FROM b GROUP BY 1, 2, 3, 5""")
+@query(f"""WITH {A.MONTHLY}, o AS (SELECT *, list_value('daily', 'weekly', 'Monthly', 'quarterly', 'survey')[1 + CAST(substring(series_id, 7) AS INTEGER) % 5] AS frequency FROM monthly), c AS (SELECT {_KEYS}, CAST(max(obs_date) - INTERVAL 36 MONTH AS DATE) AS cutoff FROM o GROUP BY 1, 2), j AS (SELECT * FROM o JOIN c USING ({_KEYS})),
+s AS (SELECT {_KEYS}, CASE frequency WHEN 'daily' THEN CAST(date_trunc('week', obs_date) AS DATE) ELSE obs_date END AS slot, max(obs_date) AS obs_date, arg_max(value, obs_date) AS value FROM j WHERE obs_date >= cutoff GROUP BY ALL),
+n AS (SELECT {_KEYS}, count(*) AS n_recent FROM s GROUP BY 1, 2), w AS (SELECT *, count(*) OVER k AS points FROM j WHERE obs_date < cutoff WINDOW k AS (PARTITION BY {_KEYS})),
+u AS (SELECT w.*, CASE WHEN frequency IN ('daily', 'weekly') THEN CASE WHEN points > greatest(85 - coalesce(n_recent, 0), 8) THEN 'year' ELSE 'month' END WHEN frequency = 'Monthly' OR (frequency = 'quarterly' AND points > greatest(85 - coalesce(n_recent, 0), 8)) THEN 'year' END AS unit FROM w LEFT JOIN n USING ({_KEYS}))
+SELECT {_KEYS}, obs_date, round(value, 6) AS value, NULL AS avg FROM s UNION ALL SELECT {_KEYS}, obs_date, round(value, 6), NULL FROM u WHERE unit IS NULL
+UNION ALL SELECT {_KEYS}, CAST(date_trunc(unit, obs_date) AS DATE), round(round(avg(value) / pow(10.0, floor(log10(avg(value))) - 5)) * pow(10.0, floor(log10(avg(value))) - 5), 6), unit FROM u WHERE unit IS NOT NULL GROUP BY 1, 2, 3, 5""")
 def chart_points(spark, d):
-    obs = A.monthly(spark, d).join(A.catalog(spark, d).select("series_id", "frequency"), "series_id")
-    return rounded(derived.chart_points(obs, F.col("frequency") == "daily", F.col("frequency") == "monthly", 50, 5, 8).select("series_id", "dims_key", "obs_date", "value", "avg"), "value")
+    kinds = F.array(*map(F.lit, ("daily", "weekly", "Monthly", "quarterly", "survey")))
+    obs = A.monthly(spark, d).withColumn("frequency", F.get(kinds, F.substring("series_id", 7, 9).cast("int") % 5))
+    return rounded(derived.chart_points(obs, 85, 3, 8), "value")
 
 
 @query(f"""WITH {A.PRICES}, v AS (SELECT DISTINCT item, CASE WHEN ends_with(city, '2') THEN 'national' ELSE city END AS v FROM prices) SELECT item AS series_id, 'city' AS dim, coalesce(max(v) FILTER (v = 'national'), min(v)) AS val FROM v GROUP BY 1""")

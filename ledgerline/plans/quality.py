@@ -136,11 +136,11 @@ def merge_files(spark, d):
     return rounded(editions.merge_files(f, ["code", "partner"], ["quantity", "value"], F.col("file")), "quantity", "value", digits=2)
 
 
-@query("""WITH r AS (SELECT o_custkey AS code, year(o_orderdate) AS fy, max(CASE WHEN o_orderkey % 4 = 0 THEN ' ' ELSE o_orderpriority END) AS description FROM orders GROUP BY 1, 2)
-SELECT code, arg_max(description, fy) FILTER (length(trim(description)) > 0) AS description, min(fy) AS first_fy, max(fy) AS last_fy FROM r GROUP BY 1""")
+@query("""WITH r AS (SELECT o_custkey AS code, year(o_orderdate) AS fy, max(CASE WHEN o_orderkey % 4 = 0 THEN ' ' ELSE o_orderpriority END) AS description, max(CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END) AS unit FROM orders GROUP BY 1, 2)
+SELECT code, arg_max(description, fy) FILTER (length(trim(description)) > 0) AS description, arg_max(unit, fy) FILTER (unit IS NOT NULL) AS unit, min(fy) AS first_fy, max(fy) AS last_fy FROM r GROUP BY 1""")
 def code_span(spark, d):
     o = read_table(spark, d, "orders")
-    rows = o.groupBy(F.col("o_custkey").alias("code"), F.year("o_orderdate").alias("fy")).agg(F.max(F.when(F.col("o_orderkey") % 4 == 0, " ").otherwise(F.col("o_orderpriority"))).alias("description"))
+    rows = o.groupBy(F.col("o_custkey").alias("code"), F.year("o_orderdate").alias("fy")).agg(F.max(F.when(F.col("o_orderkey") % 4 == 0, " ").otherwise(F.col("o_orderpriority"))).alias("description"), F.max(F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderstatus"))).alias("unit"))
     return editions.code_span(rows)
 
 
@@ -211,9 +211,12 @@ def dataset_status(spark, d):
 
 
 @query(f"""WITH {A.TRADE}, {A.RATES}, y AS (SELECT country, fy, sum(value) AS value FROM trade GROUP BY 1, 2)
-SELECT country, min(fy) AS first_fy, max(fy) AS last_fy, round(sum(value / rate), 4) AS all_fx, round(sum(value / rate) FILTER (fy >= 1999), 4) AS recent_fx FROM y LEFT JOIN rates USING (fy) GROUP BY 1""")
+SELECT country, min(fy) AS first_fy, max(fy) AS last_fy, round(sum(value / rate), 4) AS all_fx, round(sum(value / rate) FILTER (fy >= 1999), 4) AS recent_fx,
+coalesce(sum(value / rate), 0) >= (SELECT avg(t) FROM (SELECT sum(value / rate) AS t FROM y LEFT JOIN rates USING (fy) GROUP BY country)) AND NOT starts_with(country, 'NATION_1') AS indexable FROM y LEFT JOIN rates USING (fy) GROUP BY 1""")
 def partner_index(spark, d):
-    return rounded(summaries.partner_index(A.trade(spark, d), A.rates(spark, d), 1999), "all_fx", "recent_fx", digits=4)
+    trade, rates = A.trade(spark, d), A.rates(spark, d)
+    mean = summaries.partner_index(trade, rates, 1999).agg(F.avg("all_fx")).first()[0]
+    return rounded(summaries.partner_index(trade, rates, 1999, mean, "^NATION_1"), "all_fx", "recent_fx", digits=4)
 
 
 @query("""WITH h AS (SELECT event_type AS series_id, date_trunc('hour', ts) AS hour, avg(value) AS value FROM events GROUP BY 1, 2)

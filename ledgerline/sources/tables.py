@@ -78,10 +78,15 @@ def read_dataset_meta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_curve_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Daily yield-curve files, their day in the file's name (yyyy-mm-dd or ddmmyyyy) -> (file, obs_date, tenor, rate). The
+    """Daily yield-curve files of a folder -> curve_rates()."""
+    return curve_rates(spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value"))
+
+
+def curve_rates(files: DataFrame) -> DataFrame:
+    """(file, value) of daily yield curves, their day in the file's name (yyyy-mm-dd or ddmmyyyy) -> (file, obs_date, tenor, rate). The
     header is the first of the first ten lines whose first cell names the tenor; the rate stands under `mid...`, else under
     an average of the panel, else in the second column. Rates of zero or less are blank quotes."""
-    lines = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "").alias("lines"))
+    lines = files.select("file", F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "").alias("lines"))
     cells = lambda line: F.transform(F.split(line, ","), lambda c: F.lower(F.trim(F.replace(c, F.lit('"'), F.lit("")))))
     is_head = lambda line: F.contains(cells(line)[0], F.lit("tenor")) | (cells(line)[0] == "userid")
     at = F.array_position(F.transform(F.slice("lines", 1, 10), is_head), F.lit(True)).cast("int")
