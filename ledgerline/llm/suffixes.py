@@ -11,8 +11,9 @@ tell apart the first `length` bytes; suffixes alone in a bucket leave at once.
 
 Hot buckets: what a task has already seen twice needs no counting, so only one row of it goes to the counting shuffle and
 the others are dealt out evenly; occurrences with the same bytes all around are settled in the task that finds them, which
-passes on one; exact copies of a text are settled by a digest, and only one of them brings bytes; a bucket of more than
-`bucket_rows` different occurrences is refined by whole windows instead, counted in Spark by a 128-bit digest.
+passes on one; exact copies of a text are settled by a digest, and only one of them brings bytes. A bucket of more than
+`bucket_rows` different occurrences is refined over many tasks: by the same rounds, with identifiers made from the two
+identifiers they join instead of from ranks, so that tasks agree on them without meeting; Spark counts the last round's.
 """
 
 from __future__ import annotations
@@ -344,11 +345,31 @@ def _refined(batches, length: int, bucket_rows: int, rows: int = 4000):
         yield _spans_of(pd.concat(held, ignore_index=True), length)
 
 
+#: Factors of the two halves of an identifier that is made from content.
+HALVES = ((np.uint64(0x9FB21C651E98DF25), np.uint64(0xA0761D6478BD642F)), (np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3)))
+
+
+def content_identifiers(ctx: bytes, n: int, length: int) -> np.ndarray:
+    """Identifiers, 128 bits each, of the n windows of a context, by the rounds that refine() makes: of the first 8 bytes their
+    value, then of twice as many the one made of the own identifier and of that so many bytes later, until `length` bytes
+    are told apart. Made from content and not from ranks, they are the same in every task."""
+    raw = np.frombuffer(ctx, np.uint8).astype(np.uint64)
+    first = np.zeros(len(raw) - 7, np.uint64)
+    for i in range(8):
+        first |= raw[i : len(raw) - 7 + i] << np.uint64(8 * i)
+    ids, width = [first, first], 8
+    while width < length:
+        step = min(width, length - width)
+        ids = [mix(x[:-step] * f + mix(x[step:] + g)) for x, (f, g) in zip(ids, HALVES, strict=True)]
+        width += step
+    return np.stack([x[:n] for x in ids], axis=1).view(np.int64)
+
+
 def _windows(batches, length: int):
-    """A very large bucket's windows by digest; n counts twice what is known to repeat."""
+    """The windows of a bucket too large for a task, with their identifiers; n counts twice what is known to repeat."""
     for pdf in batches:
         for doc, th, lo, n, many, ctx in zip(pdf["id"], pdf["th"], pdf["begin"], pdf["n"], pdf["many"], pdf["ctx"], strict=True):
-            w = np.array([np.frombuffer(hashlib.blake2b(ctx[i : i + length], digest_size=16).digest(), np.int64) for i in range(n)])
+            w = content_identifiers(bytes(ctx), int(n), length)
             yield pd.DataFrame({"id": doc, "th": th, "at": lo + np.arange(n), "w1": w[:, 0], "w2": w[:, 1], "times": 1 + bool(many)})
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import xxhash
 from tokenizers import Tokenizer
 
-from ledgerline.llm import bpe, minhash, packing, warc
+from ledgerline.llm import bpe, minhash, packing, suffixes, warc
 from tests.llm.test_operators import AWKWARD, words
 
 BIG = (1 << 60) + 1
@@ -109,3 +109,14 @@ def test_fingerprints_of_clashing_repeated_and_empty_tables(spark):
     assert minhash.compare_with_next(table(spark, ROWS).limit(0)).count() == 0
     pairs = minhash.compare_with_next(table(spark, [(1, words(1, 60_000)), (2, None), (2, None)])).collect()
     assert sorted((r.doc_id, r.n_chars, r.near_next) for r in pairs) == [(1, len(words(1, 60_000)), 0.0), (2, 0, 0.0), (2, 0, 1.0)]
+
+
+def test_identifiers_from_content_tell_windows_apart():
+    raw = (words(70, 300) + words(71, 40) + words(70, 300)).encode() + b"ab" * 400
+    for length in (8, 9, 100, 200, 257):
+        n = len(raw) - length + 1
+        ids = [tuple(x) for x in suffixes.content_identifiers(raw, n, length).tolist()]
+        of = defaultdict(set)
+        for p, i in enumerate(ids):
+            of[i].add(raw[p : p + length])
+        assert len(ids) == n and all(len(x) == 1 for x in of.values()) and len(of) == len({raw[p : p + length] for p in range(n)})
