@@ -72,7 +72,7 @@ def _records(rows):
 @query(f"""WITH {_FILES}, k AS (SELECT *, row_number() OVER (PARTITION BY series, obs_date, cust ORDER BY file DESC, row_no DESC) AS rn FROM good),
 v AS (SELECT *, CASE WHEN obs_date > DATE '2001-01-01' THEN 'future date' WHEN series = '3-MEDIUM' THEN 'not in catalog' WHEN value < 5000 THEN 'below minimum' WHEN value > 450000 THEN 'above maximum' END AS reason FROM k WHERE rn = 1)
 SELECT 'point' AS kind, series AS name, count(*) AS n, round(sum(value), 2) AS total FROM v WHERE reason IS NULL GROUP BY 2 UNION ALL SELECT 'rejected', reason, count(*), NULL FROM v WHERE reason IS NOT NULL GROUP BY 2
-UNION ALL SELECT 'bad file', error, count(*), NULL FROM broken GROUP BY 2 UNION ALL SELECT 'run', 'partial', (SELECT count(DISTINCT file) FROM lines), NULL UNION ALL SELECT 'run', 'no_new_data', 0, NULL""")
+UNION ALL SELECT 'bad file', error, count(*), NULL FROM broken GROUP BY 2 UNION ALL SELECT 'run', CASE WHEN EXISTS (SELECT 1 FROM broken) THEN 'partial' ELSE 'success' END, (SELECT count(DISTINCT file) FROM lines), NULL UNION ALL SELECT 'run', 'no_new_data', 0, NULL""")
 def ingest_files(spark, d):
     """A job over the folder, run twice: what it stored, rejected and could not read, and what both runs said."""
     names = ["1-URGENT", "2-HIGH", "4-NOT SPECIFIED", "5-LOW"]
