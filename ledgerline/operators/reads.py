@@ -233,14 +233,16 @@ def fuzzy_search(entities: DataFrame, queries: DataFrame, least: float = 0.5) ->
 
     An entity that holds ceil(least * n) of a query's n trigrams holds one of any n - ceil(least * n) + 1 of them, so only so
     many are looked up in the inverted index, the rarest ones; what they meet is then compared in full. A trigram that most
-    entities have is looked up for a query only if the query has hardly any other."""
+    titles have is looked up for a query only if the query has hardly any other. Different titles are compared, and found
+    ones brought to their entities last."""
     asked = queries.select("asked", trigrams(F.col("asked")).alias("g")).filter(F.size("g") > 0).dropDuplicates(["asked"])
-    index = entities.select("kind", "key", "title", F.explode(trigrams(F.col("title"))).alias("t"))
+    index = entities.select("title").distinct().select("title", F.explode(trigrams(F.col("title"))).alias("t"))
     often = index.groupBy("t").agg(F.count(F.lit(1)).alias("often"))
     pieces = asked.select("asked", "g", F.explode("g").alias("t")).join(often, "t", "left")
     rarest = F.array_sort(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "t")))
     few = F.size("r") - F.ceil(least * F.size("r") - 1e-9).cast("int") + 1
     looked = pieces.groupBy("asked", "g").agg(rarest.alias("r")).select("asked", "g", F.explode(F.slice("r", F.lit(1), few)).alias("x")).filter("x.often > 0")
-    met = looked.select("asked", "g", F.col("x.t").alias("t")).join(index, "t").select("asked", "g", "kind", "key", "title").distinct()
+    met = looked.select("asked", "g", F.col("x.t").alias("t")).join(index, "t").select("asked", "g", "title").distinct()
     shared = F.size(F.array_intersect("g", trigrams(F.col("title"))))
-    return met.withColumn("score", shared / F.size("g")).filter(F.col("score") >= least).select("asked", "kind", "key", "title", "score")
+    found = met.withColumn("score", shared / F.size("g")).filter(F.col("score") >= least).select("asked", "title", "score")
+    return found.join(entities.select("kind", "key", "title"), "title").select("asked", "kind", "key", "title", "score")
