@@ -82,12 +82,13 @@ def fit_nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float, steps: int = 40
     return w[:d], w[d]
 
 
-def train(docs: DataFrame, labels: DataFrame, most_positive: int = 4000, most_unlabelled: int = 12_000, most_features: int = 512, least_support: int = 5, least_apart: float = 40.0) -> Model:
+def train(docs: DataFrame, labels: DataFrame, most_positive: int = 4000, most_unlabelled: int = 12_000, most_features: int = 1024, least_support: int = 5, least_apart: float = 1 / 75) -> Model:
     """Fit on at most most_positive confirmed toxic and most_unlabelled drawn training documents (bounds of the samples
     that a classifier is fitted on; both are drawn by a hash of the id, and of rows that share an id the least text counts,
     so that the bounds hold for rows too). The class prior is the share of toxic rows among
-    all labelled rows of the training fold. A feature needs least_support toxic documents and a chi-square of
-    least_apart between the samples. Without a confirmed toxic document the model scores everything 0."""
+    all labelled rows of the training fold. A feature needs least_support toxic documents and a
+    squared difference of its shares in the samples of least_apart times its variance, a floor that does not move with the
+    samples' sizes; of these the most_features that differ most are taken. Without a confirmed toxic document the model scores everything 0."""
     spark = docs.sparkSession
     labelled = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna().filter(~held_out(F.col("doc_id")))
     toxic, all_ = labelled.agg(F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)), F.count(F.lit(1))).first()
@@ -122,7 +123,7 @@ def train(docs: DataFrame, labels: DataFrame, most_positive: int = 4000, most_un
     p, q = F.col("pos") / F.lit(n[1]), F.col("unl") / F.lit(max(n.get(0, 0), 1))
     both = (F.col("pos") + F.col("unl")) / F.lit(n[1] + n.get(0, 0))
     apart = (p - q) * (p - q) / (both * (1 - both) + F.lit(1e-6))
-    best = texts.mapInPandas(count, "gram string, pos long, unl long").groupBy("gram").agg(F.sum("pos").alias("pos"), F.sum("unl").alias("unl")).filter((F.col("pos") >= least_support) & (p > q) & (apart * (n[1] * n.get(0, 0) / (n[1] + n.get(0, 0))) >= least_apart)).orderBy(apart.desc(), "gram").limit(most_features)
+    best = texts.mapInPandas(count, "gram string, pos long, unl long").groupBy("gram").agg(F.sum("pos").alias("pos"), F.sum("unl").alias("unl")).filter((F.col("pos") >= least_support) & (p > q) & (apart >= least_apart)).orderBy(apart.desc(), "gram").limit(most_features)
     features = [r["gram"] for r in best.collect()]
     look = Model(features, np.zeros(len(features)), 0.0)
 
