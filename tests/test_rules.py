@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerline.operators import derived, editions, loads, merge, reads, series, status, tariff, vintages
+from ledgerline.plans import registry
 
 
 def day(text):
@@ -29,6 +30,30 @@ def test_partners_are_the_same_date_of_every_frequency(spark):
     assert {r.obs_date: r.result for r in month if r.result is not None} == {day("2020-03-31"): 300.0}
 
 
+ENDS = [("m", "{}", day(d), v) for d, v in (("2020-02-29", 1.0), ("2020-03-31", 2.0), ("2020-04-30", 3.0), ("2021-02-28", 4.0), ("2021-04-30", 6.0))]
+
+
+def test_month_ends_meet_month_ends(spark):
+    middle = [("d", "{}", day(d), v) for d, v in (("2020-03-30", 5.0), ("2020-03-31", 7.0), ("2020-04-30", 10.0), ("2020-05-15", 1.0))]
+    got = series.against_month(spark.createDataFrame([*ENDS, *middle], POINTS), 1, month_ends=True).collect()
+    assert len(got) == 9 and got[0].asDict().keys() == {"series_id", "dims_key", "obs_date", "value", "result"}
+    assert {(r.series_id, str(r.obs_date)): r.result for r in got if r.result is not None} == {("m", "2020-03-31"): 100.0, ("m", "2020-04-30"): 50.0, ("d", "2020-04-30"): 100.0}
+    year = series.against_month(spark.createDataFrame(ENDS, POINTS), 12, month_ends=True).collect()
+    assert {str(r.obs_date): r.result for r in year if r.result is not None} == {"2021-02-28": 300.0, "2021-04-30": 100.0}
+
+
+def test_yoy_compares_every_month_that_has_its_partner_month(spark, sf_dir):
+    every_month_compares(registry.queries()["yoy"](spark, sf_dir).collect(), 12)
+
+
+def every_month_compares(rows, months, of=None):
+    """Each month of a row has a result if its partner month is there; so many months lie between them."""
+    number = lambda r: (r.series_id, r.dims_key, r.obs_date.year * 12 + r.obs_date.month)
+    known = {number(r) for r in (of or rows)}
+    with_result = {number(r) for r in rows if r.result is not None}
+    assert with_result == {n for n in map(number, rows) if (*n[:2], n[2] - months) in known}
+
+
 def test_mean_of_three_annual_points_looks_back_three_years(spark):
     rows = [("a", "{}", dt.date(2010 + i, 1, 1), float(i)) for i in range(10)]
     got = reads.transform(spark.createDataFrame(rows, POINTS), "3ma", "annual", "2015-01-01").orderBy("obs_date").collect()
