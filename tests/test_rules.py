@@ -46,6 +46,10 @@ def test_yoy_compares_every_month_that_has_its_partner_month(spark, sf_dir):
     every_month_compares(registry.queries()["yoy"](spark, sf_dir).collect(), 12)
 
 
+def test_mom_compares_every_month_that_has_its_partner_month(spark, sf_dir):
+    every_month_compares(registry.queries()["mom"](spark, sf_dir).collect(), 1)
+
+
 def every_month_compares(rows, months, of=None):
     """Each month of a row has a result if its partner month is there; so many months lie between them."""
     number = lambda r: (r.series_id, r.dims_key, r.obs_date.year * 12 + r.obs_date.month)
