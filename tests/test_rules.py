@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ledgerline.operators import derived, editions, loads, merge, reads, series, status, tariff, vintages
-from ledgerline.plans import registry
+from ledgerline.plans import adapters, registry
 
 
 def day(text):
@@ -50,6 +50,11 @@ def test_mom_compares_every_month_that_has_its_partner_month(spark, sf_dir):
     every_month_compares(registry.queries()["mom"](spark, sf_dir).collect(), 1)
 
 
+def test_transform_compares_every_month_that_has_its_partner_month(spark, sf_dir):
+    every_month_compares(registry.queries()["transform"](spark, sf_dir).collect(), 12, adapters.monthly(spark, sf_dir).collect())
+    assert [r.result for r in reads.transform(spark.createDataFrame(ENDS, POINTS), "mom", "monthly", "2020-04-01").orderBy("obs_date").collect()] == [50.0, None, None]
+
+
 def every_month_compares(rows, months, of=None):
     """Each month of a row has a result if its partner month is there; so many months lie between them."""
     number = lambda r: (r.series_id, r.dims_key, r.obs_date.year * 12 + r.obs_date.month)
