@@ -31,7 +31,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of each group linked by a similarity of 0.8 or more over five-word shingles: that with the smallest id
+    """Keeps one row of each group linked by a similarity of 0.8 or more over five-word shingles, candidates by SimHash and the
+    Gray-order index (op2): that with the smallest id
     (a null id only where there is no other), of these that with the smallest hash of its text, of equal rows any."""
     keyed = docs.select(*COLUMNS, F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_th"))
     found = nearcopies.groups(keyed.select(F.col("_id").alias("id"), F.col("_th").alias("th"), "text"))

@@ -1,12 +1,14 @@
 """Groups of near copies: five-word shingles with a Jaccard similarity of 0.8 or more, every link confirmed exactly.
 
 A text's set is the 64-bit hashes of its lower-cased shingles; texts with equal sets are one node, so exact copies cost
-nothing. MinHash signatures are cut into bands, and nodes that agree in a whole band are candidates: at a similarity of
-0.8 a pair is missed with a chance of (1 - 0.8**6)**24 = 0.0007. First every node is compared with one node of each of its
-bands, drawn by a hash of node and band, so that the bands of a large group give it many different partners; what these
-links join needs no more work. Bands whose nodes are still in more than one component are then
+nothing. Candidates come from op2's method: a SimHash of the set, here of 1,024 majority bits, whose 16-bit segments are the
+buckets of the Gray-order index; in a bucket nodes meet that differ in at most 40 of the first 128 bits. Two sets at a similarity
+of 0.8 differ in 15 % of the bits, so all of 128 segments differ with a chance of (1 - 0.85**16)**128 = 0.0001; sets of up to 32 shingles,
+where chance may bring 19 %, have 192 segments. First every node is compared with one node of each of its groups, drawn by
+a hash of node and segment, so that a large group gives it many different partners; what these
+links join needs no more work. Groups whose nodes are still in more than one component are then
 compared in full, in tasks that hold them whole or in pairs of parts, with their sets: pairs from different components whose
-signatures agree well enough are confirmed there, and only links leave a task. Every link is confirmed by the sets; for
+fingerprints are near enough are confirmed there, and only links leave a task. Every link is confirmed by the sets; for
 that 32 bits of each hash are kept (two shingles of one union that share them change a similarity by one in its size).
 """
 
@@ -21,10 +23,13 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import checkpoint, only_cache, short_batches, stored
 from ledgerline.llm.components import components
 from ledgerline.llm.minhash import _WORDS, mix, shingle_hashes
+from ledgerline.llm.simhash import indexed_groups, majority, whole_print
 
-BANDS, EACH = 24, 6
-_SEEDS = mix(np.arange(1, 2 * BANDS * EACH + 1, dtype=np.uint64))
-PRINTS = "id long, th long, node long, bands array<long>, sig binary, shingles binary"
+WORDS, SEGMENTS, FEW, MOST, HEADS = 16, 128, 32, 40, 24
+_SEEDS = mix(np.arange(1, WORDS + 1, dtype=np.uint64))
+#: Bits of each segment: permutations of all bits, cut in 16s; those beyond SEGMENTS are for sets of up to FEW shingles only.
+_PLACES = np.concatenate([np.random.RandomState(42 + k).permutation(64 * WORDS).reshape(-1, 16) for k in range(3)])
+PRINTS = "id long, th long, node long, fp binary, size int, f0 long, f1 long, shingles binary"
 
 
 def shingle_set(text: str | None, words_each: int = 5) -> np.ndarray:
@@ -32,16 +37,11 @@ def shingle_set(text: str | None, words_each: int = 5) -> np.ndarray:
     return np.unique(shingle_hashes((text or "").lower(), words_each))
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of BANDS * EACH least hashes for each set; an empty set has zeros."""
-    out = np.zeros((len(sets), BANDS * EACH), np.uint64)
-    full = np.flatnonzero([len(s) for s in sets])
-    if len(full):
-        sizes = np.array([len(sets[i]) for i in full])
-        hashes, begins = np.concatenate([sets[i] for i in full]), np.cumsum(sizes) - sizes
-        for k in range(BANDS * EACH):
-            out[full, k] = np.minimum.reduceat((hashes ^ _SEEDS[2 * k]) * (_SEEDS[2 * k + 1] | np.uint64(1)), begins)
-    return out
+def segments(prints: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Each fingerprint's segments as number * 65536 + bits."""
+    bits = np.unpackbits(prints.view(np.uint8).reshape(len(prints), -1), axis=1, bitorder="little")
+    cut = np.ascontiguousarray(np.packbits(bits[:, _PLACES.ravel()], axis=1)).view(">u2").astype(np.int32) + np.arange(len(_PLACES), dtype=np.int32) * 65536
+    return [row if few else row[:SEGMENTS] for row, few in zip(cut, sizes <= FEW, strict=True)]
 
 
 def _prints(batches, words_each: int, rows: int = 200):
@@ -50,15 +50,11 @@ def _prints(batches, words_each: int, rows: int = 200):
         for at in range(0, len(whole), rows):
             pdf = whole.iloc[at : at + rows]
             sets = [shingle_set(t, words_each) for t in pdf["text"]]
-            sig = mix(signatures(sets))
-            keys = np.zeros((len(sets), BANDS), np.uint64)
-            for j in range(EACH):
-                keys = mix(keys ^ sig[:, j::EACH])
-            keys = mix(keys + np.arange(1, BANDS + 1, dtype=np.uint64)).astype(np.int64)
+            prints = np.array([majority(s, _SEEDS) for s in sets], np.uint64).reshape(len(sets), WORDS)
             node = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).astype(np.int64)
             packed = [np.unique((s >> np.uint64(32)).astype(np.uint32)).tobytes() for s in sets]
-            low = sig.astype(np.uint8)
-            yield pd.DataFrame({"id": pdf["id"].to_numpy(), "th": pdf["th"].to_numpy(), "node": node, "bands": list(keys), "sig": [r.tobytes() for r in low], "shingles": packed})
+            f0, f1 = prints[:, :2].astype(np.int64).T
+            yield pd.DataFrame({"id": pdf["id"].to_numpy(), "th": pdf["th"].to_numpy(), "node": node, "fp": [x.tobytes() for x in prints], "size": [len(s) for s in sets], "f0": f0, "f1": f1, "shingles": packed})
 
 
 def jaccard(a: bytes, b: bytes) -> float:
@@ -81,9 +77,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return pairs.join(one, "a").join(other, "b").filter(sizes).filter(near("of_a", "of_b")).select("a", "b")
 
 
-def _links(batches, least: float, agree: float, rows: int = 10_000, cells: int = 200_000):
-    """Whole buckets, sorted by (key, i, j) -> links between nodes of different components. Pairs whose signatures agree in a
-    share of `agree` or more are confirmed by their sets, unless the links found in this bucket already join them; so a bucket
+def _links(batches, least: float, most: int = MOST, rows: int = 10_000, cells: int = 200_000):
+    """Whole buckets, sorted by (key, i, j) -> links between nodes of different components. Pairs whose fingerprints
+    differ in `most` bits or fewer are confirmed by their sets, unless the links found in this bucket already join them; so a bucket
     gives fewer links than it has components, however many pairs it has."""
 
     def of(pdf: pd.DataFrame):
@@ -93,14 +89,14 @@ def _links(batches, least: float, agree: float, rows: int = 10_000, cells: int =
         for a, b in zip(begin, np.r_[begin[1:], len(pdf)], strict=True):
             node, sets = pdf["node"].to_numpy()[a:b], pdf["shingles"].iloc[a:b].tolist()
             comp = np.unique(pdf["comp"].to_numpy()[a:b], return_inverse=True)[1]
-            sig = np.frombuffer(b"".join(pdf["sig"].iloc[a:b]), np.uint8).reshape(b - a, -1)
+            fp = pdf[["f0", "f1"]].to_numpy(np.int64)[a:b].astype(np.uint64)
             size = np.array([len(s) for s in sets])
             for at in range(b - a):
                 rest = at + 1 + np.flatnonzero(comp[at + 1 :] != comp[at])
                 rest = rest[np.minimum(size[rest], size[at]) >= least * np.maximum(size[rest], size[at])]
                 for c in range(0, len(rest), cells // 16):
                     part = rest[c : c + cells // 16]
-                    for other in part[(sig[part] == sig[at]).mean(1) >= agree]:
+                    for other in part[np.bitwise_count(fp[part] ^ fp[at]).sum(1) <= most]:
                         if comp[other] != comp[at] and jaccard(sets[at], sets[other]) >= least:
                             found.append((min(node[at], node[other]), max(node[at], node[other])))
                             comp[comp == comp[other]] = comp[at]
@@ -123,25 +119,44 @@ def _links(batches, least: float, agree: float, rows: int = 10_000, cells: int =
         yield from of(pd.concat(held, ignore_index=True))
 
 
+def _met(nodes: DataFrame, index_rows: int) -> DataFrame:
+    """(key, node, head): the nodes of each of the index's groups and of each set of equal fingerprints, with one of them drawn."""
+
+    @F.pandas_udf("array<int>")
+    def segs(fp: pd.Series, size: pd.Series) -> pd.Series:
+        return pd.Series(segments(np.frombuffer(b"".join(fp), np.uint64).reshape(-1, WORDS), size.to_numpy()))
+
+    @F.pandas_udf("long")
+    def whole(f0: pd.Series, f1: pd.Series) -> pd.Series:
+        return pd.Series(whole_print(f0, f1))
+
+    found = indexed_groups(nodes.select("f0", "f1", segs("fp", "size").alias("segs")), MOST, index_rows).distinct()
+    named = nodes.select("node", whole("f0", "f1").alias("fp"))
+    members = found.join(named.select("node", "fp"), "fp").select("key", (F.col("seg") % HEADS).alias("turn"), "node")
+    equal = named.groupBy("fp").count().filter("count > 1").select("fp")
+    members = members.unionByName(named.join(equal, "fp").select(F.col("fp").alias("key"), F.lit(0).alias("turn"), "node"))
+    heads = members.groupBy("key").agg(F.min_by("node", F.xxhash64("node", "turn")).alias("head"))
+    return members.join(heads, "key").select("key", "node", "head")
+
+
 def _labelled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, comp) for every node, also those without an edge."""
     roots = components(edges)
     return nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp"))
 
 
-def groups(docs: DataFrame, least: float = 0.8, words_each: int = 5, bucket_rows: int = 5000) -> DataFrame:
+def groups(docs: DataFrame, least: float = 0.8, words_each: int = 5, bucket_rows: int = 5000, index_rows: int = 50_000) -> DataFrame:
     """docs (id long, th long, text string) -> (id, th, comp), one row for each row of docs. Rows are in one component if a
     chain of links joins their sets. Null and empty texts are copies of each other; a text of fewer than words_each words is
-    one shingle. A band of more than bucket_rows nodes is compared in pairs of parts."""
+    one shingle. A group of more than bucket_rows nodes, or a bucket of more than index_rows,
+    is compared in pairs of parts."""
     with short_batches(docs.sparkSession):
         prints = stored(docs.select("id", "th", "text").mapInPandas(lambda it: _prints(it, words_each), PRINTS))
-    nodes = stored(prints.groupBy("node").agg(F.first("bands").alias("bands")))
-    rows = nodes.select("node", F.explode("bands").alias("key"))
-    many = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min_by("node", F.xxhash64("node", "key")).alias("head")).filter("n > 1").select("key", "head")
-    met = stored(rows.join(many, "key").select("key", "node", "head"))
+    nodes = stored(prints.groupBy("node").agg(*[F.first(c).alias(c) for c in ("fp", "size", "f0", "f1")]))
+    met = stored(_met(nodes, index_rows))
     stars = met.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     wanted = met.select("node").distinct()
-    sets = stored(prints.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("sig").alias("sig")))
+    sets = stored(prints.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("f0").alias("f0"), F.first("f1").alias("f1")))
     edges = checkpoint(_confirmed(stars, sets, least))
     comps = checkpoint(_labelled(wanted, edges))
 
@@ -153,6 +168,6 @@ def groups(docs: DataFrame, least: float = 0.8, words_each: int = 5, bucket_rows
     apart = apart.select("key", "node", "comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).join(sets, "node")
     dealt = apart.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     with short_batches(docs.sparkSession):
-        left = checkpoint(dealt.mapInPandas(lambda it: _links(it, least, least - 0.1), "a long, b long").distinct())
+        left = checkpoint(dealt.mapInPandas(lambda it: _links(it, least), "a long, b long").distinct())
     edges = edges.unionByName(left)
     return prints.select("id", "th", "node").join(_labelled(nodes.select("node"), edges), "node").select("id", "th", "comp")

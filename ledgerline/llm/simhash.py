@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import checkpoint, only_cache
 from ledgerline.llm.components import components
+from ledgerline.llm.minhash import mix
 
 FAN = 8
 ALL = np.uint64(2**64 - 1)
+BUCKET = ["seg", "val", "i", "j"]
 
 
 def fingerprint(text: str | None, words_each: int = 3, seed: int = 42) -> int:
@@ -61,6 +63,26 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def majority(hashes: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """A fingerprint of 64 bits for each seed over a set's 64-bit hashes, each mixed with each seed: a bit is 1 if set in over half
+    of them. Rows are added up three at a time into sums and carries (bit-sliced counters) before bits are counted one by one."""
+    counts, level, rows, step = np.zeros(64 * len(seeds), np.int64), {}, 4096, 24
+    for at in range(0, len(hashes), rows):
+        level.setdefault(0, []).append(mix(hashes[at : at + rows, None] ^ seeds))
+        power = 0
+        while power in level:
+            x = np.concatenate(level.pop(power))
+            while len(x) >= step:
+                t = len(x) // 3
+                a, b, c = x[:t], x[t : 2 * t], x[2 * t : 3 * t]
+                either = a ^ b
+                level.setdefault(power + 1, []).append((a & b) | (either & c))
+                x = np.concatenate([either ^ c, x[3 * t :]])
+            counts += np.unpackbits(x.astype("<u8", copy=False).view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64) << power
+            power += 1
+    return np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")
+
+
 def _levels(bucket: np.ndarray, fp: np.ndarray) -> list[dict]:
     """Nodes of every level, leaves first; bucket and fp are sorted. A node: bits and mask all its leaves share, children."""
     level = {"bucket": bucket, "all": fp, "any": fp, "start": np.arange(len(fp)), "end": np.arange(len(fp)) + 1}
@@ -102,7 +124,8 @@ def _unite(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 
 def index_links(bucket: np.ndarray, fp: np.ndarray, most: int = 3, chunk: int = 20_000) -> np.ndarray:
     """labels: for each entry the least entry of its component within its bucket, at most bits apart. Inputs are sorted
-    by (bucket, Gray rank)."""
+    by (bucket, Gray rank). fp has one row for each entry, of one or more 64-bit words."""
+    fp = fp.reshape(len(fp), -1)
     labels = np.arange(len(fp))
     if len(fp) < 2:
         return labels
@@ -110,7 +133,7 @@ def index_links(bucket: np.ndarray, fp: np.ndarray, most: int = 3, chunk: int =
     top = len(levels) - 1
     roots = np.flatnonzero(levels[top]["end"] > levels[top]["start"]) if top else np.arange(0)
     zero = np.zeros(len(roots), np.int64)
-    stack = [(top, roots[i : i + chunk], roots[i : i + chunk], zero[i : i + chunk], np.zeros(len(roots[i : i + chunk]), np.uint64)) for i in range(0, len(roots), chunk)]
+    stack = [(top, roots[i : i + chunk], roots[i : i + chunk], zero[i : i + chunk], np.zeros((len(roots[i : i + chunk]), fp.shape[1]), np.uint64)) for i in range(0, len(roots), chunk)]
     changed, spans = True, {}
     while stack:
         depth, a, b, apart, known = stack.pop()
@@ -135,7 +158,7 @@ def index_links(bucket: np.ndarray, fp: np.ndarray, most: int = 3, chunk: int =
         x, y, pair = x[ok], y[ok], pair[ok]
         fixed = below["mask"][x] & below["mask"][y]
         new = fixed & ~known[pair]
-        total = apart[pair] + np.bitwise_count((below["bits"][x] ^ below["bits"][y]) & new)
+        total = apart[pair] + np.bitwise_count((below["bits"][x] ^ below["bits"][y]) & new).sum(1, dtype=np.int64)
         ok = total <= most
         x, y, total, fixed = x[ok], y[ok], total[ok], fixed[ok]
         if depth == 1:
@@ -151,19 +174,8 @@ def index_links(bucket: np.ndarray, fp: np.ndarray, most: int = 3, chunk: int =
     return labels
 
 
-def _bucket_stars(batches, most: int, least_rows: int = 100_000):
-    """Sorted rows (seg, val, i, j, fp) -> star edges (a, b) per bucket; whole buckets are gathered to fill a chunk."""
-
-    def stars(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = pdf[["seg", "val", "i", "j"]].to_numpy(np.int64)
-        bucket = np.cumsum(np.r_[0, (keys[1:] != keys[:-1]).any(1)])
-        fp = pdf["fp"].to_numpy(np.int64).astype(np.uint64)
-        order = np.lexsort((gray_rank(fp), bucket))
-        bucket, fp = bucket[order], fp[order]
-        labels = index_links(bucket, fp, most)
-        far = np.flatnonzero(labels != np.arange(len(labels)))
-        return pd.DataFrame({"a": fp[far].astype(np.int64), "b": fp[labels[far]].astype(np.int64)})
-
+def _whole_buckets(batches, least_rows: int = 100_000):
+    """Rows sorted by (seg, val, i, j), in chunks of whole buckets."""
     held: list[pd.DataFrame] = []
     rows = 0
     for pdf in batches:
@@ -173,35 +185,95 @@ def _bucket_stars(batches, most: int, least_rows: int = 100_000):
         rows += len(pdf)
         if rows >= least_rows:
             all_ = pd.concat(held, ignore_index=True)
-            keys = all_[["seg", "val", "i", "j"]].to_numpy(np.int64)
+            keys = all_[BUCKET].to_numpy(np.int64)
             last = np.flatnonzero((keys != keys[-1]).any(1))
             cut = int(last[-1]) + 1 if len(last) else 0
             if cut:
-                yield stars(all_.iloc[:cut])
+                yield all_.iloc[:cut]
             held, rows = [all_.iloc[cut:]], len(all_) - cut
     if held:
-        yield stars(pd.concat(held, ignore_index=True))
+        yield pd.concat(held, ignore_index=True)
+
+
+def _indexed(pdf: pd.DataFrame, fp: list[str], most: int):
+    """(order, bucket, labels) of whole buckets: rows by bucket and Gray rank, and the least row of each row's component."""
+    keys = pdf[BUCKET].to_numpy(np.int64)
+    bucket = np.cumsum(np.r_[0, (keys[1:] != keys[:-1]).any(1)])
+    words = pdf[fp].to_numpy(np.int64).astype(np.uint64)
+    order = np.lexsort((*gray_rank(words).T[::-1], bucket))
+    return order, bucket[order], index_links(bucket[order], words[order], most)
+
+
+def _bucket_stars(batches, most: int):
+    """Sorted rows (seg, val, i, j, fp) -> star edges (a, b) per bucket."""
+    for pdf in _whole_buckets(batches):
+        order, _, labels = _indexed(pdf, ["fp"], most)
+        fp = pdf["fp"].to_numpy(np.int64)[order]
+        far = np.flatnonzero(labels != np.arange(len(labels)))
+        yield pd.DataFrame({"a": fp[far], "b": fp[labels[far]]})
+
+
+def whole_print(f0, f1):
+    """One number for a fingerprint of two words."""
+    return mix(np.asarray(f0, np.int64).astype(np.uint64) ^ mix(np.asarray(f1, np.int64).astype(np.uint64))).astype(np.int64)
+
+
+def _bucket_groups(batches, most: int):
+    """Sorted rows (seg, val, i, j, f0, f1) -> (key, seg, fp) for each entry of a component of two or more in its bucket."""
+    for pdf in _whole_buckets(batches):
+        order, _, labels = _indexed(pdf, ["f0", "f1"], most)
+        far = np.flatnonzero(np.bincount(labels, minlength=len(labels))[labels] > 1)
+        if len(far):
+            pdf, key = pdf.iloc[order], np.zeros(len(far), np.uint64)
+            fp = whole_print(pdf["f0"], pdf["f1"])
+            for c in BUCKET:
+                key = mix(key ^ pdf[c].to_numpy(np.int64)[far].astype(np.uint64))
+            key = mix(key ^ fp[labels[far]].astype(np.uint64)).astype(np.int64)
+            yield pd.DataFrame({"key": key, "seg": pdf["seg"].to_numpy(np.int32)[far], "fp": fp[far]})
+
+
+def _large(rows: DataFrame, bucket_rows: int) -> DataFrame:
+    """The buckets of more than bucket_rows, with the parts each is split into."""
+    return rows.groupBy("seg", "val").count().filter(F.col("count") > bucket_rows).select("seg", "val", F.ceil(F.col("count") / bucket_rows).cast("int").alias("parts"))
+
+
+def _dealt(rows: DataFrame, large: DataFrame, own: list[str]) -> DataFrame:
+    """rows (seg, val, `own` and others) in their buckets, sorted by (seg, val, i, j). A large bucket is split
+    by a hash of `own` into parts, and each pair of parts becomes a bucket of its own, so that no task holds more than about
+    twice that many rows and no link is lost."""
+    rest = [c for c in rows.columns if c not in BUCKET]
+    rows = rows.join(large, ["seg", "val"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64(*own), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.select(*rest, "seg", "val", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    return rows.repartition(*BUCKET).sortWithinPartitions(*BUCKET)
 
 
 def links(distinct: DataFrame, most: int = 3, bucket_rows: int = 50_000) -> DataFrame:
     """distinct (fp) -> edges (a, b) between values at most `most` (up to 3) bits apart, enough to connect all of them.
 
-    A bucket of more than bucket_rows values is split by hash into parts, and each pair of parts becomes a bucket of its
-    own, so that no task holds more than about twice that many rows and no link is lost.
+    A bucket of more than bucket_rows values is compared in pairs of parts.
     """
     if not 0 <= most <= 3:
         raise ValueError("four segments find links of at most 3 bits")
     segs = F.array(*[F.struct(F.lit(s).alias("seg"), F.expr(f"cast(shiftrightunsigned(fp, {16 * s}) & 65535 as int)").alias("val")) for s in range(4)])
     rows = distinct.select("fp", F.explode(segs).alias("s")).select("fp", "s.seg", "s.val")
-    large = rows.groupBy("seg", "val").count().filter(F.col("count") > bucket_rows).select("seg", "val", F.ceil(F.col("count") / bucket_rows).cast("int").alias("parts"))
-    rows = rows.join(large, ["seg", "val"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("fp", "seg", "val", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    dealt = rows.repartition("seg", "val", "i", "j").sortWithinPartitions("seg", "val", "i", "j")
+    dealt = _dealt(rows, _large(rows, bucket_rows), ["fp"])
     return dealt.mapInPandas(lambda it: _bucket_stars(it, most), "a long, b long").distinct()
 
 
+def indexed_groups(distinct: DataFrame, most: int, bucket_rows: int = 50_000) -> DataFrame:
+    """distinct (f0 long, f1 long, segs array<int>) -> (key, seg, fp): the groups that the index makes of each segment's bucket, linked
+    at `most` or fewer of the 128 bits; fp is whole_print(f0, f1). segs holds segment * 65536 + its 16 bits, as many as a
+    fingerprint has. Buckets are counted only where 64 neighbouring ones together exceed bucket_rows. Both lists of large ones are
+    broadcast: neither has more rows than a bucket_rows-th of the segments' rows."""
+    rows = distinct.select("f0", "f1", F.explode("segs").alias("s"))
+    rows = rows.select("f0", "f1", F.expr("shiftright(s, 16)").alias("seg"), F.expr("s & 65535").alias("val"))
+    wide = rows.groupBy("seg", F.expr("shiftright(val, 6)").alias("near")).count().filter(F.col("count") > bucket_rows).select("seg", "near")
+    some = rows.select("seg", "val", F.expr("shiftright(val, 6)").alias("near")).join(F.broadcast(wide), ["seg", "near"], "left_semi")
+    dealt = _dealt(rows, F.broadcast(_large(some, bucket_rows)), ["f0", "f1"])
+    return dealt.mapInPandas(lambda it: _bucket_groups(it, most), "key long, seg int, fp long")
+
+
 def near_duplicates(docs: DataFrame, most: int = 3, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = 50_000) -> DataFrame:
     """docs -> (doc_id, fingerprint, component_id), one row for each row of docs.
 

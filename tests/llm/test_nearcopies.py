@@ -2,11 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerline.llm import nearcopies
+from ledgerline.llm import minhash, nearcopies, simhash
 from tests.llm.test_operators import words
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -63,3 +64,35 @@ def test_chains_of_copies_join(spark, bucket_rows):
     got = nearcopies.groups(docs, bucket_rows=bucket_rows).select("id", "comp")
     assert got.select("comp").distinct().count() == len(set(roots(texts)))
     assert got.filter(F.col("comp").isNull()).count() == 0
+
+
+def test_candidates_come_from_the_gray_order_index(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, i, t) for i, t in rows_with_copies()[:100]], "id long, th long, text string")
+    joined = lambda: docs.count() - nearcopies.groups(docs, index_rows=3).select("comp").distinct().count()
+    assert joined() == 100 - len(set(roots([t for _, t in rows_with_copies()[:100]])))
+    index = nearcopies.indexed_groups
+    monkeypatch.setattr(nearcopies, "indexed_groups", lambda *args: index(*args).limit(0))
+    assert joined() == 0
+
+
+def test_index_links_wide_fingerprints():
+    r = np.random.RandomState(3)
+    fp = r.randint(0, 2**63, (60, 2), dtype=np.int64).astype(np.uint64)
+    fp = np.concatenate([fp, fp[:30] ^ np.left_shift(np.uint64(1), r.randint(0, 64, (30, 2)).astype(np.uint64))])
+    order = np.lexsort((*simhash.gray_rank(fp).T[::-1], np.arange(90) % 3))
+    bucket, fp = (np.arange(90) % 3)[order], fp[order]
+    for most in (1, 2, 45):
+        root = list(range(90))
+        apart = np.bitwise_count(fp[:, None] ^ fp[None]).sum(2)
+        for _ in root:
+            root = [min(root[j] for j in range(90) if bucket[j] == bucket[i] and apart[i, j] <= most) for i in range(90)]
+        assert simhash.index_links(bucket, fp, most).tolist() == root
+
+
+def test_majority_bits_by_a_plain_count():
+    r = np.random.RandomState(4)
+    for n in (0, 1, 2, 5, 24, 100, 5000):
+        x = r.randint(0, 2**63, n, dtype=np.int64).astype(np.uint64)
+        seeds = np.array([5, 9], np.uint64)
+        want = [sum(sum((int(h) >> b) & 1 for h in minhash.mix(x ^ s)) * 2 > n and 1 << b for b in range(64)) for s in seeds]
+        assert simhash.majority(x, seeds).tolist() == want
