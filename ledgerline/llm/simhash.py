@@ -174,8 +174,8 @@ def index_links(bucket: np.ndarray, fp: np.ndarray, most: int = 3, chunk: int =
     return labels
 
 
-def _whole_buckets(batches, least_rows: int = 100_000):
-    """Rows sorted by (seg, val, i, j), in chunks of whole buckets."""
+def _whole_buckets(batches, by: list[str], least_rows: int = 100_000):
+    """Rows sorted by the columns `by`, in chunks of whole buckets."""
     held: list[pd.DataFrame] = []
     rows = 0
     for pdf in batches:
@@ -185,7 +185,7 @@ def _whole_buckets(batches, least_rows: int = 100_000):
         rows += len(pdf)
         if rows >= least_rows:
             all_ = pd.concat(held, ignore_index=True)
-            keys = all_[BUCKET].to_numpy(np.int64)
+            keys = all_[by].to_numpy(np.int64)
             last = np.flatnonzero((keys != keys[-1]).any(1))
             cut = int(last[-1]) + 1 if len(last) else 0
             if cut:
@@ -195,9 +195,9 @@ def _whole_buckets(batches, least_rows: int = 100_000):
         yield pd.concat(held, ignore_index=True)
 
 
-def _indexed(pdf: pd.DataFrame, fp: list[str], most: int):
+def _indexed(pdf: pd.DataFrame, by: list[str], fp: list[str], most: int):
     """(order, bucket, labels) of whole buckets: rows by bucket and Gray rank, and the least row of each row's component."""
-    keys = pdf[BUCKET].to_numpy(np.int64)
+    keys = pdf[by].to_numpy(np.int64)
     bucket = np.cumsum(np.r_[0, (keys[1:] != keys[:-1]).any(1)])
     words = pdf[fp].to_numpy(np.int64).astype(np.uint64)
     order = np.lexsort((*gray_rank(words).T[::-1], bucket))
@@ -206,8 +206,8 @@ def _indexed(pdf: pd.DataFrame, fp: list[str], most: int):
 
 def _bucket_stars(batches, most: int):
     """Sorted rows (seg, val, i, j, fp) -> star edges (a, b) per bucket."""
-    for pdf in _whole_buckets(batches):
-        order, _, labels = _indexed(pdf, ["fp"], most)
+    for pdf in _whole_buckets(batches, BUCKET):
+        order, _, labels = _indexed(pdf, BUCKET, ["fp"], most)
         fp = pdf["fp"].to_numpy(np.int64)[order]
         far = np.flatnonzero(labels != np.arange(len(labels)))
         yield pd.DataFrame({"a": fp[far], "b": fp[labels[far]]})
@@ -219,17 +219,15 @@ def whole_print(f0, f1):
 
 
 def _bucket_groups(batches, most: int):
-    """Sorted rows (seg, val, i, j, f0, f1) -> (key, seg, fp) for each entry of a component of two or more in its bucket."""
-    for pdf in _whole_buckets(batches):
-        order, _, labels = _indexed(pdf, ["f0", "f1"], most)
+    """Sorted rows (at, f0, f1) -> (key, seg, fp) for each entry of a component of two or more in its bucket."""
+    for pdf in _whole_buckets(batches, ["at"]):
+        order, _, labels = _indexed(pdf, ["at"], ["f0", "f1"], most)
         far = np.flatnonzero(np.bincount(labels, minlength=len(labels))[labels] > 1)
         if len(far):
-            pdf, key = pdf.iloc[order], np.zeros(len(far), np.uint64)
-            fp = whole_print(pdf["f0"], pdf["f1"])
-            for c in BUCKET:
-                key = mix(key ^ pdf[c].to_numpy(np.int64)[far].astype(np.uint64))
-            key = mix(key ^ fp[labels[far]].astype(np.uint64)).astype(np.int64)
-            yield pd.DataFrame({"key": key, "seg": pdf["seg"].to_numpy(np.int32)[far], "fp": fp[far]})
+            pdf = pdf.iloc[order]
+            fp, at = whole_print(pdf["f0"], pdf["f1"]), pdf["at"].to_numpy(np.int64)[far].astype(np.uint64)
+            key = mix(mix(at) ^ fp[labels[far]].astype(np.uint64)).astype(np.int64)
+            yield pd.DataFrame({"key": key, "seg": (at >> np.uint64(56)).astype(np.int32), "fp": fp[far]})
 
 
 def _large(rows: DataFrame, bucket_rows: int) -> DataFrame:
@@ -237,15 +235,14 @@ def _large(rows: DataFrame, bucket_rows: int) -> DataFrame:
     return rows.groupBy("seg", "val").count().filter(F.col("count") > bucket_rows).select("seg", "val", F.ceil(F.col("count") / bucket_rows).cast("int").alias("parts"))
 
 
-def _dealt(rows: DataFrame, large: DataFrame, own: list[str]) -> DataFrame:
-    """rows (seg, val, `own` and others) in their buckets, sorted by (seg, val, i, j). A large bucket is split
+def _split(rows: DataFrame, large: DataFrame, own: list[str]) -> DataFrame:
+    """rows (seg, val, `own` and others) with the parts i and j of their buckets. A large bucket is split
     by a hash of `own` into parts, and each pair of parts becomes a bucket of its own, so that no task holds more than about
     twice that many rows and no link is lost."""
     rest = [c for c in rows.columns if c not in BUCKET]
     rows = rows.join(large, ["seg", "val"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     rows = rows.withColumn("own", F.pmod(F.xxhash64(*own), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select(*rest, "seg", "val", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    return rows.repartition(*BUCKET).sortWithinPartitions(*BUCKET)
+    return rows.select(*rest, "seg", "val", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
 
 def links(distinct: DataFrame, most: int = 3, bucket_rows: int = 50_000) -> DataFrame:
@@ -257,7 +254,7 @@ def links(distinct: DataFrame, most: int = 3, bucket_rows: int = 50_000) -> Data
         raise ValueError("four segments find links of at most 3 bits")
     segs = F.array(*[F.struct(F.lit(s).alias("seg"), F.expr(f"cast(shiftrightunsigned(fp, {16 * s}) & 65535 as int)").alias("val")) for s in range(4)])
     rows = distinct.select("fp", F.explode(segs).alias("s")).select("fp", "s.seg", "s.val")
-    dealt = _dealt(rows, _large(rows, bucket_rows), ["fp"])
+    dealt = _split(rows, _large(rows, bucket_rows), ["fp"]).repartition(*BUCKET).sortWithinPartitions(*BUCKET)
     return dealt.mapInPandas(lambda it: _bucket_stars(it, most), "a long, b long").distinct()
 
 
@@ -270,7 +267,9 @@ def indexed_groups(distinct: DataFrame, most: int, bucket_rows: int = 50_000) ->
     rows = rows.select("f0", "f1", F.expr("shiftright(s, 16)").alias("seg"), F.expr("s & 65535").alias("val"))
     wide = rows.groupBy("seg", F.expr("shiftright(val, 6)").alias("near")).count().filter(F.col("count") > bucket_rows).select("seg", "near")
     some = rows.select("seg", "val", F.expr("shiftright(val, 6)").alias("near")).join(F.broadcast(wide), ["seg", "near"], "left_semi")
-    dealt = _dealt(rows, F.broadcast(_large(some, bucket_rows)), ["f0", "f1"])
+    split = _split(rows, F.broadcast(_large(some, bucket_rows)), ["f0", "f1"])
+    packed = "shiftleft(cast(seg as long), 56) | shiftleft(cast(val as long), 40) | shiftleft(cast(i as long), 20) | j"  # one number shuffles in half the space
+    dealt = split.select("f0", "f1", F.expr(packed).alias("at")).repartition("at").sortWithinPartitions("at")
     return dealt.mapInPandas(lambda it: _bucket_groups(it, most), "key long, seg int, fp long")
 
 
