@@ -67,6 +67,19 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Shuffle files of what runs inside go when its result is written, not when the driver next collects its garbage; the
+    session's setting comes back. Only for results that stored() or checkpoint() keep: a frame run again would shuffle again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 _KEPT: dict[str, Callable[[], None]] = {}
 
 
@@ -79,6 +92,20 @@ def give_back() -> None:
         trim(0)
 
 
+def freeing(step, clear: Callable[[], None] = lambda: None):
+    """The step on a task's batches; where the task ends its tables are emptied by `clear`, and what was freed goes back to the
+    system. Idle workers are taken in turn, so what one keeps between tasks is held by every worker that the executor ever had."""
+
+    def run(batches):
+        try:
+            yield from step(batches)
+        finally:
+            clear()
+            give_back()
+
+    return run
+
+
 def only_cache(name: str, clear: Callable[[], None]) -> None:
     """A worker process outlives its tasks, and so do the look-up tables of the operators it ran. Called where a task
     begins: the tables of other operators are emptied, so that at most one operator's bounded tables are held at a time."""

@@ -18,7 +18,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import held_out, only_cache, stored
+from ledgerline.llm.common import give_back, held_out, only_cache, stored
 
 ORDER = 4
 CHUNK = 400_000
@@ -299,7 +299,9 @@ def _sums(shared: Broadcast, text: Column) -> Column:
     def sums(text: pd.Series) -> pd.DataFrame:
         only_cache("langid", lambda: None)
         found, n = shared.value.sums([t or "" for t in text])
-        return pd.DataFrame({"sums": list(found), "n": n, "worded": [has_letter(t) for t in text]})
+        out = pd.DataFrame({"sums": list(found), "n": n, "worded": [has_letter(t) for t in text]})
+        give_back()
+        return out
 
     return sums(text)
 

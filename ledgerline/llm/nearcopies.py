@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import checkpoint, only_cache, short_batches, stored
+from ledgerline.llm.common import checkpoint, freeing, only_cache, short_batches, shuffles_dropped, stored
 from ledgerline.llm.components import components
 from ledgerline.llm.minhash import _WORDS, mix, shingle_hashes
 from ledgerline.llm.simhash import indexed_groups, majority, whole_print
@@ -29,7 +29,7 @@ WORDS, SEGMENTS, FEW, MOST, HEADS = 16, 128, 32, 40, 24
 _SEEDS = mix(np.arange(1, WORDS + 1, dtype=np.uint64))
 #: Bits of each segment: permutations of all bits, cut in 16s; those beyond SEGMENTS are for sets of up to FEW shingles only.
 _PLACES = np.concatenate([np.random.RandomState(42 + k).permutation(64 * WORDS).reshape(-1, 16) for k in range(3)])
-PRINTS = "id long, th long, node long, fp binary, size int, f0 long, f1 long, shingles binary"
+PRINTS = "id long, th long, node long, fp binary, size int, f0 long, f1 long, whole long, shingles binary"
 
 
 def shingle_set(text: str | None, words_each: int = 5) -> np.ndarray:
@@ -37,11 +37,18 @@ def shingle_set(text: str | None, words_each: int = 5) -> np.ndarray:
     return np.unique(shingle_hashes((text or "").lower(), words_each))
 
 
-def segments(prints: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-    """Each fingerprint's segments as number * 65536 + bits."""
-    bits = np.unpackbits(prints.view(np.uint8).reshape(len(prints), -1), axis=1, bitorder="little")
-    cut = np.ascontiguousarray(np.packbits(bits[:, _PLACES.ravel()], axis=1)).view(">u2").astype(np.int32) + np.arange(len(_PLACES), dtype=np.int32) * 65536
-    return [row if few else row[:SEGMENTS] for row, few in zip(cut, sizes <= FEW, strict=True)]
+def segments(prints: np.ndarray, sizes: np.ndarray, rows: int = 500) -> list[np.ndarray]:
+    """Each fingerprint's segments as number * 65536 + bits; so many rows at a time, as a bit takes a byte meanwhile."""
+    out = []
+    for at in range(0, len(prints), rows):
+        bits = np.unpackbits(prints[at : at + rows].view(np.uint8).reshape(-1, 8 * WORDS), axis=1, bitorder="little")
+        cut = np.ascontiguousarray(np.packbits(bits[:, _PLACES.ravel()], axis=1)).view(">u2").astype(np.int32) + np.arange(len(_PLACES), dtype=np.int32) * 65536
+        out += [row if few else row[:SEGMENTS] for row, few in zip(cut, sizes[at : at + rows] <= FEW, strict=True)]
+    return out
+
+
+def _forget() -> None:
+    _WORDS.clear()  # by a function of this module: tasks would get `_WORDS.clear` with a copy of the table
 
 
 def _prints(batches, words_each: int, rows: int = 200):
@@ -54,7 +61,7 @@ def _prints(batches, words_each: int, rows: int = 200):
             node = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).astype(np.int64)
             packed = [np.unique((s >> np.uint64(32)).astype(np.uint32)).tobytes() for s in sets]
             f0, f1 = prints[:, :2].astype(np.int64).T
-            yield pd.DataFrame({"id": pdf["id"].to_numpy(), "th": pdf["th"].to_numpy(), "node": node, "fp": [x.tobytes() for x in prints], "size": [len(s) for s in sets], "f0": f0, "f1": f1, "shingles": packed})
+            yield pd.DataFrame({"id": pdf["id"].to_numpy(), "th": pdf["th"].to_numpy(), "node": node, "fp": [x.tobytes() for x in prints], "size": [len(s) for s in sets], "f0": f0, "f1": f1, "whole": whole_print(f0, f1), "shingles": packed})
 
 
 def jaccard(a: bytes, b: bytes) -> float:
@@ -126,13 +133,9 @@ def _met(nodes: DataFrame, index_rows: int) -> DataFrame:
     def segs(fp: pd.Series, size: pd.Series) -> pd.Series:
         return pd.Series(segments(np.frombuffer(b"".join(fp), np.uint64).reshape(-1, WORDS), size.to_numpy()))
 
-    @F.pandas_udf("long")
-    def whole(f0: pd.Series, f1: pd.Series) -> pd.Series:
-        return pd.Series(whole_print(f0, f1))
-
     found = indexed_groups(nodes.select("f0", "f1", segs("fp", "size").alias("segs")), MOST, index_rows).distinct()
-    named = nodes.select("node", whole("f0", "f1").alias("fp"))
-    members = found.join(named.select("node", "fp"), "fp").select("key", (F.col("seg") % HEADS).alias("turn"), "node")
+    named = nodes.select("node", F.col("whole").alias("fp"))
+    members = found.join(named, "fp").select("key", (F.col("seg") % HEADS).alias("turn"), "node")
     equal = named.groupBy("fp").count().filter("count > 1").select("fp")
     members = members.unionByName(named.join(equal, "fp").select(F.col("fp").alias("key"), F.lit(0).alias("turn"), "node"))
     heads = members.groupBy("key").agg(F.min_by("node", F.xxhash64("node", "turn")).alias("head"))
@@ -150,24 +153,25 @@ def groups(docs: DataFrame, least: float = 0.8, words_each: int = 5, bucket_rows
     chain of links joins their sets. Null and empty texts are copies of each other; a text of fewer than words_each words is
     one shingle. A group of more than bucket_rows nodes, or a bucket of more than index_rows,
     is compared in pairs of parts."""
-    with short_batches(docs.sparkSession):
-        prints = stored(docs.select("id", "th", "text").mapInPandas(lambda it: _prints(it, words_each), PRINTS))
-    nodes = stored(prints.groupBy("node").agg(*[F.first(c).alias(c) for c in ("fp", "size", "f0", "f1")]))
-    met = stored(_met(nodes, index_rows))
-    stars = met.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    wanted = met.select("node").distinct()
-    sets = stored(prints.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("f0").alias("f0"), F.first("f1").alias("f1")))
-    edges = checkpoint(_confirmed(stars, sets, least))
-    comps = checkpoint(_labelled(wanted, edges))
-
-    named = met.select("key", "node").join(comps, "node")
-    split = named.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
-    split = split.select("key", F.ceil(F.col("n") / bucket_rows).cast("int").alias("parts"))
-    apart = named.join(split, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    apart = apart.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    apart = apart.select("key", "node", "comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).join(sets, "node")
-    dealt = apart.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    with short_batches(docs.sparkSession):
-        left = checkpoint(dealt.mapInPandas(lambda it: _links(it, least), "a long, b long").distinct())
-    edges = edges.unionByName(left)
-    return prints.select("id", "th", "node").join(_labelled(nodes.select("node"), edges), "node").select("id", "th", "comp")
+    with shuffles_dropped(docs.sparkSession):
+        with short_batches(docs.sparkSession):
+            prints = stored(docs.select("id", "th", "text").mapInPandas(freeing(lambda it: _prints(it, words_each), _forget), PRINTS))
+        nodes = stored(prints.groupBy("node").agg(*[F.first(c).alias(c) for c in ("fp", "size", "f0", "f1", "whole")]))
+        met = stored(_met(nodes, index_rows))
+        stars = met.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+        wanted = met.select("node").distinct()
+        sets = stored(prints.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("f0").alias("f0"), F.first("f1").alias("f1")))
+        edges = checkpoint(_confirmed(stars, sets, least))
+        comps = checkpoint(_labelled(wanted, edges))
+
+        named = met.select("key", "node").join(comps, "node")
+        split = named.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
+        split = split.select("key", F.ceil(F.col("n") / bucket_rows).cast("int").alias("parts"))
+        apart = named.join(split, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        apart = apart.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        apart = apart.select("key", "node", "comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).join(sets, "node")
+        dealt = apart.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        with short_batches(docs.sparkSession):
+            left = checkpoint(dealt.mapInPandas(freeing(lambda it: _links(it, least)), "a long, b long").distinct())
+        named = _labelled(nodes.select("node"), edges.unionByName(left))
+    return prints.select("id", "th", "node").join(named, "node").select("id", "th", "comp")

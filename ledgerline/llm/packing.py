@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerline.llm.bpe import WORD, Cutter, byte_symbols, vocabulary
-from ledgerline.llm.common import only_cache, short_batches, stored
+from ledgerline.llm.common import freeing, only_cache, short_batches, stored
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 LEFT = f"{PIECES}, part int, at long, ids binary"
@@ -48,6 +48,10 @@ class Recent(dict):
             self.before = dict(self)
             self.clear()
 
+    def forget(self) -> None:
+        self.before = {}
+        self.clear()
+
 
 class LibraryEncoder(Cutter):
     """Ids of whole texts by the tokenizers library's own model, asked once for each word while the word is known."""
@@ -78,6 +82,10 @@ class LibraryEncoder(Cutter):
             self.pieces.renew()
             self.words.renew()
 
+    def forget(self) -> None:
+        self.pieces.forget()
+        self.words.forget()
+
 
 @lru_cache(maxsize=1)
 def _encoder(path: str, most_kept: int) -> LibraryEncoder:
@@ -194,7 +202,7 @@ def pack(docs: DataFrame, path: str, size: int = 4096, open_windows: int = 64, e
             yield windows.take()
 
     with short_batches(docs.sparkSession):
-        rows = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInPandas(run, LEFT))
+        rows = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInPandas(freeing(run, lambda: encoder(path, most_kept).forget()), LEFT))
     left = rows.filter(F.col("sequence_id").isNull())
     bases, total = {}, 0
     for part, n in sorted(left.groupBy("part").agg(F.sum("length")).collect()):

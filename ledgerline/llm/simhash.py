@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import checkpoint, only_cache
+from ledgerline.llm.common import checkpoint, freeing, only_cache
 from ledgerline.llm.components import components
 from ledgerline.llm.minhash import mix
 
@@ -195,13 +195,13 @@ def _whole_buckets(batches, by: list[str], least_rows: int = 100_000):
         yield pd.concat(held, ignore_index=True)
 
 
-def _indexed(pdf: pd.DataFrame, by: list[str], fp: list[str], most: int):
+def _indexed(pdf: pd.DataFrame, by: list[str], fp: list[str], most: int, chunk: int = 20_000):
     """(order, bucket, labels) of whole buckets: rows by bucket and Gray rank, and the least row of each row's component."""
     keys = pdf[by].to_numpy(np.int64)
     bucket = np.cumsum(np.r_[0, (keys[1:] != keys[:-1]).any(1)])
     words = pdf[fp].to_numpy(np.int64).astype(np.uint64)
     order = np.lexsort((*gray_rank(words).T[::-1], bucket))
-    return order, bucket[order], index_links(bucket[order], words[order], most)
+    return order, bucket[order], index_links(bucket[order], words[order], most, chunk)
 
 
 def _bucket_stars(batches, most: int):
@@ -221,7 +221,7 @@ def whole_print(f0, f1):
 def _bucket_groups(batches, most: int):
     """Sorted rows (at, f0, f1) -> (key, seg, fp) for each entry of a component of two or more in its bucket."""
     for pdf in _whole_buckets(batches, ["at"]):
-        order, _, labels = _indexed(pdf, ["at"], ["f0", "f1"], most)
+        order, _, labels = _indexed(pdf, ["at"], ["f0", "f1"], most, 4000)
         far = np.flatnonzero(np.bincount(labels, minlength=len(labels))[labels] > 1)
         if len(far):
             pdf = pdf.iloc[order]
@@ -270,7 +270,7 @@ def indexed_groups(distinct: DataFrame, most: int, bucket_rows: int = 50_000) ->
     split = _split(rows, F.broadcast(_large(some, bucket_rows)), ["f0", "f1"])
     packed = "shiftleft(cast(seg as long), 56) | shiftleft(cast(val as long), 40) | shiftleft(cast(i as long), 20) | j"  # one number shuffles in half the space
     dealt = split.select("f0", "f1", F.expr(packed).alias("at")).repartition("at").sortWithinPartitions("at")
-    return dealt.mapInPandas(lambda it: _bucket_groups(it, most), "key long, seg int, fp long")
+    return dealt.mapInPandas(freeing(lambda it: _bucket_groups(it, most)), "key long, seg int, fp long")
 
 
 def near_duplicates(docs: DataFrame, most: int = 3, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = 50_000) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerline.llm.common import give_back, only_cache, short_batches, stored
+from ledgerline.llm.common import freeing, only_cache, short_batches, stored
 from ledgerline.llm.minhash import mix
 
 GRAM = 24
@@ -384,16 +384,6 @@ def merged(spans) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def freeing(step):
-    """The step on a task's batches; what it freed goes back to the system where the task ends."""
-
-    def run(batches):
-        yield from step(batches)
-        give_back()
-
-    return run
-
-
 def repeated_spans(docs: DataFrame, length: int = 200, bucket_rows: int = 20_000) -> DataFrame:
     """docs (id long, th int, text string), one row per text with th a hash of it -> (id, th, begin, end): bytes under
     strings of `length` bytes that start anywhere else too. Spans of one text may overlap. A text with an exact copy is

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import checkpoint, held_out, only_cache
+from ledgerline.llm.common import checkpoint, give_back, held_out, only_cache
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -151,7 +151,9 @@ def score(docs: DataFrame, model: Model, cutoff: float = 0.7, id_col: str = "doc
     @F.pandas_udf("double")
     def scores(text: pd.Series) -> pd.Series:
         only_cache("toxicity", shared.value.words.clear)
-        return pd.Series([float(shared.value.score(t)) for t in text], dtype="float64")
+        found = pd.Series([float(shared.value.score(t)) for t in text], dtype="float64")
+        give_back()
+        return found
 
     return docs.select(*names, scores(F.col(text_col)).alias("score")).withColumn("predicted", (F.col("score") >= cutoff).cast("int"))
 

@@ -1,13 +1,16 @@
 """The pipeline's near-copy stage against a plain version over five-word sets."""
 
 import random
+import time
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerline.llm import minhash, nearcopies, simhash
+from ledgerline.llm import bpe, minhash, nearcopies, packing, simhash
 from tests.llm.test_operators import words
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -96,3 +99,59 @@ def test_majority_bits_by_a_plain_count():
         seeds = np.array([5, 9], np.uint64)
         want = [sum(sum((int(h) >> b) & 1 for h in minhash.mix(x ^ s)) * 2 > n and 1 << b for b in range(64)) for s in seeds]
         assert simhash.majority(x, seeds).tolist() == want
+
+
+def peak_mb(run):
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_segments_and_index_hold_little_at_a_time():
+    r = np.random.RandomState(5)
+    prints, sizes = r.randint(0, 2**63, (5000, nearcopies.WORDS), dtype=np.int64).astype(np.uint64), r.randint(1, 64, 5000)
+    cut = nearcopies.segments(prints, sizes)
+    for k in (0, 499, 500, 4999):
+        bits = np.unpackbits(prints[k].view(np.uint8), bitorder="little")
+        want = [s * 65536 + int("".join(map(str, bits[places])), 2) for s, places in enumerate(nearcopies._PLACES)]
+        assert cut[k].tolist() == want[: len(want) if sizes[k] <= nearcopies.FEW else nearcopies.SEGMENTS]
+    assert peak_mb(lambda: nearcopies.segments(prints, sizes)) < 12
+    rows = pd.DataFrame({"at": np.arange(60_000) // 3000, "f0": r.randint(0, 2**63, 60_000, dtype=np.int64), "f1": r.randint(0, 2**63, 60_000, dtype=np.int64)})
+    assert peak_mb(lambda: list(simhash._bucket_groups([rows], nearcopies.MOST))) < 60
+
+
+def test_tasks_leave_neither_words_nor_shuffle_files(spark):
+    files = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").count("/shuffle_")
+    docs = spark.createDataFrame([(i, i, t) for i, t in rows_with_copies()], "id long, th long, text string").repartition(8)
+    before, key = files(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(key)
+    found = nearcopies.groups(docs)
+    until = time.time() + 20
+    while files() > before and time.time() < until:
+        time.sleep(0.2)
+    assert files() <= before
+    assert spark.conf.get(key) == setting
+    assert found.count() == docs.count()
+
+    def kept(batches):
+        for _ in batches:
+            pass
+        yield pd.DataFrame({"n": [len(minhash._WORDS)]})
+
+    assert {r.n for r in spark.range(64).repartition(16).mapInPandas(kept, "n long").collect()} == {0}
+
+
+def test_packing_tasks_leave_no_words(spark):
+    docs = spark.createDataFrame([(i, words(i, 60)) for i in range(40)], "doc_id long, text string").repartition(8)
+    assert packing.pack(docs, bpe.vocabulary()).count() >= 40
+
+    def kept(batches):
+        for _ in batches:
+            pass
+        enc = packing.encoder(bpe.vocabulary(), 250_000)
+        yield pd.DataFrame({"n": [len(enc.words) + len(enc.pieces) + len(enc.words.before) + len(enc.pieces.before)]})
+
+    assert {r.n for r in spark.range(64).repartition(16).mapInPandas(kept, "n long").collect()} == {0}
