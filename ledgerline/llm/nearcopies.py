@@ -5,8 +5,8 @@ nothing. Candidates come from op2's method: a SimHash of the set, here of 1,024
 buckets of the Gray-order index; in a bucket nodes meet that differ in at most 40 of the first 128 bits. Two sets at a similarity
 of 0.8 differ in 15 % of the bits, so all of 128 segments differ with a chance of (1 - 0.85**16)**128 = 0.0001; sets of up to 32 shingles,
 where chance may bring 19 %, have 192 segments. First every node is compared with one node of each of its groups, drawn by
-a hash of node and segment, so that a large group gives it many different partners; what these
-links join needs no more work. Groups whose nodes are still in more than one component are then
+a hash of node and segment, so that a large group gives it many different partners: with those of a few segments first,
+then with the others that are in another component yet; what these links join needs no more work. Groups whose nodes are still in more than one component are then
 compared in full, in tasks that hold them whole or in pairs of parts, with their sets: pairs from different components whose
 fingerprints are near enough are confirmed there, and only links leave a task. Every link is confirmed by the sets; for
 that 32 bits of each hash are kept (two shingles of one union that share them change a similarity by one in its size).
@@ -25,7 +25,7 @@ from ledgerline.llm.components import components
 from ledgerline.llm.minhash import _WORDS, mix, shingle_hashes
 from ledgerline.llm.simhash import indexed_groups, majority, whole_print
 
-WORDS, SEGMENTS, FEW, MOST, HEADS = 16, 128, 32, 40, 24
+WORDS, SEGMENTS, FEW, MOST, HEADS, FIRST = 16, 128, 32, 40, 24, 2
 _SEEDS = mix(np.arange(1, WORDS + 1, dtype=np.uint64))
 #: Bits of each segment: permutations of all bits, cut in 16s; those beyond SEGMENTS are for sets of up to FEW shingles only.
 _PLACES = np.concatenate([np.random.RandomState(42 + k).permutation(64 * WORDS).reshape(-1, 16) for k in range(3)])
@@ -127,7 +127,7 @@ def _links(batches, least: float, most: int = MOST, rows: int = 10_000, cells: i
 
 
 def _met(nodes: DataFrame, index_rows: int) -> DataFrame:
-    """(key, node, head): the nodes of each of the index's groups and of each set of equal fingerprints, with one of them drawn."""
+    """(key, turn, node, head): the nodes of each of the index's groups and of each set of equal fingerprints, with one of them drawn."""
 
     @F.pandas_udf("array<int>")
     def segs(fp: pd.Series, size: pd.Series) -> pd.Series:
@@ -139,7 +139,7 @@ def _met(nodes: DataFrame, index_rows: int) -> DataFrame:
     equal = named.groupBy("fp").count().filter("count > 1").select("fp")
     members = members.unionByName(named.join(equal, "fp").select(F.col("fp").alias("key"), F.lit(0).alias("turn"), "node"))
     heads = members.groupBy("key").agg(F.min_by("node", F.xxhash64("node", "turn")).alias("head"))
-    return members.join(heads, "key").select("key", "node", "head")
+    return members.join(heads, "key").select("key", "turn", "node", "head")
 
 
 def _labelled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -158,10 +158,14 @@ def groups(docs: DataFrame, least: float = 0.8, words_each: int = 5, bucket_rows
             prints = stored(docs.select("id", "th", "text").mapInPandas(freeing(lambda it: _prints(it, words_each), _forget), PRINTS))
         nodes = stored(prints.groupBy("node").agg(*[F.first(c).alias(c) for c in ("fp", "size", "f0", "f1", "whole")]))
         met = stored(_met(nodes, index_rows))
-        stars = met.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+        stars = met.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"), "turn")
         wanted = met.select("node").distinct()
         sets = stored(prints.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("f0").alias("f0"), F.first("f1").alias("f1")))
-        edges = checkpoint(_confirmed(stars, sets, least))
+        first = checkpoint(_confirmed(stars.filter(F.col("turn") < FIRST).select("a", "b").distinct(), sets, least))
+        comps = checkpoint(_labelled(wanted, first))
+        one, other = (comps.select(F.col("node").alias(c), F.col("comp").alias(f"in_{c}")) for c in ("a", "b"))
+        later = stars.filter(F.col("turn") >= FIRST).select("a", "b").distinct().join(one, "a").join(other, "b").filter("in_a <> in_b").select("a", "b")
+        edges = checkpoint(first.unionByName(_confirmed(later, sets, least)))
         comps = checkpoint(_labelled(wanted, edges))
 
         named = met.select("key", "node").join(comps, "node")

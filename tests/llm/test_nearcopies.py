@@ -155,3 +155,11 @@ def test_packing_tasks_leave_no_words(spark):
         yield pd.DataFrame({"n": [len(enc.words) + len(enc.pieces) + len(enc.words.before) + len(enc.pieces.before)]})
 
     assert {r.n for r in spark.range(64).repartition(16).mapInPandas(kept, "n long").collect()} == {0}
+
+
+def test_a_large_group_is_joined_by_few_pairs(spark, monkeypatch):
+    base, made, confirmed = words(7, 120), [], nearcopies._confirmed
+    docs = spark.createDataFrame([(i, i, with_edits(i, base, 1)) for i in range(150)], "id long, th long, text string")
+    monkeypatch.setattr(nearcopies, "_confirmed", lambda pairs, *args: made.append(pairs.count()) or confirmed(pairs, *args))
+    assert nearcopies.groups(docs).select("comp").distinct().count() == 1
+    assert sum(made) < 9 * 150
