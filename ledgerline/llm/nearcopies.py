@@ -163,8 +163,9 @@ def groups(docs: DataFrame, least: float = 0.8, words_each: int = 5, bucket_rows
         sets = stored(prints.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("f0").alias("f0"), F.first("f1").alias("f1")))
         first = checkpoint(_confirmed(stars.filter(F.col("turn") < FIRST).select("a", "b").distinct(), sets, least))
         comps = checkpoint(_labelled(wanted, first))
-        one, other = (comps.select(F.col("node").alias(c), F.col("comp").alias(f"in_{c}")) for c in ("a", "b"))
-        later = stars.filter(F.col("turn") >= FIRST).select("a", "b").distinct().join(one, "a").join(other, "b").filter("in_a <> in_b").select("a", "b")
+        later = met.filter(F.col("turn") >= FIRST).join(comps, "node")
+        tops = later.filter("node = head").select("key", F.col("comp").alias("top"))
+        later = later.join(tops, "key").filter("comp <> top").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
         edges = checkpoint(first.unionByName(_confirmed(later, sets, least)))
         comps = checkpoint(_labelled(wanted, edges))
 
