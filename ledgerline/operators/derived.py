@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 from pyspark.sql.window import Window
 
 from ledgerline.operators import series
@@ -236,19 +239,28 @@ NOTICE_AGREE, NOTICE_SPIKE = 0.25, 3
 
 def misdated(notices: DataFrame, key: list[str], order: str) -> DataFrame:
     """notices (key, order, obs_date, value) in the order of their archive, the newest first, with `misdated`: dated outside of
-    the span from the older neighbour to the newer one that was kept, where these two are in order. One fold over a key's
-    dates, as what is kept decides on what follows."""
-    g = notices.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(order, "obs_date", "value"))).alias("n"))
-    g = g.withColumn("n", F.transform("n", lambda x, i: F.struct(x[order].alias(order), x["obs_date"].alias("obs_date"), x["value"].alias("value"), F.try_element_at("n", i + 2)["obs_date"].alias("older"))))
-
-    def step(acc: Column, x: Column) -> Column:
-        newer = acc["newer"]
-        bad = F.coalesce((newer >= x["older"]) & ~x["obs_date"].between(x["older"], newer), F.lit(False))
-        return F.struct(F.when(bad, newer).otherwise(x["obs_date"]).alias("newer"), F.concat(acc["bad"], F.array(bad)).alias("bad"))
-
-    start = F.struct(F.lit(None).cast("date").alias("newer"), F.lit([]).cast("array<boolean>").alias("bad"))
-    flags = g.withColumn("bad", F.aggregate("n", start, step)["bad"])
-    return flags.select(*key, F.explode(F.arrays_zip("n", "bad")).alias("z")).select(*key, f"z.n.{order}", "z.n.obs_date", "z.n.value", F.col("z.bad").alias("misdated"))
+    the span from the older neighbour to the newer one that was kept, where these two are in order. As what is kept decides on
+    what follows, a key's rows are walked in order, once; all that is carried from row to row is the date kept last."""
+    w = Window.partitionBy(*key).orderBy(order, "obs_date", "value")
+    n = notices.select(*key, order, "obs_date", "value")
+    names = n.columns
+
+    def run(batches):
+        newer = math.nan
+        for batch in batches:
+            # a missing date is NaN, for which no comparison holds
+            days, olders = (batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False).tolist() for c in ("_day", "_older"))
+            bad = []
+            for place, day, older in zip(batch.column("_place").to_pylist(), days, olders, strict=True):
+                if place == 1:
+                    newer = math.nan
+                bad.append(newer >= older and (day > newer or day < older))
+                if not bad[-1]:
+                    newer = day
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(bad, pa.bool_())], [*names, "misdated"])
+
+    walked = n.withColumns({"_place": F.row_number().over(w), "_day": F.unix_date("obs_date"), "_older": F.unix_date(F.lead("obs_date").over(w))})
+    return walked.sortWithinPartitions(*key, "_place").mapInArrow(run, StructType([*n.schema.fields, StructField("misdated", BooleanType())]))
 
 
 def price_notices(notices: DataFrame, key: list[str], order: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Rules by hand-made cases that the given tables do not hold."""
 
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
@@ -117,6 +118,31 @@ def test_one_notice_far_ahead_drops_no_other(spark):
     assert cleaned([("2024-04-01", 400.0), ("2024-03-01", 100.0), ("2024-03-01", 101.0), ("2024-02-01", 0.0)]) == ["2024-03-01"]
 
 
+def test_long_archives_are_walked_once(spark):
+    """120,000 notices of one archive, out of order throughout, beside a short one with missing dates, in small batches."""
+    n, first = 120_000, dt.date(1990, 1, 1)
+    long = [(i, first + dt.timedelta((n - i) // 5 + (i * 7919) % 400 * (i % 3))) for i in range(n)]
+    short = [(i, None if i % 11 == 5 else first + dt.timedelta((i * 37) % 50)) for i in range(100)]
+
+    def walk(rows):
+        out, newer = {}, None
+        for (i, d), (_, older) in zip(rows, [*rows[1:], (None, None)], strict=True):
+            out[i] = None not in (newer, older, d) and newer >= older and not newer >= d >= older
+            newer = newer if out[i] else d
+        return out
+
+    df = spark.createDataFrame([(k, i, d, 1.0) for k, rows in (("long", long), (None, short)) for i, d in rows], "fuel string, pos int, obs_date date, value double")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1000)
+    try:
+        began = time.monotonic()
+        got = {(r.fuel, r.pos): r.misdated for r in derived.misdated(df.repartition(3), ["fuel"], "pos").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert time.monotonic() - began < 90
+    assert got == {(k, i): bad for k, rows in (("long", long), (None, short)) for i, bad in walk(rows).items()}
+    assert sum(got.values()) > 1000
+
+
 def test_codes_as_schedules_print_them(spark):
     def codes(text):
         row = spark.range(1).select(tariff.printed_codes(F.lit(text)).alias("c"), tariff.excepted_codes(F.lit(text)).alias("x")).first()
