@@ -114,9 +114,10 @@ def learn_bounds(obs: DataFrame, mult: float = 50, least: int = 8) -> DataFrame:
     return out.select("series_id", (-mult * F.col("largest")).alias("min_value"), (mult * F.col("largest")).alias("max_value"))
 
 
-def known_asof(obs: DataFrame, revs: DataFrame, vintage: Column, tracking: Column) -> DataFrame:
+def known_asof(obs: DataFrame, revs: DataFrame, vintage: Column, tracking: Column, seq: str | None = None) -> DataFrame:
     """Each point as known at the end of a date: obs (point, value, revised_at, first_seen_at), revs (point, value,
-    superseded_at); tracking is the day from which revisions were kept.
+    superseded_at, seq); tracking is the day from which revisions were kept. Of a point's revisions superseded at one time the
+    first by seq counts, their order of arrival (without one: the smallest value).
 
     A point is known since first_seen_at, else since its first revision or its latest writing, whichever was earlier, and if
     it is dated before tracking began, since that day at the latest. For a date before tracking began, points dated before
@@ -124,7 +125,8 @@ def known_asof(obs: DataFrame, revs: DataFrame, vintage: Column, tracking: Colum
     before the one join: when the first was superseded, and the value that was the first to be superseded after the date,
     which is what stood then."""
     ts, began = F.date_add(vintage, 1).cast("timestamp"), tracking.cast("timestamp")
-    r = revs.groupBy(*POINT).agg(F.min("superseded_at").alias("first_cut"), F.min_by("value", F.when(F.col("superseded_at") >= ts, F.col("superseded_at"))).alias("then"), F.max(F.col("superseded_at") >= ts).alias("later"))
+    cuts = revs.groupBy(*POINT, "superseded_at").agg(F.min_by("value", seq or "value").alias("value"))
+    r = cuts.groupBy(*POINT).agg(F.min("superseded_at").alias("first_cut"), F.min_by("value", F.when(F.col("superseded_at") >= ts, F.col("superseded_at"))).alias("then"), F.max(F.col("superseded_at") >= ts).alias("later"))
     j = obs.join(r, POINT, "left")
     held = F.least("revised_at", F.coalesce("first_cut", "revised_at"))
     known = F.coalesce("first_seen_at", F.when(F.col("obs_date") < tracking, F.least(held, began)).otherwise(held))

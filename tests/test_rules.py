@@ -3,6 +3,8 @@
 import datetime as dt
 import time
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import derived, editions, loads, merge, reads, series, status, tariff, vintages
@@ -167,3 +169,19 @@ def test_points_are_known_since_they_were_first_seen(spark):
     assert known("2023-06-30", "2020-01-01") == {"a": 1.0, "b": 2.0}
     assert known("2019-12-01", "2020-01-01") == {"a": 0.5, "b": 2.0}
     assert known("2025-06-01", "2020-01-01") == {"a": 1.0, "b": 2.0, "c": 3.0}
+
+
+@pytest.mark.parametrize("name", ["known_asof"])
+def test_of_revisions_superseded_at_one_time_the_first_counts(spark, tmp_path, name):
+    """Twenty points of two revisions each that are superseded at one time, the second's price now higher, now lower."""
+    at = dt.datetime(1999, 5, 5)
+    rows = [(k + 3000 * n, k, "O", 1000.0 + (k if (k + n) % 2 else -k), at, "5-LOW") for k in range(300, 320) for n in (0, 1)]
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+    for arrival in (rows, rows[::-1]):
+        folder = str(tmp_path / str(arrival[0][0]))
+        spark.createDataFrame(arrival, schema).coalesce(1).write.parquet(f"{folder}/orders.parquet")
+        got = {r.dims_key: r.known_value for r in registry.queries()[name](spark, folder).collect()}
+        assert got == {str(k % 20): 1000.0 + (k if k % 2 else -k) for k in range(300, 320)}
+    duck = duckdb.connect()
+    duck.execute(f"create view orders as select * from '{tmp_path}/300/orders.parquet/*.parquet'")
+    assert {r[2]: r[3] for r in duck.execute(registry.oracle_sql()[name]).fetchall()} == got
