@@ -171,7 +171,7 @@ def test_points_are_known_since_they_were_first_seen(spark):
     assert known("2025-06-01", "2020-01-01") == {"a": 1.0, "b": 2.0, "c": 3.0}
 
 
-@pytest.mark.parametrize("name", ["known_asof"])
+@pytest.mark.parametrize("name", ["known_asof", "known_before_tracking"])
 def test_of_revisions_superseded_at_one_time_the_first_counts(spark, tmp_path, name):
     """Twenty points of two revisions each that are superseded at one time, the second's price now higher, now lower."""
     at = dt.datetime(1999, 5, 5)
