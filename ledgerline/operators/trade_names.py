@@ -97,28 +97,30 @@ RELATIVE = r"^[-.]+\s*"
 
 
 def full_texts(refs: DataFrame, levels: int = 6) -> DataFrame:
-    """refs (edition, code, text, parent) -> (edition, code, heading): an absolute text as it stands, a relative one behind
-    its parent's, up the tree until an absolute text or the root (a parent that is not there). One equality join for each
-    of the tree's levels."""
+    """refs (edition, code, text, parent, ...) -> (edition, code, ..., heading, depth): an absolute text as it stands, a relative
+    one behind its parent's, up the tree until an absolute text or the root (a parent that is not there), `depth` levels
+    above. One equality join for each of the tree's levels."""
+    kept = [c for c in refs.columns if c not in ("text", "parent")]
     known = refs.select("edition", F.col("code").alias("_up"), F.trim("text").alias("_text"), F.col("parent").alias("_parent"))
-    out = refs.select("edition", "code", F.col("parent").alias("_up"), F.array(F.trim("text")).alias("parts"))
+    out = refs.select(*kept, F.col("parent").alias("_up"), F.array(F.trim("text")).alias("parts"))
     bare = lambda c: F.regexp_replace(c, RELATIVE, "")
     for _ in range(levels):
         head = F.col("parts")[0]
         own = F.concat(F.array(bare(head)), F.slice("parts", 2, F.size("parts")))
         goes = head.rlike(RELATIVE) & F.col("_text").isNotNull()
         step = out.withColumn("_up", F.when(F.col("parts")[0].rlike(RELATIVE), F.col("_up"))).join(known, ["edition", "_up"], "left")
-        out = step.select("edition", "code", F.when(goes, F.col("_parent")).otherwise(F.col("_up")).alias("_up"), F.when(goes, F.concat(F.array("_text"), own)).otherwise(F.col("parts")).alias("parts"))
+        out = step.select(*kept, F.when(goes, F.col("_parent")).otherwise(F.col("_up")).alias("_up"), F.when(goes, F.concat(F.array("_text"), own)).otherwise(F.col("parts")).alias("parts"))
     whole = F.transform("parts", lambda p, i: F.when(i == 0, bare(p)).otherwise(p))
-    return out.select("edition", "code", F.array_join(F.filter(whole, lambda p: p != ""), "; ").alias("heading"))
+    return out.select(*kept, F.array_join(F.filter(whole, lambda p: p != ""), "; ").alias("heading"), (F.size("parts") - 1).alias("depth"))
 
 
-def official_names(codes: DataFrame, refs: DataFrame, lengths: tuple[int, ...] = (6,), longest_name: int = 100, levels: int = 6) -> DataFrame:
+def official_names(codes: DataFrame, refs: DataFrame, lengths: tuple[int, ...] = (6,), longest_name: int = 100, levels: int = 6, seq: str | None = None) -> DataFrame:
     """codes (code, short_name, ...) with `heading`, `edition` and `display_name`. The heading is the full text of the longest
     ancestor among the lengths, from its newest edition (the smallest number); it is the name of a code that has only zeros
-    behind that ancestor, unless it is longer than longest_name or begins with `other`."""
+    behind that ancestor, unless it is longer than longest_name or begins with `other`. Of an edition's several texts of one
+    code the one from deepest in the tree counts, of these the first by seq, a column of refs, then by its words."""
     texts = full_texts(refs, levels).filter("heading <> ''").withColumn("length", F.length("code"))
-    newest = texts.groupBy("code").agg(F.min(F.struct("edition", "heading", "length")).alias("t"))
+    newest = texts.groupBy("code").agg(F.min(F.struct("edition", F.negative("depth").alias("depth"), *([seq] if seq else []), "heading", "length")).alias("t"))
     keys = codes.select("code").distinct().withColumn("ancestor", F.explode(F.array(*[F.when(F.length("code") >= n, F.substring("code", 1, n)) for n in lengths]))).filter("ancestor is not null")
     found = keys.join(newest.withColumnRenamed("code", "ancestor"), "ancestor").groupBy("code").agg(F.max_by(F.struct("t.edition", "t.heading", "ancestor"), "t.length").alias("h"))
     j = codes.join(found, "code", "left")

@@ -37,20 +37,21 @@ codes AS (SELECT DISTINCT lpad(CAST(p_partkey * 37 % 1000000 AS VARCHAR), 6, '0'
 
 
 def _refs(spark, d):
-    """Codes, and two editions of a tree over them: items, headings and chapters, some of whose texts continue their parent's."""
+    """Codes, and two editions of a tree over them: items, headings and chapters, some of whose texts continue their parent's.
+    Beyond a million parts several share an item's code; seq is their order."""
     n, part = F.col("p_partkey"), read_table(spark, d, "part")
     code6 = F.lpad((n * 37 % 1000000).cast("string"), 6, "0")
     leaf = part.select(code6.alias("code"), "p_name", n.alias("n")).distinct()
     two = lambda df: df.withColumn("edition", F.explode(F.array(F.lit(1), F.lit(2))))
     text = F.when(F.col("n") % 4 == 0, "- Other").when(F.col("n") % 4 == 1, F.concat(F.lit("-- "), "p_name")).when(F.col("n") % 4 == 2, F.concat("p_name", F.lit(" of "), "code")).otherwise(F.concat(F.lit("....mixed with "), "p_name"))
-    items = two(leaf).filter("edition = 2 OR n % 5 <> 0").select("edition", "code", text.alias("text"), F.substring("code", 1, 4).alias("parent"))
+    items = two(leaf).filter("edition = 2 OR n % 5 <> 0").select("edition", "code", text.alias("text"), F.substring("code", 1, 4).alias("parent"), F.col("n").alias("seq"))
     h = F.substring("code", 1, 4)
     kind = F.when(h.cast("int") % 3 == 0, F.concat(F.lit("- of kind "), h)).when(h.cast("int") % 3 == 1, "-").otherwise(F.concat(F.lit("Heading "), h))
     heads = two(leaf).select("edition", h.alias("code"), kind.alias("text"), F.substring("code", 1, 2).alias("parent")).distinct()
     c = F.substring("code", 1, 2)
     chapters = two(leaf).select("edition", c.alias("code"), F.when(c == "03", "- Loose").otherwise(F.concat(F.lit("Chapter "), c)).alias("text"), F.lit("TOTAL").alias("parent")).distinct()
     codes = part.select(F.concat(code6, F.when(n % 3 == 0, "00").otherwise(F.lpad(F.col("p_size").cast("string"), 2, "0"))).alias("code"), F.col("p_name").alias("short_name")).distinct()
-    return codes, items.unionByName(heads).unionByName(chapters)
+    return codes, items.unionByName(heads, True).unionByName(chapters, True)
 
 
 @query(f"""WITH RECURSIVE {_REFS}, up AS (SELECT edition, code, trim(text) AS top, '' AS rest, parent, 0 AS depth FROM refs WHERE length(code) = 6
@@ -59,7 +60,7 @@ best AS (SELECT *, row_number() OVER (PARTITION BY edition, code ORDER BY depth
 newest AS (SELECT code, min(edition) AS edition, arg_min(heading, edition) AS heading FROM full_ GROUP BY 1)
 SELECT c.code, short_name, heading, edition, CASE WHEN right(c.code, 2) = '00' AND length(heading) <= 100 AND NOT regexp_matches(lower(heading), '^other\\b') THEN heading ELSE short_name END AS display_name FROM codes c LEFT JOIN newest n ON n.code = left(c.code, 6)""")
 def official_name(spark, d):
-    return trade_names.official_names(*_refs(spark, d))
+    return trade_names.official_names(*_refs(spark, d), seq="seq")
 
 
 _TITLES = "t AS (SELECT p_partkey, p_name || ' (' || p_brand || ' (' || p_type || '))' || CASE p_size % 5 WHEN 0 THEN '; not ' || p_type WHEN 1 THEN ', ' || repeat(p_name || ', ', 9) || 'and more; ' || p_type WHEN 2 THEN repeat('-' || p_type, 12) WHEN 3 THEN '' ELSE ' ' || repeat(p_name || ' ', 9) || ';' || repeat(p_type || ' ', 6) END AS text FROM part)"

@@ -2,9 +2,11 @@
 
 import datetime as dt
 
+import duckdb
 from pyspark.sql import functions as F
 
 from ledgerline.operators import names, trade_names
+from ledgerline.plans import registry
 
 RULES = [(None, "leath", "leather"), (None, "buffal", "buffalo"), (None, "tann", "tanned"), (None, "oth", "other"), (None, "wov", "woven"), (None, "fab", "fabrics"), (None, "art", "artificial"), (None, "fil", "filament"), (None, "i/s", "iron/steel"), (None, "ns", "n.e.s.")]
 RULES += [(None, "fr", "fresh"), (None, "chl", "chloride"), ("72", "fr", "flat-rolled"), (None, "i/na-s", "iron/non-alloy steel"), (None, "p/c", "plated or coated"), ("72", "s-q", "secondary quality"), ("03", "chl", "chilled"), ("03", "lvr", "livers"), ("03", "fre", "fresh"), (None, "h.r", "hot-rolled"), (None, "h.r.", "hot-rolled"), (None, "tv", "TV")]
@@ -41,6 +43,25 @@ def test_official_names_follow_the_tree(spark):
     assert rows["50000000"][0] == "lost; deep" and rows["60000000"] == ("Other things", 1, "things") and rows["7000"] == (None, None, "none")
 
 
+def test_of_an_editions_texts_of_one_code_the_deepest_then_the_first_counts(spark):
+    refs = [(1, "2815", "Soda", "28", 0), (1, "281511", "- solid", "2815", 5), (1, "281511", "- flakes", "2815", 7), (1, "281512", "Absolute", "2815", 1), (1, "281512", "- wet", "2815", 2)]
+    for rows in (refs, refs[::-1]):
+        df = spark.createDataFrame(rows, "edition int, code string, text string, parent string, seq int").coalesce(1)
+        got = trade_names.official_names(spark.createDataFrame([("28151100", "x"), ("28151200", "y")], "code string, short_name string"), df, seq="seq")
+        assert {r.code: r.heading for r in got.collect()} == {"28151100": "Soda; solid", "28151200": "Soda; wet"}
+
+
+def test_parts_that_share_a_code_are_named_by_the_first(spark, tmp_path):
+    rows = [(n + k * 1_000_000, f"{'zyx'[k]}{n} bolt", 7 + k) for k in (0, 1, 2) for n in range(40)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_size long").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    duck = duckdb.connect(config={"threads": 1})
+    duck.execute(f"create view part as select * from '{tmp_path}/part.parquet/*.parquet'")
+    got, cur = registry.queries()["official_name"](spark, str(tmp_path)), duck.execute(registry.oracle_sql()["official_name"])
+    want = cur.fetchall()
+    assert sorted(map(tuple, got.select([c[0] for c in cur.description]).collect())) == sorted(want)
+    assert not any(" bolt" in r[2] and not r[2].rsplit("; ")[-1].removeprefix("mixed with ").startswith("z") for r in want)
+
+
 def test_titles(spark):
     cases = [("Cotton; not carded or combed", "Cotton, not carded or combed"), ("Petroleum oils (other (crude)); x" + "y" * 80, "Petroleum oils"), (None, ""), ("(all gone)", "(all gone)"), ("Suits, ensembles, jackets, blazers, trousers, bib and brace overalls, shorts; men's or boys'", "Suits, ensembles, jackets, blazers, trousers, men's or boys'"), ("a" * 90, "a" * 70)]
     got = [r.s for r in spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, t string").orderBy("i").select(trade_names.short_title(F.col("t")).alias("s")).collect()]
